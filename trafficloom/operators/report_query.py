@@ -22,6 +22,7 @@ from trafficloom.schemas import (
     RATIO_METRIC,
     legacy_metric_names,
 )
+from trafficloom.session import checkpointed
 
 # Defaults of a report request.
 DEFAULT_DAYS_BACK = (91, 1)
@@ -239,7 +240,7 @@ def _slice(ordered: DataFrame, offset: int, size: int | None) -> DataFrame:
     its partition.
     """
     part, at = "_part", "_at"
-    sorted_rows = ordered.checkpoint().withColumn(at, F.monotonically_increasing_id())
+    sorted_rows = checkpointed(ordered).withColumn(at, F.monotonically_increasing_id())
     sorted_rows = sorted_rows.withColumn(part, F.shiftright(at, 33))
     counts = sorted_rows.groupBy(part).count().orderBy(part).collect()  # one row per partition
     end = offset + size if size is not None else None

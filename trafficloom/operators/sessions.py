@@ -38,12 +38,17 @@ def _one_counted_value_per_row(flat: DataFrame) -> DataFrame:
     close to one row per event. Only the first row of an event (``first``) may
     feed the sums.
     """
-    def entry(kind: str, name: str) -> Column:
-        pair = F.struct(F.lit(kind).alias("counted"), F.col(name).alias("value"))
-        return F.when(F.col(name).isNotNull(), pair)
-
-    entries = F.array_compact(
-        F.array(entry("page", "pageview_location"), entry("transaction", "ecommerce_transaction_id"))
+    def entry(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("counted"), value.alias("value"))
+
+    page, transaction = F.col("pageview_location"), F.col("ecommerce_transaction_id")
+    entries = (
+        F.when(
+            page.isNotNull() & transaction.isNotNull(),
+            F.array(entry("page", page), entry("transaction", transaction)),
+        )
+        .when(page.isNotNull(), F.array(entry("page", page)))
+        .when(transaction.isNotNull(), F.array(entry("transaction", transaction)))
     )
     return flat.select("*", F.posexplode_outer(entries).alias("pos", "entry")).select(
         "*",

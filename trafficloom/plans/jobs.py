@@ -20,7 +20,7 @@ from trafficloom.plans.reports import landing_page_report
 from trafficloom.schemas import DEFAULT_GOAL_METRIC, TARGET
 from trafficloom.sinks.target import append_days, create_target, read_target, replace_days
 from trafficloom.sources.export import day_window, scan_export
-from trafficloom.sources.report_pages import incomplete_windows, read_report_pages
+from trafficloom.sources.report_pages import last_pages, read_report_pages
 
 Build = Callable[[DataFrame, str | None], DataFrame]
 
@@ -68,6 +68,21 @@ def pull_window(
     return rows.filter(F.col("date").between(F.lit(first), F.lit(last)))
 
 
+def _check_landed(pages: DataFrame, windows: list[tuple[dt.date, dt.date]], missing_months: str) -> None:
+    """Fail on a window whose landed pages do not end in one last page, or that has none."""
+    if missing_months not in ("error", "skip"):
+        raise ValueError(f"unknown missing_months: {missing_months!r}")
+    first, last = windows[-1][0].replace(day=1), windows[0][1]
+    needed = pages.filter(F.col("window_start").between(F.lit(first), F.lit(last)))
+    found = {row["window_start"]: row["last_pages"] for row in last_pages(needed).collect()}  # one per month
+    months = {start.replace(day=1) for start in found}
+    missing = [str(start) for start, _ in windows if start.replace(day=1) not in months]
+    missing = missing if missing_months == "error" else []
+    broken = [str(start) for start, ends in found.items() if ends != 1]
+    if missing or broken:
+        raise ValueError(f"landed pages: none for {missing}, not exactly one last page for {broken}")
+
+
 def backfill(
     spark: SparkSession,
     target: str,
@@ -75,11 +90,14 @@ def backfill(
     pull_start_date: str | dt.date,
     goal_metric: str = DEFAULT_GOAL_METRIC,
     one_page_per_file: bool = True,
+    missing_months: str = "error",
 ) -> list[tuple[dt.date, dt.date]]:
     """Append legacy history up to the day before the target's first day.
 
     Months are committed one by one, newest first, so the first day of the
     target moves back with each of them and a stopped run picks up where it was.
+    A month without rows lands one empty page; one that was never landed is an
+    error unless ``missing_months`` is ``skip``.
     Returns the windows that were loaded; none if history is already complete.
     """
     begin = iso_date(pull_start_date)
@@ -90,12 +108,7 @@ def backfill(
     if not windows:
         return []
     pages = read_report_pages(spark, landed_root, one_page_per_file)
-    needed = pages.filter(
-        F.col("window_start").between(F.lit(begin.replace(day=1)), F.lit(bound))
-    )
-    broken = incomplete_windows(needed).first()
-    if broken is not None:
-        raise ValueError(f"landed pages are incomplete: {broken}")
+    _check_landed(pages, windows, missing_months)
     for first, last in windows:
         append_days(pull_window(pages, first, last, goal_metric), target)
     return windows

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE coalesces the shuffle down from a generous initial partition count and
 # splits skewed rebalance partitions, so one setting serves small and large input.
@@ -20,6 +20,8 @@ SCALE_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+_local_root: str | None = None
+
 
 def build_session(app_name: str = "trafficloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with ``SCALE_CONF``; pass further settings with dots as ``__``."""
@@ -32,15 +34,30 @@ def build_session(app_name: str = "trafficloom", master: str | None = None, **co
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, readable by every executor.
+def _shared_root(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
     Only a local session may run without that setting; it gets a temporary folder.
     """
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="trafficloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/trafficloom/{purpose}-{uuid.uuid4().hex}"
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="trafficloom-")
+    return _local_root
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder name that every executor can read and write."""
+    return f"{_shared_root(spark)}/trafficloom/{purpose}-{uuid.uuid4().hex}"
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """The frame written to the shared folder, partitions as they are."""
+    spark = frame.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(_shared_root(spark))
+    return frame.checkpoint()

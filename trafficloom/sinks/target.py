@@ -22,9 +22,8 @@ def is_folder(target: str) -> bool:
 
 
 def read_target(spark: SparkSession, target: str, schema: T.StructType = TARGET) -> DataFrame:
-    if is_folder(target):
-        return spark.read.schema(schema).parquet(target)
-    return spark.table(target).select(*schema.fieldNames())
+    stored = spark.read.schema(schema).parquet(target) if is_folder(target) else spark.table(target)
+    return stored.select(*schema.fieldNames())  # partition columns are read last
 
 
 def conform(report: DataFrame, schema: T.StructType = TARGET) -> DataFrame:

@@ -26,10 +26,10 @@ def next_page_token(reports: str = "reports") -> Column:
     return F.try_element_at(F.col(reports), F.lit(-1))["nextPageToken"]
 
 
-def incomplete_windows(pages: DataFrame) -> DataFrame:
-    """Windows that do not have exactly one last page, with their page counts."""
+def last_pages(pages: DataFrame) -> DataFrame:
+    """Per landed window: its pages, and how many of them are a last page.
+
+    A window is complete if exactly one page has no continuation token.
+    """
     last = F.count_if(next_page_token().isNull())
-    counted = pages.groupBy("window_start").agg(
-        F.count("*").alias("pages"), last.alias("last_pages")
-    )
-    return counted.filter("last_pages <> 1")
+    return pages.groupBy("window_start").agg(F.count("*").alias("pages"), last.alias("last_pages"))

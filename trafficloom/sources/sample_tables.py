@@ -41,23 +41,22 @@ def export_from_events(events: DataFrame) -> DataFrame:
         return entry if when is None else F.when(when, entry)
 
     fifth = event % 5 == 0
-    params = F.array_compact(
-        F.array(
-            param("ga_session_id", int_value=_whole(us, 6 * HOUR), when=event % 17 != 0),
-            param("ga_session_number", int_value=event % 9),
-            param("session_engaged", _text(event % 2)),
-            param("page_title", _prefixed("T", event % 6)),
-            param("page_location", _prefixed("https://shop.example.com/p/", k % 7), when=event % 19 != 0),
-            param("engagement_time_msec", int_value=(1 + event % 119) * 1000, when=event % 3 == 0),
-            param(
-                "source",
-                F.when(event % 4 == 0, "google").when(event % 4 == 1, "bing").when(event % 4 == 2, "(direct)"),
-                when=fifth,
-            ),
-            param("medium", F.when(event % 4 == 0, "cpc"), when=fifth),
-            param("campaign", _prefixed("camp", event % 3), when=event % 10 == 0),
-        )
+    entries = F.array(
+        param("ga_session_id", int_value=_whole(us, 6 * HOUR), when=event % 17 != 0),
+        param("ga_session_number", int_value=event % 9),
+        param("session_engaged", _text(event % 2)),
+        param("page_title", _prefixed("T", event % 6)),
+        param("page_location", _prefixed("https://shop.example.com/p/", k % 7), when=event % 19 != 0),
+        param("engagement_time_msec", int_value=(1 + event % 119) * 1000, when=event % 3 == 0),
+        param(
+            "source",
+            F.when(event % 4 == 0, "google").when(event % 4 == 1, "bing").when(event % 4 == 2, "(direct)"),
+            when=fifth,
+        ),
+        param("medium", F.when(event % 4 == 0, "cpc"), when=fifth),
+        param("campaign", _prefixed("camp", event % 3), when=event % 10 == 0),
     )
+    params = F.array_compact(entries)
     row = {
         "event_date": F.date_format("ts", "yyyyMMdd"),
         "event_timestamp": _whole(us, HOUR) * HOUR,
@@ -90,7 +89,7 @@ def export_from_events(events: DataFrame) -> DataFrame:
         .when(event % 97 == 0, F.slice(params, 1, 0))
         .otherwise(params),
     }
-    return events.select(*(row[f.name].cast(f.dataType).alias(f.name) for f in EXPORT))
+    return events.select(*(row[name].alias(name) for name in EXPORT.fieldNames()))
 
 
 def legacy_rows_from_pages(pages: DataFrame, goal_metric: str) -> DataFrame:
