@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="2",
         spark__default__parallelism="2",
         spark__driver__memory="4g",
+        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1 -XX:+UseParallelGC",
         spark__sql__warehouse__dir=str(scratch / "warehouse"),
         spark__checkpoint__dir=str(scratch / "shared"),
     )
