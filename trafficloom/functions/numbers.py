@@ -17,15 +17,14 @@ def parse_number(text: Column, kind: str, lenient: bool = False) -> Column:
     Whole numbers written with a fraction ("3.0") are accepted as ``bigint``.
     Anything else that does not fit fails the query, or is NULL when ``lenient``.
     """
-    if kind == "double":
-        return text.try_cast("double") if lenient else text.cast("double")
-    whole = text.try_cast("bigint")
-    fraction = text.try_cast("double")
-    fits = fraction.isNotNull() & (fraction == F.floor(fraction))
-    parsed = F.coalesce(whole, F.when(fits, fraction.try_cast("bigint")))
+    parsed = text.try_cast("double")
+    if kind == "bigint":
+        whole = parsed == F.floor(parsed)
+        parsed = F.coalesce(text.try_cast("bigint"), F.when(whole, parsed.try_cast("bigint")))
+    elif kind != "double":
+        raise ValueError(f"unknown kind: {kind!r}")
     if lenient:
         return parsed
-    problem = F.concat(F.lit("not a whole number: "), text)
-    return F.when(
-        text.isNotNull() & parsed.isNull(), F.raise_error(problem).cast("bigint")
-    ).otherwise(parsed)
+    problem = F.concat(F.lit(f"not a {kind}: "), text)
+    unreadable = text.isNotNull() & parsed.isNull()
+    return F.when(unreadable, F.raise_error(problem).cast(kind)).otherwise(parsed)

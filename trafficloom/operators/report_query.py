@@ -240,20 +240,26 @@ def _slice(ordered: DataFrame, offset: int, size: int | None) -> DataFrame:
     its partition.
     """
     part, at = "_part", "_at"
-    sorted_rows = checkpointed(ordered).withColumn(at, F.monotonically_increasing_id())
-    sorted_rows = sorted_rows.withColumn(part, F.shiftright(at, 33))
-    counts = sorted_rows.groupBy(part).count().orderBy(part).collect()  # one row per partition
-    end = offset + size if size is not None else None
-    wanted, before = F.lit(False), 0
-    for row in counts:
-        low, high = max(offset - before, 0), row["count"]
-        if end is not None:
-            high = min(high, end - before)
-        if low < high:
-            start = row[part] << 33
-            wanted |= F.col(at).between(start + low, start + high - 1)
-        before += row["count"]
-    return sorted_rows.filter(wanted).drop(part, at)
+    # the partition in the high bits and the row within it in the low 33: in row order
+    numbered = checkpointed(ordered).withColumn(at, F.monotonically_increasing_id())
+    numbered = numbered.withColumn(part, F.shiftright(at, 33))
+    counts = numbered.groupBy(part).count().orderBy(part).collect()  # one row per partition
+
+    def row_id(number: int) -> int | None:
+        for row in counts:
+            if number < row["count"]:
+                return (row[part] << 33) + number
+            number -= row["count"]
+        return None
+
+    first = row_id(offset)
+    if first is None:
+        return ordered.limit(0)
+    after = row_id(offset + size) if size is not None else None
+    wanted = F.col(at) >= first
+    if after is not None:
+        wanted &= F.col(at) < after
+    return numbered.filter(wanted).drop(part, at)
 
 
 def legacy_report(
