@@ -7,13 +7,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests.builders import METRICS, DIMENSIONS, changed, event, export, landed, legacy_page, legacy_row, session_params
+from trafficloom.__main__ import main
 from trafficloom.operators.legacy import backfill_bound
 from trafficloom.plans.jobs import backfill, daily_pull, initial_pull
 from trafficloom.plans.reports import acquisition_report, landing_page_report
 from trafficloom.schemas import SOURCE_MEDIUM, TARGET
 from trafficloom.session import shared_folder
 from trafficloom.sinks.target import create_target, read_target, replace_days, review, review_months
-from trafficloom.sources.export import scan_export, scan_table, shard_days
+from trafficloom.sources.export import scan_export, scan_table, shard_days, split_days
 from trafficloom.streaming.daily import consecutive, pull_new_days
 
 D = lambda day, month=1, year=2024: dt.date(year, month, day)
@@ -144,6 +145,23 @@ def test_daily_steps_equal_one_pull(spark):
     assert left.exceptAll(right).count() == right.exceptAll(left).count() == 0
 
 
+def test_initial_pull_in_several_commits(spark):
+    root = shared_folder(spark, "export")
+    land(spark, root, visits(1, 2, 3, 5, pages=2) + visits(2, 3, user=None))
+    at_once, stepped = place(spark, "folder"), place(spark, "table")
+    initial_pull(spark, root, at_once, 6, as_of=D(6))
+    initial_pull(spark, root, stepped, 6, as_of=D(6), days_per_commit=2)
+    left, right = read_target(spark, at_once), read_target(spark, stepped)
+    assert left.exceptAll(right).count() == right.exceptAll(left).count() == 0
+
+
+def test_split_days():
+    assert split_days(D(1), D(5), 2) == [(D(4), D(5)), (D(2), D(3)), (D(1), D(1))]
+    assert split_days(D(1), D(5), 9) == [(D(1), D(5))]
+    with pytest.raises(ValueError):
+        split_days(D(1), D(5), 0)
+
+
 def test_source_medium_target(spark):
     root, target = shared_folder(spark, "export"), place(spark, "folder")
     land(spark, root, visits(1, 2))
@@ -273,3 +291,23 @@ def test_new_days_are_pulled_once_and_late_files_again(spark):
     batch = landing_page_report(scan_export(spark, root, D(6), 10))
     left = read_target(spark, target)
     assert left.exceptAll(batch).count() == batch.exceptAll(left).count() == 0
+
+
+# commands
+
+def test_commands(spark, capsys):
+    root, target = shared_folder(spark, "export"), place(spark, "folder")
+    land(spark, root, visits(1, 2, 3))
+    main(["create", "--export", root, "--target", target, "--prior-days", "1", "--as-of", "2024-01-02"])
+    main(["daily", "--export", root, "--target", target, "--as-of", "2024-01-03"])
+    assert per_day(spark, target) == {1: 1, 2: 1, 3: 1}
+    pages = land_pages(spark, legacy_month("2023-12-05"))
+    main(["backfill", "--landed", pages, "--target", target, "--start", "2023-12-01", "--json-lines"])
+    main(["review", "--target", target])
+    printed = capsys.readouterr().out
+    assert "1 months loaded" in printed and "2023-12-05" in printed and "2024-01-03" in printed
+    other, state = place(spark, "folder"), shared_folder(spark, "state")
+    main(["follow", "--export", root, "--target", other, "--state", state, "--report", "source-medium"])
+    assert per_day(spark, other, SOURCE_MEDIUM) == {1: 1, 2: 1, 3: 1}
+    with pytest.raises(SystemExit):
+        main(["daily", "--target", target])

@@ -135,6 +135,13 @@ def test_following_tokens_reads_everything_once(many):
     assert found == rows and pages == 3
 
 
+def test_all_pages_from_one_copy(many):
+    query, rows = everything(many)
+    pages = [[tuple(r) for r in page.collect()] for page in query.page_size(33).get().pages()]
+    assert [len(p) for p in pages] == [33, 33, 14] and sum(pages, []) == rows
+    assert [p.count() for p in query.get().pages()] == [80]
+
+
 def test_no_token_after_a_last_full_page(many):
     query, rows = everything(many)
     assert query.page_size(len(rows)).get().next_page_token() is None

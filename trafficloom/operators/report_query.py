@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import datetime as dt
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -164,8 +164,8 @@ class ReportQuery:
         tags = self._tags()
         for tag, choices in tags.items():
             # one pass over the table, however many ranges or segments there are
-            matching = F.array_compact(F.array(*(F.when(cond, value) for cond, value in choices)))
-            rows = rows.withColumn(tag, F.explode(matching))
+            matching = F.array(*(F.when(cond, value) for cond, value in choices))
+            rows = rows.withColumn(tag, F.explode(matching)).filter(F.col(tag).isNotNull())
         keys = [*tags, *chosen]
         report = rows.groupBy(*keys).agg(*(exprs[m].alias(m) for m in metrics))
         return report, keys
@@ -182,9 +182,10 @@ class Report:
     mean the same on every run.
     """
 
-    def __init__(self, query: ReportQuery):
+    def __init__(self, query: ReportQuery, whole: DataFrame | None = None):
         self.query = query
-        self.whole, self.keys = query.plan()
+        planned, self.keys = query.plan()
+        self.whole = planned if whole is None else whole
 
     @property
     def rows(self) -> DataFrame:
@@ -221,6 +222,16 @@ class Report:
         more = self.whole.filter(_after(self.keys, self.whole, token)).limit(1).count()
         return token if more else None
 
+    def pages(self) -> Iterator[DataFrame]:
+        """This page and all that follow, from one written copy of the report."""
+        report = Report(self.query, checkpointed(self.whole))
+        while True:
+            yield report.rows
+            token = report.next_page_token()
+            if token is None:
+                return
+            report = Report(report.query.page_token(token), report.whole)
+
 
 def _after(keys: list[str], report: DataFrame, token: str) -> Column:
     """Rows past the key in the token. Structs compare field by field, NULL first, as in the sort."""

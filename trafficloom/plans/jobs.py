@@ -19,7 +19,7 @@ from trafficloom.operators.legacy import (
 from trafficloom.plans.reports import landing_page_report
 from trafficloom.schemas import DEFAULT_GOAL_METRIC, TARGET
 from trafficloom.sinks.target import append_days, create_target, read_target, replace_days
-from trafficloom.sources.export import day_window, scan_export
+from trafficloom.sources.export import day_window, scan_export, split_days
 from trafficloom.sources.report_pages import last_pages, read_report_pages
 
 Build = Callable[[DataFrame, str | None], DataFrame]
@@ -35,10 +35,22 @@ def initial_pull(
     table_prefix: str | None = None,
     build: Build = landing_page_report,
     schema: T.StructType = TARGET,
+    days_per_commit: int | None = None,
 ) -> None:
-    """Create the target from the last ``prior_days`` days; fails if it exists."""
-    export = scan_export(spark, export_root, as_of, prior_days, table_prefix)
-    create_target(build(export, conversion_event), target, schema)
+    """Create the target from the last ``prior_days`` days; fails if it exists.
+
+    No group spans two days, so a long window may be computed and committed in
+    runs of ``days_per_commit`` days, newest first, which bounds the shuffled
+    data on disk at any time. A daily pull of the missing days completes a run
+    that was stopped.
+    """
+    first, last = day_window(as_of, prior_days)
+    runs = split_days(first, last, days_per_commit or prior_days + 1)
+    write = create_target
+    for begin, end in runs:
+        export = scan_export(spark, export_root, end, (end - begin).days, table_prefix)
+        write(build(export, conversion_event), target, schema)
+        write = append_days
 
 
 def daily_pull(

@@ -58,6 +58,6 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 def checkpointed(frame: DataFrame) -> DataFrame:
     """The frame written to the shared folder, partitions as they are."""
     spark = frame.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(_shared_root(spark))
     return frame.checkpoint()

@@ -21,6 +21,14 @@ def day_window(as_of: dt.date | None, prior_days: int) -> tuple[dt.date, dt.date
     return last - dt.timedelta(days=prior_days), last
 
 
+def split_days(first: dt.date, last: dt.date, size: int) -> list[tuple[dt.date, dt.date]]:
+    """The days from ``first`` to ``last`` in runs of at most ``size``, newest first."""
+    if size < 1:
+        raise ValueError("a run needs at least one day")
+    ends = [last - dt.timedelta(days=n) for n in range(0, (last - first).days + 1, size)]
+    return [(max(first, end - dt.timedelta(days=size - 1)), end) for end in ends]
+
+
 def in_window(export: DataFrame, as_of: dt.date | None, prior_days: int) -> DataFrame:
     """Keep the days of the window.
 
