@@ -51,6 +51,14 @@ def test_events_are_not_exploded_before_the_first_shuffle(landed):
     assert "Generate" not in lowest
 
 
+def test_parameters_are_picked_before_the_sort(landed):
+    lines = plan(reports.landing_page_report(landed, "purchase")).splitlines()
+    (lowest,) = [i for i, line in enumerate(lines) if "Sort [" in line and "Exchange" not in "".join(lines[i + 1 :])]
+    output = lines[lowest + 1].split(" AS ")
+    assert "Project [" in lines[lowest + 1] and "event_params" not in output[0]
+    assert sum("FileScan" in line for line in lines) == 1
+
+
 def test_unused_columns_stay_unread(landed):
     (scan,) = [line for line in plan(reports.acquisition_report(landed, "purchase")).splitlines() if "FileScan" in line]
     assert not {"device", "geo"} & set(re.findall(r"\w+", scan.split("ReadSchema")[1]))

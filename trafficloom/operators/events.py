@@ -82,7 +82,7 @@ def _exploded_param_columns(export, params, conversion_event):
         name: _on_event(p.event_name, F.when(key == p.key, F.col(f"param.value.{p.field}")))
         for name, p in params.items()
     }
-    seconds = F.when(key == ENGAGEMENT_KEY, F.col("param.value.int_value") / 1000)
+    seconds = F.col("param.value.int_value") / 1000
     converted = (F.col("event_name") == conversion_event) & (key == PAGE_KEY)
     columns["engagment_time_sec"] = F.when(key == ENGAGEMENT_KEY, seconds).otherwise(0.0)
     columns["conversions"] = F.when(converted, 1).otherwise(0)
@@ -185,11 +185,12 @@ def flatten_events(
     if channel == "traffic_source":
         picked["utm_source"] = F.col("traffic_source.source")
         picked["utm_medium"] = F.col("traffic_source.medium")
-    conversions = picked.pop("conversions")
-
-    collapsed = rows.groupBy(*IDENTITY).agg(
-        *(F.max(value).alias(name) for name, value in picked.items()),
-        F.sum(conversions).alias("conversions"),
+    # Pick first, then group: the sort of the aggregation carries these columns
+    # and not the whole parameter array.
+    pivoted = rows.select(*IDENTITY, *(value.alias(name) for name, value in picked.items()))
+    collapsed = pivoted.groupBy(*IDENTITY).agg(
+        *(F.max(name).alias(name) for name in picked if name != "conversions"),
+        F.sum("conversions").alias("conversions"),
     )
     return collapsed.select(
         "event_date",
