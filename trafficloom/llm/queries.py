@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficloom.llm import mixing, packing, quality
+from trafficloom.llm import mixing, neardup, packing, quality
 from trafficloom.llm.common import stored, table
 
 
@@ -46,10 +46,15 @@ def target_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bayesian_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pattern_packing": pattern_packing,
     "op8_rule_ledger": rule_ledger,
     "op9_target_mix": target_mix,
+    "op10_bayesian_near_duplicates": bayesian_near_duplicates,
 }
 
 #: Words, lines and windows are listed per row; a window is its eight words joined by blanks.
