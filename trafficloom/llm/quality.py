@@ -12,7 +12,6 @@ rows are judged one by one; columns of the input other than id and text play no
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,15 +24,15 @@ WINDOW = 8
 #: Measurements in the order of the ledger's columns.
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
-#: Rule and the condition under which it fails, in SQL over the measurements. The place
-#: in this list is the bit, so rules are only ever added at the end.
+#: Rule and the condition under which it fails, over the struct of measurements. The
+#: place in this list is the bit, so rules are only ever added at the end.
 RULES = (
-    ("too_few_words", "n_words < 20"),
-    ("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
-    ("symbol_heavy", "10 * n_symbols > 3 * n_words"),
-    ("short_words", "word_chars < 2 * n_words"),
-    ("long_words", "word_chars > 20 * n_words"),
-    ("repeated_lines", "2 * n_dup_lines > n_lines"),
+    ("too_few_words", lambda m: m["n_words"] < 20),
+    ("repeated_windows", lambda m: 100 * m["n_repeat_words"] > 30 * m["n_words"]),
+    ("symbol_heavy", lambda m: 10 * m["n_symbols"] > 3 * m["n_words"]),
+    ("short_words", lambda m: m["word_chars"] < 2 * m["n_words"]),
+    ("long_words", lambda m: m["word_chars"] > 20 * m["n_words"]),
+    ("repeated_lines", lambda m: 2 * m["n_dup_lines"] > m["n_lines"]),
 )
 BIT = {name: 1 << place for place, (name, _) in enumerate(RULES)}
 BASE = BIT["too_few_words"] | BIT["repeated_windows"]
@@ -79,50 +78,52 @@ def _covered(windows: Column) -> Column:
     return bound(bound(F.sort_array(paired), positions), words)
 
 
-def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows with a struct ``ledger_measures`` of the measurements, all long."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    count = F.size("ledger_words")
-    windows = F.when(
-        count >= WINDOW,
-        F.transform(
-            F.sequence(F.lit(1), count - (WINDOW - 1)),
-            lambda at: F.xxhash64(F.slice(F.col("ledger_words"), at, WINDOW)),
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
-    distinct = F.size(F.array_distinct("ledger_windows")) == F.size("ledger_windows")
-    measures = {
-        "n_words": count,
-        "word_chars": F.length(F.translate("ledger_text", " \t\n\x0b\x0c\r", "")),
-        "n_symbols": F.length("ledger_text") - F.length(F.translate("ledger_text", "#*$%&|<>", "")),
-        "n_lines": F.size("ledger_lines"),
-        "n_dup_lines": F.size("ledger_lines") - F.size(F.array_distinct("ledger_lines")),
-        "n_repeat_words": F.when(distinct, F.lit(0)).otherwise(_covered(F.col("ledger_windows"))),
-    }
-    lines = F.filter(F.split("ledger_text", "\n"), lambda line: line.rlike(WORD))
-    return (
-        docs.withColumn("ledger_text", text)
-        .withColumns({"ledger_words": F.regexp_extract_all("ledger_text", F.lit(WORD), F.lit(0)), "ledger_lines": lines})
-        .withColumn("ledger_windows", windows)
-        .withColumn("ledger_measures", F.struct(*(measures[m].cast("long").alias(m) for m in MEASURES)))
-        .drop("ledger_text", "ledger_words", "ledger_lines", "ledger_windows")
-    )
+def _windows(words: Column) -> Column:
+    """Digests of all windows of the words."""
+    starts = F.sequence(F.lit(1), F.size(words) - (WINDOW - 1))
+    digests = F.transform(starts, lambda at: F.xxhash64(F.slice(words, at, WINDOW)))
+    return F.when(F.size(words) >= WINDOW, digests).otherwise(F.array().cast("array<bigint>"))
+
 
+def judged(text: Column) -> Column:
+    """A struct of the measurements, all long, and the bits of all failed rules, ``failures``.
 
-def with_failures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows with ``ledger_measures`` and the bits of all failed rules, ``ledger_failures``."""
-    bits = F.lit(0).cast("long")
-    for name, fails in RULES:
-        fails = re.sub(rf"\b({'|'.join(MEASURES)})\b", r"ledger_measures.\1", fails)
-        bits = bits.bitwiseOR(F.when(F.expr(fails), F.lit(BIT[name])).otherwise(F.lit(0)).cast("long"))
-    return with_measures(docs, text_col).withColumn("ledger_failures", bits)
+    Words, lines, windows and measurements are each bound to a name and computed once, also
+    where the optimizer moves the expression into a filter.
+    """
+    text = F.coalesce(text, F.lit(""))
+
+    def measured(words: Column, windows: Column, lines: Column) -> Column:
+        distinct = F.size(F.array_distinct(windows)) == F.size(windows)
+        values = {
+            "n_words": F.size(words),
+            "word_chars": F.length(F.translate(text, " \t\n\x0b\x0c\r", "")),
+            "n_symbols": F.length(text) - F.length(F.translate(text, "#*$%&|<>", "")),
+            "n_lines": F.size(lines),
+            "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+            "n_repeat_words": F.when(distinct, F.lit(0)).otherwise(_covered(windows)),
+        }
+        return F.struct(*(values[m].cast("long").alias(m) for m in MEASURES))
+
+    def with_failures(measures: Column) -> Column:
+        bits = F.lit(0).cast("long")
+        for name, fails in RULES:
+            bits = bits.bitwiseOR(F.when(fails(measures), F.lit(BIT[name])).otherwise(F.lit(0)).cast("long"))
+        return F.struct(*(measures[m].alias(m) for m in MEASURES), bits.alias("failures"))
+
+    all_lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
+    measures = bound(
+        F.regexp_extract_all(text, F.lit(WORD), F.lit(0)),
+        lambda words: bound(
+            _windows(words), lambda windows: bound(all_lines, lambda lines: measured(words, windows, lines))
+        ),
+    )
+    return bound(measures, with_failures)
 
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id, the measurements and ``failures``."""
-    return with_failures(docs, text_col).select(
-        F.col(id_col), *(F.col(f"ledger_measures.{m}") for m in MEASURES), F.col("ledger_failures").alias("failures")
-    )
+    return docs.select(F.col(id_col), judged(F.col(text_col)).alias("ledger")).select(id_col, "ledger.*")
 
 
 def passes(policy: Policy = CURRENT, failures: str = "failures") -> Column:
@@ -131,18 +132,17 @@ def passes(policy: Policy = CURRENT, failures: str = "failures") -> Column:
 
 def kept(docs: DataFrame, policy: Policy = CURRENT, text_col: str = "text") -> DataFrame:
     """The documents the policy lets through, columns as given."""
-    rows = with_failures(docs, text_col).filter(passes(policy, "ledger_failures"))
-    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.filter(judged(F.col(text_col))["failures"].bitwiseAND(F.lit(policy.mask).cast("long")) == 0)
 
 
-def ablations(judged: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> DataFrame:
+def ablations(rows: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> DataFrame:
     """For each policy and rule: documents, those kept, those failing the rule, and
     those that dropping the rule alone would bring back.
 
     The ledger is first reduced to one row per set of failed rules, of which there
     are at most two to the number of rules, so the rest works on a few rows.
     """
-    sets = judged.groupBy("failures").agg(F.count("*").alias("docs"))
+    sets = rows.groupBy("failures").agg(F.count("*").alias("docs"))
     cases = F.array(
         *(
             F.struct(
