@@ -7,10 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficloom.llm import mixing, neardup, packing, quality
+from trafficloom.llm import language, mixing, neardup, packing, quality
 from trafficloom.llm.common import stored, table
 
 
+def language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and pages together: the text model is fitted on labelled documents, the
+    evidence of declarations, suffixes and hosts comes from both."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, "doc_id", "text", "lang")
+    pages = table(spark, sf_dir, "pages")
+    address = language.address_parts(F.col("url"))
+    of_pages = language.with_evidence(
+        pages, model, language.visible_text(F.col("html")), language.declared_in(F.col("html")), **address
+    )
+    no_id = F.lit(None).cast("long")
+    evidence = stored(
+        language.document_evidence(docs, model)
+        .select("doc_id", no_id.alias("page_id"), "evidence")
+        .union(of_pages.select(no_id.alias("doc_id"), "page_id", "evidence")),
+        "language-evidence",
+    )
+    verdicts = language.judged(evidence, model, language.tables_of(evidence, len(model.classes)))
+    return verdicts.select("doc_id", "page_id", "language_of.language", "language_of.posterior", F.col("language_of.accepted").alias("kept"))
+
+
 def pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -51,6 +72,7 @@ def bayesian_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_language_fusion": language_fusion,
     "op6_pattern_packing": pattern_packing,
     "op8_rule_ledger": rule_ledger,
     "op9_target_mix": target_mix,
