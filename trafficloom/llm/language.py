@@ -61,13 +61,17 @@ class TextModel:
         return (*self.languages, UNKNOWN)
 
 
+def bucket(windows: np.ndarray) -> np.ndarray:
+    """Buckets of windows of three bytes, given as numbers."""
+    return (windows * np.uint32(2654435761)) >> np.uint32(32 - BUCKET_BITS)
+
+
 def triples(text: str) -> np.ndarray:
     """Buckets of the three-byte windows of the lower-cased text."""
     data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint32)
     if len(data) < 3:
         return np.zeros(0, np.uint32)
-    windows = (data[:-2] << np.uint32(16)) | (data[1:-1] << np.uint32(8)) | data[2:]
-    return (windows * np.uint32(2654435761)) >> np.uint32(32 - BUCKET_BITS)
+    return bucket((data[:-2] << np.uint32(16)) | (data[1:-1] << np.uint32(8)) | data[2:])
 
 
 def primary(tag: Column) -> Column:

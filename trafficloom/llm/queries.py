@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficloom.llm import language, mixing, neardup, packing, quality
+from trafficloom.llm import language, lm, mixing, neardup, packing, quality
 from trafficloom.llm.common import stored, table
 
 
@@ -32,6 +32,10 @@ def language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.select("doc_id", "page_id", "language_of.language", "language_of.posterior", F.col("language_of.accepted").alias("kept"))
 
 
+def context_mixing_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
 def pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ def bayesian_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_fusion": language_fusion,
+    "op5_context_mixing_scores": context_mixing_scores,
     "op6_pattern_packing": pattern_packing,
     "op8_rule_ledger": rule_ledger,
     "op9_target_mix": target_mix,
