@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficloom.llm import language, lm, mixing, neardup, packing, quality
+from trafficloom.llm import language, lm, mixing, neardup, packing, quality, sharding, topk
 from trafficloom.llm.common import stored, table
 
 
+#: Names and weights of the shards of the sharding query; one is twice as large.
+SHARDS = {f"shard-{k:02d}": 2 if k == 0 else 1 for k in range(48)}
+
+
+def table_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.placed(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
+
+
 def language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and pages together: the text model is fitted on labelled documents, the
     evidence of declarations, suffixes and hosts comes from both."""
@@ -40,6 +48,10 @@ def pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", every=50, k=5)
+
+
 def rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.ledger(table(spark, sf_dir, "documents"))
     base_failed = F.col("failures").bitwiseAND(F.lit(quality.BASE).cast("long")) != 0
@@ -76,9 +88,11 @@ def bayesian_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_table_sharding": table_sharding,
     "op4_language_fusion": language_fusion,
     "op5_context_mixing_scores": context_mixing_scores,
     "op6_pattern_packing": pattern_packing,
+    "op7_pivot_top_k": pivot_top_k,
     "op8_rule_ledger": rule_ledger,
     "op9_target_mix": target_mix,
     "op10_bayesian_near_duplicates": bayesian_near_duplicates,
@@ -163,7 +177,25 @@ FROM drawn AS d JOIN seeds AS s ON d.source IS NOT DISTINCT FROM s.source AND d.
 JOIN sized USING (r)
 """
 
+PIVOT_TOP_K_SQL = """
+WITH vectors AS (
+    SELECT row_number() OVER () AS r, vec_id,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, q.r AS query, c.vec_id, c.r,
+           list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM vectors AS q JOIN vectors AS c ON q.vec_id % 50 = 0 AND q.r <> c.r
+)
+SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 5
+"""
+
 ORACLES: dict[str, str] = {
+    "op7_pivot_top_k": PIVOT_TOP_K_SQL,
     "op8_rule_ledger": RULE_LEDGER_SQL,
     "op9_target_mix": TARGET_MIX_SQL,
 }
