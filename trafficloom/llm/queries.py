@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficloom.llm import language, lm, mixing, neardup, packing, quality, sharding, topk
+from trafficloom.llm import chat, language, lm, mixing, neardup, packing, quality, sharding, topk, warc
 from trafficloom.llm.common import stored, table
 
 
@@ -19,6 +19,24 @@ def table_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placed(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
 
 
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archived(table(spark, sf_dir, "pages"))
+    page = lambda name: F.regexp_extract(name, r"^<urn:x-page:(-?\d+)>$", 1)
+    number = lambda name: F.when(page(name) != "", page(name).cast("long"))
+    return records.filter(F.col("type").isin("response", "revisit")).select(
+        number("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        number("refers_to").alias("refers_to"),
+        "target_uri",
+    )
+
+
+def quotation_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
 def language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and pages together: the text model is fitted on labelled documents, the
     evidence of declarations, suffixes and hosts comes from both."""
@@ -89,6 +107,8 @@ def bayesian_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_table_sharding": table_sharding,
+    "op2_warc_round_trip": warc_round_trip,
+    "op3_quotation_threads": quotation_threads,
     "op4_language_fusion": language_fusion,
     "op5_context_mixing_scores": context_mixing_scores,
     "op6_pattern_packing": pattern_packing,
@@ -177,6 +197,24 @@ FROM drawn AS d JOIN seeds AS s ON d.source IS NOT DISTINCT FROM s.source AND d.
 JOIN sized USING (r)
 """
 
+#: Five hexadecimal digits of the digest are twenty bits, which are four letters in base 32.
+WARC_SQL = """
+WITH digested AS (
+    SELECT page_id, url, strlen(coalesce(html, '')) AS bytes, sha1(coalesce(html, '')) AS digest FROM pages
+), coded AS (
+    SELECT *, max(page_id) OVER (PARTITION BY digest) AS largest,
+           array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((('0x' || substr(digest, 1 + 5 * (k // 4)::INT, 5))::BIGINT >> (15 - 5 * (k % 4))::INT) & 31)::INT, 1)
+               FOR k IN range(32)], '') AS base32
+    FROM digested
+)
+SELECT page_id, bytes::BIGINT AS payload_bytes, base32 AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM largest THEN largest END AS refers_to,
+       url AS target_uri
+FROM coded
+"""
+
 PIVOT_TOP_K_SQL = """
 WITH vectors AS (
     SELECT row_number() OVER () AS r, vec_id,
@@ -195,6 +233,7 @@ QUALIFY row_number() OVER best <= 5
 """
 
 ORACLES: dict[str, str] = {
+    "op2_warc_round_trip": WARC_SQL,
     "op7_pivot_top_k": PIVOT_TOP_K_SQL,
     "op8_rule_ledger": RULE_LEDGER_SQL,
     "op9_target_mix": TARGET_MIX_SQL,
