@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import shutil
+import tempfile
+from collections.abc import Callable
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +17,26 @@ from trafficloom.session import shared_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The query, run after the executors' Python workers were given this package, once
+    per application. Without it they find the package only if it is installed there."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        application = spark.sparkContext.applicationId
+        if application not in _shipped:
+            root = Path(__file__).resolve().parents[2]
+            archive = shutil.make_archive(f"{tempfile.mkdtemp()}/trafficloom", "zip", root, "trafficloom")
+            spark.sparkContext.addPyFile(archive)
+            _shipped.add(application)
+        return query(spark, *args)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

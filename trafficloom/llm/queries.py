@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficloom.llm import chat, language, lm, mixing, neardup, packing, quality, sharding, topk, warc
-from trafficloom.llm.common import stored, table
+from trafficloom.llm.common import shipped, stored, table
 
 
 #: Names and weights of the shards of the sharding query; one is twice as large.
@@ -106,16 +106,16 @@ def bayesian_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_table_sharding": table_sharding,
-    "op2_warc_round_trip": warc_round_trip,
-    "op3_quotation_threads": quotation_threads,
-    "op4_language_fusion": language_fusion,
-    "op5_context_mixing_scores": context_mixing_scores,
-    "op6_pattern_packing": pattern_packing,
-    "op7_pivot_top_k": pivot_top_k,
-    "op8_rule_ledger": rule_ledger,
-    "op9_target_mix": target_mix,
-    "op10_bayesian_near_duplicates": bayesian_near_duplicates,
+    "op1_table_sharding": shipped(table_sharding),
+    "op2_warc_round_trip": shipped(warc_round_trip),
+    "op3_quotation_threads": shipped(quotation_threads),
+    "op4_language_fusion": shipped(language_fusion),
+    "op5_context_mixing_scores": shipped(context_mixing_scores),
+    "op6_pattern_packing": shipped(pattern_packing),
+    "op7_pivot_top_k": shipped(pivot_top_k),
+    "op8_rule_ledger": shipped(rule_ledger),
+    "op9_target_mix": shipped(target_mix),
+    "op10_bayesian_near_duplicates": shipped(bayesian_near_duplicates),
 }
 
 #: Words, lines and windows are listed per row; a window is its eight words joined by blanks.
