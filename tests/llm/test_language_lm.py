@@ -1,0 +1,204 @@
+"""Language identification and language-model scores."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_TEST
+from tests.llm.fixtures import clashing, empty, odd_documents, prose
+from trafficloom.llm import language, lm
+from trafficloom.llm.queries import QUERIES
+
+
+def test_held_out_accuracy(spark):
+    """Fitted on half of the documents, judged on the other without their declarations."""
+    docs = spark.read.parquet(f"{SF_TEST}/documents.parquet")
+    model = language.fit(docs.filter("doc_id % 2 = 0"), "doc_id", "text", "lang", sample=200)
+    rest = docs.filter("doc_id % 2 = 1 AND n_chars > 60").select("doc_id", "text", F.col("lang").alias("truth"), F.lit(None).cast("string").alias("lang"), "source")
+    evidence = language.document_evidence(rest, model)
+    found = language.judged(evidence, model, language.tables_of(evidence.select("evidence"), len(model.classes)))
+    assert found.filter("language_of.language = truth").count() >= 0.98 * rest.count()
+
+
+def test_query_covers_documents_and_pages(spark):
+    found = QUERIES["op4_language_fusion"](spark, SF_TEST)
+    docs = spark.read.parquet(f"{SF_TEST}/documents.parquet")
+    pages = spark.read.parquet(f"{SF_TEST}/pages.parquet")
+    assert found.filter("doc_id IS NOT NULL").count() == docs.count()
+    assert found.filter("page_id IS NOT NULL").count() == pages.count()
+    assert found.join(docs, "doc_id").filter("language = lang AND kept").count() >= 0.99 * docs.count()
+
+
+def three_words(spark):
+    """Texts of two made-up languages with declarations, suffixes and hosts."""
+    rows = []
+    for k in range(120):
+        tongue = "aa" if k % 3 else "bb"
+        letters = "lomina" if tongue == "aa" else "kurzet"
+        text = " ".join("".join(letters[(k * 7 + j * j + i) % 6] for i in range(4)) for j in range(20))
+        rows.append((k, text, tongue, f"http://{'w' if k % 4 else 'v'}.{tongue}site.{'xa' if k % 3 else 'xb'}/p{k}"))
+    rows += [(200, "lokurz", "aa", "http://w.aasite.xa/"), (201, "lokurz", "bb", "http://v.bbsite.xb/"), (202, "", "aa", None), (203, None, None, "nonsense")]
+    return spark.createDataFrame(rows, "id long, text string, lang string, url string")
+
+
+def plain_posteriors(model, rows):
+    """The fusion row by row in plain Python, from the same text model."""
+    size = len(model.classes)
+    likelihood, posterior, keys = {}, {}, {}
+    for r in rows:
+        url = r["url"] or ""
+        host = url[7:].split("/")[0] if url.startswith("http://") else ""
+        parts = host.split(".")
+        keys[r["id"]] = {"declared": r["lang"] or "", "host": host, "domain": ".".join(parts[-2:]) if host else "", "suffix": parts[-1] if host else ""}
+        at = language.triples(r["text"] or "")
+        if len(at):
+            score = language.TEMPER * model.table[:, at].sum(1)
+            likelihood[r["id"]] = score - score.max()
+            chance = np.exp(score - score.max())
+            posterior[r["id"]] = chance / chance.sum()
+    sums = {}
+    for i, p in posterior.items():
+        for name, value in keys[i].items():
+            sums[name, value] = sums.get((name, value), 0) + p
+    total = sum(posterior.values())
+    pseudo = language.PSEUDO_ROWS
+    corpus = (total + pseudo / size) / (total.sum() + pseudo)
+    found = {}
+    for i, score in likelihood.items():
+        key = keys[i]
+        domain = sums["domain", key["domain"]]
+        prior = (domain + pseudo * corpus) / (domain.sum() + pseudo)
+        fused = score + np.log(np.maximum(sums["host", key["host"]] - posterior[i], 0) + pseudo * prior)
+        for name in ("declared", "suffix"):
+            values = sum(n == name for n, _ in sums) + 1
+            fused = fused + np.log((sums[name, key[name]] + pseudo / values) / (total + pseudo))
+        chance = np.exp(fused - fused.max())
+        found[i] = (model.classes[int(fused.argmax())], float(chance.max() / chance.sum()))
+    return found
+
+
+def test_fusion_equals_a_plain_version(spark):
+    rows = three_words(spark)
+    model = language.fit(rows, "id", "text", "lang")
+    evidence = language.with_evidence(rows, model, F.col("text"), F.col("lang"), **language.address_parts(F.col("url")))
+    found = language.judged(evidence, model, language.tables_of(evidence, len(model.classes))).collect()
+    expected = plain_posteriors(model, rows.collect())
+    assert len(found) == rows.count()
+    for r in found:
+        if r["id"] in expected:
+            assert r["language_of"]["language"] == expected[r["id"]][0]
+            assert r["language_of"]["posterior"] == pytest.approx(expected[r["id"]][1], rel=1e-4)
+        else:
+            assert tuple(r["language_of"]) == (None, None, False)
+    ambiguous = {r["id"]: r["language_of"]["language"] for r in found}
+    assert (ambiguous[200], ambiguous[201]) == ("aa", "bb")
+
+
+def test_accepted_keeps_columns_and_rejects_what_has_no_language(spark):
+    docs = clashing(odd_documents(spark))
+    kept = language.accepted(docs)
+    assert kept.columns == docs.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert {3, 4}.isdisjoint(ids) and ids.count(2) == 2 and {0, 6, 20, 59} <= set(ids)
+    assert language.accepted(empty(docs)).count() == 0
+    noise = spark.createDataFrame([(1, "\x01\x02\x03\x04" * 50, "en", "a", 1)], docs.sparkSession.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").schema)
+    mixed = docs.select("doc_id", "text", "lang", "source", "n_chars").union(noise)
+    model = language.fit(docs, "doc_id", "text", "lang")
+    evidence = language.document_evidence(mixed, model)
+    judged = language.judged(evidence, model, language.tables_of(evidence.select("evidence"), len(model.classes)))
+    assert judged.filter("text LIKE '\x01%'").first()["language_of"]["language"] == language.UNKNOWN
+
+
+def test_pages_are_read_for_text_and_declaration(spark):
+    page = '<!DOCTYPE html><HTML class="x" lang="de-AT"><style>p{}</style><script>var a="<p>";</script><!-- no --><p>Gr&uuml;&szlig;e <b>dir</b></p>'
+    frame = spark.createDataFrame([(page, "https://user@Www.Example.co.at:8080/x?y#z"), (None, None)], "html string, url string")
+    parts = language.address_parts(F.col("url"))
+    first, second = frame.select(
+        language.visible_text(F.col("html")).alias("t"), language.declared_in(F.col("html")).alias("d"), language.primary(language.declared_in(F.col("html"))).alias("p"), *(v.alias(k) for k, v in parts.items())
+    ).collect()
+    assert first["t"].split() == ["Größe".replace("öß", "üß"), "dir"]
+    assert (first["d"], first["p"], first["host"], first["domain"], first["suffix"]) == ("de-AT", "de", "www.example.co.at", "co.at", "at")
+    assert (second["t"], second["d"], second["host"]) == (None, "", "")
+
+
+def test_unlabelled_rows_are_an_error(spark):
+    with pytest.raises(ValueError):
+        language.fit(odd_documents(spark).withColumn("lang", F.lit(None).cast("string")), "doc_id", "text", "lang")
+
+
+def tokens_of(text):
+    return (text or "").encode().lower().split() + [None]
+
+
+def test_base_scores_of_odd_documents(spark):
+    docs = clashing(odd_documents(spark))
+    rows = docs.collect()
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+    counts = Counter(t for r in rows if not held(r["doc_id"]) for t in tokens_of(r["text"]))
+    total, distinct = sum(counts.values()), len(counts)
+    expected = []
+    for r in rows:
+        tokens = tokens_of(r["text"])
+        base = sum(math.log10((counts[t] + 0.5) / (total + 0.5 * (distinct + 1))) for t in tokens)
+        expected.append(repr((r["doc_id"], held(r["doc_id"]), len(tokens), sum(counts[t] > 0 for t in tokens), total, round(base, 5))))
+    found = lm.scored(docs).collect()
+    got = [repr((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5))) for r in found]
+    assert sorted(got) == sorted(expected)
+    assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in found)
+    assert lm.scored(empty(docs)).count() == 0
+
+
+def test_model_learns_more_than_the_base(spark):
+    sums = lm.scored(spark.read.parquet(f"{SF_TEST}/documents.parquet")).groupBy("held_out").agg(
+        F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.avg("bits_per_byte").alias("bits")
+    )
+    for r in sums.collect():
+        assert r["bits"] < 2.6
+        assert r["score"] > r["base"] or r["held_out"]
+
+
+def small_model():
+    words = sorted(set(prose(3, 4000).split()))
+    classes = np.zeros(len(words), np.int64)
+    weights = np.arange(1, len(words) + 1)
+    counts = np.zeros((lm.SLOTS, 2), np.int64)
+    lm.add_counts(counts, classes, words, weights)
+    mixer, seen = lm.Mixer.fresh(), np.zeros(lm.GATES)
+    lm.learn(mixer, counts.astype(np.float32), classes, words, weights.astype(float), seen)
+    return mixer, counts.astype(np.float32), words
+
+
+def test_probabilities_of_tokens_do_not_exceed_one():
+    mixer, counts, words = small_model()
+    others = sorted({w[:k] + c for w in words[:300] for k in range(1, 5) for c in "aeiouxyz019"} - set(words))
+    everything = sorted([*words, *others, lm.END])
+    logs = lm.score(mixer, counts, np.zeros(len(everything), np.int64), everything)
+    assert 0.5 < (10**logs).sum() <= 1
+
+
+def test_a_token_has_one_score_wherever_it_stands():
+    mixer, counts, words = small_model()
+    some = words[::3] + ["unseen" * 2000, "é", "日本"]
+    together = lm.score(mixer, counts, np.zeros(len(some), np.int64), some)
+    alone = [lm.score(mixer, counts, np.zeros(1, np.int64), [w])[0] for w in some]
+    assert together == pytest.approx(alone, rel=1e-5)
+
+
+def test_shared_steps_are_distinct():
+    edges = lm.edges_of(np.array([0, 0, 1]), ["abc", "abd", "abc"])
+    # "abc ", "abd " share two steps; the third token's class differs.
+    assert len(edges.byte) == 4 + 2 + 4
+    assert lm.step_weights(edges, np.array([2.0, 3.0, 4.0])).sum() == 4 * 9
+
+
+def test_class_scores_do_not_depend_on_neighbours():
+    model = language.TextModel(("aa",), np.log(np.random.default_rng(1).random((2, 1 << language.BUCKET_BITS))))
+    words = [b"\n", b"abc", b"d", "größe".encode(), b"abc"]
+    found = lm.class_scores(model, words)
+    for word, row in zip(words, found):
+        assert row == pytest.approx(lm.class_scores(model, [word])[0])
+    assert lm.class_path(found, np.array([1, 3])).shape == (3,)

@@ -1,0 +1,97 @@
+"""Packing against whole tokenisation, and the plan against the histogram."""
+
+import array
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tests.llm.fixtures import clashing, empty, odd_documents
+from trafficloom.llm import packing
+from trafficloom.llm.packing import TextTokenizer, pack_histogram
+
+PATH = public_tokenizers.path(packing.TOKENIZER)
+TOKENIZER = Tokenizer.from_file(PATH)
+TOKENIZER.encode_special_tokens = True
+
+
+def plain_pieces(text, sequence):
+    ids = TOKENIZER.encode(text or "", add_special_tokens=False).ids + [0]
+    start, length, piece, found = 0, len(ids) % sequence or sequence, 0, []
+    while start < len(ids):
+        crc = zlib.crc32(array.array("I", ids[start : start + length]).tobytes())
+        found.append((piece, start, length, crc))
+        start, length, piece = start + length, sequence, piece + 1
+    return found
+
+
+@pytest.mark.parametrize("sequence", [64, 2048])
+def test_packing_of_odd_documents(spark, sequence):
+    docs = clashing(odd_documents(spark))
+    found = packing.packed(docs, sequence=sequence).collect()
+    expected = sorted(repr((r["doc_id"], *p)) for r in docs.collect() for p in plain_pieces(r["text"], sequence))
+    assert sorted(repr((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"])) for r in found) == expected
+    places = defaultdict(list)
+    for r in found:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in places.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= sequence
+    total = sum(r["length"] for r in found)
+    assert len(places) <= 1.02 * total / sequence + 3
+
+
+def test_empty_table(spark):
+    assert packing.packed(empty(odd_documents(spark))).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(exclude_categories=["Cs"], max_codepoint=0x3100), max_size=40))
+def test_both_libraries_agree(text):
+    expected = array.array("I", TOKENIZER.encode(text, add_special_tokens=False).ids).tobytes()
+    assert TextTokenizer.of_worker(PATH).encode(text) == expected
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 5000), max_size=30))
+def test_plan_places_every_rank_once(histogram):
+    counts = np.zeros(65, np.int64)
+    for length, n in histogram.items():
+        counts[length] = n
+    plan = pack_histogram(counts, 64)
+    filled = defaultdict(list)
+    for length in range(1, 65):
+        runs = np.flatnonzero(plan.length == length)
+        ends = [*plan.rank[runs][1:], counts[length]] if len(runs) else []
+        assert (counts[length] == 0) == (len(runs) == 0)
+        for run, end in zip(runs, ends):
+            for nth in range(end - plan.rank[run]):
+                filled[plan.sequence[run] + nth].append((plan.offset[run], length))
+    for parts in filled.values():
+        parts.sort()
+        assert [p[0] for p in parts] == list(np.cumsum([0] + [p[1] for p in parts[:-1]]))
+        assert sum(p[1] for p in parts) <= 64
+    assert len(filled) == plan.sequences
+
+
+def test_pattern_fit_fills_sequences():
+    lengths = np.minimum(2047, np.exp(np.random.default_rng(3).normal(6, 1.2, 60_000)).astype(int) + 1)
+    counts = np.bincount(lengths, minlength=2049)
+    total = (counts * np.arange(2049)).sum()
+    assert pack_histogram(counts).sequences <= 1.001 * total / 2048 + 2
+
+
+def test_work_depends_on_the_histogram_only():
+    counts = np.zeros(2049, np.int64)
+    counts[[5, 300, 1025]] = 10**11, 10**10, 10**9
+    plan = pack_histogram(counts)
+    assert len(plan.length) < 10_000
+    assert plan.sequences >= (counts * np.arange(2049)).sum() // 2048

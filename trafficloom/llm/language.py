@@ -278,9 +278,11 @@ def accepted(docs: DataFrame, sample: int = SAMPLE, languages: Sequence[str] | N
     than moving them through a join with their verdicts.
     """
     model = fit(docs, "doc_id", "text", "lang", sample)
-    evidence = stored(document_evidence(docs, model).select("evidence"), "language-evidence")
-    verdicts = judged(document_evidence(docs, model), model, tables_of(evidence, len(model.classes)))
-    rows = verdicts.filter("language_of.accepted")
+    evidence = stored(document_evidence(docs.select("text", "lang", "source"), model).select("evidence"), "language-evidence")
+    # The document travels as one struct, so no column of it can clash with the evidence's.
+    whole = docs.select("text", "lang", "source", F.struct("*").alias("document"))
+    rows = judged(document_evidence(whole, model), model, tables_of(evidence, len(model.classes)))
+    rows = rows.filter("language_of.accepted")
     if languages is not None:
         rows = rows.filter(F.col("language_of.language").isin(*languages))
-    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
+    return rows.select("document.*")

@@ -115,26 +115,20 @@ def source_rates(
     )
 
 
-def with_copies(
-    docs: DataFrame,
-    rates: DataFrame,
-    id_col: str = "doc_id",
-    source_col: str = "source",
-    seeds: int = SEEDS,
-    as_col: str = "copies",
-) -> DataFrame:
-    """The documents with their number of copies and, as a struct ``mix``, their source's row.
+def with_copies(docs: DataFrame, rates: DataFrame, seeds: int = SEEDS) -> DataFrame:
+    """Rows with doc_id and source, with their number of ``copies`` and, as a struct ``mix``,
+    their source's row.
 
     The rates have one row per source, which Spark broadcasts if its size allows and
     otherwise shuffles; a hot source is split by the adaptive skew join.
     """
     plan = rates.select(F.struct("*").alias("mix"))
-    joined = docs.join(plan, F.col(source_col).eqNullSafe(F.col("mix.source")))
+    joined = docs.join(plan, F.col("source").eqNullSafe(F.col("mix.source")))
     value = F.lit(2.0)
     for k in range(seeds):
-        value = F.when(F.col("mix.seed") == k, coin(F.col(id_col), k)).otherwise(value)
+        value = F.when(F.col("mix.seed") == k, coin(F.col("doc_id"), k)).otherwise(value)
     extra = F.when(value < F.col("mix.part"), 1).otherwise(0)
-    return joined.withColumn(as_col, (F.col("mix.whole") + extra).cast("long"))
+    return joined.withColumn("copies", (F.col("mix.whole") + extra).cast("long"))
 
 
 def mixed(
@@ -148,7 +142,8 @@ def mixed(
 ) -> DataFrame:
     """The mix itself: every document as many times as it is taken, columns as given."""
     sizes = stored(sized(docs, id_col, text_col, source_col), "mix-sizes")
-    copied = with_copies(docs, source_rates(sizes, weights, share, most), id_col, source_col, as_col="mix_copies")
-    rows = copied.filter(F.col("mix_copies") > 0)
-    repeats = F.sequence(F.lit(1), F.col("mix_copies").cast("int"))
-    return rows.withColumn("mix_copy", F.explode(repeats)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    # The document travels as one struct, so no column of it can clash with the mix's own.
+    whole = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.struct("*").alias("document"))
+    copied = with_copies(whole, source_rates(sizes, weights, share, most)).filter("copies > 0")
+    repeats = F.sequence(F.lit(1), F.col("copies").cast("int"))
+    return copied.withColumn("copy", F.explode(repeats)).select("document.*")

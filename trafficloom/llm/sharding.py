@@ -106,5 +106,6 @@ def write_shards(
     rows fills its shard's files evenly unless whole rows repeat.
     """
     spread = placed(rows, key_col, shards, slots).withColumn("file", F.pmod(F.xxhash64(*rows.columns), F.lit(files)))
-    dealt = spread.repartition(F.col("shard"), F.col("file")).drop("file")
+    # The number is given, as adaptive execution would merge small partitions again.
+    dealt = spread.repartition(len(shards) * files, "shard", "file").drop("file")
     dealt.write.partitionBy("shard").parquet(path)
