@@ -1,6 +1,7 @@
 """Scans, target writes, backfill and the daily pulls."""
 
 import datetime as dt
+from functools import partial
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -11,10 +12,11 @@ from trafficloom.__main__ import main
 from trafficloom.operators.legacy import backfill_bound
 from trafficloom.plans.jobs import backfill, daily_pull, initial_pull
 from trafficloom.plans.reports import acquisition_report, landing_page_report
-from trafficloom.schemas import SOURCE_MEDIUM, TARGET
+from trafficloom.schemas import RATIO_METRIC, SOURCE_MEDIUM, TARGET
 from trafficloom.session import shared_folder
-from trafficloom.sinks.target import create_target, read_target, replace_days, review, review_months
+from trafficloom.sinks.target import append_days, create_target, read_target, replace_days, review, review_months
 from trafficloom.sources.export import scan_export, scan_table, shard_days, split_days
+from trafficloom.storage import child_names, make_folder
 from trafficloom.streaming.daily import consecutive, pull_new_days
 
 D = lambda day, month=1, year=2024: dt.date(year, month, day)
@@ -59,7 +61,8 @@ def test_window_prunes_partitions_and_columns(spark):
     report = acquisition_report(scan_export(spark, root, D(3), 1))
     plan = report._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
-    assert "PartitionFilters: [isnotnull(event_date" in scan
+    opened = scan_export(spark, root, D(3), 1).inputFiles()
+    assert opened and not any("event_date=20240101" in name for name in opened)
     for unused in ("geo", "device", "float_value", "language"):
         assert unused not in scan.split("ReadSchema")[1]
 
@@ -72,7 +75,11 @@ def test_shards_by_table_prefix(spark):
     scan = scan_export(spark, root, D(3), 1, table_prefix="events_")
     assert scan.count() == 2
     assert all("events_2024010" in name for name in scan.inputFiles())
-    assert scan_export(spark, root, D(20), 1, table_prefix="events_").count() == 0
+    with pytest.raises(ValueError, match="holds no day"):
+        scan_export(spark, root, D(20), 1, table_prefix="events_")
+    for mistyped in ({"root": root, "table_prefix": "evnts_"}, {"root": root + "x", "table_prefix": "events_"}):
+        with pytest.raises(ValueError, match="nothing named"):
+            scan_export(spark, as_of=D(3), **mistyped)
     export(spark, *visits(3)).write.parquet(f"{root}/events_intraday_20240103")
     with pytest.raises(ValueError, match="intraday"):
         scan_export(spark, root, D(3), 1, table_prefix="events_")
@@ -88,10 +95,24 @@ def test_shard_names():
             shard_days([bad], "p")
 
 
-def test_scan_of_a_table(spark):
+@pytest.mark.parametrize("column", ["event_date", "to_date(event_date, 'yyyyMMdd')"])
+def test_scan_of_a_table(spark, column):
     name = f"export_{next(COUNTER)}"
-    export(spark, *visits(1, 2, 3)).write.partitionBy("event_date").saveAsTable(name)
-    assert scan_table(spark, name, D(3), 1).count() == 2
+    events = export(spark, *visits(1, 2, 3)).withColumn("event_date", F.expr(column))
+    events.write.partitionBy("event_date").saveAsTable(name)
+    scan = scan_table(spark, name, D(3), 1)
+    assert sorted(r["event_date"] for r in scan.collect()) == ["20240102", "20240103"]
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
+def test_a_table_with_a_malformed_day(spark):
+    name = f"export_{next(COUNTER)}"
+    events = visits(1, 2, 3) + [event(day="intraday_20240103")] + [event(day="20240230")]
+    export(spark, *events).write.saveAsTable(name)
+    with pytest.raises(Exception, match="not a day"):
+        scan_table(spark, name, D(3), 1).collect()
+    assert scan_table(spark, name, D(3), 1, on_bad_suffix="skip").count() == 2
 
 
 # target
@@ -118,9 +139,9 @@ def test_a_day_whose_result_is_now_empty_goes_away(spark, kind):
     land(spark, root, visits(1, 2, 3))
     initial_pull(spark, root, target, 2, as_of=D(3))
     report = landing_page_report(scan_export(spark, root, D(3), 2))
-    replace_days(report.filter(F.col("date") != F.lit(D(2))), target, D(2), D(3))
+    replace_days(report.filter(F.col("date") != F.lit(D(2))), target, [D(2), D(3)])
     assert per_day(spark, target) == {1: 1, 3: 1}
-    replace_days(report.limit(0), target, D(3), D(3))
+    replace_days(report.limit(0), target, [D(3)])
     assert per_day(spark, target) == {1: 1}
 
 
@@ -129,10 +150,61 @@ def test_rows_outside_the_window_are_not_written(spark):
     land(spark, root, visits(1, 2, 3))
     initial_pull(spark, root, target, 0, as_of=D(1))
     report = landing_page_report(scan_export(spark, root, D(3), 2))
-    replace_days(report, target, D(3), D(3))
+    replace_days(report, target, [D(3)])
     assert per_day(spark, target) == {1: 1, 3: 1}
 
 
+def test_days_the_export_does_not_hold_stay(spark, started):
+    """History before the export, and days it has expired, lie inside the window."""
+    target = started(day=3)
+    pages = land_pages(spark, legacy_month("2024-01-01"), legacy_page(legacy_row(changed(DIMENSIONS, p0="20240102")), window="2024-01-01", token="1"))
+    backfill(spark, target, pages, "2024-01-01", one_page_per_file=False)
+    before = per_day(spark, target)
+    assert sorted(before) == [1, 2, 3, 4]
+    root = shared_folder(spark, "export")
+    land(spark, root, visits(4, 5, pages=2))  # the third has expired
+    daily_pull(spark, root, target, 7, as_of=D(5))
+    assert per_day(spark, target) == before | {4: 2, 5: 2}
+
+
+@pytest.mark.parametrize("wrong", [{"table_prefix": "evnts_"}, {"as_of": D(25)}, {"export_root": "/nowhere/at/all"}])
+def test_a_pull_that_finds_nothing_changes_nothing(spark, wrong):
+    root, target = shared_folder(spark, "export"), place(spark, "folder")
+    land(spark, root, visits(1, 2))
+    initial_pull(spark, root, target, 1, as_of=D(2))
+    with pytest.raises(ValueError):
+        daily_pull(spark, **{"export_root": root, "target": target, "prior_days": 3, "as_of": D(2)} | wrong)
+    assert per_day(spark, target) == {1: 1, 2: 1}
+
+
+def test_bad_suffix_and_label_reach_the_jobs(spark):
+    root, target = shared_folder(spark, "shards"), place(spark, "folder")
+    bare = event(params=session_params(7), at=9, day="20240102")
+    export(spark, bare).write.parquet(f"{root}/events_20240102")
+    export(spark, *visits(2)).write.parquet(f"{root}/events_intraday_20240102")
+    options = {"as_of": D(2), "table_prefix": "events_", "build": partial(landing_page_report, landing_page_unset="(none)")}
+    with pytest.raises(ValueError, match="intraday"):
+        initial_pull(spark, root, target, 0, **options)
+    initial_pull(spark, root, target, 0, on_bad_suffix="skip", **options)
+    daily_pull(spark, root, target, 0, on_bad_suffix="skip", **options)
+    assert [r["landing_page"] for r in read_target(spark, target).collect()] == ["(none)"]
+
+
+def test_a_session_keeps_its_settings_and_staging_goes_away(spark):
+    root, target = shared_folder(spark, "export"), place(spark, "table")
+    land(spark, root, visits(1, 2))
+    initial_pull(spark, root, target, 1, as_of=D(2))
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    daily_pull(spark, root, target, 1, as_of=D(2))
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    broken = landing_page_report(scan_export(spark, root, D(2), 1)).withColumn("users", F.raise_error(F.lit("broken")).cast("long"))
+    with pytest.raises(Exception, match="broken"):
+        replace_days(broken, target, [D(2)])
+    assert per_day(spark, target) == {1: 1, 2: 1}
+    folder = spark.conf.get("spark.checkpoint.dir") + "/trafficloom"
+    assert [n for n in child_names(spark, folder) if n.startswith(("staging", "legacy"))] == []
+
+
 def test_daily_steps_equal_one_pull(spark):
     root = shared_folder(spark, "export")
     land(spark, root, visits(1, 2, 3, 4, pages=3) + visits(2, 4, user=None))
@@ -218,7 +290,8 @@ def test_backfill_stops_the_day_before_the_target(spark, started, kind):
         legacy_month("2024-01-09"), legacy_month("2024-01-10", token="1"),
         legacy_month("2023-12-31", rows=3), legacy_month("2023-11-14", token="1"), legacy_month("2023-11-15"),
     )
-    load = lambda: backfill(spark, target, pages, "2023-11-15", one_page_per_file=False)
+    log = {"log_folder": shared_folder(spark, "log")} if kind == "table" else {}
+    load = lambda: backfill(spark, target, pages, "2023-11-15", one_page_per_file=False, **log)
     assert load() == [(D(1), D(9)), (D(1, 12, 2023), D(31, 12, 2023)), (D(15, 11, 2023), D(30, 11, 2023))]
     assert months(spark, target) == {"2024-01": 3, "2023-12": 3, "2023-11": 1}
     assert backfill_bound(read_target(spark, target)).first()["bound"] == D(14, 11, 2023)
@@ -247,10 +320,46 @@ def test_backfill_resumes_after_a_failed_month(spark, started):
     assert months(spark, target) == {"2024-01": 3, "2023-12": 1}
     fixed = land_pages(spark, *pages, legacy_month("2023-11-05"))
     resumed = backfill(spark, target, fixed, "2023-11-01", one_page_per_file=False)
-    assert resumed == [(D(1, 12, 2023), D(4, 12, 2023)), (D(1, 11, 2023), D(30, 11, 2023))]
+    assert resumed == [(D(1, 11, 2023), D(30, 11, 2023))]
     assert months(spark, target) == {"2024-01": 3, "2023-12": 1, "2023-11": 1}
 
 
+def test_a_month_committed_by_half_is_done_again(spark, started):
+    """The driver died while December's files were moved: some of its days are in place."""
+    pages = land_pages(spark, *(legacy_month(f"2023-12-{d:02d}", token=None if d == 1 else "1") for d in (1, 9, 20)), legacy_month("2024-01-02"))
+    whole, halfway = started(), started()
+    backfill(spark, whole, pages, "2023-12-01", one_page_per_file=False)
+    backfill(spark, halfway, pages, "2024-01-01", one_page_per_file=False)
+    append_days(read_target(spark, whole).filter("date IN (DATE '2023-12-09', DATE '2023-12-20')"), halfway)
+    resumed = backfill(spark, halfway, pages, "2023-12-01", one_page_per_file=False)
+    assert resumed == [(D(1, 12, 2023), D(31, 12, 2023))]
+    left, right = read_target(spark, whole), read_target(spark, halfway)
+    assert left.exceptAll(right).count() == right.exceptAll(left).count() == 0
+
+
+def test_unreadable_metrics_and_time_on_page(spark, started):
+    bad = legacy_row(changed(DIMENSIONS, p0="20231105"), changed(METRICS, p0="1,234"))
+    pages = land_pages(spark, legacy_page(bad, legacy_row(changed(DIMENSIONS, p0="20231106"), METRICS), window="2023-11-01"))
+    load = lambda target, **options: backfill(
+        spark, target, pages, "2023-11-01", one_page_per_file=False, missing_months="skip", **options
+    )
+    set_aside, lenient = started(), started()
+    quarantine = shared_folder(spark, "quarantine")
+    load(set_aside, quarantine=quarantine, time_on_page="per_session")
+    assert months(spark, set_aside) == {"2024-01": 2, "2023-11": 1}
+    kept = spark.read.json(quarantine).collect()
+    assert [(r["ga:date"], r["window_start"]) for r in kept] == [("20231105", D(1, 11, 2023))]
+    load(lenient, lenient=True)
+    assert months(spark, lenient) == {"2024-01": 2, "2023-11": 2}
+    ratio = lambda t: read_target(spark, t).filter("date = DATE '2023-11-06'").first()[RATIO_METRIC]
+    assert ratio(lenient) != ratio(set_aside)
+
+
+def test_a_table_needs_a_folder_for_the_log(spark, started):
+    with pytest.raises(ValueError, match="log"):
+        backfill(spark, started("table"), "/nowhere", "2023-12-01")
+
+
 def test_backfill_needs_every_window_complete(spark, started):
     target = started()
     cut = land_pages(spark, legacy_month("2024-01-02", token="1"))
@@ -293,21 +402,30 @@ def test_new_days_are_pulled_once_and_late_files_again(spark):
     assert left.exceptAll(batch).count() == batch.exceptAll(left).count() == 0
 
 
+def test_a_first_batch_that_died_is_retried(spark):
+    root, target, state = (shared_folder(spark, kind) for kind in ("export", "target", "state"))
+    land(spark, root, visits(1, 2, 3, 4))
+    make_folder(spark, f"{target}/_temporary/0")  # what a dead first write leaves
+    pull_new_days(spark, root, target, state, days_per_commit=2)
+    assert per_day(spark, target) == {1: 1, 2: 1, 3: 1, 4: 1}
+
+
 # commands
 
 def test_commands(spark, capsys):
     root, target = shared_folder(spark, "export"), place(spark, "folder")
     land(spark, root, visits(1, 2, 3))
-    main(["create", "--export", root, "--target", target, "--prior-days", "1", "--as-of", "2024-01-02"])
-    main(["daily", "--export", root, "--target", target, "--as-of", "2024-01-03"])
+    few = ["--shuffle-partitions", "2"]
+    main(["create", *few, "--export", root, "--target", target, "--prior-days", "1", "--as-of", "2024-01-02"])
+    main(["daily", *few, "--export", root, "--target", target, "--as-of", "2024-01-03"])
     assert per_day(spark, target) == {1: 1, 2: 1, 3: 1}
     pages = land_pages(spark, legacy_month("2023-12-05"))
-    main(["backfill", "--landed", pages, "--target", target, "--start", "2023-12-01", "--json-lines"])
-    main(["review", "--target", target])
+    main(["backfill", *few, "--landed", pages, "--target", target, "--start", "2023-12-01", "--json-lines"])
+    main(["review", *few, "--target", target])
     printed = capsys.readouterr().out
     assert "1 months loaded" in printed and "2023-12-05" in printed and "2024-01-03" in printed
     other, state = place(spark, "folder"), shared_folder(spark, "state")
-    main(["follow", "--export", root, "--target", other, "--state", state, "--report", "source-medium"])
+    main(["follow", *few, "--export", root, "--target", other, "--state", state, "--report", "source-medium"])
     assert per_day(spark, other, SOURCE_MEDIUM) == {1: 1, 2: 1, 3: 1}
     with pytest.raises(SystemExit):
-        main(["daily", "--target", target])
+        main(["daily", *few, "--target", target])

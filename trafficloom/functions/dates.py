@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,7 +10,6 @@ from pyspark.sql import functions as F
 # Textual formats.
 SHARD_DAY = "yyyyMMdd"
 CLOCK_WIDTH = len("yyyy-MM-dd HH:mm:ss")
-ISO_DAY = r"^\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])$"
 
 
 def shard_day(column: Column) -> Column:
@@ -40,15 +38,17 @@ def days_ago(days: int, as_of: dt.date | None = None) -> dt.date:
 
 
 def iso_date(value: str | dt.date) -> dt.date:
-    """Check one ISO day given as text or date; impossible days are rejected too."""
-    if isinstance(value, dt.datetime):
-        value = value.date()
-    text = value.isoformat() if isinstance(value, dt.date) else value
-    if not re.fullmatch(ISO_DAY, text):
-        raise ValueError(f"not an ISO date (YYYY-MM-DD): {text!r}")
-    return dt.date.fromisoformat(text)
+    """One day given as a date or as ``yyyy-MM-dd`` text, which has to read the same when
+    the day is written out again; anything else is a ValueError."""
+    if isinstance(value, dt.date):
+        return value.date() if isinstance(value, dt.datetime) else value
+    day = dt.date.fromisoformat(value)
+    if str(day) != value:
+        raise ValueError(f"a day is written as {day}, not as {value!r}")
+    return day
 
 
 def iso_day_or_null(column: Column) -> Column:
-    """The column form of :func:`iso_date`: NULL where the text is no valid ISO day."""
-    return F.when(column.rlike(ISO_DAY), F.try_to_date(column, "yyyy-MM-dd"))
+    """The day of a ``yyyy-MM-dd`` text, NULL for text that is not exactly a day's."""
+    day = F.try_to_date(column, "yyyy-MM-dd")
+    return F.when(F.date_format(day, "yyyy-MM-dd") == column, day)

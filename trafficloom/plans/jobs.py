@@ -11,16 +11,18 @@ from pyspark.sql import types as T
 
 from trafficloom.functions.dates import iso_date
 from trafficloom.operators.legacy import (
-    backfill_bound,
     flatten_report_pages,
     month_windows,
     normalize_legacy,
+    split_bad_metrics,
 )
 from trafficloom.plans.reports import landing_page_report
 from trafficloom.schemas import DEFAULT_GOAL_METRIC, TARGET
-from trafficloom.sinks.target import append_days, create_target, read_target, replace_days
-from trafficloom.sources.export import day_window, scan_export, split_days
-from trafficloom.sources.report_pages import last_pages, read_report_pages
+from trafficloom.session import shared_folder
+from trafficloom.sinks.target import append_days, create_target, is_folder, replace_days, stored_days
+from trafficloom.sources.export import day_window, held_days, scan_export, split_days
+from trafficloom.sources.report_pages import last_pages, read_report_pages, stage_report_pages
+from trafficloom.storage import child_names, delete_folder, make_folder
 
 Build = Callable[[DataFrame, str | None], DataFrame]
 
@@ -36,19 +38,22 @@ def initial_pull(
     build: Build = landing_page_report,
     schema: T.StructType = TARGET,
     days_per_commit: int | None = None,
+    on_bad_suffix: str = "error",
 ) -> None:
     """Create the target from the last ``prior_days`` days; fails if it exists.
 
     No group spans two days, so a long window may be computed and committed in
     runs of ``days_per_commit`` days, newest first, which bounds the shuffled
     data on disk at any time. A daily pull of the missing days completes a run
-    that was stopped.
+    that was stopped. Days the export does not hold are left out.
     """
     first, last = day_window(as_of, prior_days)
-    runs = split_days(first, last, days_per_commit or prior_days + 1)
+    held = held_days(spark, export_root, as_of, prior_days, table_prefix, on_bad_suffix)
     write = create_target
-    for begin, end in runs:
-        export = scan_export(spark, export_root, end, (end - begin).days, table_prefix)
+    for begin, end in split_days(first, last, days_per_commit or prior_days + 1):
+        if not any(begin <= day <= end for day in held):
+            continue
+        export = scan_export(spark, export_root, end, (end - begin).days, table_prefix, on_bad_suffix)
         write(build(export, conversion_event), target, schema)
         write = append_days
 
@@ -63,30 +68,53 @@ def daily_pull(
     table_prefix: str | None = None,
     build: Build = landing_page_report,
     schema: T.StructType = TARGET,
+    days_per_commit: int | None = None,
+    on_bad_suffix: str = "error",
 ) -> None:
-    """Recompute the days of the window and replace them in the target."""
-    export = scan_export(spark, export_root, as_of, prior_days, table_prefix)
+    """Recompute the days of the window that the export holds and replace them in the target.
+
+    Other days of the target stay as they are: the export may have expired them, and
+    history before it came from elsewhere. With ``days_per_commit`` the window is replaced
+    in runs, newest first.
+    """
     first, last = day_window(as_of, prior_days)
-    replace_days(build(export, conversion_event), target, first, last, schema)
+    held = held_days(spark, export_root, as_of, prior_days, table_prefix, on_bad_suffix)
+    for begin, end in split_days(first, last, days_per_commit or prior_days + 1):
+        days = [day for day in held if begin <= day <= end]
+        if days:
+            export = scan_export(spark, export_root, end, (end - begin).days, table_prefix, on_bad_suffix)
+            replace_days(build(export, conversion_event), target, days, schema)
 
 
 def pull_window(
-    pages: DataFrame, first: dt.date, last: dt.date, goal_metric: str = DEFAULT_GOAL_METRIC
+    pages: DataFrame,
+    first: dt.date,
+    last: dt.date,
+    goal_metric: str = DEFAULT_GOAL_METRIC,
+    time_on_page: str = "total",
+    quarantine: str | None = None,
+    lenient: bool = False,
 ) -> DataFrame:
-    """Unified rows of one month's landed pages, fenced to the given days."""
+    """Unified rows of one month's landed pages, fenced to the given days.
+
+    Rows with a metric that is no number are an error, or go to the ``quarantine`` folder
+    as they are, or lose that metric if ``lenient``.
+    """
     month = first.replace(day=1)
-    landed = pages.filter(F.col("window_start").between(F.lit(month), F.lit(last)))
-    rows = normalize_legacy(flatten_report_pages(landed, goal_metric), goal_metric)
-    return rows.filter(F.col("date").between(F.lit(first), F.lit(last)))
+    rows = flatten_report_pages(pages.filter(F.col("window_start").between(F.lit(month), F.lit(last))), goal_metric)
+    if quarantine is not None:
+        rows, bad = split_bad_metrics(rows, goal_metric)
+        if not bad.isEmpty():
+            bad.write.mode("overwrite").json(f"{quarantine}/window_start={first}")
+    unified = normalize_legacy(rows, goal_metric, time_on_page, lenient)
+    return unified.filter(F.col("date").between(F.lit(first), F.lit(last)))
 
 
-def _check_landed(pages: DataFrame, windows: list[tuple[dt.date, dt.date]], missing_months: str) -> None:
+def _check_landed(staged: DataFrame, windows: list[tuple[dt.date, dt.date]], missing_months: str) -> None:
     """Fail on a window whose landed pages do not end in one last page, or that has none."""
     if missing_months not in ("error", "skip"):
         raise ValueError(f"unknown missing_months: {missing_months!r}")
-    first, last = windows[-1][0].replace(day=1), windows[0][1]
-    needed = pages.filter(F.col("window_start").between(F.lit(first), F.lit(last)))
-    found = {row["window_start"]: row["last_pages"] for row in last_pages(needed).collect()}  # one per month
+    found = {row["window_start"]: row["last_pages"] for row in last_pages(staged).collect()}  # one per month
     months = {start.replace(day=1) for start in found}
     missing = [str(start) for start, _ in windows if start.replace(day=1) not in months]
     missing = missing if missing_months == "error" else []
@@ -95,6 +123,37 @@ def _check_landed(pages: DataFrame, windows: list[tuple[dt.date, dt.date]], miss
         raise ValueError(f"landed pages: none for {missing}, not exactly one last page for {broken}")
 
 
+class BackfillLog:
+    """What a backfill has finished, as empty folders beside or below the target.
+
+    Spark and the listing of days pass over names that start with an underscore. A table
+    keeps the log where ``folder`` says.
+    """
+
+    def __init__(self, spark: SparkSession, target: str, folder: str | None = None):
+        if folder is None and not is_folder(target):
+            raise ValueError("a backfill into a table needs a folder for its log")
+        self.spark, self.folder = spark, folder or f"{target}/_backfill"
+
+    def _entries(self, kind: str) -> set[str]:
+        return {n.removeprefix(kind) for n in child_names(self.spark, self.folder) if n.startswith(kind)}
+
+    def bound(self, days: list[dt.date]) -> dt.date:
+        """The last day to fill: the day before the target's first when the backfill began."""
+        known = self._entries("until=")
+        if known:
+            return dt.date.fromisoformat(known.pop())
+        until = days[0] - dt.timedelta(days=1)
+        make_folder(self.spark, f"{self.folder}/until={until}")
+        return until
+
+    def finished(self, window: tuple[dt.date, dt.date]) -> bool:
+        return f"{window[0]}_{window[1]}" in self._entries("done=")
+
+    def finish(self, window: tuple[dt.date, dt.date]) -> None:
+        make_folder(self.spark, f"{self.folder}/done={window[0]}_{window[1]}")
+
+
 def backfill(
     spark: SparkSession,
     target: str,
@@ -103,24 +162,41 @@ def backfill(
     goal_metric: str = DEFAULT_GOAL_METRIC,
     one_page_per_file: bool = True,
     missing_months: str = "error",
+    time_on_page: str = "total",
+    quarantine: str | None = None,
+    lenient: bool = False,
+    log_folder: str | None = None,
 ) -> list[tuple[dt.date, dt.date]]:
-    """Append legacy history up to the day before the target's first day.
+    """Fill in legacy history up to the day before the target's first day.
 
-    Months are committed one by one, newest first, so the first day of the
-    target moves back with each of them and a stopped run picks up where it was.
+    The landed pages are parsed once, into staging. Months are then swapped in one by one,
+    newest first, and logged when they are whole, so a run that was stopped at any point,
+    also halfway through a month's files, can simply be repeated: it replaces what is not
+    logged. The target's first day is read from its partitions and logged with the first run.
     A month without rows lands one empty page; one that was never landed is an
     error unless ``missing_months`` is ``skip``.
     Returns the windows that were loaded; none if history is already complete.
     """
     begin = iso_date(pull_start_date)
-    bound = backfill_bound(read_target(spark, target)).first()["bound"]
-    if bound is None:
+    days = stored_days(spark, target)
+    if not days:
         raise ValueError(f"nothing to backfill before: {target} has no rows")
-    windows = [tuple(w) for w in month_windows(spark, begin, bound).collect()]  # one per month
+    log = BackfillLog(spark, target, log_folder)
+    windows = [tuple(w) for w in month_windows(spark, begin, log.bound(days)).collect()]  # one per month
+    windows = [w for w in windows if not log.finished(w)]
     if not windows:
         return []
     pages = read_report_pages(spark, landed_root, one_page_per_file)
-    _check_landed(pages, windows, missing_months)
-    for first, last in windows:
-        append_days(pull_window(pages, first, last, goal_metric), target)
+    needed = F.col("window_start").between(F.lit(windows[-1][0].replace(day=1)), F.lit(windows[0][1]))
+    staging = shared_folder(spark, "legacy")
+    try:
+        staged = stage_report_pages(pages.filter(needed), staging)
+        _check_landed(staged, windows, missing_months)
+        for window in windows:
+            first, last = window
+            rows = pull_window(staged, first, last, goal_metric, time_on_page, quarantine, lenient)
+            replace_days(rows, target, [first + dt.timedelta(days=n) for n in range((last - first).days + 1)])
+            log.finish(window)
+    finally:
+        delete_folder(spark, staging)
     return windows

@@ -7,8 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# AQE coalesces the shuffle down from a generous initial partition count and
-# splits skewed rebalance partitions, so one setting serves small and large input.
+from trafficloom.storage import delete_at_exit
+
+# AQE coalesces shuffles down from spark.sql.shuffle.partitions, which has to be set to
+# about shuffle bytes / 128 MB (the commands ask for it), and splits skewed rebalance
+# partitions.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -37,13 +40,15 @@ def build_session(app_name: str = "trafficloom", master: str | None = None, **co
 def _shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may run without that setting; it gets a temporary folder.
+    Only a session whose driver is its executor may run without that setting; it gets
+    a temporary folder.
     """
     global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="trafficloom-")
@@ -51,8 +56,14 @@ def _shared_root(spark: SparkSession) -> str:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder name that every executor can read and write."""
-    return f"{_shared_root(spark)}/trafficloom/{purpose}-{uuid.uuid4().hex}"
+    """A fresh folder name that every executor can read and write.
+
+    What is written there is deleted when the driver's JVM ends, if not before: results are
+    lazy, and a query that has returned may still be read.
+    """
+    path = f"{_shared_root(spark)}/trafficloom/{purpose}-{uuid.uuid4().hex}"
+    delete_at_exit(spark, path)
+    return path
 
 
 def checkpointed(frame: DataFrame) -> DataFrame:

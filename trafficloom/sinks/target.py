@@ -7,8 +7,9 @@ table; both are partitioned by ``date``.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,11 +59,10 @@ def _save(writer: DataFrameWriter, target: str) -> None:
 def replace_days(
     report: DataFrame,
     target: str,
-    first_day: dt.date,
-    last_day: dt.date,
+    days: Iterable[dt.date],
     schema: T.StructType = TARGET,
 ) -> None:
-    """Make the target hold exactly ``report`` for the days of the window.
+    """Make the target hold exactly ``report`` for the given days, and leave all others.
 
     The report is computed once into a staging folder, which also tells the days
     that have rows. Those are swapped in by a dynamic partition overwrite. That
@@ -70,31 +70,48 @@ def replace_days(
     dropped afterwards. Running it again with the same input changes nothing.
     """
     spark = report.sparkSession
+    days = sorted(set(days))
+    if not days:
+        return
     staging = shared_folder(spark, "staging")
-    fenced = report.filter(F.col("date").between(F.lit(first_day), F.lit(last_day)))
-    create_target(fenced, staging, schema)
-    filled = set(child_names(spark, staging))
-    if filled:
-        _overwrite_days(read_target(spark, staging, schema), target)
-    days = [first_day + dt.timedelta(days=n) for n in range((last_day - first_day).days + 1)]
-    _drop_days(spark, target, [day for day in days if f"date={day}" not in filled])
-    delete_folder(spark, staging)
+    try:
+        fenced = report.filter(F.col("date").between(F.lit(days[0]), F.lit(days[-1])))
+        create_target(fenced, staging, schema)
+        filled = set(child_names(spark, staging))
+        fresh = [day for day in days if f"date={day}" in filled]
+        if fresh:
+            _overwrite_days(spark, staging, fresh, target, schema)
+        _drop_days(spark, target, [day for day in days if day not in fresh])
+    finally:
+        delete_folder(spark, staging)
 
 
-def _overwrite_days(rows: DataFrame, target: str) -> None:
+def _overwrite_days(spark: SparkSession, staging: str, days: list[dt.date], target: str, schema: T.StructType) -> None:
+    """Swap in the staged days.
+
+    A table's insert takes the overwrite mode from its session only, so it runs in a session
+    of its own: others may be writing in this one.
+    """
     if is_folder(target):
+        rows = read_target(spark, staging, schema).filter(F.col("date").isin(days))
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("date").parquet(target)
         return
-    spark = rows.sparkSession
-    setting = "spark.sql.sources.partitionOverwriteMode"  # insertInto ignores the writer option
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        # insertInto matches by position, and a table keeps its partition column last
-        rows.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
-    finally:
-        spark.conf.set(setting, before)
+    other = spark.newSession()
+    other.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows = read_target(other, staging, schema).filter(F.col("date").isin(days))
+    # insertInto matches by position, and a table keeps its partition column last
+    rows.select(*other.table(target).columns).write.insertInto(target, overwrite=True)
+    spark.catalog.refreshTable(target)
+
+
+def stored_days(spark: SparkSession, target: str) -> list[dt.date]:
+    """The days the target has partitions for, by their names alone."""
+    if is_folder(target):
+        names = child_names(spark, target)
+    else:
+        names = [row[0] for row in spark.sql(f"SHOW PARTITIONS {target}").collect()]  # one per day
+    return sorted(dt.date.fromisoformat(n.removeprefix("date=")) for n in names if n.startswith("date="))
 
 
 def _drop_days(spark: SparkSession, target: str, days: list[dt.date]) -> None:
@@ -114,9 +131,8 @@ def review(target: DataFrame, limit: int = 100) -> DataFrame:
     return target.orderBy(F.desc("date"), F.desc("sessions"), *dimensions).limit(limit)
 
 
-def review_months(target: DataFrame) -> DataFrame:
-    """Rows, day range and main totals of each month in the target."""
-    return target.groupBy(F.trunc("date", "MM").alias("month")).agg(
+def _totals() -> list[Column]:
+    return [
         F.count("*").alias("report_rows"),
         F.min("date").alias("first_day"),
         F.max("date").alias("last_day"),
@@ -126,4 +142,14 @@ def review_months(target: DataFrame) -> DataFrame:
         F.sum("conversions").alias("conversions"),
         F.round(F.sum("ecommerce_revenue"), 2).alias("ecommerce_revenue"),
         F.sum("ecommerce_transactions").alias("ecommerce_transactions"),
-    )
+    ]
+
+
+def review_months(target: DataFrame) -> DataFrame:
+    """Rows, day range and main totals of each month in the target."""
+    return target.groupBy(F.trunc("date", "MM").alias("month")).agg(*_totals())
+
+
+def review_sources(target: DataFrame) -> DataFrame:
+    """Rows, day range and main totals of each source and medium in the target."""
+    return target.groupBy("utm_source", "utm_medium").agg(*_totals())

@@ -7,8 +7,9 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from trafficloom.functions.dates import utc_today
+from trafficloom.functions.dates import SHARD_DAY, utc_today
 from trafficloom.schemas import EXPORT
 from trafficloom.storage import child_names
 
@@ -29,16 +30,6 @@ def split_days(first: dt.date, last: dt.date, size: int) -> list[tuple[dt.date,
     return [(max(first, end - dt.timedelta(days=size - 1)), end) for end in ends]
 
 
-def in_window(export: DataFrame, as_of: dt.date | None, prior_days: int) -> DataFrame:
-    """Keep the days of the window.
-
-    ``yyyyMMdd`` text sorts like the day it names, so the bare column is compared
-    with text bounds and the filter can prune partitions.
-    """
-    first, last = day_window(as_of, prior_days)
-    return export.filter(F.col("event_date").between(f"{first:%Y%m%d}", f"{last:%Y%m%d}"))
-
-
 def shard_days(names: list[str], prefix: str, on_bad_suffix: str = "error") -> dict[str, dt.date]:
     """Folder names with ``prefix`` and the day each suffix stands for."""
     if on_bad_suffix not in ("error", "skip"):
@@ -59,6 +50,33 @@ def shard_days(names: list[str], prefix: str, on_bad_suffix: str = "error") -> d
     return days
 
 
+def held_days(
+    spark: SparkSession,
+    root: str,
+    as_of: dt.date | None = None,
+    prior_days: int = 0,
+    table_prefix: str | None = None,
+    on_bad_suffix: str = "error",
+) -> dict[dt.date, str]:
+    """The days of the window that the export below ``root`` holds, with their folders.
+
+    Without ``table_prefix``, ``root`` holds ``event_date=yyyyMMdd`` partitions; with one, a
+    shard per day named prefix + ``yyyyMMdd``. Folder names are the only thing listed. A
+    folder with another suffix, such as an intraday shard, is an error unless
+    ``on_bad_suffix`` is ``skip``. An export without any day, as below a mistyped root or
+    with a mistyped prefix, is an error, and so is a window of which it holds no day.
+    """
+    prefix = PARTITION_PREFIX if table_prefix is None else table_prefix
+    days = shard_days(child_names(spark, root), prefix, on_bad_suffix)
+    if not days:
+        raise ValueError(f"nothing named {prefix}yyyyMMdd below {root}")
+    first, last = day_window(as_of, prior_days)
+    held = {day: f"{root}/{name}" for name, day in days.items() if first <= day <= last}
+    if not held:
+        raise ValueError(f"{root} holds no day from {first} to {last}")
+    return dict(sorted(held.items()))
+
+
 def scan_export(
     spark: SparkSession,
     root: str,
@@ -67,29 +85,36 @@ def scan_export(
     table_prefix: str | None = None,
     on_bad_suffix: str = "error",
 ) -> DataFrame:
-    """Events of the window, from day folders below ``root``.
-
-    Without ``table_prefix``, ``root`` holds ``event_date=yyyyMMdd`` partitions.
-    With one, it holds a shard per day named prefix + ``yyyyMMdd``, and only the
-    shards of the window are opened. Folder names are the only thing listed
-    here. A folder with another suffix, such as an intraday shard, is an error
-    unless ``on_bad_suffix`` is ``skip``.
-    """
-    names = child_names(spark, root)
-    days = shard_days(names, PARTITION_PREFIX if table_prefix is None else table_prefix, on_bad_suffix)
+    """Events of the window's days, as :func:`held_days` finds them; no other folder is opened."""
+    held = held_days(spark, root, as_of, prior_days, table_prefix, on_bad_suffix)
     reader = spark.read.schema(EXPORT)
     if table_prefix is None:
-        return in_window(reader.parquet(root), as_of, prior_days)
-    first, last = day_window(as_of, prior_days)
-    chosen = [f"{root}/{name}" for name, day in sorted(days.items()) if first <= day <= last]
-    if not chosen:
-        return spark.createDataFrame([], EXPORT)
-    return reader.parquet(*chosen)
+        reader = reader.option("basePath", root)
+    return reader.parquet(*held.values())
 
 
 def scan_table(
-    spark: SparkSession, table: str, as_of: dt.date | None = None, prior_days: int = 0
+    spark: SparkSession,
+    table: str,
+    as_of: dt.date | None = None,
+    prior_days: int = 0,
+    on_bad_suffix: str = "error",
 ) -> DataFrame:
-    """The same window from a catalog table holding the export."""
+    """The same window from a catalog table holding the export, by a text or date column.
+
+    The bare column is compared with bounds of its own type, so partitions are pruned:
+    ``yyyyMMdd`` text sorts like the day it names. Text that names no day is an error
+    unless ``on_bad_suffix`` is ``skip``.
+    """
     columns = spark.table(table).select(*EXPORT.fieldNames())
-    return in_window(columns, as_of, prior_days)
+    first, last = day_window(as_of, prior_days)
+    day = F.col("event_date")
+    if not isinstance(columns.schema["event_date"].dataType, T.StringType):
+        rows = columns.filter(day.between(F.lit(first), F.lit(last)))
+        return rows.withColumn("event_date", F.date_format(day, SHARD_DAY))
+    named = day.rlike(r"^\d{8}$") & F.try_to_date(day, SHARD_DAY).isNotNull()
+    inside = day.between(f"{first:%Y%m%d}", f"{last:%Y%m%d}")
+    if on_bad_suffix == "skip":
+        return columns.filter(inside & named)
+    failed = F.raise_error(F.concat(F.lit("not a day (yyyyMMdd): "), day)).cast("string")
+    return columns.filter(inside | ~named).withColumn("event_date", F.when(named, day).otherwise(failed))

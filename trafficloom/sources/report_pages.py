@@ -26,10 +26,19 @@ def next_page_token(reports: str = "reports") -> Column:
     return F.try_element_at(F.col(reports), F.lit(-1))["nextPageToken"]
 
 
-def last_pages(pages: DataFrame) -> DataFrame:
-    """Per landed window: its pages, and how many of them are a last page.
+def stage_report_pages(pages: DataFrame, folder: str) -> DataFrame:
+    """The pages parsed once into a folder per window, with whether each is a last page."""
+    staged = pages.withColumn("is_last", next_page_token().isNull())
+    staged.write.partitionBy("window_start").parquet(folder)
+    schema = T.StructType([f for f in staged.schema if f.name != "window_start"]).add("window_start", T.DateType())
+    return pages.sparkSession.read.schema(schema).parquet(folder)
+
+
+def last_pages(staged: DataFrame) -> DataFrame:
+    """Per staged window: its pages, and how many of them are a last page.
 
     A window is complete if exactly one page has no continuation token.
     """
-    last = F.count_if(next_page_token().isNull())
-    return pages.groupBy("window_start").agg(F.count("*").alias("pages"), last.alias("last_pages"))
+    return staged.groupBy("window_start").agg(
+        F.count("*").alias("pages"), F.count_if("is_last").alias("last_pages")
+    )

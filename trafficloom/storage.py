@@ -1,4 +1,7 @@
-"""Folder listing and deletion through the Hadoop file system of a path."""
+"""Folder listing and deletion through the Hadoop file system of a path.
+
+This goes through the driver's JVM, so the jobs do not run over Spark Connect.
+"""
 
 from __future__ import annotations
 
@@ -22,3 +25,16 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, folder = _file_system(spark, path)
     fs.delete(folder, True)
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete the folder, if it is there, when the driver's JVM ends."""
+    fs, folder = _file_system(spark, path)
+    fs.mkdirs(folder)  # only what exists can be registered
+    fs.deleteOnExit(folder)
+    fs.delete(folder, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _file_system(spark, path)
+    fs.mkdirs(folder)

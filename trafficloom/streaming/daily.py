@@ -7,11 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from trafficloom.plans.jobs import Build, daily_pull, initial_pull
+from trafficloom.plans.jobs import Build, daily_pull
 from trafficloom.plans.reports import landing_page_report
 from trafficloom.schemas import EXPORT, TARGET
-from trafficloom.sinks.target import is_folder
-from trafficloom.storage import child_names
+from trafficloom.sinks.target import create_target, is_folder
 
 
 def consecutive(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
@@ -25,10 +24,6 @@ def consecutive(days: list[dt.date]) -> list[tuple[dt.date, dt.date]]:
     return runs
 
 
-def _exists(spark: SparkSession, target: str) -> bool:
-    return bool(child_names(spark, target)) if is_folder(target) else spark.catalog.tableExists(target)
-
-
 def pull_new_days(
     spark: SparkSession,
     export_root: str,
@@ -37,12 +32,16 @@ def pull_new_days(
     conversion_event: str | None = None,
     build: Build = landing_page_report,
     schema: T.StructType = TARGET,
+    days_per_commit: int | None = None,
+    on_bad_suffix: str = "error",
 ) -> None:
     """Process the files that landed since the last call, then stop.
 
     Only the days they belong to are recomputed, each from all of its files with
-    the batch plan, and replaced in the target. Replacing is idempotent, so a
-    batch that is retried after a failure leaves the same result.
+    the batch plan, and replaced in the target, which starts out empty if there is
+    none. Replacing is idempotent, so a batch that is retried after a failure, the
+    first one included, leaves the same result. ``days_per_commit`` cuts a long run of
+    days, such as the history that a first call finds.
     """
 
     def refresh(batch: DataFrame, _batch_id: int) -> None:
@@ -50,12 +49,13 @@ def pull_new_days(
         touched = [row[0] for row in batch.select("event_date").distinct().collect()]
         days = [dt.datetime.strptime(day, "%Y%m%d").date() for day in touched]
         for first, last in consecutive(days):
-            job = daily_pull if _exists(spark, target) else initial_pull
-            job(
-                spark, export_root, target, (last - first).days, conversion_event,
-                as_of=last, build=build, schema=schema,
+            daily_pull(
+                spark, export_root, target, (last - first).days, conversion_event, as_of=last,
+                build=build, schema=schema, days_per_commit=days_per_commit, on_bad_suffix=on_bad_suffix,
             )
 
+    if not is_folder(target) and not spark.catalog.tableExists(target):
+        create_target(spark.createDataFrame([], schema), target, schema)
     landed = spark.readStream.schema(EXPORT).parquet(export_root)
     query = (
         landed.writeStream.foreachBatch(refresh)
