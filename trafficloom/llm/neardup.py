@@ -133,19 +133,18 @@ def alike(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(left) + len(right) - common)
 
 
-def links_of(
+def merged(
     sets: list[np.ndarray], signed: np.ndarray, roots: np.ndarray, side: np.ndarray, percent: int, miss: float
-) -> list[tuple[int, int]]:
-    """Verified links that join different components, as places in the cell.
+) -> np.ndarray:
+    """The component of each member of a cell after all verified links.
 
-    ``roots`` names the component each member is in so far. Where sides differ, only
-    pairs across are compared; with one side, all pairs.
+    ``roots`` names the component each member is in so far; the smaller name stays. Where
+    sides differ, only pairs across are compared; with one side, all pairs.
     """
     steps = needed_matches(percent, miss)
     roots = roots.copy()
     one_side = (side == side[0]).all()
     against = np.arange(len(sets)) if one_side else np.flatnonzero(side == 0)
-    found = []
     for x in range(len(sets)) if one_side else np.flatnonzero(side != 0):
         others = against[:x] if one_side else against
         others = others[roots[others] != roots[x]]
@@ -156,9 +155,8 @@ def links_of(
             others, matches, done = others[go_on], matches[go_on], n
         for y in others[np.argsort(-matches, kind="stable")]:
             if roots[y] != roots[x] and alike(sets[x], sets[y], percent):
-                found.append((int(y), int(x)))
-                roots[roots == roots[y]] = roots[x]
-    return found
+                roots[np.isin(roots, (roots[x], roots[y]))] = min(roots[x], roots[y])
+    return roots
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -189,7 +187,7 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
     """Stored rows (node, group, members) of all ids that share a bucket with another."""
     members = classes.select(F.explode("buckets").alias("bucket"), "node")
     shared = members.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b")
-    stars = members.join(shared.select("bucket", "a"), "bucket").filter("node <> a")
+    stars = members.join(shared.select("bucket", "a").hint("merge"), "bucket").filter("node <> a")
     grouped = components(stars.select("a", F.col("node").alias("b")))
     sizes = grouped.groupBy("root").agg(F.count("*").alias("members"))
     return stored(
@@ -212,21 +210,24 @@ def with_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, shi
 
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     schema = "node long, group long, members long, sig binary, shingles binary"
-    return texts.join(nodes, "node").select("node", "group", "members", "text").mapInPandas(make, schema)
+    # Merged at any size: a broadcast that small tables allow would not last.
+    return texts.join(nodes.hint("merge"), "node").select("node", "group", "members", "text").mapInPandas(make, schema)
 
 
-def cell_links(cells: DataFrame, keys: list[str], percent: int, miss: float) -> DataFrame:
-    """Links (a, b) within each cell of rows (keys, node, root, side, sig, shingles)."""
+def cell_components(cells: DataFrame, keys: list[str], percent: int, miss: float) -> DataFrame:
+    """Rows (group, members, node, root, merged) of the members that a cell moves to a
+    smaller component, from rows (keys, group, members, node, root, side, sig, shingles)."""
 
     def verify(cell: pd.DataFrame) -> pd.DataFrame:
         cell = cell.sort_values("node", kind="stable")
         sets = [np.frombuffer(s, np.uint64) for s in cell["shingles"]]
         sigs = np.frombuffer(b"".join(cell["sig"]), np.uint32).reshape(len(cell), -1)
-        nodes = cell["node"].to_numpy()
-        found = links_of(sets, sigs, cell["root"].to_numpy(), cell["side"].to_numpy(), percent, miss)
-        return pd.DataFrame({"a": [nodes[y] for y, _ in found], "b": [nodes[x] for _, x in found]}, dtype="int64")
+        roots = cell["root"].to_numpy()
+        found = merged(sets, sigs, roots, cell["side"].to_numpy(), percent, miss)
+        moved = cell[["group", "members", "node", "root"]].assign(merged=found)[found != roots]
+        return moved.drop_duplicates("node")  # rows that repeat an id have one component
 
-    return cells.groupBy(*keys).applyInPandas(verify, "a long, b long")
+    return cells.groupBy(*keys).applyInPandas(verify, "group long, members long, node long, root long, merged long")
 
 
 def near_duplicates(
@@ -247,24 +248,18 @@ def near_duplicates(
         "neardup-classes",
     )
     groups = candidate_groups(classes)
-    cells = F.ceil(F.col("members") / CELL).cast("long")
     members = stored(with_sets(docs, groups, id_col, text_col, shingle), "neardup-sets")
-    first = members.select(
-        "group",
-        F.pmod(F.xxhash64("node"), cells).alias("cell"),
-        "node",
-        F.col("node").alias("root"),
-        F.lit(0).alias("side"),
-        "sig",
-        "shingles",
-    )
-    links = stored(cell_links(first, ["group", "cell"], percent, miss), "neardup-links")
+    cells = F.ceil(F.col("members") / CELL).cast("long")
+    cut = F.explode(F.when(cells > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("cut")
+    first = members.select("*", cut, F.col("node").alias("root"), F.lit(0).alias("side"))
+    first = first.withColumn("cell", F.pmod(F.xxhash64("node", "cut"), cells))
+    moved = stored(cell_components(first, ["group", "cut", "cell"], percent, miss), "neardup-moved")
+    found = moved.filter(F.col("members") <= CELL).select("node", F.col("merged").alias("root"))
     large = groups.filter(F.col("members") > CELL)
     if not large.isEmpty():
-        links = links.union(_across(members, large, links, percent, miss))
-    found = components(links)
-    roots = classes.select("set_id", "node").join(found, "node", "left")
-    whole = roots.select("set_id", F.coalesce("root", "node").alias("component"))
+        found = found.union(_across(members, large, moved.filter(F.col("members") > CELL), percent, miss))
+    whole = classes.select("set_id", "node").join(found, "node", "left")
+    whole = whole.select("set_id", F.coalesce("root", "node").alias("component"))
     docs_out = (
         rows.select("doc_id", "n_shingles", "set_id")
         .join(whole, "set_id", "left")
@@ -281,53 +276,43 @@ def near_duplicates(
     return docs_out.union(nameless)
 
 
-def _across(members: DataFrame, large: DataFrame, links: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Links between the cells of groups that have more than one.
+def _across(members: DataFrame, large: DataFrame, moved: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Rows (node, root) of the groups that have more than one cell.
 
-    A group's nodes are cut anew in the order of their components. A component that
-    holds the better part of a group fills most of its cells alone, and no two of
-    these are compared.
+    A component that holds the better part of a cell is cut by itself and fills its cells
+    alone, so that no two of these are compared; the rest shares cells.
     """
-    found = components(links)
+    found = components(moved.select(F.col("node").alias("a"), F.col("merged").alias("b")))
     named = large.join(found, "node", "left").select(
         "node", "group", "members", F.coalesce("root", "node").alias("root")
     )
     sizes = named.groupBy("group", "root").agg(F.count("*").alias("size"))
-    # Components of at least half a cell are cut by themselves; the rest shares cells.
-    own = F.col("size") * 2 >= CELL
-    cut = named.join(sizes, ["group", "root"]).select(
-        "node",
-        "group",
-        "root",
-        F.when(own, F.col("root")).otherwise(F.lit(-1)).alias("pool"),
-        F.when(own, F.col("size")).otherwise(F.lit(0)).alias("alone"),
-        "members",
-    )
-    pooled = cut.groupBy("group", "pool").agg(F.count("*").alias("pooled"))
-    placed = stored(
-        cut.join(pooled, ["group", "pool"]).select(
-            "node",
-            "group",
-            "root",
-            "pool",
-            F.pmod(F.xxhash64("node"), F.ceil(F.col("pooled") / CELL).cast("long")).alias("nth"),
-        ),
-        "neardup-placed",
+    alone = F.col("size") * 2 >= CELL
+    pools = named.join(sizes, ["group", "root"]).withColumn("pool", F.when(alone, F.col("root")).otherwise(F.lit(-1)))
+    pooled = pools.groupBy("group", "pool").agg(F.count("*").alias("pooled"))
+    cells = F.ceil(F.col("pooled") / CELL).cast("long")
+    placed = pools.join(pooled, ["group", "pool"]).withColumn("cell", F.pmod(F.xxhash64("node"), cells))
+    placed = stored(placed.select("node", "group", "root", "pool", "cell"), "neardup-placed")
+    spans = placed.groupBy("group", "pool", "cell").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    left, right = (
+        spans.select("group", *(F.col(c).alias(f"{c}_{k}") for c in ("pool", "cell", "low", "high"))) for k in (1, 2)
     )
-    cells = placed.groupBy("group", "pool", "nth").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    left = cells.select("group", *(F.col(c).alias(f"{c}_1") for c in ("pool", "nth", "low", "high")))
-    right = cells.select("group", *(F.col(c).alias(f"{c}_2") for c in ("pool", "nth", "low", "high")))
-    ordered = F.struct("pool_1", "nth_1") <= F.struct("pool_2", "nth_2")
-    mixed = (F.col("low_1") != F.col("high_1")) | (F.col("low_2") != F.col("high_2")) | (F.col("low_1") != F.col("low_2"))
-    pairs = left.join(right, "group").filter(ordered & mixed)
-    pairs = pairs.select("group", "pool_1", "nth_1", "pool_2", "nth_2").withColumn("pair", F.monotonically_increasing_id())
-    pairs = stored(pairs, "neardup-cell-pairs")
-    same = (F.col("pool_1") == F.col("pool_2")) & (F.col("nth_1") == F.col("nth_2"))
-    wanted = pairs.select("group", F.col("pool_1").alias("pool"), F.col("nth_1").alias("nth"), "pair", F.lit(0).alias("side")).union(
-        pairs.filter(~same).select("group", "pool_2", "nth_2", "pair", F.lit(1))
+    ordered = F.struct("pool_1", "cell_1") <= F.struct("pool_2", "cell_2")
+    differ = F.least("low_1", "low_2") != F.greatest("high_1", "high_2")
+    pairs = left.join(right, "group").filter(ordered & differ)
+    pairs = stored(
+        pairs.select("group", "pool_1", "cell_1", "pool_2", "cell_2").withColumn("pair", F.monotonically_increasing_id()),
+        "neardup-cell-pairs",
     )
-    rows = placed.join(wanted, ["group", "pool", "nth"]).join(members.select("node", "sig", "shingles"), "node")
-    return stored(cell_links(rows.select("pair", "node", "root", "side", "sig", "shingles"), ["pair"], percent, miss), "neardup-links")
+    same = (F.col("pool_1") == F.col("pool_2")) & (F.col("cell_1") == F.col("cell_2"))
+    first = pairs.select("group", F.col("pool_1").alias("pool"), F.col("cell_1").alias("cell"), "pair", F.lit(0).alias("side"))
+    wanted = first.union(pairs.filter(~same).select("group", "pool_2", "cell_2", "pair", F.lit(1)))
+    sets = members.filter(F.col("members") > CELL).select("node", "members", "sig", "shingles")
+    cells = placed.join(wanted, ["group", "pool", "cell"]).join(sets, "node")
+    again = stored(cell_components(cells, ["pair"], percent, miss), "neardup-moved")
+    joined = components(again.select(F.col("root").alias("a"), F.col("merged").alias("b")).distinct())
+    joined = joined.select(F.col("node").alias("root"), F.col("root").alias("last"))
+    return placed.join(joined, "root", "left").select("node", F.coalesce("last", "root").alias("root"))
 
 
 def deduplicated(
