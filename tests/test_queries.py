@@ -7,10 +7,10 @@ import __spark_entry__ as entry_point
 from tests.compare import connect, differences
 from tests.conftest import SF_SMALL, SF_TEST
 from trafficloom.catalog import queries as catalog
+from trafficloom.catalog.oracles import ORACLES
 from trafficloom.schemas import RATIO_METRIC, SOURCE_MEDIUM, TARGET
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = catalog.QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +22,8 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

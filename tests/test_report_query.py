@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.builders import event, export, session_params
-from trafficloom.operators import report_query as rq
 from trafficloom.operators.report_query import ReportQuery, default_metrics, legacy_report
 from trafficloom.schemas import LANDING_DIMENSIONS, LEGACY_METRICS, METRICS, RATIO_METRIC, TARGET
 
@@ -115,13 +114,25 @@ def test_pages_by_offset(many):
     assert values(query.page_token("70").get(), "*") == rows[70:]
 
 
-def test_pages_by_deep_offset(many, monkeypatch):
+def test_an_offset_gathers_no_rows_before_it(many):
+    query, _ = everything(many)
+    plan = query.page_size(7).page_token("35").get().rows._jdf.queryExecution().toString()
+    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan
+
+
+def test_rows_and_token_compute_the_report_once(many, spark):
     query, rows = everything(many)
-    monkeypatch.setattr(rq, "MAX_OFFSET_ROWS", 10)
-    page = query.page_size(7)
-    for offset in (3, 4, 35, 77, 80, 500):
-        assert sorted(values(page.page_token(str(offset)).get(), "*"), key=str) == sorted(rows[offset : offset + 7], key=str)
-    assert sorted(values(query.page_token("11").get(), "*"), key=str) == sorted(rows[11:], key=str)
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            evaluated.add(len(batch))
+            yield batch
+
+    counted = many.mapInPandas(seen, many.schema)
+    report = ReportQuery(counted).date_range(ALL_DAYS).dimensions(["ga:date", "landing_page"]).page_size(10).get()
+    assert values(report, "*") == rows[:10] and report.next_page_token() is not None
+    assert evaluated.value == many.count()
 
 
 def test_following_tokens_reads_everything_once(many):
@@ -156,13 +167,39 @@ def test_tokens_belong_to_their_dimensions(many):
         query.dimensions(["ga:country"]).page_token(token).get().rows
 
 
-def test_page_size_has_a_maximum(spark):
+def test_a_page_has_the_size_asked_for(spark):
     query = ReportQuery(table(spark, row()))
-    assert query.page_size(10**9).size == 100_000
+    assert query.page_size(10**9).size == 10**9
     with pytest.raises(ValueError):
         query.page_size(0)
 
 
+def test_pages_larger_than_any_service_limit(spark):
+    frame = spark.range(150_000).selectExpr("DATE '2024-01-05' AS date", "id AS kind", "id AS n")
+    query = ReportQuery(frame, dimension_names=["date", "kind"], metric_exprs={"n": F.sum("n")}).date_range(ALL_DAYS)
+    report = query.dimensions(["kind"]).metrics(["n"]).page_size(150_000).get()
+    assert report.rows.count() == 150_000 and report.next_page_token() is None
+
+
+def test_a_small_fraction_is_not_rounded_to_nothing(spark):
+    frame = spark.range(200_000).selectExpr("DATE '2024-01-05' AS date", "id AS kind", "id AS n")
+    query = ReportQuery(frame, dimension_names=["date", "kind"], metric_exprs={"n": F.count("n")}).date_range(ALL_DAYS)
+    for fraction, least, most in ((1e-4, 5, 45), (4e-7, 0, 3)):
+        found = query.metrics(["n"]).sampling_level("SMALL", fraction).get().rows.first()["n"]
+        assert least <= found <= most
+    plan = query.metrics(["n"]).sampling_level("SMALL", 4e-7).get().rows._jdf.queryExecution().toString()
+    assert "4.0E-7" in plan
+
+
+def test_all_pages_as_one_frame(many):
+    query, rows = everything(many)
+    found = query.page_size(33).get().paged().orderBy("page", "date", "landing_page").collect()
+    assert [tuple(r)[:-1] for r in found] == rows
+    assert [r["page"] for r in found] == [0] * 33 + [1] * 33 + [2] * 14
+    later = [p.count() for p in query.page_size(33).page_token("33").get().pages()]
+    assert later == [33, 14]
+
+
 def test_sampling(many):
     query, rows = everything(many)
     assert sorted(values(query.sampling_level("LARGE", fraction=0.1).get(), "*"), key=str) == sorted(rows, key=str)

@@ -58,6 +58,7 @@ param AS (
   FROM export, unnest(params) AS u(p)
 )"""
 
+# The events that count as purchases.
 PURCHASES = """('purchase', 'ecommerce_purchase', 'in_app_purchase', 'app_store_subscription_convert',
       'app_store_subscription_renew', 'refund')"""
 
@@ -303,12 +304,26 @@ starts AS (
   FROM bounds
 ),
 windows AS (SELECT greatest(m, b) AS window_start, least(last_day(m), e) AS window_end FROM starts)
-SELECT window_start, window_end, count(*) AS legacy_rows, CAST(sum(sessions) AS BIGINT) AS sessions
-FROM windows JOIN legacy ON date >= window_start AND date <= window_end
+SELECT window_start, window_end, count(date) AS legacy_rows, CAST(coalesce(sum(sessions), 0) AS BIGINT) AS sessions
+FROM windows LEFT JOIN legacy ON date >= window_start AND date <= window_end
 GROUP BY window_start, window_end""",
     "backfill_bound": f"{LANDING} SELECT min(date) - 1 AS bound FROM report",
     "backfill_union": f"{UNIFIED} SELECT * FROM unified",
-    "daily_incremental": f"{LANDING} SELECT * FROM report",
+    "backfill_windows": f"""{LANDING},
+bounds AS (SELECT DATE '2023-08-15' AS b, min(date) - 1 AS e FROM report),
+starts AS (
+  SELECT CAST(unnest(generate_series(date_trunc('month', b), e::TIMESTAMP, INTERVAL 1 MONTH)) AS DATE) AS m, b, e
+  FROM bounds
+)
+SELECT greatest(m, b) AS window_start, least(last_day(m), e) AS window_end,
+  row_number() OVER (ORDER BY m DESC) - 1 AS nth FROM starts""",
+    "target_sources": f"""{UNIFIED}
+SELECT utm_source, utm_medium, count(*) AS report_rows, min(date) AS first_day, max(date) AS last_day,
+  count(DISTINCT date) AS days,
+  {totals('users', 'sessions', 'conversions', 'ecommerce_revenue', 'ecommerce_transactions')}
+FROM unified GROUP BY utm_source, utm_medium""",
+    "target_bound": f"{UNIFIED} SELECT min(date) - 1 AS bound FROM unified",
+    "daily_incremental": f"{UNIFIED} SELECT * FROM unified",
     "target_review": f"""{UNIFIED}
 SELECT CAST(date_trunc('month', date) AS DATE) AS month, count(*) AS report_rows, min(date) AS first_day,
   max(date) AS last_day, count(DISTINCT date) AS days,
@@ -325,10 +340,21 @@ GROUP BY date, country, utm_source
 ORDER BY date NULLS FIRST, country NULLS FIRST, utm_source NULLS FIRST LIMIT 500 OFFSET 250""",
     "report_sample": f"""{UNIFIED}
 SELECT date, {totals('users', 'sessions')} FROM unified
-WHERE CAST('0x' || substr(md5({SAMPLE_KEY}), 1, 8) AS BIGINT) % 1000000 < 250000 GROUP BY date""",
-    "legacy_report_preset": f"""{UNIFIED}
-SELECT {', '.join(LANDING_DIMENSIONS)}, {totals(*METRICS)} FROM unified
-GROUP BY {', '.join(LANDING_DIMENSIONS)} ORDER BY {ORDERED_LANDING} LIMIT 10000""",
+WHERE CAST('0x' || substr(md5({SAMPLE_KEY}), 1, 13) AS BIGINT) / pow(2, 52) < 0.25 GROUP BY date""",
+    "report_default_today": f"""{UNIFIED},
+moved AS (
+  SELECT current_date + date_diff('day', max(date) OVER (), date)::INT AS day, users, sessions FROM unified
+)
+SELECT {totals('users', 'sessions')} FROM moved WHERE day BETWEEN current_date - 91 AND current_date - 1""",
+    "report_all_pages": f"""{UNIFIED},
+grouped AS (SELECT date, country, {totals('sessions')} FROM unified GROUP BY date, country)
+SELECT *, CAST((row_number() OVER (ORDER BY date NULLS FIRST, country NULLS FIRST) - 1) // 2000 AS INT) AS page
+FROM grouped""",
+    "legacy_report_preset": f"""{UNIFIED},
+grouped AS (
+  SELECT {', '.join(LANDING_DIMENSIONS)}, {totals(*METRICS)} FROM unified GROUP BY {', '.join(LANDING_DIMENSIONS)}
+)
+SELECT *, (row_number() OVER (ORDER BY {ORDERED_LANDING}) - 1) // 10000 AS page FROM grouped""",
     "iso_date_check": """
 WITH spelled AS (
   SELECT o_orderkey, CASE o_orderkey % 5

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficloom.functions.dates import iso_day_or_null
+from trafficloom.functions.dates import iso_day_or_null, utc_today
 from trafficloom.operators.events import explode_params
 from trafficloom.operators.legacy import (
     backfill_bound,
@@ -18,6 +19,7 @@ from trafficloom.operators.legacy import (
     normalize_legacy,
     split_months,
 )
+from trafficloom.operators.legacy import month_windows as legacy_windows
 from trafficloom.operators.report_query import ReportQuery, legacy_report
 from trafficloom.operators.reports import label_dimensions, ranked
 from trafficloom.plans import reports
@@ -30,7 +32,7 @@ from trafficloom.schemas import (
     SOURCE_MEDIUM_DIMENSIONS,
 )
 from trafficloom.session import shared_folder
-from trafficloom.sinks.target import create_target, read_target, review_months
+from trafficloom.sinks.target import append_days, create_target, read_target, review_months, review_sources, stored_days
 from trafficloom.sources.export import PARTITION_PREFIX, scan_export, shard_days
 from trafficloom.sources.report_pages import read_report_pages
 from trafficloom.sources.sample_tables import export_from_events, report_pages_from_pages
@@ -198,7 +200,8 @@ def legacy(spark, sf_dir):
 
 
 def month_windows(spark, sf_dir):
-    """Windows from the first legacy day to the day before the export, with what each holds."""
+    """Windows from the first legacy day to the day before the export, with what each holds;
+    a window may hold nothing."""
     per_day = legacy(spark, sf_dir).groupBy("date").agg(
         F.count("*").alias("legacy_rows"), F.sum("sessions").alias("sessions")
     )
@@ -208,9 +211,11 @@ def month_windows(spark, sf_dir):
     bounds = begin.unionByName(end).agg(F.max("begin").alias("begin"), F.max("end").alias("end"))
     windows = split_months(bounds).withColumn("month", F.trunc("window_start", "MM"))
     days = per_day.withColumn("month", F.trunc("date", "MM"))
-    held = windows.join(days, "month").filter(F.col("date").between(F.col("window_start"), F.col("window_end")))
+    inside = (windows["month"] == days["month"]) & F.col("date").between(F.col("window_start"), F.col("window_end"))
+    held = windows.join(days, inside, "left")
     return held.groupBy("window_start", "window_end").agg(
-        F.sum("legacy_rows").alias("legacy_rows"), F.sum("sessions").alias("sessions")
+        F.coalesce(F.sum("legacy_rows"), F.lit(0)).alias("legacy_rows"),
+        F.coalesce(F.sum("sessions"), F.lit(0)).alias("sessions"),
     )
 
 
@@ -220,21 +225,46 @@ def bound(spark, sf_dir):
 
 # target
 
+def backfilled_target(spark, sf_dir) -> str:
+    """The unified table as stored: the report, then all legacy history before it.
+
+    A month without landed pages is one that no page of the sample falls into; it is landed
+    here as the service would, with an empty last page, so that a lost one cannot pass.
+    """
+    target, landed = shared_folder(spark, "target"), shared_folder(spark, "pages")
+    create_target(landing(spark, sf_dir), target)
+    found = pages(spark, sf_dir)
+    begin, until = dt.date(2023, 10, 1), stored_days(spark, target)[0] - dt.timedelta(days=1)
+    months = legacy_windows(spark, begin, until).select(F.trunc("window_start", "MM").alias("window_start"))
+    missing = months.join(found.select("window_start").distinct(), "window_start", "left_anti")
+    nothing = missing.select(F.lit(None).cast(found.schema["reports"].dataType).alias("reports"), "window_start")
+    found.select("reports", "window_start").union(nothing).write.partitionBy("window_start").json(landed)
+    backfill(spark, target, landed, begin, one_page_per_file=False)
+    return target
+
+
 def backfill_union(spark, sf_dir):
+    return read_target(spark, backfilled_target(spark, sf_dir))
+
+
+def backfill_windows(spark, sf_dir):
+    """The windows a backfill loads into a target that holds the report, newest first."""
     target = shared_folder(spark, "target")
     create_target(landing(spark, sf_dir), target)
-    landed = landed_pages(spark, sf_dir)  # small samples leave whole months without a page
-    backfill(spark, target, landed, "2023-10-01", one_page_per_file=False, missing_months="skip")
-    return read_target(spark, target)
+    bound = stored_days(spark, target)[0] - dt.timedelta(days=1)
+    newest = legacy_windows(spark, "2023-08-15", bound).rdd.zipWithIndex()  # one per month
+    return newest.map(lambda x: (x[0][0], x[0][1], x[1])).toDF("window_start date, window_end date, nth long")
 
 
 def daily_incremental(spark, sf_dir):
-    """An initial pull of the first days, then a pull of the rest that overlaps it."""
+    """An initial pull of the first days, legacy rows before them, then a pull of a window that
+    overlaps both: what the export does not hold stays."""
     root, target = landed_export(spark, sf_dir), shared_folder(spark, "target")
     days = sorted(shard_days(child_names(spark, root), PARTITION_PREFIX).values())
     first, middle, last = days[0], days[len(days) // 2], days[-1]
     initial_pull(spark, root, target, (middle - first).days, CONVERSION, as_of=middle)
-    daily_pull(spark, root, target, (last - middle).days + 2, CONVERSION, as_of=last)
+    append_days(legacy(spark, sf_dir).filter(F.col("date") < F.lit(first)), target)
+    daily_pull(spark, root, target, (last - first).days + 400, CONVERSION, as_of=last)
     return read_target(spark, target)
 
 
@@ -243,18 +273,36 @@ def unified(spark, sf_dir):
 
 
 def target_review(spark, sf_dir):
-    return review_months(unified(spark, sf_dir))
+    return review_months(backfill_union(spark, sf_dir))
+
+
+def target_sources(spark, sf_dir):
+    return review_sources(backfill_union(spark, sf_dir))
+
+
+def target_bound(spark, sf_dir):
+    """The bound of a stored target, from its first day."""
+    return backfill_bound(backfill_union(spark, sf_dir))
 
 
 # report query
 
-EVERYTHING = ("2023-10-01", "2024-01-31")
+EVERYTHING = ("1900-01-01", "9999-12-31")
 
 
 def report(spark, sf_dir) -> ReportQuery:
     return ReportQuery(unified(spark, sf_dir), as_of=dt.date(2024, 1, 31)).date_range([EVERYTHING])
 
 
+def report_default_today(spark, sf_dir):
+    """The default range counts back from today, so the rows are moved up to end today."""
+    rows = unified(spark, sf_dir)
+    newest = rows.agg(F.max("date").alias("newest"))
+    today = F.lit(utc_today())
+    moved = rows.crossJoin(newest).withColumn("date", F.date_add(today, F.date_diff("date", "newest"))).drop("newest")
+    return ReportQuery(moved).metrics(["users", "sessions"]).get().rows
+
+
 def report_query_default(spark, sf_dir):
     return ReportQuery(unified(spark, sf_dir), as_of=dt.date(2024, 1, 31)).get().rows
 
@@ -293,8 +341,16 @@ def report_sample(spark, sf_dir):
     return wanted.sampling_level("SMALL", fraction=0.25, seed=7).get().rows
 
 
+def report_all_pages(spark, sf_dir):
+    """Every page of a report, each read on its own, with its number."""
+    wanted = report(spark, sf_dir).dimensions(["date", "ga:country"]).metrics(["sessions"]).page_size(2000)
+    pages = [p.withColumn("page", F.lit(k)) for k, p in enumerate(wanted.get().pages())]
+    return reduce(DataFrame.union, pages)
+
+
 def legacy_report_preset(spark, sf_dir):
-    return legacy_report(unified(spark, sf_dir), *EVERYTHING).get().rows
+    """All pages of the historical pull."""
+    return legacy_report(unified(spark, sf_dir), *EVERYTHING).get().paged()
 
 
 def iso_date_check(spark, sf_dir):
@@ -343,12 +399,17 @@ QUERIES: dict[str, Query] = {
     "backfill_bound": bound,
     "backfill_union": backfill_union,
     "daily_incremental": daily_incremental,
+    "backfill_windows": backfill_windows,
     "target_review": target_review,
+    "target_sources": target_sources,
+    "target_bound": target_bound,
     "report_query_default": report_query_default,
     "report_query": report_query,
     "report_date_ranges": report_date_ranges,
     "report_segment": report_segment,
+    "report_default_today": report_default_today,
     "report_page": report_page,
+    "report_all_pages": report_all_pages,
     "report_sample": report_sample,
     "legacy_report_preset": legacy_report_preset,
     "iso_date_check": iso_date_check,

@@ -7,7 +7,7 @@ import datetime as dt
 import json
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,19 +22,18 @@ from trafficloom.schemas import (
     RATIO_METRIC,
     legacy_metric_names,
 )
-from trafficloom.session import checkpointed
+from trafficloom.session import checkpointed, shared_folder
 
 # Defaults of a report request.
 DEFAULT_DAYS_BACK = (91, 1)
 DEFAULT_METRICS = ("ga:users",)
-MAX_PAGE_SIZE = 100_000
 LEGACY_PAGE_SIZE = 10_000
 FIRST_PAGE = "0"
 UNSAMPLED = "LARGE"
 SAMPLING_LEVELS = ("DEFAULT", "SMALL", "LARGE")
 
-SAMPLE_BUCKETS = 1_000_000
-MAX_OFFSET_ROWS = 1_000_000
+# Hexadecimal digits of a digest that a double holds exactly.
+SAMPLE_DIGITS = 13
 
 
 def default_metrics() -> dict[str, Column]:
@@ -98,10 +97,10 @@ class ReportQuery:
         return replace(self, segments=tuple(ids))
 
     def page_size(self, rows: int) -> ReportQuery:
-        """At most that many rows, and never more than the service's maximum."""
+        """At most that many rows."""
         if rows < 1:
             raise ValueError("page size must be positive")
-        return replace(self, size=min(rows, MAX_PAGE_SIZE))
+        return replace(self, size=rows)
 
     def page_token(self, token: str) -> ReportQuery:
         """Start at a row offset ("0", "10000", ...) or where another page ended."""
@@ -147,8 +146,8 @@ class ReportQuery:
         # however the table is laid out and whichever engine draws them.
         parts = [F.coalesce(F.col(d).cast("string"), F.lit("")) for d in self.dimension_names]
         digest = F.md5(F.concat_ws("|", F.lit(str(self.seed)), *parts))
-        bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % SAMPLE_BUCKETS
-        return rows.filter(bucket < int(self.fraction * SAMPLE_BUCKETS))
+        drawn = F.conv(F.substring(digest, 1, SAMPLE_DIGITS), 16, 10).cast("bigint")
+        return rows.filter(drawn / F.lit(float(16**SAMPLE_DIGITS)) < self.fraction)
 
     def plan(self) -> tuple[DataFrame, list[str]]:
         """The whole report, unordered, and its grouping columns."""
@@ -179,31 +178,41 @@ class Report:
     """The result of a query: the page as ``rows`` and the token of the next one.
 
     Rows are in the order of their grouping columns, which is total, so offsets
-    mean the same on every run.
+    mean the same on every run. A page is taken from the report once, with one row
+    more than it shows, which tells whether another page follows.
     """
 
-    def __init__(self, query: ReportQuery, whole: DataFrame | None = None):
+    def __init__(self, query: ReportQuery):
         self.query = query
-        planned, self.keys = query.plan()
-        self.whole = planned if whole is None else whole
+        self.whole, self.keys = query.plan()
+
+    def _numbered(self) -> tuple[DataFrame, int]:
+        """All rows from the token on, numbered from 0, and how many they are."""
+        token = self.query.token
+        if not token.isdecimal():
+            return numbered_rows(self.whole.filter(_after(self.keys, self.whole, token)), self.keys)
+        numbered, total = numbered_rows(self.whole, self.keys)
+        first = int(token)
+        return numbered.filter(F.col(NTH) >= first).withColumn(NTH, F.col(NTH) - first), max(0, total - first)
+
+    @cached_property
+    def _page(self) -> DataFrame:
+        """The page's rows and the one after them, numbered from 0, and written once."""
+        size, token = self.query.size, self.query.token
+        if size is None:
+            return self._numbered()[0]
+        if token.isdecimal() and int(token) > 0:
+            return checkpointed(self._numbered()[0].filter(F.col(NTH) <= size))
+        rows = self.whole if token == FIRST_PAGE else self.whole.filter(_after(self.keys, self.whole, token))
+        return numbered_rows(rows.orderBy(*self.keys).limit(size + 1), self.keys)[0]
 
     @property
     def rows(self) -> DataFrame:
         """The page; without a page size, everything from the token on, unordered from the start."""
-        size, token = self.query.size, self.query.token
-        if not self.keys or (size is None and token == FIRST_PAGE):
+        if not self.keys or (self.query.size is None and self.query.token == FIRST_PAGE):
             return self.whole
-        if not token.isdecimal():
-            after = self.whole.filter(_after(self.keys, self.whole, token))
-            ordered = after.orderBy(*self.keys)
-            return ordered if size is None else ordered.limit(size)
-        offset = int(token)
-        ordered = self.whole.orderBy(*self.keys)
-        if offset == 0:
-            return ordered.limit(size)
-        if size is not None and offset + size <= MAX_OFFSET_ROWS:
-            return ordered.offset(offset).limit(size)
-        return _slice(ordered, offset, size)
+        size = self.query.size
+        return (self._page if size is None else self._page.filter(F.col(NTH) < size)).drop(NTH)
 
     def next_page_token(self) -> str | None:
         """Where the page after this one starts, or None at the end of the report.
@@ -211,26 +220,61 @@ class Report:
         The token names the last row of this page. The next page is then a filter
         and a short top-k, however far into the report it lies.
         """
-        if self.query.size is None or not self.keys:
-            return None
-        page = self.rows
-        last = page.orderBy(*(F.desc(k) for k in self.keys)).limit(1).select(*self.keys)
-        found = last.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("key")).first()
-        if found is None:
+        size = self.query.size
+        if size is None or not self.keys:
             return None
-        token = base64.urlsafe_b64encode(found["key"].encode()).decode()
-        more = self.whole.filter(_after(self.keys, self.whole, token)).limit(1).count()
-        return token if more else None
+        key = F.to_json(F.struct(*self.keys), {"ignoreNullFields": "false"}).alias("key")
+        ends = self._page.filter(F.col(NTH) >= size - 1).orderBy(NTH).select(key).collect()  # at most two
+        return base64.urlsafe_b64encode(ends[0]["key"].encode()).decode() if len(ends) == 2 else None
+
+    def paged(self) -> DataFrame:
+        """This page and all that follow as one frame, numbered from 0 in ``page``."""
+        size = self.query.size
+        if size is None or not self.keys:
+            return self.rows.withColumn(PAGE, F.lit(0).cast("long"))
+        numbered, _ = self._numbered()
+        return numbered.withColumn(PAGE, F.floor(F.col(NTH) / size)).drop(NTH)
 
     def pages(self) -> Iterator[DataFrame]:
-        """This page and all that follow, from one written copy of the report."""
-        report = Report(self.query, checkpointed(self.whole))
-        while True:
-            yield report.rows
-            token = report.next_page_token()
-            if token is None:
-                return
-            report = Report(report.query.page_token(token), report.whole)
+        """This page and all that follow. The sorted report is written once, in a folder per
+        page, and each page is a read of its own folder."""
+        size = self.query.size
+        if size is None or not self.keys:
+            yield self.rows
+            return
+        numbered, total = self._numbered()
+        spark, folder = self.whole.sparkSession, shared_folder(self.whole.sparkSession, "pages")
+        by_page = numbered.withColumn(PAGE, F.floor(F.col(NTH) / size))
+        by_page.write.partitionBy(PAGE).parquet(folder)
+        schema = numbered.schema
+        for page in range(max(1, -(-total // size))):
+            stored = spark.read.schema(schema).parquet(f"{folder}/{PAGE}={page}") if total else numbered
+            yield stored.orderBy(NTH).drop(NTH)
+
+
+NTH, PAGE = "_nth", "page"
+
+
+def numbered_rows(report: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
+    """The report's rows with their place in the order of the keys, and their number.
+
+    The sorted rows are checkpointed so that partition boundaries stay put, the
+    partitions are counted, and each row's number follows from the counts before
+    its partition. No row passes through the driver or one task.
+    """
+    part, at = "_part", "_at"
+    # the partition in the high bits and the row within it in the low 33
+    ordered = checkpointed(report.orderBy(*keys)).withColumn(at, F.monotonically_increasing_id())
+    ordered = ordered.withColumn(part, F.shiftright(at, 33))
+    counts = ordered.groupBy(part).count().orderBy(part).collect()  # one row per partition
+    before, total = [], 0
+    for row in counts:
+        before.append((row[part], total))
+        total += row["count"]
+    starts = report.sparkSession.createDataFrame(before, f"{part} long, _before long")
+    within = F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = ordered.join(F.broadcast(starts), part)  # one row per partition
+    return numbered.withColumn(NTH, F.col("_before") + within).drop(part, at, "_before"), total
 
 
 def _after(keys: list[str], report: DataFrame, token: str) -> Column:
@@ -243,36 +287,6 @@ def _after(keys: list[str], report: DataFrame, token: str) -> Column:
     return here > F.from_json(F.lit(text), schema)
 
 
-def _slice(ordered: DataFrame, offset: int, size: int | None) -> DataFrame:
-    """Rows from a deep offset of a sorted frame, without gathering the rows before it.
-
-    The sorted rows are checkpointed so that partition boundaries stay put, the
-    partitions are counted, and each row's number follows from the counts before
-    its partition.
-    """
-    part, at = "_part", "_at"
-    # the partition in the high bits and the row within it in the low 33: in row order
-    numbered = checkpointed(ordered).withColumn(at, F.monotonically_increasing_id())
-    numbered = numbered.withColumn(part, F.shiftright(at, 33))
-    counts = numbered.groupBy(part).count().orderBy(part).collect()  # one row per partition
-
-    def row_id(number: int) -> int | None:
-        for row in counts:
-            if number < row["count"]:
-                return (row[part] << 33) + number
-            number -= row["count"]
-        return None
-
-    first = row_id(offset)
-    if first is None:
-        return ordered.limit(0)
-    after = row_id(offset + size) if size is not None else None
-    wanted = F.col(at) >= first
-    if after is not None:
-        wanted &= F.col(at) < after
-    return numbered.filter(wanted).drop(part, at)
-
-
 def legacy_report(
     table: DataFrame,
     first_day: str | dt.date,
