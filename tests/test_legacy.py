@@ -15,7 +15,8 @@ from trafficloom.operators.legacy import (
     split_bad_metrics,
 )
 from trafficloom.schemas import TARGET, legacy_metric_names
-from trafficloom.sources.report_pages import last_pages, read_report_pages
+from trafficloom.session import shared_folder
+from trafficloom.sources.report_pages import last_pages, read_report_pages, stage_report_pages
 
 day = dt.date.fromisoformat
 
@@ -152,7 +153,8 @@ def test_last_pages(spark):
         legacy_page(window="2023-11-01"), legacy_page(window="2023-11-01"),
         legacy_page(window="2023-12-01", token="1"),
     )
-    found = {str(r["window_start"]): (r["pages"], r["last_pages"]) for r in last_pages(pages).collect()}
+    staged = stage_report_pages(pages, shared_folder(spark, "staged"))
+    found = {str(r["window_start"]): (r["pages"], r["last_pages"]) for r in last_pages(staged).collect()}
     assert found == {"2023-10-01": (2, 1), "2023-11-01": (2, 2), "2023-12-01": (1, 0)}
 
 
@@ -160,7 +162,7 @@ def test_token_of_the_last_report_counts(spark):
     (first,), window = legacy_page(token="7")
     (last,), _ = legacy_page()
     pages = landed(spark, ([first, last], window))
-    assert last_pages(pages).first()["last_pages"] == 1
+    assert last_pages(stage_report_pages(pages, shared_folder(spark, "staged"))).first()["last_pages"] == 1
 
 
 def test_landed_files(spark, tmp_path):
