@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import shutil
 import tempfile
 from collections.abc import Callable
@@ -17,12 +18,20 @@ from trafficloom.session import shared_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows in a batch that goes to a Python worker. Spark's default of 10,000 suits numbers;
+#: rows here are whole texts, and a worker holds a batch several times over.
+BATCH_ROWS = "1000"
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _shipped: set[str] = set()
 
 
 def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """The query, run after the executors' Python workers were given this package, once
-    per application. Without it they find the package only if it is installed there."""
+    per application. Without it they find the package only if it is installed there.
+
+    Where the session has Spark's default for the rows of a batch, it gets ``BATCH_ROWS``.
+    """
 
     @functools.wraps(query)
     def run(spark: SparkSession, *args):
@@ -32,6 +41,8 @@ def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
             archive = shutil.make_archive(f"{tempfile.mkdtemp()}/trafficloom", "zip", root, "trafficloom")
             spark.sparkContext.addPyFile(archive)
             _shipped.add(application)
+        if spark.conf.get(BATCH_SETTING) == "10000":
+            spark.conf.set(BATCH_SETTING, BATCH_ROWS)
         return query(spark, *args)
 
     return run
@@ -55,6 +66,13 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def file_system(uri: str):
+    """The ``pyarrow`` file system of a path, and the path within it."""
+    from pyarrow.fs import FileSystem
+
+    return FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame written as Parquet to the shared folder and read back: computed
     once, whole after the loss of executors, and with a short lineage."""

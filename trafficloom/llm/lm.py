@@ -14,21 +14,23 @@ probability depends on its class and itself. That makes the model affordable: ev
 pair is learned and scored once, however often it occurs, and tokens that begin alike share
 the steps of their beginning.
 
-1. ``blocks`` turns the documents into bags of pairs, numbered within blocks of texts,
-   and each block's list of pairs with their training counts.
-2. The lists are grouped into the vocabulary: every pair with its training count.
+1. ``blocks`` turns the documents into bags of pairs, numbered within blocks of texts, and
+   each block's list of pairs with their training counts, split by the tokens' digests into
+   a share for each bucket. There are as many buckets as shuffle partitions.
+2. A bucket's shares make its part of the vocabulary: every pair with its training count.
 3. ``count_slots`` adds the training counts of all pairs to the slots, per task, and
    sums the tasks' tables chunk by chunk.
 4. ``fit_mixer`` goes once through all training pairs, in small batches and with each
    token's own occurrence taken out of its slots. Weight sets are learned online in each
    task and averaged by the weight they have seen; the map's sums are added.
-5. Every pair gets its log probability; blocks fetch what is known of their pairs and
-   add it up per document.
+5. Every pair gets its log probability; buckets tell each block what is known of its pairs,
+   and blocks add it up per document.
 
-The table of slots has a fixed size, ``LINE_BITS``, about 72 MB; with the weights, the map and
-the class model it is the only thing broadcast. A frequent token meets once per block, so no
-token is hot. The class model is fitted on a bounded sample of labelled rows; everything else
-is learned from all training documents.
+Shares travel as packed arrays, a row per block and bucket, instead of a row per pair. A
+frequent token meets once per block, so no token is hot. The table of slots has a fixed size,
+``LINE_BITS``, about 72 MB; it lies compressed in the shared folder, where every worker reads it
+once. The weights, the map and the class model travel with the tasks. The class model is fitted on a bounded sample of labelled rows; everything else is
+learned from all training documents.
 
 Defined cases: a null text is empty and consists of its end alone. Rows that repeat count
 each. A null id is digested as an empty text. Without training documents all counts are 0,
@@ -47,9 +49,8 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from trafficloom.llm.common import stored
+from trafficloom.llm.common import file_system, new_folder, stored
 from trafficloom.llm.language import SAMPLE, TextModel, bucket, fit
 
 #: Predictors: bytes of context, -1 for the whole token so far, and whether the class of
@@ -75,7 +76,7 @@ SCORE_BYTES = 1 << 16
 #: Step of the mixer, divided by the root of the gradient's squares so far.
 RATE = 0.03
 #: Text bytes in a block.
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 23
 
 END = "\n"
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -187,23 +188,47 @@ class Mixer:
         return cls(weights, np.full(weights.shape, 1e-3), np.zeros((NODES, CELLS)), np.zeros((NODES, CELLS)))
 
 
-def inputs(counts: np.ndarray, where: list[np.ndarray], own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Log odds of each predictor, with a bias, and the gate. ``own`` is the bit whose
-    one occurrence is taken out."""
+#: The predictors whose counts the gate looks at.
+GATE_BY = (2, len(PREDICTORS) - 1)
+
+
+def whole_log2(x: np.ndarray) -> np.ndarray:
+    """The whole part of the base-two logarithm of float32 numbers of one and more."""
+    return (x.view(np.int32) >> 23) - 127
+
+
+def gate_of(near: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    return np.minimum(whole, 15).astype(np.int64) * 8 + np.minimum(near >> 1, 7)
+
+
+def learning_inputs(counts: np.ndarray, where: list[np.ndarray], own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of each predictor, with a bias, and the gate, with one occurrence of the
+    bits in ``own`` taken out."""
     odds = np.ones((len(PREDICTORS) + 1, len(where[0])), np.float32)
-    exponents = {}
+    one = own.astype(np.float32)
+    pairs = counts.view(np.uint64).reshape(-1)  # zeros and ones of a slot fetched as one number
+    logs = {}
     for k, at in enumerate(where):
-        pair = counts[at]
-        zeros, ones = pair[:, 0], pair[:, 1]
-        if own is not None:
-            ones = np.maximum(ones - own, 0)
-            zeros = np.maximum(zeros - (1 - own), 0)
-        odds[k] = np.log((ones + PRIOR) / (zeros + PRIOR), dtype=np.float32)
-        if k in (2, len(where) - 1):
-            total = (zeros + ones + 1).astype(np.float32)
-            exponents[k] = (total.view(np.int32) >> 23) - 127  # whole part of the base-two logarithm
-    whole, near = exponents[len(where) - 1], exponents[2]
-    return odds, np.minimum(whole, 15) * 8 + np.minimum(near >> 1, 7)
+        pair = pairs.take(at).view(np.float32).reshape(-1, 2)
+        zeros = np.maximum(pair[:, 0] - (1 - one), 0)
+        ones = np.maximum(pair[:, 1] - one, 0)
+        if k in GATE_BY:
+            logs[k] = whole_log2(zeros + ones + np.float32(1))
+        odds[k] = np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
+    return odds, gate_of(*(logs[k] for k in GATE_BY))
+
+
+def known_odds(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each slot's log odds and the whole logarithm of its count, for scoring."""
+    odds = np.log((counts[:, 1] + np.float32(PRIOR)) / (counts[:, 0] + np.float32(PRIOR)))
+    return odds, whole_log2(counts.sum(1) + np.float32(1)).astype(np.uint8)
+
+
+def scoring_inputs(known: tuple[np.ndarray, np.ndarray], where: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    odds = np.ones((len(PREDICTORS) + 1, len(where[0])), np.float32)
+    for k, at in enumerate(where):
+        odds[k] = known[0].take(at)
+    return odds, gate_of(*(known[1].take(where[k]) for k in GATE_BY))
 
 
 def squashed(x: np.ndarray) -> np.ndarray:
@@ -226,7 +251,7 @@ def learn(mixer: Mixer, counts: np.ndarray, classes: np.ndarray, tokens: list[st
         edges = edges_of(*run[:2])
         each = step_weights(edges, run[2])
         for bit, so_far, where in decisions(edges):
-            odds, gate = inputs(counts, where, bit)
+            odds, gate = learning_inputs(counts, where, bit)
             mixed = mix(mixer, odds, gate)
             error = (bit - squashed(mixed)) * each
             total = np.bincount(gate, each, GATES)
@@ -240,8 +265,10 @@ def learn(mixer: Mixer, counts: np.ndarray, classes: np.ndarray, tokens: list[st
             mixer.ones += np.bincount(cell, each * bit, NODES * CELLS).reshape(NODES, CELLS)
 
 
-def score(mixer: Mixer, counts: np.ndarray, classes: np.ndarray, tokens: list[str]) -> np.ndarray:
-    """log10 probability of each token after text of its class."""
+def score(
+    mixer: Mixer, known: tuple[np.ndarray, np.ndarray], classes: np.ndarray, tokens: list[str]
+) -> np.ndarray:
+    """log10 probability of each token after text of its class, from ``known_odds``."""
     middle = squashed((np.arange(CELLS) - CELLS // 2) / 2)
     refined = (mixer.ones + 4 * middle) / (mixer.seen + 4)
     refined_odds = np.log(refined / (1 - refined)).astype(np.float32)
@@ -250,7 +277,7 @@ def score(mixer: Mixer, counts: np.ndarray, classes: np.ndarray, tokens: list[st
         edges = edges_of(*run[:2])
         logs = np.zeros(len(edges.byte))
         for bit, so_far, where in decisions(edges):
-            odds, gate = inputs(counts, where, None)
+            odds, gate = scoring_inputs(known, where)
             mixed = mix(mixer, odds, gate)
             both = (mixed + refined_odds[so_far, map_cells(mixed)]) / 2
             chance = np.clip(squashed(both), 1e-6, 1 - 1e-6)
@@ -264,7 +291,7 @@ def add_counts(table: np.ndarray, classes: np.ndarray, tokens: list[str], weight
     flat = table.reshape(-1)
     for run in runs(classes, tokens, weights, SCORE_BYTES):
         edges = edges_of(*run[:2])
-        each = step_weights(edges, run[2]).astype(np.int64)
+        each = step_weights(edges, run[2]).astype(table.dtype)  # add.at is slow between kinds
         often = each >= ENTERED
         for bit, _, where in decisions(edges):
             for at, (order, _) in zip(where, PREDICTORS):
@@ -277,12 +304,17 @@ def add_counts(table: np.ndarray, classes: np.ndarray, tokens: list[str], weight
 
 def class_scores(model: TextModel, words: list[bytes]) -> np.ndarray:
     """Each word's log likelihood per class, from the triples of the word between blanks."""
-    data = np.frombuffer(b" " + b" ".join(words) + b"  ", np.uint8).astype(np.uint32)
-    found = model.table.T[bucket((data[:-2] << np.uint32(16)) | (data[1:-1] << np.uint32(8)) | data[2:])]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    first = np.cumsum(sizes + 1) - sizes - 1  # the blank before each word
-    found[first + sizes] = 0.0  # from a word's last letter into the next word
-    return np.add.reduceat(found[: len(data) - 2], first)
+    table = np.ascontiguousarray(model.table.T.astype(np.float32))
+    parts = []
+    for start in range(0, len(words), 1 << 14):
+        some = words[start : start + (1 << 14)]
+        data = np.frombuffer(b" " + b" ".join(some) + b"  ", np.uint8).astype(np.uint32)
+        found = table[bucket((data[:-2] << np.uint32(16)) | (data[1:-1] << np.uint32(8)) | data[2:])]
+        sizes = np.fromiter(map(len, some), np.int64, len(some))
+        first = np.cumsum(sizes + 1) - sizes - 1  # the blank before each word
+        found[first + sizes] = 0.0  # from a word's last letter into the next word
+        parts.append(np.add.reduceat(found, first))
+    return np.concatenate(parts)
 
 
 def class_path(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -297,6 +329,23 @@ def class_path(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     return path
 
 
+def packed(values: np.ndarray) -> bytes:
+    return zlib.compress(values.tobytes(), 1)
+
+
+def unpacked(data: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), kind)
+
+
+def packed_tokens(tokens: list[bytes]) -> bytes:
+    return zlib.compress(b" ".join(tokens), 1)
+
+
+def unpacked_tokens(data: bytes) -> list[bytes]:
+    """No token has a blank in it, and the end is one of its own."""
+    return zlib.decompress(data).split(b" ")
+
+
 class Block:
     """Documents of about ``BLOCK_BYTES`` and the distinct (class, token) pairs in them."""
 
@@ -307,132 +356,184 @@ class Block:
 
     def add(self, doc_id: str | None, text: str | None) -> None:
         words = text.encode("utf-8", "surrogatepass").lower().split() if isinstance(text, str) else []
-        at = np.fromiter((self.place.setdefault(w, len(self.place)) for w in words), np.int64, len(words))
+        at = np.fromiter((self.place.setdefault(w, len(self.place)) for w in words), np.uint32, len(words))
         self.docs.append((doc_id, zlib.crc32((doc_id or "").encode()) % 5 == 1, at))
         self.size += len(text) if words else 0
 
-    def rows(self, block: int, model: TextModel) -> pd.DataFrame:
+    def rows(self, block: int, model: TextModel, buckets: int) -> pd.DataFrame:
         words = list(self.place)
         scores = class_scores(model, words)
         width = len(words)
         bags = []
         for _, _, at in self.docs:
-            tokens = np.append(at, 0)
-            bags.append(np.unique(class_path(scores, at) * width + tokens, return_counts=True))
-        pairs = np.unique(np.concatenate([codes for codes, _ in bags]))
+            codes, times = np.unique(class_path(scores, at) * width + np.append(at, 0), return_counts=True)
+            bags.append((codes.astype(np.uint32 if (len(model.classes) + 1) * width < 1 << 32 else np.uint64), times))
+        pairs = np.unique(np.concatenate([codes for codes, _ in bags])).astype(np.int64)
         training = np.zeros(len(pairs), np.int64)
         out = []
         for (doc_id, held_out, at), (codes, times) in zip(self.docs, bags):
             places = np.searchsorted(pairs, codes)
             if not held_out:
                 training[places] += times
-            out.append((block, doc_id, held_out, len(at) + 1, places.astype(np.uint32).tobytes(), times.tobytes(), None, None))
-        tokens = b" ".join(words[k] for k in pairs % width).decode("utf-8", "surrogatepass")
-        classes = (pairs // width).astype(np.uint8).tobytes()
-        out.append((block, None, None, None, None, training.tobytes(), classes, tokens))
-        return pd.DataFrame(out, columns=["block", "doc_id", "held_out", "n_tokens", "places", "times", "classes", "tokens"])
+            steps = np.diff(places, prepend=0).astype(np.uint32)
+            out.append((block, None, doc_id, held_out, len(at) + 1, packed(steps), packed(times.astype(np.uint32)), None, None))
+        of_token = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, width)
+        token = pairs % width
+        bucket_of = of_token[token]
+        order = np.argsort(bucket_of, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(bucket_of[order])) + 1):
+            tokens = packed_tokens([words[k] for k in token[some]])
+            classes = packed((pairs[some] // width).astype(np.uint8))
+            number = int(bucket_of[some[0]])
+            out.append((block, number, None, None, None, packed(some.astype(np.uint32)), packed(training[some]), classes, tokens))
+        return pd.DataFrame(out, columns=NUMBERED)
+
+
+NUMBERED = ["block", "bucket", "doc_id", "held_out", "n_tokens", "places", "times", "classes", "tokens"]
 
 
-def blocks(docs: DataFrame, id_col: str, text_col: str, model: TextModel) -> DataFrame:
-    """Stored rows per document and, with a null ``n_tokens``, per block.
+def blocks(docs: DataFrame, id_col: str, text_col: str, model: TextModel, buckets: int) -> DataFrame:
+    """Stored rows per document and, with a ``bucket``, per share of a block's list.
 
-    A document's ``places`` are those of its pairs in its block's list, ``times`` how often
-    each occurs. A block's ``tokens`` and ``classes`` are its list, ``times`` the occurrences
+    A document's ``places`` are those of its pairs in its block's list, as steps from one to
+    the next, and ``times`` how often each occurs. A share's ``tokens``, ``classes`` and
+    ``places`` are its pairs and where they stand in the list, ``times`` the occurrences
     in training documents.
     """
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, nth, block = TaskContext.get().partitionId(), 0, Block()
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 block.add(doc_id, text)
                 if block.size >= BLOCK_BYTES:
-                    yield block.rows((part << 32) + nth, model)
+                    yield block.rows((part << 32) + nth, model, buckets)
                     nth, block = nth + 1, Block()
         if block.docs:
-            yield block.rows((part << 32) + nth, model)
+            yield block.rows((part << 32) + nth, model, buckets)
 
     texts = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     schema = (
-        "block long, doc_id string, held_out boolean, n_tokens long, places binary, times binary, "
-        "classes binary, tokens string"
+        "block long, bucket int, doc_id string, held_out boolean, n_tokens long, places binary, times binary, "
+        "classes binary, tokens binary"
     )
     return stored(texts.mapInPandas(number, schema), "lm-blocks")
 
 
-def block_pairs(numbered: DataFrame) -> DataFrame:
-    """Rows (block, place, class, token, times) of the blocks' lists."""
+def vocabulary_of(shares: DataFrame) -> DataFrame:
+    """Stored rows, one per bucket: its distinct pairs in an order that lets neighbours share
+    their beginnings, as packed ``tokens``, ``classes``, ``times`` (training count of the pair)
+    and ``totals`` (of the token in all classes); ``known`` and ``trained`` count the distinct
+    training tokens and their occurrences."""
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        sums: dict[tuple[int, bytes], int] = {}
+        for tokens, classes, times in group[["tokens", "classes", "times"]].itertuples(index=False):
+            pairs = zip(unpacked(classes, np.uint8).tolist(), unpacked_tokens(tokens))
+            for pair, n in zip(pairs, unpacked(times, np.int64).tolist()):
+                sums[pair] = sums.get(pair, 0) + n
+        pairs = sorted(sums)
+        total: dict[bytes, int] = {}
+        for pair in pairs:
+            total[pair[1]] = total.get(pair[1], 0) + sums[pair]
+        times = np.array([sums[p] for p in pairs], np.int64)
+        return pd.DataFrame(
+            {
+                "bucket": [group["bucket"].iloc[0]],
+                "tokens": [packed_tokens([t for _, t in pairs])],
+                "classes": [packed(np.array([c for c, _ in pairs], np.uint8))],
+                "times": [packed(times)],
+                "totals": [packed(np.array([total[t] for _, t in pairs], np.int64))],
+                "known": [sum(n > 0 for n in total.values())],
+                "trained": [int(times.sum())],
+            }
+        )
+
+    schema = "bucket int, tokens binary, classes binary, times binary, totals binary, known long, trained long"
+    return stored(shares.groupBy("bucket").applyInPandas(merge, schema), "lm-vocabulary")
+
+
+class SlotTable:
+    """The counts of all slots in a file of the shared folder, read by a worker when it
+    first needs them and kept, in the form it needs, until it needs something else."""
+
+    kept: tuple = (None, None)
+
+    def __init__(self, path: str):
+        self.path = path
 
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for block, tokens, classes, times in batch.itertuples(index=False):
-                words = tokens.split(" ")
-                yield pd.DataFrame(
-                    {
-                        "block": block,
-                        "place": np.arange(len(words)),
-                        "class": np.frombuffer(classes, np.uint8).astype(np.int32),
-                        "token": words,
-                        "times": np.frombuffer(times, np.int64),
-                    }
-                )
-
-    lists = numbered.filter("n_tokens IS NULL").select("block", "tokens", "classes", "times")
-    return lists.mapInPandas(spread, "block long, place long, class int, token string, times long")
-
-
-def vocabulary_of(listed: DataFrame) -> DataFrame:
-    """Stored rows (class, token, times, total, first), in an order that lets neighbours
-    share their beginnings; ``total`` is the token's training count in all classes."""
-    pairs = listed.groupBy("class", "token").agg(F.sum("times").alias("times"))
-    of_token = Window.partitionBy("token")
-    counted = pairs.withColumns(
-        {
-            "total": F.sum("times").over(of_token),
-            "first": F.row_number().over(of_token.orderBy("class")) == 1,
-        }
-    )
-    return stored(counted.repartitionByRange("class", "token").sortWithinPartitions("class", "token"), "lm-vocabulary")
-
-
-def count_slots(vocabulary: DataFrame) -> np.ndarray:
+    @classmethod
+    def write(cls, counts: np.ndarray, folder: str) -> "SlotTable":
+        system, base = file_system(folder)
+        with system.open_output_stream(f"{base}/slots") as out:
+            out.write(packed(counts))
+        return cls(f"{folder}/slots")
+
+    def _kept(self, form):
+        if SlotTable.kept[0] != (self.path, form.__name__):
+            SlotTable.kept = (None, None)
+            system, name = file_system(self.path)
+            with system.open_input_stream(name) as file:
+                counts = unpacked(file.read(), np.float32).reshape(-1, 2)
+            SlotTable.kept = (self.path, form.__name__), form(counts)
+        return SlotTable.kept[1]
+
+    def counts(self) -> np.ndarray:
+        return self._kept(np.asarray)
+
+    def odds(self) -> tuple[np.ndarray, np.ndarray]:
+        return self._kept(known_odds)
+
+
+def training_pairs(row) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """The classes, tokens and counts of a vocabulary row's pairs that occur in training."""
+    times = unpacked(row.times, np.int64)
+    there = np.flatnonzero(times)
+    tokens = unpacked_tokens(row.tokens)
+    texts = [tokens[k].decode("utf-8", "surrogatepass") for k in there]
+    return unpacked(row.classes, np.uint8)[there].astype(np.int64), texts, times[there]
+
+
+def count_slots(vocabulary: DataFrame, trained: int) -> np.ndarray:
     """Zeros and ones per slot, as float32, from all pairs with a training count."""
+    kind = np.uint32 if trained < 1 << 32 else np.int64  # no sum exceeds the number of tokens
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = np.zeros((SLOTS, 2), np.int64)
+        table = np.zeros((SLOTS, 2), kind)
         for batch in batches:
-            add_counts(table, batch["class"].to_numpy(), batch["token"].tolist(), batch["times"].to_numpy())
+            for row in batch.itertuples(index=False):
+                add_counts(table, *training_pairs(row))
         for start in range(0, SLOTS, CHUNK):
             piece = table[start : start + CHUNK]
             if piece.any():
-                yield pd.DataFrame({"chunk": [start], "counts": [zlib.compress(piece.tobytes(), 1)]})
+                yield pd.DataFrame({"chunk": [start], "counts": [packed(piece)]})
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(c), np.int64) for c in group["counts"])
-        packed = zlib.compress(total.astype(np.float32).tobytes(), 1)
-        return pd.DataFrame({"chunk": [group["chunk"].iloc[0]], "counts": [packed]})
+        total = sum(unpacked(c, kind).astype(np.float64) for c in group["counts"])
+        return pd.DataFrame({"chunk": [group["chunk"].iloc[0]], "counts": [packed(total.astype(np.float32))]})
 
     schema = "chunk long, counts binary"
-    partial = vocabulary.filter("times > 0").select("class", "token", "times").mapInPandas(count, schema)
+    partial = vocabulary.filter("trained > 0").select("tokens", "classes", "times").mapInPandas(count, schema)
     table = np.zeros((SLOTS, 2), np.float32)
     for row in partial.groupBy("chunk").applyInPandas(add, schema).collect():  # the table's fixed size at most
-        piece = np.frombuffer(zlib.decompress(row["counts"]), np.float32).reshape(-1, 2)
+        piece = unpacked(row["counts"], np.float32).reshape(-1, 2)
         table[row["chunk"] : row["chunk"] + len(piece)] = piece
     return table
 
 
-def fit_mixer(vocabulary: DataFrame, counts) -> Mixer:
+def fit_mixer(vocabulary: DataFrame, counts: SlotTable) -> Mixer:
     """The mixer from one online pass of every task over its training pairs."""
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mixer, seen = Mixer.fresh(), np.zeros(GATES)
         for batch in batches:
-            often = batch["times"].to_numpy().astype(float)
-            learn(mixer, counts.value, batch["class"].to_numpy(), batch["token"].tolist(), often, seen)
+            for row in batch.itertuples(index=False):
+                classes, tokens, times = training_pairs(row)
+                learn(mixer, counts.counts(), classes, tokens, times.astype(float), seen)
         for kind, values in enumerate((mixer.weights * seen[:, None], seen, mixer.ones, mixer.seen)):
             yield pd.DataFrame({"kind": kind, "place": np.arange(values.size), "value": values.reshape(-1)})
 
-    parts = vocabulary.filter("times > 0").select("class", "token", "times")
+    parts = vocabulary.filter("trained > 0").select("tokens", "classes", "times")
     parts = parts.mapInPandas(fit, "kind int, place long, value double")
     sums = parts.groupBy("kind", "place").agg(F.sum("value").alias("value")).toPandas()  # the mixer's fixed size
     mixer = Mixer.fresh()
@@ -453,43 +554,67 @@ def scored(
     spark = docs.sparkSession
     labelled = docs if label_col else docs.limit(0).withColumn("no_label", F.lit(""))
     model = fit(labelled, id_col, text_col, label_col or "no_label", sample)
-    numbered = blocks(docs, id_col, text_col, model)
-    listed = block_pairs(numbered)
-    vocabulary = vocabulary_of(listed)
-    known_tokens = F.count_if(F.col("first") & (F.col("total") > 0))
-    tokens, distinct = vocabulary.agg(F.coalesce(F.sum("times"), F.lit(0)), known_tokens).first()
-    counts = spark.sparkContext.broadcast(count_slots(vocabulary))
-    mixer = spark.sparkContext.broadcast(fit_mixer(vocabulary, counts))
+    numbered = blocks(docs, id_col, text_col, model, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shares = numbered.filter("bucket IS NOT NULL")
+    vocabulary = vocabulary_of(shares.select("bucket", "tokens", "classes", "times"))
+    sums = vocabulary.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0)))
+    trained, distinct = sums.first()
+    counts = SlotTable.write(count_slots(vocabulary, trained), new_folder(spark, "lm-slots"))
+    mixer = fit_mixer(vocabulary, counts)
 
     def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            logs = score(mixer.value, counts.value, batch["class"].to_numpy(), batch["token"].tolist())
-            yield batch.assign(log=logs)
+            logs = []
+            for row in batch.itertuples(index=False):
+                texts = [t.decode("utf-8", "surrogatepass") for t in unpacked_tokens(row.tokens)]
+                logs.append(score(mixer, counts.odds(), unpacked(row.classes, np.uint8).astype(np.int64), texts).tobytes())
+            yield batch.assign(logs=logs)
+
+    rated = vocabulary.select("bucket", "tokens", "classes", "totals").mapInPandas(
+        rate, "bucket int, tokens binary, classes binary, totals binary, logs binary"
+    )
 
-    rated = stored(
-        vocabulary.select("class", "token", "total").mapInPandas(rate, "class int, token string, total long, log double"),
-        "lm-pairs",
+    def answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        (row,) = known.itertuples(index=False)
+        place = {pair: k for k, pair in enumerate(zip(unpacked(row.classes, np.uint8).tolist(), unpacked_tokens(row.tokens)))}
+        totals, logs = unpacked(row.totals, np.int64), np.frombuffer(row.logs, np.float64)
+        out = []
+        for share in asked.itertuples(index=False):
+            tokens = unpacked_tokens(share.tokens)
+            pairs = zip(unpacked(share.classes, np.uint8).tolist(), tokens)
+            at = np.fromiter((place[p] for p in pairs), np.int64, len(tokens))
+            sizes = np.fromiter((len(t) + (t != END.encode()) for t in tokens), np.uint32, len(tokens))
+            out.append((share.block, share.places, packed(totals[at]), logs[at].tobytes(), packed(sizes)))
+        return pd.DataFrame(out, columns=["block", "places", "totals", "logs", "sizes"])
+
+    known = (
+        shares.select("block", "bucket", "places", "tokens", "classes")
+        .groupBy("bucket")
+        .cogroup(stored(rated, "lm-rated").groupBy("bucket"))
+        .applyInPandas(answer, "block long, places binary, totals binary, logs binary, sizes binary")
     )
-    norm = tokens + 0.5 * (distinct + 1)
+    norm = trained + 0.5 * (distinct + 1)
 
     def add_up(bags: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        places = known["place"].to_numpy()
-        total, logs, sizes = np.zeros(len(known), np.int64), np.zeros(len(known)), np.zeros(len(known), np.int64)
-        total[places], logs[places], sizes[places] = known["total"], known["log"], known["bytes"]
+        at = [unpacked(p, np.uint32) for p in known["places"]]
+        size = sum(map(len, at))
+        total, logs, sizes = np.zeros(size, np.int64), np.zeros(size), np.zeros(size, np.int64)
+        for places, row in zip(at, known.itertuples(index=False)):
+            total[places] = unpacked(row.totals, np.int64)
+            logs[places] = np.frombuffer(row.logs, np.float64)
+            sizes[places] = unpacked(row.sizes, np.uint32)
         base = np.log10((total + 0.5) / norm)
         rows = []
-        for doc_id, held_out, n_tokens, at, times in bags.drop(columns="block").itertuples(index=False):
-            at, n = np.frombuffer(at, np.uint32), np.frombuffer(times, np.int64)
-            sums = float(n @ base[at]), float(n @ logs[at])
-            bits = -sums[1] * math.log2(10) / int(n @ sizes[at])
-            rows.append((doc_id, held_out, n_tokens, int(n[total[at] > 0].sum()), tokens, *sums, bits))
+        for doc_id, held_out, n_tokens, steps, times in bags.drop(columns="block").itertuples(index=False):
+            own = np.cumsum(unpacked(steps, np.uint32), dtype=np.int64)
+            n = unpacked(times, np.uint32).astype(np.int64)
+            sums = float(n @ base[own]), float(n @ logs[own])
+            bits = -sums[1] * math.log2(10) / int(n @ sizes[own])
+            rows.append((doc_id, held_out, n_tokens, int(n[total[own] > 0].sum()), trained, *sums, bits))
         names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
         return pd.DataFrame(rows, columns=names)
 
-    coded_bytes = F.when(F.col("token") == END, 1).otherwise(F.octet_length("token") + 1)
-    known = listed.select("block", "place", "class", "token").join(rated, ["class", "token"])
-    known = known.select("block", "place", "total", "log", coded_bytes.alias("bytes"))
-    bags = numbered.filter("n_tokens IS NOT NULL").select("block", "doc_id", "held_out", "n_tokens", "places", "times")
+    bags = numbered.filter("bucket IS NULL").select("block", "doc_id", "held_out", "n_tokens", "places", "times")
     schema = (
         "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, bits_per_byte double"

@@ -29,12 +29,11 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficloom.llm.common import new_folder, stored
+from trafficloom.llm.common import file_system, new_folder, stored
 
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a file after which the next one is begun, and of a range to be read.
@@ -54,10 +53,6 @@ RECORD = (
 )
 
 
-def file_system(uri: str) -> tuple[arrow_fs.FileSystem, str]:
-    return arrow_fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
-
-
 def with_types(pages: DataFrame, id_col: str, url_col: str, payload_col: str, revisit_from: int = 0) -> DataFrame:
     """Rows (id, url, payload, digest, responder) with the payload as bytes; ``responder`` is
     the id of the response that the row revisits, null if it is a response itself."""
