@@ -326,6 +326,7 @@ def deduplicated(
     ids = stored(kept.groupBy("doc_id").agg(F.count("*").alias("n")), "neardup-kept")
     same = lambda some: docs[id_col].cast("long") == some["doc_id"]
     once, often = ids.filter("n = 1"), ids.filter("n > 1")
-    single = docs.join(once, same(once), "left_semi")
-    repeated = docs.join(often, same(often), "left_semi").dropDuplicates([id_col])
-    return single.union(repeated).union(docs.filter(F.col(id_col).isNull()))
+    found = docs.join(once.hint("merge"), same(once), "left_semi")
+    if not often.isEmpty():
+        found = found.union(docs.join(often, same(often), "left_semi").dropDuplicates([id_col]))
+    return found.union(docs.filter(F.col(id_col).isNull()))
