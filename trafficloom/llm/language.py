@@ -81,7 +81,8 @@ def primary(tag: Column) -> Column:
 
 def fit(rows: DataFrame, id_col: str, text_col: str, label_col: str, sample: int = SAMPLE) -> TextModel:
     """The text model from the labelled rows with the smallest digests of their ids, at
-    most ``sample`` of them. Their counts per language and bucket reach the driver."""
+    most ``sample`` of them where ids do not repeat. They are counted where they lie; only
+    the counts per language and bucket reach the driver."""
     labelled = rows.select(
         F.xxhash64(F.col(id_col)).alias("draw"), primary(F.col(label_col)).alias("label"), F.col(text_col).alias("text")
     ).filter("label <> '' AND text IS NOT NULL")
