@@ -202,3 +202,30 @@ def test_class_scores_do_not_depend_on_neighbours():
     for word, row in zip(words, found):
         assert row == pytest.approx(lm.class_scores(model, [word])[0])
     assert lm.class_path(found, np.array([1, 3])).shape == (3,)
+
+
+def test_the_order_of_tokens_matters(spark):
+    """Texts of a cycle of words: the held-out ones score better than the same words scrambled."""
+    words = [f"w{chr(97 + k % 26)}{k}" for k in range(60)]
+    texts = [" ".join(words[(k * 7 + j) % 60] for j in range(120)) for k in range(150)]
+    held = [k for k in range(150, 400) if zlib.crc32(str(k).encode()) % 5 == 1][:20]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    for n, k in enumerate(held):
+        own = texts[n].split()
+        rows.append((k, " ".join(own if n % 2 else np.random.default_rng(n).permutation(own))))
+    found = lm.scored(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), label_col=None)
+    score = {r["doc_id"]: r["score"] for r in found.collect()}
+    clean, scrambled = (np.mean([score[k] for k in held[rest::2]]) for rest in (1, 0))
+    assert clean > 0.5 * scrambled
+    assert clean < 0
+
+
+def test_shares_of_the_token_before_are_the_likeliest():
+    import pandas as pd
+
+    cells = np.array([0, 1 + lm.ODDS_STEPS * (2 - lm.ODDS_LEAST)])  # none, and odds of four
+    shares = lm.fit_shares(pd.DataFrame({"code": 5 * lm.ODDS_CELLS + cells, "n": [500, 500]}))
+    # n log(1 - s) + n log(1 + 3 s) is largest at a third; unmet gates have no share.
+    assert shares[5] == pytest.approx(1 / 3, abs=0.01) and shares[4] < 1e-6
+    gain = lm.log2_gain(shares, np.array([5, 5]), cells.astype(np.uint16))
+    assert 2**gain == pytest.approx([1 - shares[5], 1 + 3 * shares[5]])

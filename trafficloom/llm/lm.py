@@ -9,10 +9,14 @@ seen there. The slots' log odds are mixed by a weight set that a gate chooses fr
 the contexts were seen; an adaptive map then refines the mixed probability by the bits so far.
 
 The class is the language that the tokens before speak for, by a small model of letter
-triples, and ``none`` before the first. It is all that reaches across tokens, so a token's
-probability depends on its class and itself. That makes the model affordable: every distinct
-pair is learned and scored once, however often it occurs, and tokens that begin alike share
-the steps of their beginning.
+triples, and ``none`` before the first. The bytes' contexts end at the token, so every distinct
+pair of class and token is coded once, however often it occurs, and tokens that begin alike
+share the steps of their beginning.
+
+The token before is a context of the whole token: its predictor is how often the token followed
+it in training. This is mixed with the probability of the coded bytes by a share that a gate
+chooses from how often the token before was seen. The shares are those under which the training
+texts are likeliest with each occurrence taken out of the followers it is predicted from.
 
 1. ``blocks`` turns the documents into bags of pairs, numbered within blocks of texts, and
    each block's list of pairs with their training counts, split by the tokens' digests into
@@ -23,11 +27,15 @@ the steps of their beginning.
 4. ``fit_mixer`` goes once through all training pairs, in small batches and with each
    token's own occurrence taken out of its slots. Weight sets are learned online in each
    task and averaged by the weight they have seen; the map's sums are added.
-5. Every pair gets its log probability; buckets tell each block what is known of its pairs,
-   and blocks add it up per document.
+5. Every pair gets its log probability, and every two tokens in a row their training count;
+   buckets tell each block what is known of its own.
+6. ``fit_shares`` finds the shares of the token before from sums over all training texts, and
+   blocks add up each document.
 
 Shares travel as packed arrays, a row per block and bucket, instead of a row per pair. A
-frequent token meets once per block, so no token is hot. The table of slots has a fixed size,
+frequent token meets once per block, so no token is hot. Two tokens in a row are known by 48 bits
+of a digest; among three thousand million, two that never met are taken for others once in some
+90,000 times. The table of slots has a fixed size,
 ``LINE_BITS``, about 72 MB; it lies compressed in the shared folder, where every worker reads it
 once. The weights, the map and the class model travel with the tasks. The class model is fitted on a bounded sample of labelled rows; everything else is
 learned from all training documents.
@@ -42,12 +50,13 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficloom.llm.common import file_system, new_folder, stored
@@ -77,6 +86,13 @@ SCORE_BYTES = 1 << 16
 RATE = 0.03
 #: Text bytes in a block.
 BLOCK_BYTES = 1 << 23
+SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.maxConcurrentOutputFileWriters": "3"}
+
+#: Gates of the shares, by the whole logarithm of how often the token before was seen.
+FOLLOW_GATES = 32
+#: Cells of the followers' odds against the bytes' probability, in 32 steps an octave from
+#: 2 ** -30; the first is for none. Odds are rounded down, so probabilities still sum to one at most.
+ODDS_STEPS, ODDS_LEAST, ODDS_CELLS = 32, -30, 1 << 16
 
 END = "\n"
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -346,6 +362,37 @@ def unpacked_tokens(data: bytes) -> list[bytes]:
     return zlib.decompress(data).split(b" ")
 
 
+def packed_planes(values: np.ndarray) -> bytes:
+    """Numbers with their first bytes together, then their second, and so on."""
+    return zlib.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes(), 1)
+
+
+def unpacked_planes(data: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
+def token_digests(words: list[bytes]) -> np.ndarray:
+    from xxhash import xxh3_64_intdigest
+
+    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def follower_digests(digests: np.ndarray, first: np.ndarray, end: np.uint64) -> np.ndarray:
+    """48 bits for each token and the one before it; before a text's first stands the end."""
+    before = np.concatenate([[end], digests[:-1]])
+    before[first] = end
+    with np.errstate(over="ignore"):
+        mixed = (before * _ODD[0]) ^ (digests >> np.uint64(17)) ^ (digests * _ODD[1])
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * _ODD[0]
+    return (mixed ^ (mixed >> np.uint64(29))) >> np.uint64(16)
+
+
+def bucket_of_digest(digests: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets are ranges of the 48 bits."""
+    return ((digests >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
+
+
 class Block:
     """Documents of about ``BLOCK_BYTES`` and the distinct (class, token) pairs in them."""
 
@@ -364,19 +411,31 @@ class Block:
         words = list(self.place)
         scores = class_scores(model, words)
         width = len(words)
-        bags = []
-        for _, _, at in self.docs:
-            codes, times = np.unique(class_path(scores, at) * width + np.append(at, 0), return_counts=True)
-            bags.append((codes.astype(np.uint32 if (len(model.classes) + 1) * width < 1 << 32 else np.uint64), times))
-        pairs = np.unique(np.concatenate([codes for codes, _ in bags])).astype(np.int64)
-        training = np.zeros(len(pairs), np.int64)
+        lengths = np.array([len(at) + 1 for _, _, at in self.docs])
+        first = np.cumsum(lengths) - lengths
+        codes = np.concatenate([class_path(scores, at) * width + np.append(at, 0) for _, _, at in self.docs])
+        there = np.zeros((len(model.classes) + 1) * width, bool)
+        there[codes] = True
+        pairs = np.flatnonzero(there)
+        places = (np.cumsum(there) - 1)[codes]
+        learned = np.repeat([not held_out for _, held_out, _ in self.docs], lengths)
+        training = np.bincount(places[learned], minlength=len(pairs))
+        digests = token_digests(words)
         out = []
-        for (doc_id, held_out, at), (codes, times) in zip(self.docs, bags):
-            places = np.searchsorted(pairs, codes)
-            if not held_out:
-                training[places] += times
-            steps = np.diff(places, prepend=0).astype(np.uint32)
-            out.append((block, None, doc_id, held_out, len(at) + 1, packed(steps), packed(times.astype(np.uint32)), None, None))
+        for (doc_id, held_out, _), start, length in zip(self.docs, first, lengths):
+            sequence = packed_planes(places[start : start + length].astype(np.uint32))
+            out.append(("text", block, None, doc_id, held_out, length, sequence, None, None, None, None))
+        # Two tokens in a row, in the order of their digests, which is also that of the buckets.
+        both = follower_digests(digests[codes % width], first, digests[0])
+        order = np.argsort(both)
+        both = both[order]
+        starts = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+        follows, both = np.add.reduceat(learned[order].astype(np.uint32), starts, dtype=np.uint32), both[starts]
+        ends = np.searchsorted(bucket_of_digest(both, buckets), np.arange(buckets + 1))
+        for number in np.flatnonzero(np.diff(ends)):
+            some = slice(ends[number], ends[number + 1])
+            steps = np.diff(both[some], prepend=np.uint64(0))
+            out.append(("follows", block, int(number), None, None, None, None, packed_planes(follows[some]), None, None, packed_planes(steps)))
         of_token = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, width)
         token = pairs % width
         bucket_of = of_token[token]
@@ -385,20 +444,21 @@ class Block:
             tokens = packed_tokens([words[k] for k in token[some]])
             classes = packed((pairs[some] // width).astype(np.uint8))
             number = int(bucket_of[some[0]])
-            out.append((block, number, None, None, None, packed(some.astype(np.uint32)), packed(training[some]), classes, tokens))
+            out.append(("pairs", block, number, None, None, None, packed(some.astype(np.uint32)), packed(training[some]), classes, tokens, None))
         return pd.DataFrame(out, columns=NUMBERED)
 
 
-NUMBERED = ["block", "bucket", "doc_id", "held_out", "n_tokens", "places", "times", "classes", "tokens"]
+NUMBERED = ["kind", "block", "bucket", "doc_id", "held_out", "n_tokens", "places", "times", "classes", "tokens", "digests"]
 
 
-def blocks(docs: DataFrame, id_col: str, text_col: str, model: TextModel, buckets: int) -> DataFrame:
-    """Stored rows per document and, with a ``bucket``, per share of a block's list.
+def blocks(docs: DataFrame, id_col: str, text_col: str, model: TextModel, buckets: int) -> tuple[DataFrame, str]:
+    """Stored rows per document (their ``kind`` is text) and, with a ``bucket``, per share of a
+    block's list (pairs) and of its two tokens in a row (follows), in a folder of each kind.
 
-    A document's ``places`` are those of its pairs in its block's list, as steps from one to
-    the next, and ``times`` how often each occurs. A share's ``tokens``, ``classes`` and
-    ``places`` are its pairs and where they stand in the list, ``times`` the occurrences
-    in training documents.
+    A document's ``places`` are those of its tokens in its block's list of pairs, in the order
+    of the text. A share's ``tokens``, ``classes`` and ``places`` are its pairs and where they
+    stand in the list, ``times`` the occurrences in training documents. Two tokens in a row
+    have ``digests`` instead, as steps from one to the next.
     """
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -415,9 +475,32 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, model: TextModel, bucket
     texts = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     schema = (
         "block long, bucket int, doc_id string, held_out boolean, n_tokens long, places binary, times binary, "
-        "classes binary, tokens binary"
+        "classes binary, tokens binary, digests binary"
     )
-    return stored(texts.mapInPandas(number, schema), "lm-blocks")
+    path = f"{new_folder(docs.sparkSession, 'lm-blocks')}/rows"
+    texts.mapInPandas(number, f"kind string, {schema}").write.partitionBy("kind").parquet(path)
+    return docs.sparkSession.read.schema(f"{schema}, kind string").parquet(path), path
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Deletes a stored folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def frugal(spark: SparkSession):
+    """Within it, what a query shuffled is deleted when the query has ended. All that is used
+    again here is stored, so its shuffles are not. The kinds of rows are written side by
+    side instead of being sorted."""
+    given = {name: spark.conf.get(name, None) for name in SETTINGS}
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in given.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def vocabulary_of(shares: DataFrame) -> DataFrame:
@@ -546,16 +629,71 @@ def fit_mixer(vocabulary: DataFrame, counts: SlotTable) -> Mixer:
     return mixer
 
 
+def followers_of(shares: DataFrame) -> DataFrame:
+    """Stored rows (block, bucket, times): the training counts, over all blocks, of the block's
+    distinct two tokens in a row, in the order of their digests."""
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        digests = [np.cumsum(unpacked_planes(d, np.uint64), dtype=np.uint64) for d in group["digests"]]
+        values, at = np.unique(np.concatenate(digests), return_inverse=True)
+        counts = np.concatenate([unpacked_planes(t, np.uint32) for t in group["times"]])
+        found = np.bincount(at, counts, len(values)).astype(np.int64)[at]
+        split = np.split(found, np.cumsum([len(d) for d in digests])[:-1])
+        return pd.DataFrame({"block": group["block"], "bucket": group["bucket"], "times": [packed_planes(f) for f in split]})
+
+    return stored(shares.groupBy("bucket").applyInPandas(add, "block long, bucket int, times binary"), "lm-followers")
+
+
+def follow_odds(both: np.ndarray, before: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gate and cell of each token, from the counts of it and the token before, and of the
+    latter, and its log10 probability by its bytes."""
+    gate = np.minimum(np.log2(before + 1).astype(np.int64), FOLLOW_GATES - 1)
+    cell = np.zeros(len(both), np.uint16)
+    met = np.flatnonzero(both > 0)
+    odds = np.log2(both[met] / before[met]) - logs[met] * math.log2(10)
+    cell[met] = np.clip(np.floor((odds - ODDS_LEAST) * ODDS_STEPS) + 1, 0, ODDS_CELLS - 1).astype(np.uint16)
+    return gate, cell
+
+
+def log2_gain(shares: np.ndarray, gate: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """What the token before adds to the log2 probability."""
+    odds = np.where(cell > 0, (cell.astype(float) - 1) / ODDS_STEPS + ODDS_LEAST, -np.inf)
+    with np.errstate(divide="ignore"):
+        return np.logaddexp2(np.log2(1 - shares)[gate], np.log2(shares)[gate] + odds)
+
+
+def fit_shares(shown: pd.DataFrame) -> np.ndarray:
+    """The likeliest share per gate, from rows (code, n) of gate and cell; one more occurrence
+    without odds keeps each share below one. Expectation and maximisation in turns."""
+    code, n = shown["code"].to_numpy(np.int64), shown["n"].to_numpy(float)
+    gate, cell = code // ODDS_CELLS, code % ODDS_CELLS
+    total = np.bincount(gate, n, FOLLOW_GATES) + 1
+    shares = np.where(np.arange(FOLLOW_GATES) > 0, 0.5, 0.0)
+    odds = np.where(cell > 0, (cell - 1) / ODDS_STEPS + ODDS_LEAST, -np.inf)
+    for _ in range(300):
+        with np.errstate(divide="ignore"):
+            own = np.exp2(np.log2(shares)[gate] + odds - log2_gain(shares, gate, cell))
+        shares = np.bincount(gate, n * own, FOLLOW_GATES) / total
+    return shares
+
+
 def scored(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str | None = "lang", sample: int = SAMPLE
 ) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score, and bits_per_byte of its coded tokens."""
+    with frugal(docs.sparkSession):
+        return _scored(docs, id_col, text_col, label_col, sample)
+
+
+def _scored(docs: DataFrame, id_col: str, text_col: str, label_col: str | None, sample: int) -> DataFrame:
     spark = docs.sparkSession
     labelled = docs if label_col else docs.limit(0).withColumn("no_label", F.lit(""))
     model = fit(labelled, id_col, text_col, label_col or "no_label", sample)
-    numbered = blocks(docs, id_col, text_col, model, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shares = numbered.filter("bucket IS NOT NULL")
+    numbered, folder = blocks(docs, id_col, text_col, model, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shares = numbered.filter("kind = 'pairs'")
+    followers = followers_of(numbered.filter("kind = 'follows'").select("block", "bucket", "times", "digests"))
+    dropped(spark, f"{folder}/kind=follows")
     vocabulary = vocabulary_of(shares.select("bucket", "tokens", "classes", "times"))
     sums = vocabulary.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0)))
     trained, distinct = sums.first()
@@ -575,6 +713,7 @@ def scored(
     )
 
     def answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        SlotTable.kept = (None, None)
         (row,) = known.itertuples(index=False)
         place = {pair: k for k, pair in enumerate(zip(unpacked(row.classes, np.uint8).tolist(), unpacked_tokens(row.tokens)))}
         totals, logs = unpacked(row.totals, np.int64), np.frombuffer(row.logs, np.float64)
@@ -584,40 +723,87 @@ def scored(
             pairs = zip(unpacked(share.classes, np.uint8).tolist(), tokens)
             at = np.fromiter((place[p] for p in pairs), np.int64, len(tokens))
             sizes = np.fromiter((len(t) + (t != END.encode()) for t in tokens), np.uint32, len(tokens))
-            out.append((share.block, share.places, packed(totals[at]), logs[at].tobytes(), packed(sizes)))
-        return pd.DataFrame(out, columns=["block", "places", "totals", "logs", "sizes"])
+            digests = packed(token_digests(tokens))
+            out.append((share.block, None, share.places, packed(totals[at]), logs[at].tobytes(), packed(sizes), digests, None))
+        return pd.DataFrame(out, columns=["block", "bucket", "places", "totals", "logs", "sizes", "digests", "times"])
+
+    answers = "block long, bucket int, places binary, totals binary, logs binary, sizes binary, digests binary, times binary"
 
     known = (
         shares.select("block", "bucket", "places", "tokens", "classes")
         .groupBy("bucket")
         .cogroup(stored(rated, "lm-rated").groupBy("bucket"))
-        .applyInPandas(answer, "block long, places binary, totals binary, logs binary, sizes binary")
+        .applyInPandas(answer, answers)
     )
     norm = trained + 0.5 * (distinct + 1)
 
-    def add_up(bags: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        at = [unpacked(p, np.uint32) for p in known["places"]]
+    def add_up(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        SlotTable.kept = (None, None)
+        shares, follows = known[known["places"].notna()], known[known["places"].isna()].sort_values("bucket")
+        at = [unpacked(p, np.uint32) for p in shares["places"]]
         size = sum(map(len, at))
-        total, logs, sizes = np.zeros(size, np.int64), np.zeros(size), np.zeros(size, np.int64)
-        for places, row in zip(at, known.itertuples(index=False)):
+        total, logs, sizes, digests = np.zeros(size, np.int64), np.zeros(size), np.zeros(size, np.int64), np.zeros(size, np.uint64)
+        for places, row in zip(at, shares.itertuples(index=False)):
             total[places] = unpacked(row.totals, np.int64)
             logs[places] = np.frombuffer(row.logs, np.float64)
             sizes[places] = unpacked(row.sizes, np.uint32)
+            digests[places] = unpacked(row.digests, np.uint64)
         base = np.log10((total + 0.5) / norm)
-        rows = []
-        for doc_id, held_out, n_tokens, steps, times in bags.drop(columns="block").itertuples(index=False):
-            own = np.cumsum(unpacked(steps, np.uint32), dtype=np.int64)
-            n = unpacked(times, np.uint32).astype(np.int64)
-            sums = float(n @ base[own]), float(n @ logs[own])
-            bits = -sums[1] * math.log2(10) / int(n @ sizes[own])
-            rows.append((doc_id, held_out, n_tokens, int(n[total[own] > 0].sum()), trained, *sums, bits))
-        names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
-        return pd.DataFrame(rows, columns=names)
-
-    bags = numbered.filter("bucket IS NULL").select("block", "doc_id", "held_out", "n_tokens", "places", "times")
+        lengths = texts["n_tokens"].to_numpy(np.int64)
+        first = np.cumsum(lengths) - lengths
+        own = np.concatenate([unpacked_planes(p, np.uint32) for p in texts["places"]])
+        both = follower_digests(digests[own], first, digests[own[-1]])
+        order = np.argsort(both)
+        both = both[order]
+        rank = np.cumsum(np.append(False, both[1:] != both[:-1]))
+        both[order] = np.concatenate([unpacked_planes(t, np.uint64) for t in follows["times"]])[rank]
+        both = both.view(np.int64)
+        del order, rank, digests
+        before = np.append(0, total[own[:-1]])
+        before[first] = total[own[-1]]  # every text ends once, and begins once
+        learned = np.repeat(~texts["held_out"].to_numpy(bool), lengths)
+        gate, cell = follow_odds(both, before, logs[own])
+        gate = gate.astype(np.uint8)
+        shown = follow_odds(both[learned] - 1, before[learned] - 1, logs[own[learned]])
+        codes, n = np.unique(shown[0] * ODDS_CELLS + shown[1], return_counts=True)
+        del shown, both, before
+        rows = [(None, None, None, None, None, None, None, packed(codes), packed(n.astype(np.int64)))]
+        sums = [np.add.reduceat(x[own], first).tolist() for x in ((total > 0).astype(np.int64), base, logs, sizes)]
+        for doc_id, held_out, start, length, *values in zip(texts["doc_id"], texts["held_out"], first, lengths, *sums):
+            some = slice(start, start + length)
+            rows.append((doc_id, held_out, length, *values, packed(gate[some]), packed_planes(cell[some])))
+        return pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "n_known", "base", "logs", "bytes", "gates", "cells"])
+
+    texts = numbered.filter("kind = 'text'").select("block", "doc_id", "held_out", "n_tokens", "places")
+    nothing = (F.lit(None).cast("binary").alias(c) for c in ("places", "totals", "logs", "sizes", "digests"))
+    known = known.union(followers.select("block", "bucket", *nothing, "times"))
+    schema = (
+        "doc_id string, held_out boolean, n_tokens long, n_known long, base double, logs double, bytes long, "
+        "gates binary, cells binary"
+    )
+    found = stored(texts.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(add_up, schema), "lm-found")
+
+    def opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for codes, n in zip(batch["gates"], batch["cells"]):
+                yield pd.DataFrame({"code": unpacked(codes, np.int64), "n": unpacked(n, np.int64)})
+
+    shown = found.filter("n_tokens IS NULL").select("gates", "cells").mapInPandas(opened, "code long, n long")
+    follow = fit_shares(shown.groupBy("code").agg(F.sum("n").alias("n")).toPandas())  # gates times cells at most
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for row in batch.itertuples(index=False):
+                gain = log2_gain(follow, unpacked(row.gates, np.uint8), unpacked_planes(row.cells, np.uint16))
+                score = row.logs + float(gain.sum()) / math.log2(10)
+                bits = -score * math.log2(10) / row.bytes
+                rows.append((row.doc_id, row.held_out, row.n_tokens, row.n_known, trained, row.base, score, bits))
+            names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
+            yield pd.DataFrame(rows, columns=names)
+
     schema = (
         "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, bits_per_byte double"
     )
-    found = bags.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(add_up, schema)
-    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
+    return found.filter("n_tokens IS NOT NULL").mapInPandas(finish, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
