@@ -229,3 +229,17 @@ def test_shares_of_the_token_before_are_the_likeliest():
     assert shares[5] == pytest.approx(1 / 3, abs=0.01) and shares[4] < 1e-6
     gain = lm.log2_gain(shares, np.array([5, 5]), cells.astype(np.uint16))
     assert 2**gain == pytest.approx([1 - shares[5], 1 + 3 * shares[5]])
+
+
+def test_counts_do_not_depend_on_how_tokens_are_dealt():
+    """Every training occurrence is counted, also of beginnings that are rare in each part."""
+    words = sorted({f"be{chr(97 + a)}{chr(97 + b)}{c}" for a in range(8) for b in range(8) for c in range(4)})
+    ones = np.ones(len(words), np.int64)
+    whole, dealt = (np.zeros((lm.SLOTS, 2), np.int64) for _ in range(2))
+    lm.add_counts(whole, ones, words, ones)
+    for k in range(50):
+        some = words[k::50]
+        lm.add_counts(dealt, ones[: len(some)], some, ones[: len(some)])
+    assert (whole == dealt).all()
+    bytes_of = sum(len(w) + 1 for w in words)
+    assert whole.sum() == bytes_of * 8 * len(lm.PREDICTORS)

@@ -67,8 +67,6 @@ from trafficloom.llm.language import SAMPLE, TextModel, bucket, fit
 PREDICTORS = ((1, True), (2, True), (3, True), (4, True), (6, True), (-1, True))
 #: Lines of sixteen slots of each predictor, as powers of two.
 LINE_BITS = (12, 15, 16, 16, 17, 18)
-#: A context of the whole token so far is entered once it is seen this often.
-ENTERED = 4
 LINE = 16
 FIRST_LINE = np.concatenate([[0], np.cumsum(1 << np.array(LINE_BITS))]).astype(np.int64)
 SLOTS = int(FIRST_LINE[-1]) * LINE
@@ -308,14 +306,9 @@ def add_counts(table: np.ndarray, classes: np.ndarray, tokens: list[str], weight
     for run in runs(classes, tokens, weights, SCORE_BYTES):
         edges = edges_of(*run[:2])
         each = step_weights(edges, run[2]).astype(table.dtype)  # add.at is slow between kinds
-        often = each >= ENTERED
         for bit, _, where in decisions(edges):
-            for at, (order, _) in zip(where, PREDICTORS):
-                slot = at * 2 + bit
-                if order < 0:
-                    np.add.at(flat, slot[often], each[often])
-                else:
-                    np.add.at(flat, slot, each)
+            for at in where:
+                np.add.at(flat, at * 2 + bit, each)
 
 
 def class_scores(model: TextModel, words: list[bytes]) -> np.ndarray:
