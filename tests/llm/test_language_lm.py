@@ -243,3 +243,30 @@ def test_counts_do_not_depend_on_how_tokens_are_dealt():
     assert (whole == dealt).all()
     bytes_of = sum(len(w) + 1 for w in words)
     assert whole.sum() == bytes_of * 8 * len(lm.PREDICTORS)
+
+
+def held_out_id(k):
+    return zlib.crc32(str(k).encode()) % 5 == 1
+
+
+def test_held_out_texts_do_not_reach_other_scores(spark):
+    """Labels of held-out documents say the opposite of the others'."""
+    letters = {"aa": "lomina", "bb": "kurzet"}
+    draw = np.random.default_rng(5)
+    said = {tongue: ["".join(draw.choice(list(x), 5)) for _ in range(300)] for tongue, x in letters.items()}
+    rows = []
+    for k in range(150):
+        own, other = ("aa", "bb") if k % 2 else ("bb", "aa")
+        words = [*draw.choice(said[own], 40), *draw.choice(said[other], 20)]
+        rows.append((k, " ".join(words), own))
+    spoilt = [(k, " ".join(said["aa"] * 20) if held_out_id(k) else t, "bb" if held_out_id(k) else tongue) for k, t, tongue in rows]
+    scores = []
+    for given in (rows, spoilt):
+        found = lm.scored(spark.createDataFrame(given, "doc_id long, text string, lang string").coalesce(1))
+        scores.append({r["doc_id"]: r["score"] for r in found.collect() if not r["held_out"]})
+    assert scores[0] == pytest.approx(scores[1], rel=1e-5)
+
+
+def test_only_held_out_documents_are_labelled(spark):
+    rows = [(k, prose(k, 30), "en" if held_out_id(k) else None) for k in range(40)]
+    assert lm.scored(spark.createDataFrame(rows, "doc_id long, text string, lang string")).count() == 40

@@ -79,6 +79,10 @@ def primary(tag: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(F.trim(tag), "^([A-Za-z]{2,3})(?:[-_].*)?$", 1)), F.lit(""))
 
 
+def has_label(label_col: str, text_col: str) -> Column:
+    return (primary(F.col(label_col)) != "") & F.col(text_col).isNotNull()
+
+
 def fit(rows: DataFrame, id_col: str, text_col: str, label_col: str, sample: int = SAMPLE) -> TextModel:
     """The text model from the labelled rows with the smallest digests of their ids, at
     most ``sample`` of them where ids do not repeat. They are counted where they lie; only

@@ -37,12 +37,12 @@ frequent token meets once per block, so no token is hot. Two tokens in a row are
 of a digest; among three thousand million, two that never met are taken for others once in some
 90,000 times. The table of slots has a fixed size,
 ``LINE_BITS``, about 72 MB; it lies compressed in the shared folder, where every worker reads it
-once. The weights, the map and the class model travel with the tasks. The class model is fitted on a bounded sample of labelled rows; everything else is
-learned from all training documents.
+once. The weights, the map and the class model travel with the tasks. The class model is fitted on a bounded
+sample of each label's training documents; everything else is learned from all of them.
 
 Defined cases: a null text is empty and consists of its end alone. Rows that repeat count
-each. A null id is digested as an empty text. Without training documents all counts are 0,
-and without a label column all text has one class.
+each. A null id is digested as an empty text. Without training documents all counts are 0.
+Without a label column, or if only held-out documents are labelled, all text has one class.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficloom.llm.common import file_system, new_folder, stored
-from trafficloom.llm.language import SAMPLE, TextModel, bucket, fit
+from trafficloom.llm.language import SAMPLE, TextModel, bucket, fit, has_label
 
 #: Predictors: bytes of context, -1 for the whole token so far, and whether the class of
 #: the text before the token is part of the context.
@@ -682,7 +682,14 @@ def scored(
 def _scored(docs: DataFrame, id_col: str, text_col: str, label_col: str | None, sample: int) -> DataFrame:
     spark = docs.sparkSession
     labelled = docs if label_col else docs.limit(0).withColumn("no_label", F.lit(""))
-    model = fit(labelled, id_col, text_col, label_col or "no_label", sample)
+    digest = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+    labelled = labelled.filter(digest % 5 != 1)  # as in Block.add
+    try:
+        model = fit(labelled, id_col, text_col, label_col or "no_label", sample)
+    except ValueError:
+        if docs.filter(has_label(label_col, text_col)).isEmpty():
+            raise
+        model = fit(docs.limit(0), id_col, text_col, label_col, sample)
     numbered, folder = blocks(docs, id_col, text_col, model, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shares = numbered.filter("kind = 'pairs'")
     followers = followers_of(numbered.filter("kind = 'follows'").select("block", "bucket", "times", "digests"))
