@@ -270,3 +270,14 @@ def test_held_out_texts_do_not_reach_other_scores(spark):
 def test_only_held_out_documents_are_labelled(spark):
     rows = [(k, prose(k, 30), "en" if held_out_id(k) else None) for k in range(40)]
     assert lm.scored(spark.createDataFrame(rows, "doc_id long, text string, lang string")).count() == 40
+
+
+def test_rare_languages_stay_in_the_model(spark):
+    """Eight rows of one language beside thousands of another, with a small sample."""
+    rows = [(k, "lomina moli nalo", "aa") for k in range(4000)] + [(5000 + k, "kurzet zuke truk", "bb") for k in range(8)]
+    rows += [(None, "wyp wyp pyw", "cc")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    model = language.fit(docs, "doc_id", "text", "lang", sample=20)
+    assert model.languages == ("aa", "bb", "cc")
+    for text, k in (("lomina", 0), ("kurzet", 1), ("wyp", 2)):
+        assert model.table[:, language.triples(text)].sum(1).argmax() == k

@@ -7,7 +7,8 @@ For each row, four pieces of evidence are added up as logarithms per language:
 * the suffix of the address, in the same way;
 * the host, by a prior smoothed towards its domain's and that towards the corpus's.
 
-Only the text model is fitted, on a sample of labelled rows of documented size. The tables
+Only the text model is fitted, on a sample of each label's rows of documented size, so no
+language with ``SUPPORT`` labelled rows is missed. The tables
 for declarations, suffixes, domains and hosts are grouped sums of the text posteriors over
 all rows; the host's sum is taken without the row itself, so that a text does not vote
 twice. ``UNKNOWN`` stands beside the languages with a flat distribution over triples, so
@@ -38,7 +39,7 @@ from pyspark.sql import types as T
 from trafficloom.llm.common import stored
 
 UNKNOWN = "unknown"
-#: Labelled rows the text model is fitted on, and how many of them a language needs.
+#: Rows of each label the text model is fitted on, and how many labelled rows a language needs.
 SAMPLE = 4000
 SUPPORT = 5
 BUCKET_BITS = 14
@@ -84,14 +85,18 @@ def has_label(label_col: str, text_col: str) -> Column:
 
 
 def fit(rows: DataFrame, id_col: str, text_col: str, label_col: str, sample: int = SAMPLE) -> TextModel:
-    """The text model from the labelled rows with the smallest digests of their ids, at
-    most ``sample`` of them where ids do not repeat. They are counted where they lie; only
-    the counts per language and bucket reach the driver."""
+    """The text model from a sample of each label's rows: all of them up to ``sample``, else
+    those with the smallest digests of their ids, by a bound below which about ``sample`` are
+    expected where ids do not repeat. Rows of the smallest digest are always in it. They are
+    counted where they lie; only the counts per language and bucket reach the driver."""
     labelled = rows.select(
         F.xxhash64(F.col(id_col)).alias("draw"), primary(F.col(label_col)).alias("label"), F.col(text_col).alias("text")
     ).filter("label <> '' AND text IS NOT NULL")
-    cut = labelled.select("draw").orderBy("draw").limit(sample).agg(F.max("draw")).first()[0]
-    if cut is None:
+    of_label = labelled.groupBy("label").agg(F.count("*").alias("n"), F.min("draw").alias("least"))
+    bound = F.when(F.col("n") > sample, (-(2.0**63) + 2.0**64 * sample / F.col("n")).cast("long")).otherwise(F.lit((1 << 63) - 1))
+    limits = stored(of_label.select(F.col("label").alias("of"), "n", F.greatest("least", bound).alias("cut")), "language-labels")
+    support = {r["of"]: r["n"] for r in limits.select("of", "n").collect()}  # tags of two or three letters
+    if not support:
         if not rows.isEmpty():
             raise ValueError("no row has both a text and a label")
         return TextModel((), np.zeros((1, 1 << BUCKET_BITS)))
@@ -103,17 +108,16 @@ def fit(rows: DataFrame, id_col: str, text_col: str, label_col: str, sample: int
                 for text in texts:
                     total += np.bincount(triples(text), minlength=1 << BUCKET_BITS)
                 there = np.flatnonzero(total)
-                yield pd.DataFrame({"label": label, "bucket": there, "n": total[there], "texts": 0})
-                yield pd.DataFrame({"label": [label], "bucket": [-1], "n": [0], "texts": [len(texts)]})
-
-    chosen = labelled.filter(F.col("draw") <= cut).select("label", "text")
-    counts = chosen.mapInPandas(count, "label string, bucket long, n long, texts long")
-    sums = counts.groupBy("label", "bucket").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")).toPandas()
-    support = sums.groupby("label")["texts"].sum()
-    languages = tuple(sorted(support.index[support >= SUPPORT])) or tuple(sorted(support.index))
+                yield pd.DataFrame({"label": label, "bucket": there, "n": total[there]})
+
+    inside = (F.col("label") == F.col("of")) & (F.col("draw") <= F.col("cut"))
+    chosen = labelled.join(F.broadcast(limits), inside).select("label", "text")
+    counts = chosen.mapInPandas(count, "label string, bucket long, n long")
+    sums = counts.groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    languages = tuple(sorted(k for k, n in support.items() if n >= SUPPORT)) or tuple(sorted(support))
     table = np.full((len(languages) + 1, 1 << BUCKET_BITS), 0.5)
     for k, language in enumerate(languages):
-        own = sums[(sums["label"] == language) & (sums["bucket"] >= 0)]
+        own = sums[sums["label"] == language]
         table[k, own["bucket"].to_numpy(int)] += own["n"].to_numpy()
     table[-1] = 1.0
     return TextModel(languages, np.log(table / table.sum(1, keepdims=True)))
