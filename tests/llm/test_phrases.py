@@ -1,0 +1,200 @@
+"""Phrase counting against a plain count of every phrase, and the burst trie by itself."""
+
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.compare import connect, differences
+from tests.conftest import SF_SMALL
+from tests.llm.fixtures import DOCUMENTS, clashing, empty, odd_documents
+from trafficloom.llm import phrases
+from trafficloom.llm.queries import ORACLES, QUERIES
+
+import re
+
+COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def plain(docs, longest=5, least=3, top=2000, percent=100):
+    counts, totals = defaultdict(Counter), Counter()
+    for row in docs.collect():
+        lang = "und" if row["lang"] is None else row["lang"]
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lowered(row["text"] or "")):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for m in range(1, longest + 1):
+                counts[lang].update(tuple(words[i : i + m]) for i in range(len(words) - m + 1))
+    found = []
+    for lang, f in counts.items():
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        rows = []
+        for p, a in candidates.items():
+            inside = [
+                b for q, b in candidates.items()
+                if len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q)))
+            ]
+            if any(100 * b >= percent * a for b in inside):
+                continue
+            cuts = [(1000 * a * totals[lang] // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            rows.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, text, l, r) in enumerate(sorted(rows)[:top], 1):
+            found.append((lang, rank, text.decode(), -a, l, r, totals[lang], -score))
+    return sorted(found)
+
+
+def got(frame):
+    return sorted(tuple(row) for row in frame.select(*COLUMNS).collect())
+
+
+def talk(spark):
+    rows = [
+        (1, "Strong tea, strong tea: strong tea and a cup of tea\nA cup of tea!", "en", "a", 1),
+        (2, "a cup of tea a cup of tea a cup of coffee", "en", "a", 1),
+        (2, "a cup of tea a cup of tea a cup of coffee", "en", "a", 1),
+        (3, "na na na na na na na na. NA\tna\x0bna na", None, "b", 1),
+        (4, "ein Kännchen Kaffee; ein Kännchen Kaffee, ein kännchen kaffee ÄÖ äö", "de", None, 1),
+        (5, "a cup of tea", "de", "b", 1),
+        (6, None, "fr", "b", None),
+        (7, "x\x00y \x1cz x\x00y \x1cz x\x00y \x1cz", "und", "b", None),
+    ]
+    return spark.createDataFrame(rows, DOCUMENTS)
+
+
+def test_equals_a_plain_count(spark):
+    for least in (2, 3):
+        assert got(phrases.collocations(talk(spark), least=least)) == plain(talk(spark), least=least)
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark)
+    expected = plain(docs, least=20)
+    assert len(expected) > 4
+    assert got(phrases.collocations(clashing(docs), least=20)) == expected
+    assert got(phrases.collocations(docs, least=20, top=7)) == plain(docs, least=20, top=7)
+    assert got(phrases.collocations(docs, least=20, longest=2)) == plain(docs, longest=2, least=20)
+
+
+def test_small_tries_spill_the_same_counts(spark, monkeypatch):
+    expected = got(phrases.collocations(talk(spark), least=2))
+    monkeypatch.setattr(phrases, "ENTRIES", 4)
+    monkeypatch.setattr(phrases, "AT_ONCE", 3)
+    monkeypatch.setattr(phrases, "REMEMBERED", 2)
+    make = phrases.BurstTrie
+    monkeypatch.setattr(phrases, "BurstTrie", lambda shortest: make(shortest, burst=2, entries=4))
+    assert got(phrases.collocations(talk(spark).repartition(3), least=2)) == expected
+
+
+def test_nothing_frequent(spark):
+    docs = talk(spark)
+    assert got(phrases.collocations(docs, least=10_000)) == []
+    assert got(phrases.collocations(empty(docs))) == []
+    assert got(phrases.collocations(docs.withColumn("text", F.lit(None).cast("string")))) == []
+
+
+def test_a_full_bit_field_changes_nothing(spark, monkeypatch):
+    expected = got(phrases.collocations(talk(spark), least=2))
+    monkeypatch.setattr(phrases.BitField, "of", staticmethod(lambda slots: b"\xff" * 4096))
+    assert got(phrases.collocations(talk(spark), least=2)) == expected
+
+
+def test_colliding_ids_take_another_seed(spark, monkeypatch):
+    import xxhash
+
+    real = xxhash.xxh64_intdigest
+    texts = phrases._texts(talk(spark), "lang", "text")
+    words, seed = phrases.vocabulary(texts)
+    assert seed == 0
+    ids = {r["word"]: r["id"] for r in words.collect()}
+    assert int.from_bytes(ids[bytearray(b"cup")], "big") in (real(b"en\0cup", 0), real(b"de\0cup", 0))
+
+    made = phrases._counted_words
+
+    def colliding(texts, seed):
+        words = made(texts, seed)
+        return words.withColumn("id", F.lit(b"\1" * 8)) if seed < 2 else words
+
+    monkeypatch.setattr(phrases, "_counted_words", colliding)
+    assert phrases.vocabulary(texts)[1] == 2
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 4), min_size=2, max_size=5), max_size=60), st.integers(1, 6), st.integers(2, 3))
+def test_trie_counts_every_prefix(windows, burst, shortest):
+    packed = [b"".join(w.to_bytes(8, "big") for w in window) for window in windows if len(window) >= shortest]
+    trie = phrases.BurstTrie(shortest, burst=burst, entries=5)
+    total = Counter()
+    for first in range(0, len(packed), 7):
+        trie.add(packed[first : first + 7])
+        if trie.overfull():
+            for run, counts in trie.spill(2):
+                assert run == sorted(run)
+                for phrase, n in zip(run, counts):
+                    total[phrase] += n
+    for run, counts in trie.spill(0):
+        for phrase, n in zip(run, counts):
+            total[phrase] += n
+    assert trie.sizes.total() == 0 and not trie.root
+    expected = Counter(w[:end] for w in packed for end in range(8 * shortest, len(w) + 1, 8))
+    assert total == expected
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.booleans(), max_size=30), st.integers(2, 6))
+def test_reaches(linked, longest):
+    expected = []
+    for i in range(len(linked) + 1):
+        n = 1
+        while n < longest and i + n - 1 < len(linked) and linked[i + n - 1]:
+            n += 1
+        expected.append(n)
+    assert phrases.reaches(np.array(linked, bool), longest).tolist() == expected
+
+
+def test_bit_field_has_what_was_put_in(spark):
+    slots = [0, 1, 32767, 32768, 40000, 2**32 - 1, 123456789]
+    frame = spark.createDataFrame([(s,) for s in slots], "slot long")
+    field = phrases.BitField(phrases.BitField.of(frame))
+    assert field.has(np.array(slots, np.uint64)).all() and all(map(field.has_one, slots))
+    taken = {s & field.last for s in slots}
+    free = [s for s in range(1000) if s not in taken]
+    assert not field.has(np.array(free, np.uint64)).any() and not any(map(field.has_one, free))
+
+
+def test_slots_agree_between_spark_and_numpy(spark):
+    ids = [(0x0123456789ABCDEF, 0xFEDCBA9876543210), (2**64 - 1, 1), (5, 2**63)]
+    packed = [(a.to_bytes(8, "big") + b.to_bytes(8, "big"),) for a, b in ids]
+    frame = spark.createDataFrame(packed, "phrase binary")
+    low = phrases._low
+    found = frame.select(low(F.col("phrase"), 5), low(F.col("phrase"), 5).bitwiseXOR(low(F.col("phrase"), 11))).collect()
+    left, right = (np.array(side, np.uint64) for side in zip(*ids))
+    assert [r[0] for r in found] == phrases._slot(left).tolist()
+    assert [r[1] for r in found] == phrases._pair_slot(left, right).tolist()
+
+
+def test_scores_are_exact_beyond_64_bits(spark):
+    big = 9_007_199_254_740_993
+    key = lambda *ids: b"".join(i.to_bytes(8, "big") for i in ids)
+    found = spark.createDataFrame([(key(1, 2), big - 2), (key(2, 3), big - 5), (key(1, 2, 3), big - 7)], "phrase binary, n long")
+    words = spark.createDataFrame(
+        [("x", b"a", key(1), big), ("x", b"b", key(2), big + 1), ("x", b"c", key(3), 7 * big)], "lang string, word binary, id binary, n long"
+    )
+    total = big + big + 1 + 7 * big
+    rows = {bytes(r["phrase"]): r for r in phrases.scored(found, words).collect()}
+    assert rows[key(1, 2)]["score"] == 1000 * (big - 2) * total // (big * (big + 1))
+    cuts = [1000 * (big - 7) * total // (big * (big - 5)), 1000 * (big - 7) * total // ((big - 2) * 7 * big)]
+    assert rows[key(1, 2, 3)]["score"] == min(cuts) and rows[key(1, 2, 3)]["k"] == 2
+
+
+@pytest.mark.parametrize("sf_dir", [SF_SMALL])
+def test_query_equals_sql(spark, sf_dir):
+    con = connect(sf_dir)
+    assert differences(QUERIES["op11_burst_trie_phrases"](spark, sf_dir), con, ORACLES["op11_burst_trie_phrases"]) == []

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficloom.llm import chat, language, lm, mixing, neardup, packing, quality, sharding, topk, warc
+from trafficloom.llm import chat, language, lm, mixing, neardup, packing, phrases, quality, sharding, topk, warc
 from trafficloom.llm.common import shipped, stored, table
 
 
@@ -105,6 +105,10 @@ def bayesian_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def burst_trie_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_table_sharding": shipped(table_sharding),
     "op2_warc_round_trip": shipped(warc_round_trip),
@@ -116,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rule_ledger": shipped(rule_ledger),
     "op9_target_mix": shipped(target_mix),
     "op10_bayesian_near_duplicates": shipped(bayesian_near_duplicates),
+    "op11_burst_trie_phrases": shipped(burst_trie_phrases),
 }
 
 #: Words, lines and windows are listed per row; a window is its eight words joined by blanks.
@@ -232,9 +237,50 @@ WINDOW best AS (PARTITION BY query ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER best <= 5
 """
 
+#: Words hold no blank, so a phrase is its words joined by blanks.
+BURST_TRIE_PHRASES_SQL = r"""
+WITH texts AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents WHERE text IS NOT NULL
+), pieces AS (
+    SELECT lang, regexp_extract_all(unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM texts
+), starts AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
+), counted AS (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+    FROM starts, range(1, 6) AS t(m) WHERE i + m - 1 <= len(w) GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE m = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, m, phrase, f AS a, n, string_split(phrase, ' ') AS w FROM counted JOIN totals USING (lang)
+    WHERE m >= 2 AND f >= 100
+), cuts AS (
+    SELECT *, array_to_string(w[:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)
+), scores AS (
+    SELECT c.lang, c.phrase, a, n, k, x.f AS l, y.f AS r, (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
+    FROM cuts AS c JOIN counted AS x ON x.lang = c.lang AND x.phrase = first
+    JOIN counted AS y ON y.lang = c.lang AND y.phrase = rest
+), lowest AS (
+    SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT *, unnest(range(1, m + 1)) AS i FROM candidates), range(2, 5) AS t(s)
+    WHERE s < m AND i + s - 1 <= m GROUP BY ALL
+), kept AS (
+    SELECT l.* FROM lowest AS l LEFT JOIN inside USING (lang, phrase)
+    WHERE longer IS NULL OR 100 * longer < 100 * a
+)
+SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM kept
+WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER best <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op2_warc_round_trip": WARC_SQL,
     "op7_pivot_top_k": PIVOT_TOP_K_SQL,
     "op8_rule_ledger": RULE_LEDGER_SQL,
     "op9_target_mix": TARGET_MIX_SQL,
+    "op11_burst_trie_phrases": BURST_TRIE_PHRASES_SQL,
 }
