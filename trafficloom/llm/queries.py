@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficloom.llm import chat, language, lm, mixing, neardup, packing, phrases, quality, sharding, topk, warc
+from trafficloom.llm import chat, divergence, language, lm, mixing, neardup, packing, phrases, quality, sharding, topk, warc
 from trafficloom.llm.common import shipped, stored, table
 
 
@@ -109,6 +109,10 @@ def burst_trie_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_table_sharding": shipped(table_sharding),
     "op2_warc_round_trip": shipped(warc_round_trip),
@@ -121,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_target_mix": shipped(target_mix),
     "op10_bayesian_near_duplicates": shipped(bayesian_near_duplicates),
     "op11_burst_trie_phrases": shipped(burst_trie_phrases),
+    "op12_source_divergence": shipped(source_divergence),
 }
 
 #: Words, lines and windows are listed per row; a window is its eight words joined by blanks.
@@ -276,6 +281,43 @@ SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, n, score::BIGINT A
 WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
 QUALIFY row_number() OVER best <= 2000
 """
+SOURCE_DIVERGENCE_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), groups AS (
+    SELECT DISTINCT lang, source FROM docs
+), counted AS (
+    SELECT r, lang, source, term, count(*) AS c FROM (SELECT r, lang, source, unnest(terms) AS term FROM docs) GROUP BY ALL
+), kept AS (
+    SELECT lang, term, sum(c)::BIGINT AS total FROM counted GROUP BY lang, term HAVING count(*) >= 3
+), sizes AS (
+    SELECT lang, count(*) AS v, sum(total)::BIGINT AS n FROM kept GROUP BY lang
+), own AS (
+    SELECT lang, source, term, sum(c)::BIGINT AS c FROM counted JOIN kept USING (lang, term) GROUP BY ALL
+), whole AS (
+    SELECT lang, source, coalesce(sum(c), 0)::BIGINT AS n FROM groups LEFT JOIN own USING (lang, source) GROUP BY ALL
+), chances AS (
+    SELECT w.lang, w.source, term, coalesce(c, 0) AS c,
+           1 + (1000000000::HUGEINT * (coalesce(c, 0) + 1)) // (w.n + v) AS p,
+           1 + (1000000000::HUGEINT * (total + 1)) // (s.n + v) AS q
+    FROM whole AS w JOIN sizes AS s USING (lang) JOIN kept USING (lang) LEFT JOIN own USING (lang, source, term)
+), compared AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM chances AS a JOIN chances AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN compared AS c ON c.lang = a.lang AND c.source = a.source AND c.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM chances WHERE c > 0 AND p > q
+)
+SELECT *, (row_number() OVER best)::INT AS rank FROM found
+WINDOW best AS (PARTITION BY lang, source, part ORDER BY value DESC, item)
+QUALIFY part = 'pair' OR row_number() OVER best <= 200
+"""
 
 ORACLES: dict[str, str] = {
     "op2_warc_round_trip": WARC_SQL,
@@ -283,4 +325,5 @@ ORACLES: dict[str, str] = {
     "op8_rule_ledger": RULE_LEDGER_SQL,
     "op9_target_mix": TARGET_MIX_SQL,
     "op11_burst_trie_phrases": BURST_TRIE_PHRASES_SQL,
+    "op12_source_divergence": SOURCE_DIVERGENCE_SQL,
 }
