@@ -158,9 +158,10 @@ def _counted(docs: DataFrame, lang_col: str, source_col: str, text_col: str) ->
     def rows(groups: dict) -> Iterator[pd.DataFrame]:
         for (lang, source), (counts, found) in groups.items():
             terms = list(counts)
-            yield pd.DataFrame(
-                {"lang": lang, "source": source, "term": terms, "n": list(counts.values()), "docs": [found[t] for t in terms]}
-            )
+            if terms:
+                yield pd.DataFrame(
+                    {"lang": lang, "source": source, "term": terms, "n": list(counts.values()), "docs": [found[t] for t in terms]}
+                )
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         groups = defaultdict(lambda: (Counter(), Counter()))
@@ -261,17 +262,18 @@ def priced(packed: DataFrame, totals: DataFrame, top: int = TOP) -> DataFrame:
         terms: dict[str, dict[str, list]] = {}
         names: dict[str, np.ndarray] = {}
 
+        def rows(lang: str, part: str, source: np.ndarray, item: np.ndarray | list, value: np.ndarray) -> Iterator[pd.DataFrame]:
+            if len(value):
+                yield pd.DataFrame({"lang": lang, "source": names[lang][source], "part": part, "item": item, "value": value})
+
         def flushed() -> Iterator[pd.DataFrame]:
             for lang, (there, back) in pairs.items():
                 first, second = np.triu_indices(len(names[lang]), 1)
                 own, other = np.concatenate([first, second]), np.concatenate([second, first])
-                yield pd.DataFrame(
-                    {"lang": lang, "source": names[lang][own], "part": "pair", "item": names[lang][other], "value": np.concatenate([there, back])}
-                )
+                yield from rows(lang, "pair", own, names[lang][other], np.concatenate([there, back]))
             for lang, found in terms.items():
                 group, value, term = best_terms(found, top)
-                spelled = [t.decode() for t in term.tolist()]
-                yield pd.DataFrame({"lang": lang, "source": names[lang][group], "part": "term", "item": spelled, "value": value})
+                yield from rows(lang, "term", group, [t.decode() for t in term.tolist()], value)
             pairs.clear()
             terms.clear()
 
