@@ -45,6 +45,8 @@ COVERED = 100
 #: Entries of a container before it bursts, and of a trie or word table before it spills.
 BURST = 4096
 ENTRIES = 500_000
+#: Rows that a task hands on at once.
+ROWS = 50_000
 #: About how many windows are counted before they go to the trie.
 AT_ONCE = 100_000
 #: Words whose ids a worker remembers.
@@ -56,6 +58,7 @@ FEWEST_BITS, MOST_BITS = 15, 28
 BUCKET = 1 << 15  # bits in a row of Spark's bitmap functions
 
 ID = 8  # bytes of a word id
+NO_ID = bytes(ID)
 _BREAK = b"\xff"  # in no UTF-8 text
 
 
@@ -91,26 +94,30 @@ class BurstTrie:
     class Container(dict):
         pass
 
-    def __init__(self, shortest: int, burst: int = BURST, entries: int = ENTRIES):
-        self.shortest, self.burst, self.entries = shortest, burst, entries
+    def __init__(self, shortest: int, longest: int, burst: int = BURST, entries: int = ENTRIES):
+        self.shortest, self.longest, self.burst, self.entries = shortest, longest, burst, entries
         self.root = self.Branch()
-        self.sizes: Counter[bytes] = Counter()
+        self.held = 0
 
     def add(self, windows: Iterable[bytes]) -> None:
+        container = self.Container
         for window, n in Counter(windows).items():
             branch, at = self.root, ID
-            while isinstance(node := branch.get(window[at - ID : at]), self.Branch):
-                branch, at = node, at + ID
+            word = window[:ID]
+            node = branch.get(word)
+            while type(node) is self.Branch:
+                branch, word, at = node, window[at : at + ID], at + ID
+                node = branch.get(word)
             if node is None:
-                node = branch[window[at - ID : at]] = self.Container()
+                node = branch[word] = container()
             rest = window[at:]
             if rest in node:
                 node[rest] += n
                 continue
             node[rest] = n
-            self.sizes[window[:ID]] += 1
+            self.held += 1
             if len(node) > self.burst:
-                branch[window[at - ID : at]] = self._burst(node)
+                branch[word] = self._burst(node)
 
     def _burst(self, container: Container) -> Branch:
         branch = self.Branch()
@@ -119,30 +126,51 @@ class BurstTrie:
         return branch
 
     def _walk(self, prefix: bytes, node: Branch | Container) -> Iterator[tuple[bytes, int]]:
-        if isinstance(node, self.Branch):
-            for word, below in node.items():
-                yield from self._walk(prefix + word, below)
+        """The windows of a subtree in order, with their counts."""
+        if type(node) is self.Branch:
+            for word in sorted(node):
+                yield from self._walk(prefix + word, node[word])
         else:
-            for rest, n in node.items():
-                yield prefix + rest, n
+            for rest in sorted(node):
+                yield prefix + rest, node[rest]
+
+    def _size(self, node: Branch | Container) -> int:
+        return sum(map(self._size, node.values())) if type(node) is self.Branch else len(node)
+
+    def _run(self, word: bytes, node: Branch | Container) -> Iterator[tuple[bytes, int]]:
+        """The phrases that the windows of a subtree begin with, in order, and their counts."""
+        if self.shortest == self.longest:
+            return self._walk(word, node)
+        run: dict[bytes, int] = {}
+        for window, n in self._walk(word, node):
+            for end in range(ID * self.shortest, len(window) + 1, ID):
+                phrase = window[:end]
+                run[phrase] = run.get(phrase, 0) + n
+        return iter(sorted(run.items()))
 
     def spill(self, down_to: int) -> Iterator[tuple[list[bytes], list[int]]]:
-        """Sorted runs of phrases and counts of the largest subtrees, which leave the trie."""
-        left = self.sizes.total()
-        for word, size in self.sizes.most_common():
-            if left <= down_to:
+        """The largest subtrees, which leave the trie, as one sorted run of phrases and their
+        counts, in parts of some ``ROWS``."""
+        words = []
+        for size, word in sorted(((self._size(node), word) for word, node in self.root.items()), reverse=True):
+            if self.held <= down_to:
                 break
-            left -= size
-            del self.sizes[word]
-            run: Counter[bytes] = Counter()
-            for window, n in self._walk(word, self.root.pop(word)):
-                for end in range(ID * self.shortest, len(window) + 1, ID):
-                    run[window[:end]] += n
-            phrases = sorted(run)
-            yield phrases, [run[p] for p in phrases]
+            self.held -= size
+            words.append(word)
+        phrases: list[bytes] = []
+        counts: list[int] = []
+        for word in sorted(words):
+            for phrase, n in self._run(word, self.root.pop(word)):
+                phrases.append(phrase)
+                counts.append(n)
+            if len(phrases) > ROWS:
+                yield phrases, counts
+                phrases, counts = [], []
+        if phrases:
+            yield phrases, counts
 
     def overfull(self) -> bool:
-        return self.sizes.total() > self.entries
+        return self.held > self.entries
 
 
 def reaches(linked: np.ndarray, longest: int) -> np.ndarray:
@@ -200,19 +228,18 @@ class BitField:
 
 
 class WordIds(dict):
-    """Ids of a language's words, as unsigned numbers; 0 for a break and for a word that
-    is not in the field."""
+    """Ids of a language's words; ``NO_ID`` for a break and for a word that is not in the field."""
 
     def __init__(self, lang: str, seed: int, field: BitField | None = None):
         self.prefix, self.seed, self.field = lang.encode() + b"\0", seed, field
-        self[_BREAK] = 0
+        self[_BREAK] = NO_ID
 
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
+    def __missing__(self, word: bytes) -> bytes:
+        from xxhash import xxh64_digest
 
-        found = xxh64_intdigest(self.prefix + word, self.seed)
-        if self.field is not None and not self.field.has_one(found & 0xFFFFFFFF):
-            found = 0
+        found = xxh64_digest(self.prefix + word, self.seed)
+        if self.field is not None and not self.field.has_one(int.from_bytes(found[4:], "big")):
+            found = NO_ID
         self[word] = found
         return found
 
@@ -229,8 +256,7 @@ def _counted_words(texts: DataFrame, seed: int) -> DataFrame:
     def rows(counts: dict[str, Counter]) -> Iterator[pd.DataFrame]:
         for lang, own in counts.items():
             ids, words = WordIds(lang, seed), list(own)
-            keys = [ids[w].to_bytes(ID, "big") for w in words]
-            yield pd.DataFrame({"lang": lang, "word": words, "id": keys, "n": list(own.values())})
+            yield pd.DataFrame({"lang": lang, "word": words, "id": [ids[w] for w in words], "n": list(own.values())})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: dict[str, Counter] = defaultdict(Counter)
@@ -253,7 +279,7 @@ def vocabulary(texts: DataFrame, first_seed: int = 0) -> tuple[DataFrame, int]:
     for seed in itertools.count(first_seed):
         words = _counted_words(texts, seed)
         shared = words.groupBy("id").agg(F.count("*").alias("words"))
-        if shared.filter((F.col("words") > 1) | (F.col("id") == F.lit(bytes(ID)))).isEmpty():
+        if shared.filter((F.col("words") > 1) | (F.col("id") == F.lit(NO_ID))).isEmpty():
             return words, seed
 
 
@@ -273,7 +299,7 @@ def _counted_phrases(
         word_field = BitField(word_bits.value)
         pair_field = BitField(pair_bits.value) if pair_bits is not None else None
         known: dict[str, WordIds] = {}
-        trie = BurstTrie(shortest)
+        trie = BurstTrie(shortest, longest)
         for batch in batches:
             if sum(map(len, known.values())) > REMEMBERED:
                 known.clear()
@@ -282,8 +308,8 @@ def _counted_phrases(
                     known[lang] = WordIds(lang, seed, word_field)
                 windows: list[bytes] = []
                 for text in group:
-                    found = words_and_breaks(text)
-                    ids = np.fromiter(map(known[lang].__getitem__, found), np.uint64, len(found))
+                    data = b"".join(map(known[lang].__getitem__, words_and_breaks(text)))
+                    ids = np.frombuffer(data, ">u8").astype(np.uint64)
                     there = ids != 0
                     linked = there[:-1] & there[1:]
                     if pair_field is not None:
@@ -292,7 +318,6 @@ def _counted_phrases(
                     reach = reaches(linked, longest)
                     starts = np.flatnonzero(reach >= shortest)
                     ends = ID * (starts + reach[starts])
-                    data = ids.astype(">u8").tobytes()
                     spans = list(zip((ID * starts).tolist(), ends.tolist()))
                     for first in range(0, len(spans), AT_ONCE):
                         windows += [data[a:b] for a, b in spans[first : first + AT_ONCE]]
