@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficloom.llm import chat, divergence, language, lm, mixing, neardup, packing, phrases, quality, sharding, topk, warc
+from trafficloom.llm import chat, divergence, language, lm, mixing, neardup, packing, phrases, quality, sharding, topk, toxicity, warc
 from trafficloom.llm.common import shipped, stored, table
 
 
@@ -113,6 +113,11 @@ def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_table_sharding": shipped(table_sharding),
     "op2_warc_round_trip": shipped(warc_round_trip),
@@ -126,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bayesian_near_duplicates": shipped(bayesian_near_duplicates),
     "op11_burst_trie_phrases": shipped(burst_trie_phrases),
     "op12_source_divergence": shipped(source_divergence),
+    "op13_counterfactual_toxicity": shipped(counterfactual_toxicity),
 }
 
 #: Words, lines and windows are listed per row; a window is its eight words joined by blanks.
