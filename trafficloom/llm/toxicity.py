@@ -117,7 +117,7 @@ class Classifier:
         """A number from 0 to 1."""
         places, values, words = valued(text, known)
         z = self.intercept + self.length * (np.log1p(words) - USUAL) + float(values @ self.weights[places])
-        return float(1 / (1 + np.exp(-np.clip(z, -700, 700))))
+        return float(np.exp(-np.logaddexp(0.0, -z)))
 
 
 class Places(dict):
@@ -299,7 +299,7 @@ def fit(
     learned = sampled(docs, labels, id_col, text_col, label_col, sample)
     sizes = {r["toxic"]: r["count"] for r in learned.groupBy("toxic").count().collect()}  # two at most
     if len(sizes) < 2:
-        return Classifier((), np.zeros(0), 0.0, 800.0 if 1 in sizes else -800.0)
+        return Classifier((), np.zeros(0), 0.0, np.inf if 1 in sizes else -np.inf)
     features = chosen_features(learned)
     changes, _ = counterfactual_changes(learned, features, identities)
     names = tuple(features)
