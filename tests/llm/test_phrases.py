@@ -169,15 +169,17 @@ def test_bit_field_has_what_was_put_in(spark):
     assert not field.has(np.array(free, np.uint64)).any() and not any(map(field.has_one, free))
 
 
-def test_slots_agree_between_spark_and_numpy(spark):
-    ids = [(0x0123456789ABCDEF, 0xFEDCBA9876543210), (2**64 - 1, 1), (5, 2**63)]
-    packed = [(a.to_bytes(8, "big") + b.to_bytes(8, "big"),) for a, b in ids]
-    frame = spark.createDataFrame(packed, "phrase binary")
-    low = phrases._low
-    found = frame.select(low(F.col("phrase"), 5), low(F.col("phrase"), 5).bitwiseXOR(low(F.col("phrase"), 11))).collect()
-    left, right = (np.array(side, np.uint64) for side in zip(*ids))
-    assert [r[0] for r in found] == phrases._slot(left).tolist()
-    assert [r[1] for r in found] == phrases._pair_slot(left, right).tolist()
+def test_frequent_pairs(spark, monkeypatch):
+    texts = phrases._texts(talk(spark), "lang", "text")
+    words, seed = phrases.vocabulary(texts)
+    every = b"\xff" * 4096
+    ids = {(r["lang"], bytes(r["word"])): np.array([int.from_bytes(r["id"], "big")], np.uint64) for r in words.collect()}
+    for codes in (8_000_000, 1):
+        monkeypatch.setattr(phrases, "CODES", codes)
+        field = phrases.BitField(phrases.frequent_pairs(texts, seed, every, 3))
+        has = lambda lang, a, b: field.has(phrases._low(phrases.pair_codes(ids[lang, a], ids[lang, b])))[0]
+        assert has("en", b"a", b"cup") and has("en", b"strong", b"tea") and has("und", b"na", b"na")
+        assert has("de", b"ein", "kännchen".encode()) and not has("de", b"a", b"cup") and not has("en", b"cup", b"a")
 
 
 def test_scores_are_exact_beyond_64_bits(spark):

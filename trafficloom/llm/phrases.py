@@ -3,12 +3,11 @@
 1. Words are counted per language. Word ids are seeded 64-bit digests of (language, word);
    the vocabulary is checked for two words with one id, and a collision takes the next
    seed, so ids are as good as numbers from a dictionary, and no dictionary travels.
-2. Phrases are counted in two passes over the texts, pairs first. Every part of a phrase
-   is at least as frequent as the phrase, so a window of words ends at a word, and in the
-   second pass at a pair, below the least count. Which ones those are is told by a bit
-   field of bounded size; a bit that two share only means a window longer than it need be,
-   which the exact counts drop later.
-3. Each task inserts the windows into a ``BurstTrie``: a shallow trie over word ids whose
+2. Every part of a phrase is at least as frequent as the phrase, so a window of words ends
+   before a word or a pair of words below the least count. Which ones those are is told by
+   bit fields of bounded size. Pairs are counted for that by 64-bit codes. A bit or code
+   that two share only means a window longer than it need be; the exact counts drop it.
+3. In a pass of its own, each task inserts the windows into a ``BurstTrie``: a shallow trie over word ids whose
    leaves are hash containers of the rest of the window. A container that grows beyond
    ``BURST`` bursts into one container per next word. A trie beyond ``ENTRIES`` spills its
    largest subtrees whole, as runs of (phrase, count) sorted by phrase.
@@ -49,6 +48,8 @@ ENTRIES = 500_000
 ROWS = 50_000
 #: About how many windows are counted before they go to the trie.
 AT_ONCE = 100_000
+#: Codes of pairs that a task sorts at once.
+CODES = 8_000_000
 #: Words whose ids a worker remembers.
 REMEMBERED = 1_000_000
 
@@ -184,17 +185,13 @@ def reaches(linked: np.ndarray, longest: int) -> np.ndarray:
     return reach
 
 
-def _slot(ids: np.ndarray) -> np.ndarray:
-    return ids & np.uint64(0xFFFFFFFF)
-
+def pair_codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A number for each pair of ids; ids are digests, so few pairs share one."""
+    return left ^ (right << np.uint64(29) | right >> np.uint64(35))
 
-def _pair_slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return _slot(left ^ (right >> np.uint64(16)))
 
-
-def _low(key: Column, first: int) -> Column:
-    """Four bytes of a binary column as a number."""
-    return F.conv(F.hex(F.substring(key, first, 4)), 16, 10).cast("long")
+def _low(ids: np.ndarray) -> np.ndarray:
+    return ids & np.uint64(0xFFFFFFFF)
 
 
 class BitField:
@@ -283,51 +280,76 @@ def vocabulary(texts: DataFrame, first_seed: int = 0) -> tuple[DataFrame, int]:
             return words, seed
 
 
-def _counted_phrases(
-    texts: DataFrame, seed: int, words: bytes, pairs: bytes | None, shortest: int, longest: int, least: int
-) -> DataFrame:
-    """Phrases of ``shortest`` to ``longest`` words counted ``least`` times or more, stored."""
+def _ids(batches: Iterator[pd.DataFrame], seed: int, field: BitField) -> Iterator[tuple[bytes, np.ndarray]]:
+    """The word ids of each text, as bytes and as numbers, 0 for breaks and rare words."""
+    known: dict[str, WordIds] = {}
+    for batch in batches:
+        if sum(map(len, known.values())) > REMEMBERED:
+            known.clear()
+        for lang, text in zip(batch["lang"], batch["text"]):
+            if lang not in known:
+                known[lang] = WordIds(lang, seed, field)
+            data = b"".join(map(known[lang].__getitem__, words_and_breaks(text)))
+            yield data, np.frombuffer(data, ">u8").astype(np.uint64)
+
+
+def frequent_pairs(texts: DataFrame, seed: int, words: bytes, least: int) -> bytes:
+    """The field of all pairs of frequent words that are counted ``least`` times or more, by
+    their codes. Pairs that share a code may be in it for their common count."""
+    word_bits = texts.sparkSession.sparkContext.broadcast(words)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[np.ndarray] = []
+        size = 0
+
+        def counted() -> pd.DataFrame:
+            codes, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
+            held.clear()
+            return pd.DataFrame({"code": codes.view(np.int64), "n": n.astype(np.int64)})
+
+        for _, ids in _ids(batches, seed, BitField(word_bits.value)):
+            at = np.flatnonzero((ids[:-1] != 0) & (ids[1:] != 0))
+            held.append(pair_codes(ids[at], ids[at + 1]))
+            size += len(at)
+            if size > CODES:
+                yield counted()
+                size = 0
+        yield counted()
+
+    codes = texts.mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return BitField.of(codes.filter(F.col("n") >= least).select(F.col("code").bitwiseAND(0xFFFFFFFF)))
+
+
+def counted_phrases(texts: DataFrame, seed: int, words: bytes, pairs: bytes, longest: int, least: int) -> DataFrame:
+    """Phrases of two to ``longest`` words counted ``least`` times or more, stored."""
     spark = texts.sparkSession
-    word_bits = spark.sparkContext.broadcast(words)
-    pair_bits = spark.sparkContext.broadcast(pairs) if pairs is not None else None
+    word_bits, pair_bits = spark.sparkContext.broadcast(words), spark.sparkContext.broadcast(pairs)
 
     def runs(trie: BurstTrie, down_to: int) -> Iterator[pd.DataFrame]:
         for phrases, counts in trie.spill(down_to):
             yield pd.DataFrame({"phrase": phrases, "n": counts})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        word_field = BitField(word_bits.value)
-        pair_field = BitField(pair_bits.value) if pair_bits is not None else None
-        known: dict[str, WordIds] = {}
-        trie = BurstTrie(shortest, longest)
-        for batch in batches:
-            if sum(map(len, known.values())) > REMEMBERED:
-                known.clear()
-            for lang, group in batch.groupby("lang", sort=False)["text"]:
-                if lang not in known:
-                    known[lang] = WordIds(lang, seed, word_field)
-                windows: list[bytes] = []
-                for text in group:
-                    data = b"".join(map(known[lang].__getitem__, words_and_breaks(text)))
-                    ids = np.frombuffer(data, ">u8").astype(np.uint64)
-                    there = ids != 0
-                    linked = there[:-1] & there[1:]
-                    if pair_field is not None:
-                        at = np.flatnonzero(linked)
-                        linked[at] = pair_field.has(_pair_slot(ids[at], ids[at + 1]))
-                    reach = reaches(linked, longest)
-                    starts = np.flatnonzero(reach >= shortest)
-                    ends = ID * (starts + reach[starts])
-                    spans = list(zip((ID * starts).tolist(), ends.tolist()))
-                    for first in range(0, len(spans), AT_ONCE):
-                        windows += [data[a:b] for a, b in spans[first : first + AT_ONCE]]
-                        if len(windows) < AT_ONCE:
-                            continue
-                        trie.add(windows)
-                        windows.clear()
-                        if trie.overfull():
-                            yield from runs(trie, trie.entries // 2)
+        pair_field = BitField(pair_bits.value)
+        trie = BurstTrie(2, longest)
+        windows: list[bytes] = []
+        for data, ids in _ids(batches, seed, BitField(word_bits.value)):
+            linked = (ids[:-1] != 0) & (ids[1:] != 0)
+            at = np.flatnonzero(linked)
+            linked[at] = pair_field.has(_low(pair_codes(ids[at], ids[at + 1])))
+            reach = reaches(linked, longest)
+            starts = np.flatnonzero(reach > 1)
+            ends = ID * (starts + reach[starts])
+            spans = list(zip((ID * starts).tolist(), ends.tolist()))
+            for first in range(0, len(spans), AT_ONCE):
+                windows += [data[a:b] for a, b in spans[first : first + AT_ONCE]]
+                if len(windows) < AT_ONCE:
+                    continue
                 trie.add(windows)
+                windows.clear()
+                if trie.overfull():
+                    yield from runs(trie, trie.entries // 2)
+        trie.add(windows)
         yield from runs(trie, 0)
 
     spilled = stored(texts.mapInPandas(count, "phrase binary, n long"), "phrase-runs")
@@ -343,14 +365,10 @@ def counted(
     that are counted ``least`` times or more; a phrase is the ids of its words in a row."""
     texts = _texts(docs, lang_col, text_col)
     words, seed = vocabulary(texts)
-    frequent = words.filter(F.col("n") >= least)
-    word_field = BitField.of(frequent.select(_low(F.col("id"), 5)))
-    pairs = _counted_phrases(texts, seed, word_field, None, 2, 2, least)
-    if longest < 3:
-        return words, pairs
-    pair_field = BitField.of(pairs.select(_low(F.col("phrase"), 5).bitwiseXOR(_low(F.col("phrase"), 11))))
-    longer = _counted_phrases(texts, seed, word_field, pair_field, 3, longest, least)
-    return words, pairs.union(longer)
+    low = F.conv(F.hex(F.substring("id", 5, 4)), 16, 10).cast("long")
+    word_field = BitField.of(words.filter(F.col("n") >= least).select(low))
+    pair_field = frequent_pairs(texts, seed, word_field, least)
+    return words, counted_phrases(texts, seed, word_field, pair_field, longest, least)
 
 
 def _words_in(phrase: Column) -> Column:
