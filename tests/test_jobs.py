@@ -2,6 +2,7 @@
 
 import datetime as dt
 from functools import partial
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -10,13 +11,13 @@ from pyspark.sql import functions as F
 from tests.builders import METRICS, DIMENSIONS, changed, event, export, landed, legacy_page, legacy_row, session_params
 from trafficloom.__main__ import main
 from trafficloom.operators.legacy import backfill_bound
-from trafficloom.plans.jobs import backfill, daily_pull, initial_pull
+from trafficloom.plans.jobs import BackfillLog, backfill, daily_pull, initial_pull
 from trafficloom.plans.reports import acquisition_report, landing_page_report
 from trafficloom.schemas import RATIO_METRIC, SOURCE_MEDIUM, TARGET
 from trafficloom.session import shared_folder
 from trafficloom.sinks.target import append_days, create_target, read_target, replace_days, review, review_months
 from trafficloom.sources.export import scan_export, scan_table, shard_days, split_days
-from trafficloom.storage import child_names, make_folder
+from trafficloom.storage import child_names, create_file, make_folder
 from trafficloom.streaming.daily import consecutive, pull_new_days
 
 D = lambda day, month=1, year=2024: dt.date(year, month, day)
@@ -373,6 +374,87 @@ def test_backfill_needs_every_window_complete(spark, started):
     assert months(spark, target) == {"2024-01": 3}
 
 
+def page_files(spark, root):
+    names = [row[0] for row in spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(root).select("path").collect()]
+    return [Path(n.removeprefix("file:")) for n in names]
+
+
+def land_files(spark, *pages):
+    """A file per page."""
+    root = shared_folder(spark, "pages")
+    landed(spark, *pages).repartition(len(pages), "window_start").write.partitionBy("window_start").json(root)
+    return root
+
+
+@pytest.mark.parametrize("harm", ["cut", "error", "emptied"])
+def test_a_month_with_an_unreadable_page_is_not_loaded(spark, started, harm):
+    target = started()
+    root = land_files(spark, legacy_month("2024-01-02", rows=2), legacy_month("2023-12-05", rows=3), legacy_month("2023-11-05"))
+    (december,) = [f for f in page_files(spark, root) if "2023-12-01" in str(f)]
+    whole = december.read_text()
+    harmed = {"cut": whole[: len(whole) // 2], "error": '{"error": {"code": 503}}', "emptied": ""}[harm]
+    december.with_name(f".{december.name}.crc").unlink(missing_ok=True)
+    december.write_text(harmed)
+    aside = shared_folder(spark, "aside")
+    load = partial(backfill, spark, target, root, "2023-11-01", quarantine=aside)
+    with pytest.raises(ValueError, match="unreadable pages for .'2023-12-01'.$"):
+        load()
+    assert months(spark, target) == {"2024-01": 2}
+    assert [w[0] for w in load(broken_months="skip")] == [D(1), D(1, 11, 2023)]
+    assert months(spark, target) == {"2024-01": 4, "2023-11": 1}
+    kept = spark.read.json(f"{aside}/unreadable").collect()
+    assert [str(r["window_start"]) for r in kept] == ["2023-12-01"]
+    assert kept[0]["unreadable"].strip() == harmed if harm == "cut" else kept[0]["unreadable"]
+    december.write_text(whole)
+    assert [w[0] for w in load()] == [D(1, 12, 2023)]
+    assert months(spark, target) == {"2024-01": 4, "2023-12": 3, "2023-11": 1}
+    assert load() == []
+
+
+def test_a_month_that_was_skipped_is_loaded_once_it_lands(spark, started):
+    target = started()
+    first = land_pages(spark, legacy_month("2024-01-02"))
+    load = lambda root, **options: backfill(spark, target, root, "2023-12-01", one_page_per_file=False, **options)
+    assert [w[0] for w in load(first, missing_months="skip")] == [D(1)]
+    both = land_pages(spark, legacy_month("2024-01-02"), legacy_month("2023-12-05", rows=3))
+    assert [w[0] for w in load(both)] == [D(1, 12, 2023)]
+    assert months(spark, target) == {"2024-01": 3, "2023-12": 3}
+
+
+def test_one_backfill_at_a_time(spark, started):
+    target = started()
+    pages = land_pages(spark, legacy_month("2024-01-02"))
+    load = partial(backfill, spark, target, pages, "2024-01-01", one_page_per_file=False)
+    log = BackfillLog(spark, target)
+    with log.lease():
+        with pytest.raises(RuntimeError, match="another backfill"):
+            load()
+        with pytest.raises(RuntimeError), log.lease():
+            pass
+        assert months(spark, target) == {"2024-01": 2}
+    assert len(load()) == 1 and load() == []
+    assert create_file(spark, f"{target}/_backfill/lease")  # as a killed run leaves it
+    with pytest.raises(RuntimeError, match="break_lease"):
+        load()
+    assert load(break_lease=True) == []
+    assert months(spark, target) == {"2024-01": 3}
+
+
+def test_a_failed_backfill_gives_the_lease_back(spark, started):
+    target = started()
+    with pytest.raises(ValueError, match="last page"):
+        backfill(spark, target, land_pages(spark, legacy_month("2024-01-02", token="1")), "2024-01-01", one_page_per_file=False)
+    assert len(backfill(spark, target, land_pages(spark, legacy_month("2024-01-02")), "2024-01-01", one_page_per_file=False)) == 1
+
+
+def test_two_logged_bounds_are_an_error(spark, started):
+    target = started()
+    for day in ("2024-01-09", "2024-01-08"):
+        make_folder(spark, f"{target}/_backfill/until={day}")
+    with pytest.raises(ValueError, match="several last days"):
+        backfill(spark, target, land_pages(spark, legacy_month("2024-01-02")), "2024-01-01", one_page_per_file=False)
+
+
 def test_backfill_of_an_empty_target_fails(spark):
     target = place(spark, "folder")
     create_target(spark.createDataFrame([], TARGET), target)

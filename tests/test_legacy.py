@@ -154,8 +154,8 @@ def test_last_pages(spark):
         legacy_page(window="2023-12-01", token="1"),
     )
     staged = stage_report_pages(pages, shared_folder(spark, "staged"))
-    found = {str(r["window_start"]): (r["pages"], r["last_pages"]) for r in last_pages(staged).collect()}
-    assert found == {"2023-10-01": (2, 1), "2023-11-01": (2, 2), "2023-12-01": (1, 0)}
+    found = {str(r["window_start"]): (r["pages"], r["last_pages"], r["unreadable_pages"]) for r in last_pages(staged).collect()}
+    assert found == {"2023-10-01": (2, 1, 0), "2023-11-01": (2, 2, 0), "2023-12-01": (1, 0, 0)}
 
 
 def test_token_of_the_last_report_counts(spark):

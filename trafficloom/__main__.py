@@ -55,8 +55,10 @@ def parser() -> argparse.ArgumentParser:
     old.add_argument("--goal-metric", default=DEFAULT_GOAL_METRIC)
     old.add_argument("--json-lines", action="store_true", help="one response per line, not per file")
     old.add_argument("--missing-months", choices=["error", "skip"], default="error")
+    old.add_argument("--broken-months", choices=["error", "skip"], default="error", help="months with unreadable pages")
+    old.add_argument("--break-lease", action="store_true", help="go on after a run that was killed")
     old.add_argument("--time-on-page", choices=["total", "per_session"], default="total")
-    old.add_argument("--quarantine", help="folder for rows with unreadable metrics")
+    old.add_argument("--quarantine", help="folder for unreadable pages and for rows with unreadable metrics")
     old.add_argument("--lenient", action="store_true", help="unreadable metrics become NULL")
     old.add_argument("--log", help="folder of the log, needed for a table")
     return top
@@ -70,6 +72,7 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.target, args.landed, args.start, args.goal_metric,
             one_page_per_file=not args.json_lines, missing_months=args.missing_months,
             time_on_page=args.time_on_page, quarantine=args.quarantine, lenient=args.lenient, log_folder=args.log,
+            broken_months=args.broken_months, break_lease=args.break_lease,
         )
         print(f"{len(loaded)} months loaded")
         return

@@ -290,6 +290,14 @@ SELECT event_date, utm_source, utm_medium, {SESSION_METRICS} FROM sessions""",
     "landing_report": f"{LANDING} SELECT * FROM report",
     "ranked_report": f"{LANDING} SELECT * FROM report ORDER BY sessions DESC, {ORDERED_LANDING}",
     "legacy_pages_flatten": f"{LEGACY} SELECT * FROM legacy_text",
+    "legacy_bad_pages": """
+WITH landed AS (
+  SELECT page_id, CAST(date_trunc('month', DATE '2023-10-01' + CAST(page_id % 92 AS INTEGER)) AS DATE) AS window_start,
+    page_id % 10 IN (3, 7) AS unreadable FROM pages
+)
+SELECT window_start, count(*) AS pages, count(*) FILTER (unreadable) AS unreadable_pages,
+  CAST(NOT max_by(unreadable, page_id) AS BIGINT) AS last_pages, count(*) FILTER (NOT unreadable) AS legacy_rows
+FROM landed GROUP BY window_start""",
     "legacy_metric_types": f"""{LEGACY} SELECT strftime(date, '%Y%m%d') AS legacy_date, {', '.join(METRICS)} FROM legacy""",
     "legacy_landing_page": f"""{LEGACY}
 SELECT t."ga:hostname" AS host, t."ga:landingPagePath" AS path,

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from trafficloom.functions.dates import iso_day_or_null, utc_today
 from trafficloom.operators.events import explode_params
@@ -34,8 +35,14 @@ from trafficloom.schemas import (
 from trafficloom.session import shared_folder
 from trafficloom.sinks.target import append_days, create_target, read_target, review_months, review_sources, stored_days
 from trafficloom.sources.export import PARTITION_PREFIX, scan_export, shard_days
-from trafficloom.sources.report_pages import read_report_pages
-from trafficloom.sources.sample_tables import export_from_events, report_pages_from_pages
+from trafficloom.sources.report_pages import last_pages, read_report_pages, stage_report_pages
+from trafficloom.sources.sample_tables import (
+    SAMPLE_START,
+    export_from_events,
+    legacy_rows_from_pages,
+    report_from_rows,
+    report_pages_from_pages,
+)
 from trafficloom.storage import child_names
 
 CONVERSION = "purchase"
@@ -181,6 +188,25 @@ def legacy_pages_flatten(spark, sf_dir):
     return flatten_report_pages(landed)
 
 
+def legacy_bad_pages(spark, sf_dir):
+    """What is landed of each window, one page per legacy row, of which some were cut off while
+    they were written and some hold an error message: pages, those unreadable, last pages, and
+    the rows of the others."""
+    rows = legacy_rows_from_pages(table(spark, sf_dir, "pages"), DEFAULT_GOAL_METRIC, "page_id")
+    last = rows.groupBy("window_start").agg(F.max("page_id").alias("last_page"))
+    more = F.when(F.col("page_id") < F.col("last_page"), F.col("page_id").cast("string"))
+    page = F.to_json(F.struct(report_from_rows(F.array("row"), more, DEFAULT_GOAL_METRIC).alias("reports")))
+    cut = F.when(F.col("page_id") % 10 == 3, F.substring(page, F.lit(1), F.floor(F.length(page) / 2).cast("int")))
+    refused = F.when(F.col("page_id") % 10 == 7, F.lit('{"error": {"code": 503}}'))
+    root = shared_folder(spark, "pages")
+    landed = rows.join(F.broadcast(last), "window_start")  # one row per calendar month of the mapping
+    landed.select("window_start", F.coalesce(cut, refused, page).alias("value")).write.partitionBy("window_start").text(root)
+    staged = stage_report_pages(read_report_pages(spark, root, one_page_per_file=False), shared_folder(spark, "staged"))
+    held = staged.select("window_start", F.explode("reports").alias("report")).groupBy("window_start")
+    counted = held.agg(F.sum(F.size("report.data.rows")).alias("legacy_rows"))
+    return last_pages(staged).join(counted, "window_start", "left").fillna(0, ["legacy_rows"])
+
+
 def legacy_metric_types(spark, sf_dir):
     typed = legacy_metrics()
     return legacy_rows(spark, sf_dir).select(
@@ -229,20 +255,27 @@ def backfilled_target(spark, sf_dir) -> str:
     """The unified table as stored: the report, then all legacy history before it.
 
     A month without landed pages is one that no page of the sample falls into; it is landed
-    here as the service would, with an empty last page, so that a lost one cannot pass.
+    here as the service would, with a report without rows, so that a lost one cannot pass.
     """
     target, landed = shared_folder(spark, "target"), shared_folder(spark, "pages")
     create_target(landing(spark, sf_dir), target)
     found = pages(spark, sf_dir)
-    begin, until = dt.date(2023, 10, 1), stored_days(spark, target)[0] - dt.timedelta(days=1)
+    begin, until = first_legacy_day(spark, sf_dir), stored_days(spark, target)[0] - dt.timedelta(days=1)
     months = legacy_windows(spark, begin, until).select(F.trunc("window_start", "MM").alias("window_start"))
     missing = months.join(found.select("window_start").distinct(), "window_start", "left_anti")
-    nothing = missing.select(F.lit(None).cast(found.schema["reports"].dataType).alias("reports"), "window_start")
+    no_rows = F.array(F.struct(F.lit(None), F.lit(None), F.lit(None))).cast(found.schema["reports"].dataType)
+    nothing = missing.select(no_rows.alias("reports"), "window_start")
     found.select("reports", "window_start").union(nothing).write.partitionBy("window_start").json(landed)
     backfill(spark, target, landed, begin, one_page_per_file=False)
     return target
 
 
+def first_legacy_day(spark, sf_dir) -> dt.date:
+    """The first day of the first month that pages were pulled for; with no page at all, of the sample's."""
+    first = pages(spark, sf_dir).agg(F.min("window_start").alias("day")).first()["day"]
+    return first or SAMPLE_START
+
+
 def backfill_union(spark, sf_dir):
     return read_target(spark, backfilled_target(spark, sf_dir))
 
@@ -252,8 +285,9 @@ def backfill_windows(spark, sf_dir):
     target = shared_folder(spark, "target")
     create_target(landing(spark, sf_dir), target)
     bound = stored_days(spark, target)[0] - dt.timedelta(days=1)
-    newest = legacy_windows(spark, "2023-08-15", bound).rdd.zipWithIndex()  # one per month
-    return newest.map(lambda x: (x[0][0], x[0][1], x[1])).toDF("window_start date, window_end date, nth long")
+    begin = SAMPLE_START - dt.timedelta(days=47)  # history may begin before the first landed page
+    order = Window.orderBy(F.desc("window_start"))  # one row per month
+    return legacy_windows(spark, begin, bound).withColumn("nth", F.row_number().over(order).cast("long") - 1)
 
 
 def daily_incremental(spark, sf_dir):
@@ -392,6 +426,7 @@ QUERIES: dict[str, Query] = {
     "landing_report": landing,
     "ranked_report": ranked_report,
     "legacy_pages_flatten": legacy_pages_flatten,
+    "legacy_bad_pages": legacy_bad_pages,
     "legacy_metric_types": legacy_metric_types,
     "legacy_landing_page": legacy_pages_url,
     "legacy_normalize": legacy,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficloom.schemas import EXPORT, REPORT_PAGE, legacy_metric_names, LEGACY_DIMENSIONS
 
+SAMPLE_START = dt.date(2023, 10, 1)  # first day of the mapping's legacy rows
 HOUR = 3_600_000_000
 PAGE_ROWS = 120
 
@@ -92,11 +95,11 @@ def export_from_events(events: DataFrame) -> DataFrame:
     return events.select(*(row[name].alias(name) for name in EXPORT.fieldNames()))
 
 
-def legacy_rows_from_pages(pages: DataFrame, goal_metric: str) -> DataFrame:
-    """The strings of one legacy report row per page, in header order."""
+def legacy_rows_from_pages(pages: DataFrame, goal_metric: str, *keep: str) -> DataFrame:
+    """The strings of one legacy report row per page, in header order, and columns to ``keep``."""
     i = F.col("page_id")
     third = i % 3
-    day = F.date_add(F.lit("2023-10-01").cast("date"), (i % 92).cast("int"))
+    day = F.date_add(F.lit(SAMPLE_START), (i % 92).cast("int"))
     not_set = F.lit("(not set)")
     dimensions = [
         F.date_format(day, "yyyyMMdd"),
@@ -122,6 +125,7 @@ def legacy_rows_from_pages(pages: DataFrame, goal_metric: str) -> DataFrame:
         "ga:transactions": F.when(i % 6 == 0, "1").otherwise("0"),
     }
     return pages.select(
+        *keep,
         F.trunc(day, "MM").alias("window_start"),
         F.struct(
             F.array(*dimensions).alias("dimensions"),
@@ -132,6 +136,17 @@ def legacy_rows_from_pages(pages: DataFrame, goal_metric: str) -> DataFrame:
     )
 
 
+def report_from_rows(rows: Column, token: Column, goal_metric: str) -> Column:
+    """The ``reports`` of a landed page with the given rows and continuation token."""
+    names = F.array(*(F.struct(F.lit(m).alias("name")) for m in legacy_metric_names(goal_metric)))
+    header = F.struct(
+        F.array(*map(F.lit, LEGACY_DIMENSIONS)).alias("dimensions"),
+        F.struct(names.alias("metricHeaderEntries")).alias("metricHeader"),
+    )
+    report = F.struct(header.alias("columnHeader"), F.struct(rows.alias("rows")).alias("data"), token.alias("nextPageToken"))
+    return F.array(report).cast(REPORT_PAGE["reports"].dataType)
+
+
 def report_pages_from_pages(pages: DataFrame, goal_metric: str) -> DataFrame:
     """Landed legacy pages: ``window_start`` and the nested ``reports`` of one page each.
 
@@ -144,18 +159,7 @@ def report_pages_from_pages(pages: DataFrame, goal_metric: str) -> DataFrame:
     cut = numbered.withColumn("page_number", F.expr(f"page_number div {PAGE_ROWS}"))
     landed = cut.groupBy("window_start", "page_number").agg(F.collect_list("row").alias("rows"))
     last = landed.groupBy("window_start").agg(F.max("page_number").alias("last_page"))
-    header = F.struct(
-        F.array(*map(F.lit, LEGACY_DIMENSIONS)).alias("dimensions"),
-        F.struct(
-            F.array(*(F.struct(F.lit(m).alias("name")) for m in legacy_metric_names(goal_metric))).alias("metricHeaderEntries")
-        ).alias("metricHeader"),
-    )
-    more = F.col("page_number") < F.col("last_page")
-    report = F.struct(
-        header.alias("columnHeader"),
-        F.struct(F.col("rows")).alias("data"),
-        F.when(more, _text(F.col("page_number") + 1)).alias("nextPageToken"),
-    )
-    reports = F.array(report).cast(REPORT_PAGE["reports"].dataType).alias("reports")
+    more = F.when(F.col("page_number") < F.col("last_page"), _text(F.col("page_number") + 1))
+    reports = report_from_rows(F.col("rows"), more, goal_metric).alias("reports")
     # at most one row per calendar month of the mapping
     return landed.join(F.broadcast(last), "window_start").select("window_start", reports)
