@@ -253,6 +253,10 @@ def segments_report() -> str:
 ORDERED_LANDING = ", ".join(f"{d} NULLS FIRST" for d in LANDING_DIMENSIONS)
 SAMPLE_KEY = " || '|' || ".join(["'7'"] + [f"coalesce(CAST({d} AS VARCHAR), '')" for d in LANDING_DIMENSIONS])
 
+SAMPLED = f"""{UNIFIED}
+SELECT date, {totals('users', 'sessions')} FROM unified
+WHERE CAST('0x' || substr(md5({SAMPLE_KEY}), 1, 13) AS BIGINT) / pow(2, 52) < 0.25 GROUP BY date"""
+
 ORACLES: dict[str, str] = {
     "scan_window": f"""WITH {EXPORT}
 SELECT strftime(event_date, '%Y%m%d') AS event_date, event_timestamp, user_first_touch_timestamp, event_name,
@@ -341,14 +345,30 @@ FROM unified GROUP BY 1""",
 SELECT {totals('users')} FROM unified WHERE date BETWEEN DATE '2024-01-31' - 91 AND DATE '2024-01-30'""",
     "report_query": f"{UNIFIED} SELECT country, utm_medium, {totals(*METRICS)} FROM unified GROUP BY country, utm_medium",
     "report_date_ranges": ranges_report(),
+    "report_many_ranges": f"""{UNIFIED},
+numbered AS (SELECT CAST(k AS INT) AS k, DATE '2023-10-01' + CAST(7 * k % 120 AS INT) AS first FROM range(1000) AS t(k)),
+wanted AS (
+  SELECT k, first, first + CAST(k % 45 AS INT) AS last FROM numbered
+  UNION ALL SELECT 1000, DATE '1900-01-01', DATE '9999-12-31'
+)
+SELECT k AS range_index, utm_medium, {totals('users', 'sessions', RATIO_METRIC)}
+FROM wanted JOIN unified ON date BETWEEN first AND last GROUP BY k, utm_medium""",
     "report_segment": segments_report(),
     "report_page": f"""{UNIFIED}
 SELECT date, country, utm_source, {totals('sessions', 'page_views')} FROM unified
 GROUP BY date, country, utm_source
 ORDER BY date NULLS FIRST, country NULLS FIRST, utm_source NULLS FIRST LIMIT 500 OFFSET 250""",
-    "report_sample": f"""{UNIFIED}
-SELECT date, {totals('users', 'sessions')} FROM unified
-WHERE CAST('0x' || substr(md5({SAMPLE_KEY}), 1, 13) AS BIGINT) / pow(2, 52) < 0.25 GROUP BY date""",
+    "report_page_large": f"""{UNIFIED}
+SELECT {', '.join(LANDING_DIMENSIONS)}, {totals('sessions', 'page_views')} FROM unified
+GROUP BY {', '.join(LANDING_DIMENSIONS)} ORDER BY {ORDERED_LANDING} LIMIT 20000 OFFSET 750""",
+    "report_follow_tokens": f"""{UNIFIED},
+grouped AS (SELECT date, country, {totals('users', 'sessions')} FROM unified GROUP BY date, country),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY date NULLS FIRST, country NULLS FIRST) - 1 AS nth, count(*) OVER () AS n FROM grouped
+)
+SELECT date, country, users, sessions, CAST(nth // greatest(1, (n + 3) // 4) AS INT) AS page FROM placed""",
+    "report_sample": SAMPLED,
+    "report_sample_clustered": SAMPLED,
     "report_default_today": f"""{UNIFIED},
 moved AS (
   SELECT current_date + date_diff('day', max(date) OVER (), date)::INT AS day, users, sessions FROM unified

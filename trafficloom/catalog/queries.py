@@ -23,6 +23,7 @@ from trafficloom.operators.legacy import (
 from trafficloom.operators.legacy import month_windows as legacy_windows
 from trafficloom.operators.report_query import ReportQuery, legacy_report
 from trafficloom.operators.reports import label_dimensions, ranked
+from trafficloom.operators.sampling import DrawnLayout
 from trafficloom.plans import reports
 from trafficloom.plans.jobs import backfill, daily_pull, initial_pull
 from trafficloom.schemas import (
@@ -352,6 +353,14 @@ def report_date_ranges(spark, sf_dir):
     return wanted.metrics(["ga:users", "sessions", RATIO_METRIC]).get().rows
 
 
+def report_many_ranges(spark, sf_dir):
+    """A thousand overlapping ranges of up to 45 days, and one of everything."""
+    starts = [SAMPLE_START + dt.timedelta(days=7 * k % 120) for k in range(1000)]
+    ranges = [(first, first + dt.timedelta(days=k % 45)) for k, first in enumerate(starts)]
+    wanted = report(spark, sf_dir).date_range([*ranges, EVERYTHING]).dimensions(["ga:medium"])
+    return wanted.metrics(["ga:users", "sessions", RATIO_METRIC]).get().rows
+
+
 def report_segment(spark, sf_dir):
     filters = {
         "organic": F.col("utm_medium") == "organic",
@@ -370,6 +379,34 @@ def report_page(spark, sf_dir):
     return wanted.metrics(["sessions", "ga:pageviews"]).page_size(500).page_token("250").get().rows
 
 
+def report_page_large(spark, sf_dir):
+    """A page too large for one task, by rank, from far inside the report."""
+    wanted = report(spark, sf_dir).dimensions(LANDING_DIMENSIONS).metrics(["sessions", "ga:pageviews"])
+    return wanted.page_size(20_000).page_token("750").get().rows
+
+
+def report_follow_tokens(spark, sf_dir):
+    """Every page of a report, each asked for with the token of the one before it, with its number."""
+    query = report(spark, sf_dir).dimensions(["date", "ga:country"]).metrics(["users", "sessions"])
+    stored = query.get().rows
+    query = query.page_size(max(1, -(-stored.count() // 4)))
+    pages, token = [], "0"
+    while token is not None:
+        page = query.page_token(token).get()
+        pages.append(page.rows.withColumn("page", F.lit(len(pages))))
+        token = page.next_page_token()
+    return reduce(DataFrame.union, pages)
+
+
+def report_sample_clustered(spark, sf_dir):
+    """The sampled report from a copy of the table that is cut by draws, of which only the
+    files of the drawn buckets are read."""
+    layout, folder = DrawnLayout(seed=7), shared_folder(spark, "drawn")
+    layout.write(unified(spark, sf_dir), folder)
+    wanted = ReportQuery(layout.read(spark, folder), layout=layout).date_range([EVERYTHING]).dimensions(["date"])
+    return wanted.metrics(["users", "sessions"]).sampling_level("SMALL", fraction=0.25, seed=7).get().rows
+
+
 def report_sample(spark, sf_dir):
     wanted = report(spark, sf_dir).dimensions(["date"]).metrics(["users", "sessions"])
     return wanted.sampling_level("SMALL", fraction=0.25, seed=7).get().rows
@@ -441,11 +478,15 @@ QUERIES: dict[str, Query] = {
     "report_query_default": report_query_default,
     "report_query": report_query,
     "report_date_ranges": report_date_ranges,
+    "report_many_ranges": report_many_ranges,
     "report_segment": report_segment,
     "report_default_today": report_default_today,
     "report_page": report_page,
+    "report_page_large": report_page_large,
+    "report_follow_tokens": report_follow_tokens,
     "report_all_pages": report_all_pages,
     "report_sample": report_sample,
+    "report_sample_clustered": report_sample_clustered,
     "legacy_report_preset": legacy_report_preset,
     "iso_date_check": iso_date_check,
 }

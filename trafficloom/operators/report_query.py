@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trafficloom.functions.dates import days_ago, iso_date, utc_today
+from trafficloom.operators.date_ranges import tag_ranges
+from trafficloom.operators.ranking import NTH, RankedRows, rank_rows
+from trafficloom.operators.sampling import DrawnLayout, draw
 from trafficloom.schemas import (
     DEFAULT_GOAL_METRIC,
     LANDING_DIMENSIONS,
@@ -22,7 +25,7 @@ from trafficloom.schemas import (
     RATIO_METRIC,
     legacy_metric_names,
 )
-from trafficloom.session import checkpointed, shared_folder
+from trafficloom.session import checkpointed
 
 # Defaults of a report request.
 DEFAULT_DAYS_BACK = (91, 1)
@@ -32,8 +35,10 @@ FIRST_PAGE = "0"
 UNSAMPLED = "LARGE"
 SAMPLING_LEVELS = ("DEFAULT", "SMALL", "LARGE")
 
-# Hexadecimal digits of a digest that a double holds exactly.
-SAMPLE_DIGITS = 13
+#: Up to so many ranges are conditions on every row; more are joined by day.
+FEW_RANGES = 8
+#: Rows of a page that one task may gather and sort.
+SHORT_PAGE = 10_000
 
 
 def default_metrics() -> dict[str, Column]:
@@ -56,7 +61,7 @@ class ReportQuery:
     Names are accepted in the unified and in the legacy spelling; result columns
     carry the unified names. ``dimension_names`` and ``metric_exprs`` describe the
     table when it is not the unified one; ``segment_filters`` maps segment ids to
-    row conditions.
+    row conditions. ``layout`` says how the table is cut by draws, if it is.
     """
 
     table: DataFrame
@@ -74,6 +79,7 @@ class ReportQuery:
     level: str = UNSAMPLED
     fraction: float = 1.0
     seed: int = 0
+    layout: DrawnLayout | None = None
 
     def date_range(self, ranges: Sequence[tuple[str | dt.date, str | dt.date]]) -> ReportQuery:
         """Inclusive ISO date ranges, replacing the previous ones.
@@ -107,7 +113,8 @@ class ReportQuery:
         return replace(self, token=token)
 
     def sampling_level(self, level: str, fraction: float = 1.0, seed: int = 0) -> ReportQuery:
-        """``LARGE`` reads everything; the other levels read ``fraction`` of the report rows."""
+        """``LARGE`` reads everything; the other levels read ``fraction`` of the report rows. Of
+        a table whose ``layout`` has the same seed, only the files that may hold them are read."""
         if level not in SAMPLING_LEVELS:
             raise ValueError(f"unknown sampling level: {level!r}")
         if not 0 < fraction <= 1:
@@ -127,7 +134,7 @@ class ReportQuery:
     def _tags(self) -> dict[str, list[tuple[Column, Column]]]:
         """Tag columns with their (condition, value) choices."""
         tags = {}
-        if self.ranges and len(self.ranges) > 1:
+        if self.ranges and 1 < len(self.ranges) <= FEW_RANGES:
             tags["range_index"] = [
                 (_within(first, last), F.lit(i)) for i, (first, last) in enumerate(self.ranges)
             ]
@@ -142,12 +149,9 @@ class ReportQuery:
     def _sampled(self, rows: DataFrame) -> DataFrame:
         if self.level == UNSAMPLED or self.fraction == 1.0:
             return rows
-        # A digest of the row's dimensions, so that the same rows are drawn
-        # however the table is laid out and whichever engine draws them.
-        parts = [F.coalesce(F.col(d).cast("string"), F.lit("")) for d in self.dimension_names]
-        digest = F.md5(F.concat_ws("|", F.lit(str(self.seed)), *parts))
-        drawn = F.conv(F.substring(digest, 1, SAMPLE_DIGITS), 16, 10).cast("bigint")
-        return rows.filter(drawn / F.lit(float(16**SAMPLE_DIGITS)) < self.fraction)
+        if self.layout and (self.layout.seed, self.layout.dimensions) == (self.seed, tuple(self.dimension_names)):
+            rows = rows.filter(self.layout.may_hold(self.fraction))
+        return rows.filter(draw(self.dimension_names, self.seed) < self.fraction)
 
     def plan(self) -> tuple[DataFrame, list[str]]:
         """The whole report, unordered, and its grouping columns."""
@@ -158,14 +162,17 @@ class ReportQuery:
         today = self.as_of or utc_today()
         ranges = self.ranges or (tuple(days_ago(n, today) for n in DEFAULT_DAYS_BACK),)
 
-        rows = self.table.filter(reduce(lambda a, b: a | b, (_within(*r) for r in ranges)))
-        rows = self._sampled(rows)
+        many = len(ranges) > FEW_RANGES
+        spans = [(min(first for first, _ in ranges), max(last for _, last in ranges))] if many else ranges
+        rows = self._sampled(self.table.filter(reduce(lambda a, b: a | b, (_within(*r) for r in spans))))
         tags = self._tags()
         for tag, choices in tags.items():
             # one pass over the table, however many ranges or segments there are
             matching = F.array(*(F.when(cond, value) for cond, value in choices))
             rows = rows.withColumn(tag, F.explode(matching)).filter(F.col(tag).isNotNull())
-        keys = [*tags, *chosen]
+        if many:
+            rows = tag_ranges(rows, ranges, "range_index")
+        keys = [*(["range_index"] if many else []), *tags, *chosen]
         report = rows.groupBy(*keys).agg(*(exprs[m].alias(m) for m in metrics))
         return report, keys
 
@@ -178,41 +185,46 @@ class Report:
     """The result of a query: the page as ``rows`` and the token of the next one.
 
     Rows are in the order of their grouping columns, which is total, so offsets
-    mean the same on every run. A page is taken from the report once, with one row
-    more than it shows, which tells whether another page follows.
+    mean the same on every run. A short page from the start or a key is a top-k. For any other,
+    the report is dealt into ranges of its keys once, and a page reads the ranges it touches.
+    One row more than a page shows tells whether another page follows.
     """
 
     def __init__(self, query: ReportQuery):
         self.query = query
         self.whole, self.keys = query.plan()
 
-    def _numbered(self) -> tuple[DataFrame, int]:
-        """All rows from the token on, numbered from 0, and how many they are."""
+    @property
+    def _from_token(self) -> DataFrame:
+        """The rows a token with a key leaves; all of them for an offset."""
         token = self.query.token
-        if not token.isdecimal():
-            return numbered_rows(self.whole.filter(_after(self.keys, self.whole, token)), self.keys)
-        numbered, total = numbered_rows(self.whole, self.keys)
-        first = int(token)
-        return numbered.filter(F.col(NTH) >= first).withColumn(NTH, F.col(NTH) - first), max(0, total - first)
+        return self.whole if token.isdecimal() else self.whole.filter(_after(self.keys, self.whole, token))
+
+    @cached_property
+    def _ranked(self) -> RankedRows:
+        return rank_rows(self._from_token, self.keys)
 
     @cached_property
-    def _page(self) -> DataFrame:
-        """The page's rows and the one after them, numbered from 0, and written once."""
+    def _top(self) -> DataFrame:
+        """The rows of a short page and the one after them, numbered and written once."""
+        return numbered_rows(self._from_token.orderBy(*self.keys).limit(self.query.size + 1), self.keys)[0]
+
+    def _places(self, first: int, end: int | None) -> DataFrame:
+        """Rows by their place after the token, in order, numbered in ``NTH``."""
         size, token = self.query.size, self.query.token
-        if size is None:
-            return self._numbered()[0]
-        if token.isdecimal() and int(token) > 0:
-            return checkpointed(self._numbered()[0].filter(F.col(NTH) <= size))
-        rows = self.whole if token == FIRST_PAGE else self.whole.filter(_after(self.keys, self.whole, token))
-        return numbered_rows(rows.orderBy(*self.keys).limit(size + 1), self.keys)[0]
+        short = size is not None and size <= SHORT_PAGE and (token == FIRST_PAGE or not token.isdecimal())
+        if short and end is not None and end <= size + 1:
+            return self._top.filter(F.col(NTH).between(first, end - 1))
+        offset = int(token) if token.isdecimal() else 0
+        found = self._ranked.between(offset + first, self._ranked.total if end is None else offset + end)
+        return found.withColumn(NTH, F.col(NTH) - offset).orderBy(NTH)
 
     @property
     def rows(self) -> DataFrame:
         """The page; without a page size, everything from the token on, unordered from the start."""
         if not self.keys or (self.query.size is None and self.query.token == FIRST_PAGE):
             return self.whole
-        size = self.query.size
-        return (self._page if size is None else self._page.filter(F.col(NTH) < size)).drop(NTH)
+        return self._places(0, self.query.size).drop(NTH)
 
     def next_page_token(self) -> str | None:
         """Where the page after this one starts, or None at the end of the report.
@@ -224,7 +236,7 @@ class Report:
         if size is None or not self.keys:
             return None
         key = F.to_json(F.struct(*self.keys), {"ignoreNullFields": "false"}).alias("key")
-        ends = self._page.filter(F.col(NTH) >= size - 1).orderBy(NTH).select(key).collect()  # at most two
+        ends = self._places(size - 1, size + 1).orderBy(NTH).select(key).collect()  # at most two
         return base64.urlsafe_b64encode(ends[0]["key"].encode()).decode() if len(ends) == 2 else None
 
     def paged(self) -> DataFrame:
@@ -232,27 +244,22 @@ class Report:
         size = self.query.size
         if size is None or not self.keys:
             return self.rows.withColumn(PAGE, F.lit(0).cast("long"))
-        numbered, _ = self._numbered()
-        return numbered.withColumn(PAGE, F.floor(F.col(NTH) / size)).drop(NTH)
+        return self._places(0, None).withColumn(PAGE, F.floor(F.col(NTH) / size)).drop(NTH)
 
     def pages(self) -> Iterator[DataFrame]:
-        """This page and all that follow. The sorted report is written once, in a folder per
-        page, and each page is a read of its own folder."""
+        """This page and all that follow, each a read of the ranges it touches."""
         size = self.query.size
         if size is None or not self.keys:
             yield self.rows
             return
-        numbered, total = self._numbered()
-        spark, folder = self.whole.sparkSession, shared_folder(self.whole.sparkSession, "pages")
-        by_page = numbered.withColumn(PAGE, F.floor(F.col(NTH) / size))
-        by_page.write.partitionBy(PAGE).parquet(folder)
-        schema = numbered.schema
-        for page in range(max(1, -(-total // size))):
-            stored = spark.read.schema(schema).parquet(f"{folder}/{PAGE}={page}") if total else numbered
-            yield stored.orderBy(NTH).drop(NTH)
+        offset = int(self.query.token) if self.query.token.isdecimal() else 0
+        left = max(0, self._ranked.total - offset)
+        for page in range(max(1, -(-left // size))):
+            found = self._ranked.between(offset + page * size, offset + (page + 1) * size)
+            yield found.orderBy(NTH).drop(NTH)
 
 
-NTH, PAGE = "_nth", "page"
+PAGE = "page"
 
 
 def numbered_rows(report: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
