@@ -211,8 +211,8 @@ class BitField:
 
     @staticmethod
     def of(slots: DataFrame) -> bytes:
-        """The field of a frame with one column of slots, with ``SPARSE`` bits a row as far as
-        2^``MOST_BITS``, so at most 32 MB come to the driver."""
+        """The field of a stored frame with one column of slots, with ``SPARSE`` bits a row as far
+        as 2^``MOST_BITS``, so at most 32 MB come to the driver."""
         power = min(MOST_BITS, max(FEWEST_BITS, (SPARSE * slots.count()).bit_length()))
         slot = F.col(slots.columns[0]).bitwiseAND((1 << power) - 1)
         parts = slots.groupBy(F.shiftright(slot, 15).alias("bucket")).agg(
@@ -317,7 +317,8 @@ def frequent_pairs(texts: DataFrame, seed: int, words: bytes, least: int) -> byt
         yield counted()
 
     codes = texts.mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    return BitField.of(codes.filter(F.col("n") >= least).select(F.col("code").bitwiseAND(0xFFFFFFFF)))
+    frequent = codes.filter(F.col("n") >= least).select(F.col("code").bitwiseAND(0xFFFFFFFF).alias("slot"))
+    return BitField.of(stored(frequent, "phrase-pairs"))
 
 
 def counted_phrases(texts: DataFrame, seed: int, words: bytes, pairs: bytes, longest: int, least: int) -> DataFrame:
