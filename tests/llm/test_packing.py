@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.fixtures import clashing, empty, odd_documents
@@ -95,3 +96,18 @@ def test_work_depends_on_the_histogram_only():
     plan = pack_histogram(counts)
     assert len(plan.length) < 10_000
     assert plan.sequences >= (counts * np.arange(2049)).sum() // 2048
+
+
+@pytest.mark.parametrize("unit", ["\n", " ", "\t", " \n", "x", "1", "#"], ids=repr)
+def test_texts_of_one_run(unit):
+    """A million characters of a kind, which the faster library can't all encode."""
+    encoder = packing.TextTokenizer(public_tokenizers.path(packing.TOKENIZER))
+    for text in (unit * (1_000_000 // len(unit)), "a" + unit * (packing.LONGEST_RUN // len(unit) + 1) + "b", unit * 1000):
+        ids = encoder.exact.encode(text, add_special_tokens=False).ids
+        assert encoder.encode(text) == np.array(ids, "<u4").tobytes()
+
+
+def test_a_long_run_is_packed(spark):
+    docs = spark.createDataFrame([(1, "\n" * 1_000_000), (2, "a b")], "doc_id long, text string")
+    sizes = {r["doc_id"]: r["n"] for r in packing.packed(docs).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert sizes == {1: 500_001, 2: 3}

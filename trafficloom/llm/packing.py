@@ -45,6 +45,9 @@ PIECES = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"]
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Beyond these characters the two libraries' Unicode tables might differ.
 LATIN = re.compile("[\x00-\u024f]*")
+#: The faster library's pattern matcher runs out of stack on longer runs of blanks.
+BLANKS = re.compile(r"\s+")
+LONGEST_RUN = 100_000
 
 _workers: dict[str, "TextTokenizer"] = {}
 
@@ -53,7 +56,8 @@ class TextTokenizer:
     """Ids of texts as unsigned 32-bit bytes, from a byte-level vocabulary file.
 
     Latin texts go through ``tiktoken`` with the file's vocabulary, which gives the same
-    ids six times as fast; all others go through ``tokenizers``, loaded when one comes.
+    ids six times as fast; all others, and texts with a run of more than ``LONGEST_RUN``
+    blanks or line ends, go through ``tokenizers``, loaded when one comes.
     """
 
     def __init__(self, path: str):
@@ -84,8 +88,14 @@ class TextTokenizer:
             _workers[path] = cls(path)
         return _workers[path]
 
+    @staticmethod
+    def _long_run(text: str) -> bool:
+        if len(text) <= LONGEST_RUN:
+            return False
+        return any(run.end() - run.start() > LONGEST_RUN for run in BLANKS.finditer(text))
+
     def encode(self, text: str) -> bytes:
-        if LATIN.fullmatch(text):
+        if LATIN.fullmatch(text) and not self._long_run(text):
             ids = self.fast.encode_ordinary(text)
         else:
             ids = self.exact.encode(text, add_special_tokens=False).ids
