@@ -55,6 +55,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -338,30 +339,38 @@ def class_path(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     return path
 
 
+def squeezed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def opened(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def packed(values: np.ndarray) -> bytes:
-    return zlib.compress(values.tobytes(), 1)
+    return squeezed(values.tobytes())
 
 
 def unpacked(data: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), kind)
+    return np.frombuffer(opened(data), kind)
 
 
 def packed_tokens(tokens: list[bytes]) -> bytes:
-    return zlib.compress(b" ".join(tokens), 1)
+    return squeezed(b" ".join(tokens))
 
 
 def unpacked_tokens(data: bytes) -> list[bytes]:
     """No token has a blank in it, and the end is one of its own."""
-    return zlib.decompress(data).split(b" ")
+    return opened(data).split(b" ")
 
 
 def packed_planes(values: np.ndarray) -> bytes:
     """Numbers with their first bytes together, then their second, and so on."""
-    return zlib.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes(), 1)
+    return squeezed(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes())
 
 
 def unpacked_planes(data: bytes, kind) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    planes = np.frombuffer(opened(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
 
 
@@ -386,17 +395,25 @@ def bucket_of_digest(digests: np.ndarray, buckets: int) -> np.ndarray:
     return ((digests >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
 
 
+class Places(dict):
+    """Words in the order in which they were first met."""
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        return place
+
+
 class Block:
     """Documents of about ``BLOCK_BYTES`` and the distinct (class, token) pairs in them."""
 
     def __init__(self) -> None:
-        self.place: dict[bytes, int] = {END.encode(): 0}
+        self.place = Places({END.encode(): 0})
         self.docs: list[tuple[str | None, bool, np.ndarray]] = []
         self.size = 0
 
     def add(self, doc_id: str | None, text: str | None) -> None:
         words = text.encode("utf-8", "surrogatepass").lower().split() if isinstance(text, str) else []
-        at = np.fromiter((self.place.setdefault(w, len(self.place)) for w in words), np.uint32, len(words))
+        at = np.fromiter(map(self.place.__getitem__, words), np.uint32, len(words))
         self.docs.append((doc_id, zlib.crc32((doc_id or "").encode()) % 5 == 1, at))
         self.size += len(text) if words else 0
 
@@ -419,11 +436,12 @@ class Block:
             sequence = packed_planes(places[start : start + length].astype(np.uint32))
             out.append(("text", block, None, doc_id, held_out, length, sequence, None, None, None, None))
         # Two tokens in a row, in the order of their digests, which is also that of the buckets.
-        both = follower_digests(digests[codes % width], first, digests[0])
-        order = np.argsort(both)
-        both = both[order]
+        # The lowest bit of what is sorted says whether the occurrence is learned from.
+        marked = np.sort((follower_digests(digests[codes % width], first, digests[0]) << np.uint64(1)) | learned)
+        both = marked >> np.uint64(1)
         starts = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
-        follows, both = np.add.reduceat(learned[order].astype(np.uint32), starts, dtype=np.uint32), both[starts]
+        counted = (marked & np.uint64(1)).astype(np.uint32)
+        follows, both = np.add.reduceat(counted, starts, dtype=np.uint32), both[starts]
         ends = np.searchsorted(bucket_of_digest(both, buckets), np.arange(buckets + 1))
         for number in np.flatnonzero(np.diff(ends)):
             some = slice(ends[number], ends[number + 1])
@@ -435,7 +453,7 @@ class Block:
         order = np.argsort(bucket_of, kind="stable")
         for some in np.split(order, np.flatnonzero(np.diff(bucket_of[order])) + 1):
             tokens = packed_tokens([words[k] for k in token[some]])
-            classes = packed((pairs[some] // width).astype(np.uint8))
+            classes = packed((pairs[some] // width).astype(np.uint16))
             number = int(bucket_of[some[0]])
             out.append(("pairs", block, number, None, None, None, packed(some.astype(np.uint32)), packed(training[some]), classes, tokens, None))
         return pd.DataFrame(out, columns=NUMBERED)
@@ -505,7 +523,7 @@ def vocabulary_of(shares: DataFrame) -> DataFrame:
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         sums: dict[tuple[int, bytes], int] = {}
         for tokens, classes, times in group[["tokens", "classes", "times"]].itertuples(index=False):
-            pairs = zip(unpacked(classes, np.uint8).tolist(), unpacked_tokens(tokens))
+            pairs = zip(unpacked(classes, np.uint16).tolist(), unpacked_tokens(tokens))
             for pair, n in zip(pairs, unpacked(times, np.int64).tolist()):
                 sums[pair] = sums.get(pair, 0) + n
         pairs = sorted(sums)
@@ -517,7 +535,7 @@ def vocabulary_of(shares: DataFrame) -> DataFrame:
             {
                 "bucket": [group["bucket"].iloc[0]],
                 "tokens": [packed_tokens([t for _, t in pairs])],
-                "classes": [packed(np.array([c for c, _ in pairs], np.uint8))],
+                "classes": [packed(np.array([c for c, _ in pairs], np.uint16))],
                 "times": [packed(times)],
                 "totals": [packed(np.array([total[t] for _, t in pairs], np.int64))],
                 "known": [sum(n > 0 for n in total.values())],
@@ -567,7 +585,7 @@ def training_pairs(row) -> tuple[np.ndarray, list[str], np.ndarray]:
     there = np.flatnonzero(times)
     tokens = unpacked_tokens(row.tokens)
     texts = [tokens[k].decode("utf-8", "surrogatepass") for k in there]
-    return unpacked(row.classes, np.uint8)[there].astype(np.int64), texts, times[there]
+    return unpacked(row.classes, np.uint16)[there].astype(np.int64), texts, times[there]
 
 
 def count_slots(vocabulary: DataFrame, trained: int) -> np.ndarray:
@@ -628,11 +646,12 @@ def followers_of(shares: DataFrame) -> DataFrame:
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         digests = [np.cumsum(unpacked_planes(d, np.uint64), dtype=np.uint64) for d in group["digests"]]
-        values, at = np.unique(np.concatenate(digests), return_inverse=True)
-        counts = np.concatenate([unpacked_planes(t, np.uint32) for t in group["times"]])
-        found = np.bincount(at, counts, len(values)).astype(np.int64)[at]
-        split = np.split(found, np.cumsum([len(d) for d in digests])[:-1])
-        return pd.DataFrame({"block": group["block"], "bucket": group["bucket"], "times": [packed_planes(f) for f in split]})
+        values = np.unique(np.concatenate(digests))
+        places = [np.searchsorted(values, d) for d in digests]  # those of a share are distinct and in order
+        totals = np.zeros(len(values), np.int64)
+        for at, times in zip(places, group["times"]):
+            totals[at] += unpacked_planes(times, np.uint32)
+        return pd.DataFrame({"block": group["block"], "bucket": group["bucket"], "times": [packed_planes(totals[at]) for at in places]})
 
     return stored(shares.groupBy("bucket").applyInPandas(add, "block long, bucket int, times binary"), "lm-followers")
 
@@ -705,7 +724,7 @@ def _scored(docs: DataFrame, id_col: str, text_col: str, label_col: str | None,
             logs = []
             for row in batch.itertuples(index=False):
                 texts = [t.decode("utf-8", "surrogatepass") for t in unpacked_tokens(row.tokens)]
-                logs.append(score(mixer, counts.odds(), unpacked(row.classes, np.uint8).astype(np.int64), texts).tobytes())
+                logs.append(score(mixer, counts.odds(), unpacked(row.classes, np.uint16).astype(np.int64), texts).tobytes())
             yield batch.assign(logs=logs)
 
     rated = vocabulary.select("bucket", "tokens", "classes", "totals").mapInPandas(
@@ -715,12 +734,12 @@ def _scored(docs: DataFrame, id_col: str, text_col: str, label_col: str | None,
     def answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         SlotTable.kept = (None, None)
         (row,) = known.itertuples(index=False)
-        place = {pair: k for k, pair in enumerate(zip(unpacked(row.classes, np.uint8).tolist(), unpacked_tokens(row.tokens)))}
+        place = {pair: k for k, pair in enumerate(zip(unpacked(row.classes, np.uint16).tolist(), unpacked_tokens(row.tokens)))}
         totals, logs = unpacked(row.totals, np.int64), np.frombuffer(row.logs, np.float64)
         out = []
         for share in asked.itertuples(index=False):
             tokens = unpacked_tokens(share.tokens)
-            pairs = zip(unpacked(share.classes, np.uint8).tolist(), tokens)
+            pairs = zip(unpacked(share.classes, np.uint16).tolist(), tokens)
             at = np.fromiter((place[p] for p in pairs), np.int64, len(tokens))
             sizes = np.fromiter((len(t) + (t != END.encode()) for t in tokens), np.uint32, len(tokens))
             digests = packed(token_digests(tokens))
@@ -783,12 +802,12 @@ def _scored(docs: DataFrame, id_col: str, text_col: str, label_col: str | None,
     )
     found = stored(texts.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(add_up, schema), "lm-found")
 
-    def opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for codes, n in zip(batch["gates"], batch["cells"]):
                 yield pd.DataFrame({"code": unpacked(codes, np.int64), "n": unpacked(n, np.int64)})
 
-    shown = found.filter("n_tokens IS NULL").select("gates", "cells").mapInPandas(opened, "code long, n long")
+    shown = found.filter("n_tokens IS NULL").select("gates", "cells").mapInPandas(listed, "code long, n long")
     follow = fit_shares(shown.groupBy("code").agg(F.sum("n").alias("n")).toPandas())  # gates times cells at most
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
