@@ -47,6 +47,7 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--prior-days", type=int, default=0)
             command.add_argument("--as-of", type=iso_date, help="last day, today in UTC if left out")
             command.add_argument("--table-prefix", help="name of a day's shard without its day")
+            command.add_argument("--day-from-name", action="store_true", help="shards hold their day in the name only")
     commands.choices["follow"].add_argument("--state", required=True, help="folder for stream progress")
     commands.choices["review"].add_argument("--rows", type=int, default=20)
     old = commands.choices["backfill"]
@@ -101,12 +102,12 @@ def main(argv: list[str] | None = None) -> None:
         "conversion_event": args.conversion_event,
         "as_of": args.as_of,
         "table_prefix": args.table_prefix,
+        "day_from_name": args.day_from_name,
         **kind,
     }
-    if args.command == "create":
-        initial_pull(spark, args.export, args.target, **pull)
-    else:
-        daily_pull(spark, args.export, args.target, **pull)
+    job = initial_pull if args.command == "create" else daily_pull
+    for day in job(spark, args.export, args.target, **pull):
+        print(f"{day.date}: {day.report_rows} rows, {day.users} users, {day.sessions} sessions, {day.conversions} conversions")
 
 
 if __name__ == "__main__":

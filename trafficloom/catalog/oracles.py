@@ -257,12 +257,15 @@ SAMPLED = f"""{UNIFIED}
 SELECT date, {totals('users', 'sessions')} FROM unified
 WHERE CAST('0x' || substr(md5({SAMPLE_KEY}), 1, 13) AS BIGINT) / pow(2, 52) < 0.25 GROUP BY date"""
 
-ORACLES: dict[str, str] = {
-    "scan_window": f"""WITH {EXPORT}
+SCANNED = f"""WITH {EXPORT}
 SELECT strftime(event_date, '%Y%m%d') AS event_date, event_timestamp, user_first_touch_timestamp, event_name,
   user_pseudo_id, category AS device_category, country AS geo_country, ts_source AS traffic_source,
   transaction_id, purchase_revenue, CAST(len(params) AS BIGINT) AS n_params
-FROM export WHERE event_date BETWEEN DATE '2024-01-30' - 6 AND DATE '2024-01-30'""",
+FROM export WHERE event_date BETWEEN DATE '2024-01-30' - 6 AND DATE '2024-01-30'"""
+
+ORACLES: dict[str, str] = {
+    "scan_window": SCANNED,
+    "scan_shards": SCANNED,
     "param_explode": f"""WITH {EXPORT}
 SELECT strftime(event_date, '%Y%m%d') AS event_date, event_timestamp, event_name, user_pseudo_id,
   key AS param_key, string_value, int_value
@@ -292,6 +295,8 @@ SELECT event_date, utm_source, utm_medium, {SESSION_METRICS} FROM sessions""",
     "engagement_ratio": f"{ACQUISITION} SELECT date, utm_source, utm_medium, sessions, {RATIO_METRIC} FROM report",
     "source_medium_report": f"{ACQUISITION} SELECT * FROM report",
     "landing_report": f"{LANDING} SELECT * FROM report",
+    "source_medium_report_sql": f"{ACQUISITION} SELECT * FROM report",
+    "landing_report_sql": f"{LANDING} SELECT * FROM report",
     "ranked_report": f"{LANDING} SELECT * FROM report ORDER BY sessions DESC, {ORDERED_LANDING}",
     "legacy_pages_flatten": f"{LEGACY} SELECT * FROM legacy_text",
     "legacy_bad_pages": """
@@ -329,6 +334,10 @@ starts AS (
 )
 SELECT greatest(m, b) AS window_start, least(last_day(m), e) AS window_end,
   row_number() OVER (ORDER BY m DESC) - 1 AS nth FROM starts""",
+    "pull_totals": f"""{LANDING}
+SELECT date, count(*) AS report_rows,
+  {totals('users', 'sessions', 'page_views', 'conversions', 'ecommerce_revenue', 'ecommerce_transactions')}
+FROM report GROUP BY date""",
     "target_sources": f"""{UNIFIED}
 SELECT utm_source, utm_medium, count(*) AS report_rows, min(date) AS first_day, max(date) AS last_day,
   count(DISTINCT date) AS days,
@@ -344,6 +353,20 @@ FROM unified GROUP BY 1""",
     "report_query_default": f"""{UNIFIED}
 SELECT {totals('users')} FROM unified WHERE date BETWEEN DATE '2024-01-31' - 91 AND DATE '2024-01-30'""",
     "report_query": f"{UNIFIED} SELECT country, utm_medium, {totals(*METRICS)} FROM unified GROUP BY country, utm_medium",
+    "report_distinct_pages": f"""{LANDING_SESSIONS},
+shown AS (
+  SELECT s.*, f.pageview_location FROM (SELECT * FROM flat) f JOIN (
+    SELECT event_date, user_pseudo_id, ga_session_id, {LANDING_LABELS} FROM (
+      SELECT event_date, user_pseudo_id, ga_session_id, max(geo_country) AS country, max(geo_region) AS region,
+        max(geo_city) AS city, max(utm_source) AS utm_source, max(utm_medium) AS utm_medium, max(utm_campaign) AS utm_campaign
+      FROM flat GROUP BY ALL)
+  ) s ON f.event_date = s.event_date AND f.user_pseudo_id IS NOT DISTINCT FROM s.user_pseudo_id
+    AND f.ga_session_id IS NOT DISTINCT FROM s.ga_session_id
+)
+SELECT utm_medium, country, count(DISTINCT (event_date, coalesce(user_pseudo_id, ''), coalesce(ga_session_id, -1), pageview_location))
+    FILTER (WHERE pageview_location IS NOT NULL) AS unique_page_views,
+  count(DISTINCT pageview_location) AS distinct_pages
+FROM shown GROUP BY utm_medium, country""",
     "report_date_ranges": ranges_report(),
     "report_many_ranges": f"""{UNIFIED},
 numbered AS (SELECT CAST(k AS INT) AS k, DATE '2023-10-01' + CAST(7 * k % 120 AS INT) AS first FROM range(1000) AS t(k)),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -21,11 +22,12 @@ from trafficloom.operators.legacy import (
     split_months,
 )
 from trafficloom.operators.legacy import month_windows as legacy_windows
-from trafficloom.operators.report_query import ReportQuery, legacy_report
+from trafficloom.operators.report_query import DISTINCT_PAGES, ReportQuery, legacy_report
 from trafficloom.operators.reports import label_dimensions, ranked
 from trafficloom.operators.sampling import DrawnLayout
 from trafficloom.plans import reports
 from trafficloom.plans.jobs import backfill, daily_pull, initial_pull
+from trafficloom.plans.sql_reports import LANDING_SQL, SOURCE_MEDIUM_SQL, report_by_sql
 from trafficloom.schemas import (
     DEFAULT_GOAL_METRIC,
     LANDING_DIMENSIONS,
@@ -44,7 +46,7 @@ from trafficloom.sources.sample_tables import (
     report_from_rows,
     report_pages_from_pages,
 )
-from trafficloom.storage import child_names
+from trafficloom.storage import child_names, move_folder
 
 CONVERSION = "purchase"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,7 +81,19 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> str:
 # events
 
 def scan_window(spark, sf_dir):
-    days = scan_export(spark, landed_export(spark, sf_dir), dt.date(2024, 1, 30), prior_days=6)
+    return scanned(scan_export(spark, landed_export(spark, sf_dir), dt.date(2024, 1, 30), prior_days=6))
+
+
+def scan_shards(spark, sf_dir):
+    """The same window from a shard per day, which holds its day in its name only."""
+    root = landed_export(spark, sf_dir)
+    for name in child_names(spark, root):
+        move_folder(spark, f"{root}/{name}", f"{root}/events_{name.removeprefix(PARTITION_PREFIX)}")
+    shards = scan_export(spark, root, dt.date(2024, 1, 30), 6, table_prefix="events_", day_from_name=True)
+    return scanned(shards)
+
+
+def scanned(days: DataFrame) -> DataFrame:
     return days.select(
         "event_date",
         "event_timestamp",
@@ -170,6 +184,17 @@ def source_medium(spark, sf_dir):
     return reports.acquisition_report(export(spark, sf_dir), CONVERSION)
 
 
+def report_by_sql_text(text: str) -> Query:
+    """A report as SQL with parameters, over a view of the export."""
+
+    def query(spark, sf_dir):
+        view = f"export_{uuid.uuid4().hex}"
+        export(spark, sf_dir).createOrReplaceTempView(view)
+        return report_by_sql(spark, text, view, 29, CONVERSION, dt.date(2024, 1, 30))
+
+    return query
+
+
 def engagement_ratio(spark, sf_dir):
     return source_medium(spark, sf_dir).select(*SOURCE_MEDIUM_DIMENSIONS, "sessions", RATIO_METRIC)
 
@@ -303,6 +328,14 @@ def daily_incremental(spark, sf_dir):
     return read_target(spark, target)
 
 
+def pull_totals(spark, sf_dir):
+    """What a pull of the whole export says it has written, counted while it wrote."""
+    root, target = landed_export(spark, sf_dir), shared_folder(spark, "target")
+    days = sorted(shard_days(child_names(spark, root), PARTITION_PREFIX).values())
+    written = initial_pull(spark, root, target, (days[-1] - days[0]).days, CONVERSION, as_of=days[-1])
+    return spark.createDataFrame(written)  # one row per day
+
+
 def unified(spark, sf_dir):
     return legacy(spark, sf_dir).unionByName(landing(spark, sf_dir))
 
@@ -329,6 +362,13 @@ def report(spark, sf_dir) -> ReportQuery:
     return ReportQuery(unified(spark, sf_dir), as_of=dt.date(2024, 1, 31)).date_range([EVERYTHING])
 
 
+def report_distinct_pages(spark, sf_dir):
+    """Distinct pages over all days, from sketches in the daily rows, beside the sum of daily ones."""
+    rows = reports.landing_page_report(export(spark, sf_dir), CONVERSION, sketch_pages=True)
+    wanted = ReportQuery(rows, as_of=dt.date(2024, 1, 31)).date_range([EVERYTHING]).dimensions(["utm_medium", "country"])
+    return wanted.metrics(["ga:uniquePageviews", DISTINCT_PAGES]).get().rows
+
+
 def report_default_today(spark, sf_dir):
     """The default range counts back from today, so the rows are moved up to end today."""
     rows = unified(spark, sf_dir)
@@ -439,6 +479,7 @@ def iso_date_check(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "scan_window": scan_window,
+    "scan_shards": scan_shards,
     "param_explode": param_explode,
     "param_pivot": flat_columns(
         "ga_session_id", "ga_session_number", "page_title", "pageview_location", "landing_page",
@@ -461,6 +502,8 @@ QUERIES: dict[str, Query] = {
     "engagement_ratio": engagement_ratio,
     "source_medium_report": source_medium,
     "landing_report": landing,
+    "source_medium_report_sql": report_by_sql_text(SOURCE_MEDIUM_SQL),
+    "landing_report_sql": report_by_sql_text(LANDING_SQL),
     "ranked_report": ranked_report,
     "legacy_pages_flatten": legacy_pages_flatten,
     "legacy_bad_pages": legacy_bad_pages,
@@ -471,12 +514,14 @@ QUERIES: dict[str, Query] = {
     "backfill_bound": bound,
     "backfill_union": backfill_union,
     "daily_incremental": daily_incremental,
+    "pull_totals": pull_totals,
     "backfill_windows": backfill_windows,
     "target_review": target_review,
     "target_sources": target_sources,
     "target_bound": target_bound,
     "report_query_default": report_query_default,
     "report_query": report_query,
+    "report_distinct_pages": report_distinct_pages,
     "report_date_ranges": report_date_ranges,
     "report_many_ranges": report_many_ranges,
     "report_segment": report_segment,

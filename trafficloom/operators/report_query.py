@@ -16,6 +16,7 @@ from trafficloom.functions.dates import days_ago, iso_date, utc_today
 from trafficloom.operators.date_ranges import tag_ranges
 from trafficloom.operators.ranking import NTH, RankedRows, rank_rows
 from trafficloom.operators.sampling import DrawnLayout, draw
+from trafficloom.operators.sessions import PAGE_SKETCH
 from trafficloom.schemas import (
     DEFAULT_GOAL_METRIC,
     LANDING_DIMENSIONS,
@@ -41,16 +42,23 @@ FEW_RANGES = 8
 SHORT_PAGE = 10_000
 
 
-def default_metrics() -> dict[str, Column]:
+DISTINCT_PAGES = "distinct_pages"
+
+
+def default_metrics(page_sketches: bool = False) -> dict[str, Column]:
     """How each unified metric combines over report rows.
 
-    All of them add up, but for the per-session ratio, which is weighted by sessions.
+    All of them add up, but for the per-session ratio, which is weighted by sessions, and
+    ``distinct_pages``, which a table with page sketches has: rows without one add nothing.
     """
     metrics = {m: F.sum(m) for m in METRICS}
     metrics["ecommerce_revenue"] = F.round(F.sum("ecommerce_revenue"), 2)
     weighted = F.sum(F.col(RATIO_METRIC) * F.col("sessions"))
     weight = F.sum(F.when(F.col(RATIO_METRIC).isNotNull(), F.col("sessions")))
     metrics[RATIO_METRIC] = F.round(F.try_divide(weighted, weight), 2)
+    if page_sketches:
+        pages = F.hll_sketch_estimate(F.hll_union_agg(PAGE_SKETCH))
+        metrics[DISTINCT_PAGES] = F.coalesce(pages, F.lit(0).cast("long"))
     return metrics
 
 
@@ -155,7 +163,7 @@ class ReportQuery:
 
     def plan(self) -> tuple[DataFrame, list[str]]:
         """The whole report, unordered, and its grouping columns."""
-        exprs = dict(self.metric_exprs or default_metrics())
+        exprs = dict(self.metric_exprs or default_metrics(PAGE_SKETCH in self.table.columns))
         legacy_metrics = dict(zip(legacy_metric_names(self.goal_metric), LEGACY_METRICS.values()))
         chosen = self._resolve(self.chosen_dimensions, LEGACY_DIMENSIONS, self.dimension_names)
         metrics = self._resolve(self.chosen_metrics, legacy_metrics, list(exprs))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trafficloom.functions.labels import CHANNEL_LABELS, NOT_SET, label_empty, label_null
 from trafficloom.functions.numbers import rounded_ratio
+from trafficloom.operators.sessions import PAGE_SKETCH
 from trafficloom.schemas import GEO, LANDING_DIMENSIONS, METRICS, RATIO_METRIC, SOURCE_MEDIUM_DIMENSIONS
 
 
@@ -36,7 +37,8 @@ def _report(sessions: DataFrame, dimensions: list[str]) -> DataFrame:
         "ecommerce_revenue": F.round(F.sum("ecommerce_revenue"), 2),
         "ecommerce_transactions": F.sum("ecommerce_transactions"),
     }
-    return labelled.groupBy(*dimensions).agg(*(metrics[m].alias(m) for m in METRICS))
+    sketches = [F.hll_union_agg(PAGE_SKETCH).alias(PAGE_SKETCH)] if PAGE_SKETCH in sessions.columns else []
+    return labelled.groupBy(*dimensions).agg(*(metrics[m].alias(m) for m in METRICS), *sketches)
 
 
 def landing_report(sessions: DataFrame) -> DataFrame:

@@ -9,6 +9,10 @@ from trafficloom.functions.labels import LANDING_PAGE_UNSET, label_null
 
 SESSION = ["ga_session_id", "user_pseudo_id", "event_date"]  # finest key first, as in IDENTITY
 
+#: A sketch counts a few hundred values exactly, and any number within some percent.
+PAGE_SKETCH = "page_sketch"
+SKETCH_BITS = 12
+
 _PICKS = {
     "country": "geo_country",
     "region": "geo_region",
@@ -63,6 +67,7 @@ def sessionize(
     dimensions: list[str],
     transactions: str = "distinct",
     landing_page_unset: str = LANDING_PAGE_UNSET,
+    sketch_pages: bool = False,
 ) -> DataFrame:
     """One row per (day, session id, user); neither id is kept.
 
@@ -71,6 +76,8 @@ def sessionize(
     Events without a session id or user form groups of their own and stay in.
     ``transactions``: count ``distinct`` ids of the session, or every ``row`` with one.
 
+    ``sketch_pages`` adds ``page_sketch``, a mergeable sketch of the session's distinct pages.
+
     The distinct counts run in two steps, first per (session, counted value) and
     then per session. Both combine before their shuffle, so one session or the
     group without any id may hold any share of the rows.
@@ -82,6 +89,7 @@ def sessionize(
     )
     picks = {d: _PICKS.get(d, d) for d in dimensions}
     page = F.col("pageview_location")
+    sketch = lambda pages: [F.hll_sketch_agg(pages, F.lit(SKETCH_BITS)).alias(PAGE_SKETCH)] if sketch_pages else []
 
     if transactions == "distinct":
         rows = _one_counted_value_per_row(flat)
@@ -97,6 +105,7 @@ def sessionize(
             F.count_if(is_page).alias("unique_page_views"),
             *(F.sum(name).alias(name) for name in _SUMS),
             F.count_if(F.col("counted") == "transaction").alias("ecommerce_transactions"),
+            *sketch(F.when(is_page, F.col("value"))),
         )
     else:
         sessions = flat.groupBy(*SESSION).agg(
@@ -105,6 +114,7 @@ def sessionize(
             F.count_distinct(page).alias("unique_page_views"),
             *(F.sum(source).alias(name) for name, source in _SUMS.items()),
             F.count("ecommerce_transaction_id").alias("ecommerce_transactions"),
+            *sketch(page),
         )
 
     return sessions.select(
@@ -120,4 +130,5 @@ def sessionize(
         "conversions",
         "ecommerce_revenue",
         "ecommerce_transactions",
+        *([PAGE_SKETCH] if sketch_pages else []),
     )

@@ -20,7 +20,7 @@ from trafficloom.operators.legacy import (
 from trafficloom.plans.reports import landing_page_report
 from trafficloom.schemas import DEFAULT_GOAL_METRIC, TARGET
 from trafficloom.session import shared_folder
-from trafficloom.sinks.target import append_days, create_target, is_folder, replace_days, stored_days
+from trafficloom.sinks.target import DayTotal, DayTotals, append_days, create_target, is_folder, replace_days, stored_days
 from trafficloom.sources.export import day_window, held_days, scan_export, split_days
 from trafficloom.sources.report_pages import UNREADABLE, last_pages, read_report_pages, stage_report_pages
 from trafficloom.storage import child_names, create_file, delete_folder, make_folder
@@ -40,23 +40,29 @@ def initial_pull(
     schema: T.StructType = TARGET,
     days_per_commit: int | None = None,
     on_bad_suffix: str = "error",
-) -> None:
+    day_from_name: bool = False,
+) -> list[DayTotal]:
     """Create the target from the last ``prior_days`` days; fails if it exists.
 
     No group spans two days, so a long window may be computed and committed in
     runs of ``days_per_commit`` days, newest first, which bounds the shuffled
     data on disk at any time. A daily pull of the missing days completes a run
-    that was stopped. Days the export does not hold are left out.
+    that was stopped. Days the export does not hold are left out. Returns rows and totals of
+    the days that were written.
     """
     first, last = day_window(as_of, prior_days)
     held = held_days(spark, export_root, as_of, prior_days, table_prefix, on_bad_suffix)
-    write = create_target
+    write, written = create_target, []
     for begin, end in split_days(first, last, days_per_commit or prior_days + 1):
-        if not any(begin <= day <= end for day in held):
+        days = [day for day in held if begin <= day <= end]
+        if not days:
             continue
-        export = scan_export(spark, export_root, end, (end - begin).days, table_prefix, on_bad_suffix)
-        write(build(export, conversion_event), target, schema)
+        export = scan_export(spark, export_root, end, (end - begin).days, table_prefix, on_bad_suffix, day_from_name)
+        totals = DayTotals(days)
+        write(build(export, conversion_event), target, schema, totals)
+        written += totals.totals()
         write = append_days
+    return sorted(written, key=lambda total: total.date)
 
 
 def daily_pull(
@@ -71,20 +77,25 @@ def daily_pull(
     schema: T.StructType = TARGET,
     days_per_commit: int | None = None,
     on_bad_suffix: str = "error",
-) -> None:
+    day_from_name: bool = False,
+) -> list[DayTotal]:
     """Recompute the days of the window that the export holds and replace them in the target.
 
     Other days of the target stay as they are: the export may have expired them, and
     history before it came from elsewhere. With ``days_per_commit`` the window is replaced
-    in runs, newest first.
+    in runs, newest first. Returns rows and totals of the replaced days.
     """
     first, last = day_window(as_of, prior_days)
     held = held_days(spark, export_root, as_of, prior_days, table_prefix, on_bad_suffix)
+    written = []
     for begin, end in split_days(first, last, days_per_commit or prior_days + 1):
         days = [day for day in held if begin <= day <= end]
         if days:
-            export = scan_export(spark, export_root, end, (end - begin).days, table_prefix, on_bad_suffix)
-            replace_days(build(export, conversion_event), target, days, schema)
+            export = scan_export(spark, export_root, end, (end - begin).days, table_prefix, on_bad_suffix, day_from_name)
+            totals = DayTotals(days)
+            replace_days(build(export, conversion_event), target, days, schema, totals)
+            written += totals.totals()
+    return sorted(written, key=lambda total: total.date)
 
 
 def pull_window(

@@ -16,17 +16,23 @@ def landing_flat(export: DataFrame, conversion_event: str | None = None, **optio
     return flatten_events(export, conversion_event, "event_params", "any_event", **options)
 
 
-def landing_sessions(flat: DataFrame, landing_page_unset: str = LANDING_PAGE_UNSET) -> DataFrame:
-    return sessionize(flat, ["landing_page", *GEO, *CHANNEL], "distinct", landing_page_unset)
+def landing_sessions(flat: DataFrame, landing_page_unset: str = LANDING_PAGE_UNSET, sketch_pages: bool = False) -> DataFrame:
+    return sessionize(flat, ["landing_page", *GEO, *CHANNEL], "distinct", landing_page_unset, sketch_pages)
 
 
 def landing_page_report(
     export: DataFrame,
     conversion_event: str | None = None,
     landing_page_unset: str = LANDING_PAGE_UNSET,
+    sketch_pages: bool = False,
 ) -> DataFrame:
-    """Events to the daily report by landing page, geography and channel."""
-    return landing_report(landing_sessions(landing_flat(export, conversion_event), landing_page_unset))
+    """Events to the daily report by landing page, geography and channel.
+
+    ``sketch_pages`` adds a sketch of each row's distinct pages (schema ``TARGET_WITH_PAGES``), from
+    which a report query tells the distinct pages of any days and dimensions together;
+    ``unique_page_views`` adds up pages per session.
+    """
+    return landing_report(landing_sessions(landing_flat(export, conversion_event), landing_page_unset, sketch_pages))
 
 
 def acquisition_flat(export: DataFrame, conversion_event: str | None = None, **options) -> DataFrame:

@@ -80,6 +80,7 @@ def _report(dimensions: list[str]) -> T.StructType:
 
 TARGET = _report(LANDING_DIMENSIONS)
 SOURCE_MEDIUM = _report(SOURCE_MEDIUM_DIMENSIONS)
+TARGET_WITH_PAGES = T.StructType([*TARGET, T.StructField("page_sketch", T.BinaryType())])
 
 # Legacy report names and the unified columns they feed.
 DEFAULT_GOAL_METRIC = "ga:goalCompletionsAll"

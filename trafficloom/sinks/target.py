@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,14 +42,70 @@ def _by_day(report: DataFrame, schema: T.StructType) -> DataFrame:
     return conform(report, schema).hint("rebalance", "date")
 
 
-def create_target(report: DataFrame, target: str, schema: T.StructType = TARGET) -> None:
+@dataclass(frozen=True)
+class DayTotal:
+    """What was written for a day."""
+
+    date: dt.date
+    report_rows: int
+    users: int
+    sessions: int
+    page_views: int
+    conversions: int
+    ecommerce_revenue: float
+    ecommerce_transactions: int
+
+
+class DayTotals:
+    """Rows and totals per day, counted by the tasks that write them, so that no second scan is
+    needed. The days have to be known; each takes a handful of counters."""
+
+    #: Days that one observation counts; more would not compile into one piece of code.
+    AT_ONCE = 30
+
+    def __init__(self, days: Iterable[dt.date]):
+        self.days = sorted(set(days))
+        self.observed: list[tuple[list[dt.date], Observation]] = []
+
+    def watch(self, rows: DataFrame) -> DataFrame:
+        """The rows, which are counted by the next action on them; this must be the last step
+        before a write, or repeated tasks of an earlier one would count twice."""
+        names = [f.name for f in fields(DayTotal)][2:]
+        for start in range(0, len(self.days), self.AT_ONCE):
+            some, observation = self.days[start : start + self.AT_ONCE], Observation()
+            counters = []
+            for k, day in enumerate(some):
+                here = F.col("date") == F.lit(day)
+                counters.append(F.count_if(here).alias(f"{k} rows"))
+                counters += [F.sum(F.when(here, F.col(name))).alias(f"{k} {name}") for name in names]
+            rows = rows.observe(observation, *counters)
+            self.observed.append((some, observation))
+        return rows
+
+    def totals(self) -> list[DayTotal]:
+        """A total per day, also of days without rows. Waits for the write."""
+        names, found = [f.name for f in fields(DayTotal)][2:], []
+        for some, observation in self.observed:
+            seen = observation.get
+            for k, day in enumerate(some):
+                sums = {name: seen[f"{k} {name}"] or 0 for name in names}
+                sums["ecommerce_revenue"] = round(float(sums["ecommerce_revenue"]), 2)
+                found.append(DayTotal(day, seen[f"{k} rows"], **sums))
+        return sorted(found, key=lambda total: total.date)
+
+
+def create_target(report: DataFrame, target: str, schema: T.StructType = TARGET, totals: DayTotals | None = None) -> None:
     """Write a new target; fails if there is one already."""
-    _save(_by_day(report, schema).write.mode("errorifexists"), target)
+    _save(_watched(_by_day(report, schema), totals).write.mode("errorifexists"), target)
 
 
-def append_days(report: DataFrame, target: str, schema: T.StructType = TARGET) -> None:
+def append_days(report: DataFrame, target: str, schema: T.StructType = TARGET, totals: DayTotals | None = None) -> None:
     """Add rows to the target."""
-    _save(_by_day(report, schema).write.mode("append"), target)
+    _save(_watched(_by_day(report, schema), totals).write.mode("append"), target)
+
+
+def _watched(rows: DataFrame, totals: DayTotals | None) -> DataFrame:
+    return rows if totals is None else totals.watch(rows)
 
 
 def _save(writer: DataFrameWriter, target: str) -> None:
@@ -61,11 +118,12 @@ def replace_days(
     target: str,
     days: Iterable[dt.date],
     schema: T.StructType = TARGET,
+    totals: DayTotals | None = None,
 ) -> None:
     """Make the target hold exactly ``report`` for the given days, and leave all others.
 
     The report is computed once into a staging folder, which also tells the days
-    that have rows. Those are swapped in by a dynamic partition overwrite. That
+    that have rows, and feeds ``totals`` on its way. Those are swapped in by a dynamic partition overwrite. That
     would leave a day untouched whose new result is empty, so such days are
     dropped afterwards. Running it again with the same input changes nothing.
     """
@@ -76,7 +134,7 @@ def replace_days(
     staging = shared_folder(spark, "staging")
     try:
         fenced = report.filter(F.col("date").between(F.lit(days[0]), F.lit(days[-1])))
-        create_target(fenced, staging, schema)
+        create_target(fenced, staging, schema, totals)
         filled = set(child_names(spark, staging))
         fresh = [day for day in days if f"date={day}" in filled]
         if fresh:

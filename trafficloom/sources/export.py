@@ -84,13 +84,21 @@ def scan_export(
     prior_days: int = 0,
     table_prefix: str | None = None,
     on_bad_suffix: str = "error",
+    day_from_name: bool = False,
 ) -> DataFrame:
-    """Events of the window's days, as :func:`held_days` finds them; no other folder is opened."""
+    """Events of the window's days, as :func:`held_days` finds them; no other folder is opened.
+
+    ``day_from_name`` takes the day of shards from their names, for files that do not hold it.
+    """
     held = held_days(spark, root, as_of, prior_days, table_prefix, on_bad_suffix)
     reader = spark.read.schema(EXPORT)
     if table_prefix is None:
-        reader = reader.option("basePath", root)
-    return reader.parquet(*held.values())
+        return reader.option("basePath", root).parquet(*held.values())
+    events = reader.parquet(*held.values())
+    if not day_from_name:
+        return events
+    named = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{8})(?:/[^/]+|\.parquet)$", 1)
+    return events.withColumn("event_date", named)
 
 
 def scan_table(
