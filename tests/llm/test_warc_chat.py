@@ -2,6 +2,7 @@
 
 import base64
 import random
+import re
 import zlib
 from hashlib import sha1
 
@@ -186,10 +187,103 @@ def test_deep_chain_and_popular_original(spark):
 def test_levels_and_units():
     assert chat.levels("> > a\n>>b\n    > code\n>") == [(2, "a"), (2, "b"), (0, "    > code"), (1, "")]
     own = chat.units("One two three four five.\n\nShort.\n\nOne two three four five.")
-    assert len(own) == 2
+    assert [unit for unit, _, _ in own] == [chat.WHOLE, chat.PARAGRAPH, chat.PARAGRAPH]
+    assert [words for _, _, words in own] == [11, 5, 1]
     assert chat.units(" \n") == []
 
 
+SHORT = [
+    (1, 0, "a", "I arrive at nine. Which town is it? Please tell me before Friday.\nThanks."),
+    (1, 1, "b", "> Which town?\nThe one by the river."),  # is a part of no message: a word is missing
+    (1, 2, "b", "> Thanks.\nNever mind."),
+    (1, 3, "b", "> Which town\n> is it?\nThe other one."),  # a sentence, wrapped anew
+    (1, 4, "c", "> town is it? Please tell\nWhy do you ask?"),  # neither a line nor a sentence
+    (1, 5, "c", "> it?\nThis."),
+    (1, 6, "c", "> The one by the river.\n> I never wrote this line.\nOnly one of both."),
+    (1, 7, "d", "> nothing of the kind\nHello."),
+]
+
+
+def test_short_and_partial_quotations(spark):
+    frame = spark.createDataFrame(SHORT, "conv_id long, turn long, role string, text string")
+    found = {r["turn"]: (r["n_linked"], r["parent_turn"]) for r in chat.reply_ordered(frame).collect()}
+    assert found == {0: (0, None), 1: (0, None), 2: (1, 0), 3: (1, 0), 4: (1, 0), 5: (1, 0), 6: (1, 1), 7: (0, None)}
+
+
+def plain_links(messages):
+    """What ``links`` finds within conversations, on words instead of digests."""
+    words = lambda text: tuple(text.encode().lower().split())
+
+    def units(text):
+        kinds = [[text], re.split(r"\n[ \t]*\n", text), text.split("\n"), re.split(r"(?<=[.!?])\s+", text)]
+        found = {}
+        for kind, parts in zip((4, 3, 2, 1), kinds):
+            for part in parts:
+                if words(part):
+                    found.setdefault(words(part), kind)
+        return found
+
+    def has(line, part):
+        return any(line[k : k + len(part)] == part for k in range(len(line) - len(part) + 1))
+
+    found = {}
+    for conv, turn, text in messages:
+        earlier = sorted((t, chat.split_message(x)[0]) for c, t, x in messages if c == conv)
+        for k, (level, passage) in enumerate(chat.split_message(text)[1]):
+            line = words(passage)
+            first = lambda holds: next((t for t, x in earlier if holds(x)), None)
+            known = lambda t: t is not None and t < turn
+            of = {first(lambda x: line in units(x))}
+            if not any(map(known, of)):
+                size = min(chat.ANCHOR, len(line))
+                parts = {line[i : i + size] for i in range(len(line) - size + 1)}
+                of = {first(lambda x: has(words(x), p)) for p in parts}
+                of = {t for t in of if known(t) and has(words(dict(earlier)[t]), line)}
+            if not any(map(known, of)):
+                own = [(len(u) >= 4, kind, first(lambda x: u in units(x))) for u, kind in units(passage).items()]
+                of = {max((x for x in own if known(x[2])), default=(0, 0, None))[2]}
+            of = [t for t in of if known(t)]
+            if of:
+                found[conv, turn, k, level] = min(of)
+    return found
+
+
+def test_links_equal_a_plain_version(spark):
+    draw = random.Random(11)
+    vocabulary = "a b c d e f g Which town is it. No! Yes? the of".split()
+    messages, said = [], {}
+    for conv in range(12):
+        for turn in range(9):
+            lines = []
+            for _ in range(draw.randrange(3)):
+                source = draw.choice([said[conv, t] for t in range(turn)] or ["x y z"]).split()
+                start = draw.randrange(len(source) + 1)
+                piece = source[start : start + draw.randrange(1, 14)]
+                if draw.random() < 0.25:
+                    piece.append("changed")
+                marker = "> " * draw.randrange(1, 4)
+                lines += [marker + " ".join(piece[k : k + 4]) for k in range(0, len(piece), 4)] + [""]
+            own = [" ".join(draw.choice(vocabulary) for _ in range(draw.randrange(0, 9))) for _ in range(draw.randrange(1, 4))]
+            said[conv, turn] = "\n".join(own)
+            messages.append((conv, turn, "\n".join(lines + own)))
+    frame = spark.createDataFrame(messages, "conv long, turn long, text string").repartition(3)
+    places = chat.parsed(frame, "conv", "turn", "text").select("conv", "turn", "parsed_message.*")
+    found = {(r["conv"], r["turn"], r["passage"], r["level"]): r["of_turn"] for r in chat.links(places).collect()}
+    expected = plain_links(messages)
+    assert len(expected) > 40 and len(set(expected.values())) > 4
+    assert found == expected
+
+
+def test_query_gives_the_conversations_back(spark):
+    from tests.compare import connect, differences
+    from tests.conftest import SF_SMALL
+    from trafficloom.llm.queries import ORACLES, QUERIES
+
+    found = QUERIES["op3_quotation_threads"](spark, SF_SMALL)
+    assert differences(found, connect(SF_SMALL), ORACLES["op3_quotation_threads"]) == []
+    assert found.agg(F.sum("n_linked")).first()[0] > 100
+
+
 def test_plan_has_no_cross_join(spark):
     frame = chat.reply_ordered(conversations(spark).withColumn("z", F.lit(1)))
     assert "Cartesian" not in frame._jdf.queryExecution().executedPlan().toString()

@@ -1,24 +1,33 @@
 """Linking quotations to the messages they quote, and conversations in reply order.
 
 1. ``parsed`` splits each message into its own text and the passages it quotes, with their
-   level of nesting, and digests both in three units: whole, paragraph and line. Digests are
-   of words only, with A-Z lowered, so wrapping, blanks and markers make no difference.
-2. Own units are reduced to the earliest message that has them, then joined with the quoted
-   units. Of a passage's units, the largest that finds a message decides.
+   level of nesting, and digests both. Digests are of words only, with A-Z lowered, so
+   wrapping, blanks and markers make no difference. A text's units are itself, its
+   paragraphs, lines and sentences; sentences run across lines.
+2. A passage is linked to the earliest message of which it is a unit. A passage that is none
+   is a part of a message if its words stand there in a row: its windows of ``ANCHOR`` words
+   are joined with those of the conversation's messages, each of which stands for the
+   earliest message that has it, and what meets is compared word by word. A passage that is
+   no part of these either, since it was changed or runs over several messages, is linked by
+   the largest kind of its own units that finds a message, to the latest it finds; units of
+   less than ``MIN_WORDS`` words are the last resort.
 3. A message replies to the latest message among those its outermost passages were linked to;
    if these found none, among the nested ones.
 4. Threads come from doubling: every message with a parent looks up its parent's ancestor
    until all have reached a message without one. Messages are ordered by thread, depth and turn.
 
-Keys are pairs of conversation and unit or turn, so a conversation of any size is spread;
-a unit that many messages share is reduced to its earliest message in every task before.
-With ``scope="corpus"`` originals are sought in all conversations.
+Keys are pairs of conversation and unit, window or turn, so a conversation of any size is
+spread; a unit or window that many messages share is reduced to its earliest message in every
+task before. Windows are made only of conversations that need them. With ``scope="corpus"``
+originals are sought in all conversations.
 
 Defined cases: a null or empty text has no units. Messages without a conversation or turn are
 not linked and keep their place. Rows that repeat a turn are one place: they share parent and
 thread, and each keeps its own text. A message is only linked to earlier turns; within the
-corpus, to other conversations' messages or earlier turns. Lines and paragraphs of less than
-``MIN_WORDS`` words are too common to be linked; a whole message may have any size.
+corpus, to other conversations' messages or earlier turns. Units of any length are linked
+within a conversation; across the corpus, where short ones are everywhere, units and parts
+of less than ``MIN_WORDS`` words are not. A part all of whose windows stand in still earlier messages is
+linked by its units alone.
 """
 
 from __future__ import annotations
@@ -33,19 +42,24 @@ from pyspark.sql import functions as F
 from trafficloom.llm.common import stored
 
 MIN_WORDS = 4
-WHOLE, PARAGRAPH, LINE = 3, 2, 1
+ANCHOR = 5
+WHOLE, PARAGRAPH, LINE, SENTENCE = 4, 3, 2, 1
+SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
 #: Markers at the start of a line, with at most three blanks before.
 MARKERS = re.compile(r"[ \t]{0,3}((?:>[ \t]?)+)")
 #: A line that introduces a quotation, dropped together with it.
 INTRODUCES = re.compile(r"\bwrote:\s*$")
 
 
-def digest(text: str) -> tuple[int, int]:
-    """A signed 64-bit digest of the text's words, and their number."""
+def words_of(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").lower().split()
+
+
+def digest(words: list[bytes]) -> int:
+    """A signed 64-bit digest of words."""
     from xxhash import xxh3_64_intdigest
 
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    return xxh3_64_intdigest(b" ".join(words)) - (1 << 63), len(words)
+    return xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
 
 
 def levels(text: str) -> list[tuple[int, str]]:
@@ -79,60 +93,121 @@ def split_message(text: str) -> tuple[str, list[tuple[int, str]]]:
     return "\n".join(own).strip(), [(level, "\n".join(p)) for level, p in passages if any(x.strip() for x in p)]
 
 
-def units(text: str) -> list[tuple[int, int]]:
-    """Distinct (unit, digest) of a text: itself, and its longer paragraphs and lines."""
-    whole, words = digest(text)
-    if not words:
+def units(text: str) -> list[tuple[int, int, int]]:
+    """Distinct (unit, digest, words) of a text: itself, its paragraphs, lines and sentences."""
+    whole = words_of(text)
+    if not whole:
         return []
-    found = {whole: WHOLE}
-    for unit, parts in ((PARAGRAPH, re.split(r"\n[ \t]*\n", text)), (LINE, text.split("\n"))):
-        for part in parts:
-            part_digest, part_words = digest(part)
-            if part_words >= MIN_WORDS:
-                found.setdefault(part_digest, unit)
-    return [(unit, value) for value, unit in found.items()]
+    found = {digest(whole): (WHOLE, len(whole))}
+    parts = {PARAGRAPH: re.split(r"\n[ \t]*\n", text), LINE: text.split("\n"), SENTENCE: SENTENCE_END.split(text)}
+    for unit, texts in parts.items():
+        for words in map(words_of, texts):
+            if words:
+                found.setdefault(digest(words), (unit, len(words)))
+    return [(unit, value, words) for value, (unit, words) in found.items()]
+
+
+def windows(words: list[bytes], *sizes: int) -> list[int]:
+    """Distinct digests of all windows of so many words."""
+    return list({digest(words[k : k + n]) for n in sizes for k in range(len(words) - n + 1)})
+
+
+QUOTED = "passage:int,level:int,unit:int,digest:bigint,words:int"
 
 
 def parsed(messages: DataFrame, conv_col: str, turn_col: str, text_col: str) -> DataFrame:
-    """The messages with ``own`` (their text without quotations), ``own_units`` (digests) and
-    ``quoted`` (structs of passage, level, unit, digest); other columns as given."""
+    """The messages with ``parsed_message``: ``own``, their text without quotations, ``own_units``
+    (structs of digest and words), ``passages`` (each with its level and its words in a row) and
+    ``quoted`` (structs of passage, level, unit, digest, words); other columns as given."""
 
-    @F.pandas_udf("own string, own_units array<bigint>, n_quotes int, quoted array<struct<passage:int,level:int,unit:int,digest:bigint>>")
+    @F.pandas_udf(
+        "own string, own_units array<struct<digest:bigint,words:int>>, n_quotes int, "
+        f"passages array<struct<passage:int,level:int,anchors:array<bigint>,words:int,line:string>>, quoted array<struct<{QUOTED}>>"
+    )
     def parse(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
-            own, passages = split_message(text) if isinstance(text, str) else (None, [])
-            quoted = [
-                {"passage": k, "level": level, "unit": unit, "digest": value}
-                for k, (level, passage) in enumerate(passages)
-                for unit, value in units(passage)
-            ]
-            rows.append((own, [value for _, value in units(own or "")], len(passages), quoted))
-        return pd.DataFrame(rows, columns=["own", "own_units", "n_quotes", "quoted"])
+            own, found = split_message(text) if isinstance(text, str) else (None, [])
+            passages, quoted = [], []
+            for k, (level, passage) in enumerate(found):
+                words = words_of(passage)
+                line = b" ".join(words).decode("utf-8", "surrogatepass")
+                anchors = windows(words, min(ANCHOR, len(words)))
+                passages.append({"passage": k, "level": level, "anchors": anchors, "words": len(words), "line": line})
+                quoted += [
+                    {"passage": k, "level": level, "unit": unit, "digest": value, "words": n} for unit, value, n in units(passage)
+                ]
+            rows.append((own, [{"digest": value, "words": n} for _, value, n in units(own or "")], len(found), passages, quoted))
+        return pd.DataFrame(rows, columns=["own", "own_units", "n_quotes", "passages", "quoted"])
 
     return messages.withColumn("parsed_message", parse(F.col(text_col)))
 
 
+def _searched(places: DataFrame) -> DataFrame:
+    """Messages (conv, turn) with the ``windows`` of their own text and its words in a ``line``."""
+
+    @F.pandas_udf("windows array<bigint>, line string")
+    def measure(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for words in (words_of(text or "") for text in texts):
+            rows.append((windows(words, *range(1, ANCHOR + 1)), b" ".join(words).decode("utf-8", "surrogatepass")))
+        return pd.DataFrame(rows, columns=["windows", "line"])
+
+    return places.select("conv", "turn", measure("own").alias("m")).select("conv", "turn", "m.*")
+
+
+KEYS = ["conv", "turn", "passage", "level"]
+
+
 def links(places: DataFrame, scope: str = "conversation") -> DataFrame:
     """Rows (conv, turn, passage, level, of_conv, of_turn) of the passages whose original is
-    found, from rows (conv, turn, own_units, quoted)."""
+    found, from rows (conv, turn, own, own_units, passages, quoted)."""
     if scope not in ("conversation", "corpus"):
         raise ValueError("the scope is conversation or corpus")
-    own = places.select("conv", "turn", F.explode("own_units").alias("digest"))
-    quoted = places.select("conv", "turn", F.explode("quoted").alias("q")).select("conv", "turn", "q.*")
-    if scope == "conversation":
-        first = own.groupBy("conv", "digest").agg(F.min("turn").alias("of_turn"))
-        first = first.select(F.col("conv").alias("of_conv"), F.col("digest").alias("of_digest"), "of_turn")
-        same = (F.col("conv") == F.col("of_conv")) & (F.col("digest") == F.col("of_digest"))
-    else:
+    least = 1 if scope == "conversation" else MIN_WORDS
+
+    def earliest(own: DataFrame) -> DataFrame:
+        """Rows (conv, turn, digest) reduced to the earliest message of each digest."""
+        if scope == "conversation":
+            first = own.groupBy("conv", "digest").agg(F.min("turn").alias("of_turn"))
+            return first.select(F.col("conv").alias("of_conv"), F.col("digest").alias("of_digest"), "of_turn")
         first = own.groupBy("digest").agg(F.min(F.struct("conv", "turn")).alias("of"))
-        first = first.select(F.col("digest").alias("of_digest"), F.col("of.conv").alias("of_conv"), F.col("of.turn").alias("of_turn"))
+        return first.select(F.col("digest").alias("of_digest"), F.col("of.conv").alias("of_conv"), F.col("of.turn").alias("of_turn"))
+
+    def matched(quoted: DataFrame, first: DataFrame) -> DataFrame:
         same = F.col("digest") == F.col("of_digest")
-    earlier = (F.col("conv") != F.col("of_conv")) | (F.col("of_turn") < F.col("turn"))
-    matched = quoted.join(first, same).filter(earlier)
-    order = F.struct("unit", "of_turn", "of_conv")
-    best = matched.groupBy("conv", "turn", "passage", "level").agg(F.max(order).alias("best"))
-    return best.select("conv", "turn", "passage", "level", "best.of_conv", "best.of_turn")
+        if scope == "conversation":
+            same = same & (F.col("conv") == F.col("of_conv"))
+        earlier = (F.col("conv") != F.col("of_conv")) | (F.col("of_turn") < F.col("turn"))
+        return quoted.join(first, same).filter(earlier).drop("of_digest", "digest")
+
+    own = places.select("conv", "turn", F.explode("own_units").alias("u")).select("conv", "turn", "u.*")
+    first = earliest(own.filter(F.col("words") >= least).select("conv", "turn", "digest"))
+    quoted = places.select("conv", "turn", F.explode("quoted").alias("q")).select("conv", "turn", "q.*").filter(F.col("words") >= least)
+    by_unit = stored(matched(quoted, first), "chat-units")
+    target = ["of_conv", "of_turn"]
+    whole = by_unit.filter(F.col("unit") == WHOLE).select(*KEYS, *target)
+
+    # parts of messages: windows find them, all words decide
+    passages = places.select("conv", "turn", F.explode("passages").alias("p")).select("conv", "turn", "p.*")
+    open_ = passages.filter(F.col("words") >= least).join(whole, KEYS, "left_anti")
+    open_ = stored(open_, "chat-open")
+    wanted = places if scope == "corpus" else places.join(open_.select("conv").distinct(), "conv", "left_semi")
+    searched = stored(_searched(wanted.limit(0) if open_.isEmpty() else wanted), "chat-searched")
+    anchors = open_.select(*KEYS, F.explode("anchors").alias("digest"))
+    near = matched(anchors, earliest(searched.select("conv", "turn", F.explode("windows").alias("digest")))).distinct()
+    texts = searched.select(F.col("conv").alias("of_conv"), F.col("turn").alias("of_turn"), F.col("line").alias("own_line"))
+    blank = F.lit(" ")
+    holds = F.contains(F.concat(blank, "own_line", blank), F.concat(blank, "line", blank))
+    part = near.join(open_.select(*KEYS, "line"), KEYS).join(texts, target).filter(holds).select(*KEYS, *target)
+    part = stored(part.distinct(), "chat-parts")
+
+    rest = by_unit.join(whole.union(part), KEYS, "left_anti")
+    long = (F.col("words") >= MIN_WORDS).alias("long")
+    best = rest.groupBy(*KEYS).agg(F.max(F.struct(long, "unit", "of_turn", "of_conv")).alias("best"))
+    by_part = best.select(*KEYS, "best.of_conv", "best.of_turn")
+    found = whole.union(part).union(by_part)
+    return found.groupBy(*KEYS).agg(F.min(F.struct(*target)).alias("of")).select(*KEYS, "of.of_conv", "of.of_turn")
 
 
 def threads(parents: DataFrame) -> DataFrame:

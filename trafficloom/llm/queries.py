@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficloom.llm import chat, divergence, language, lm, mixing, neardup, packing, phrases, quality, sharding, topk, toxicity, warc
-from trafficloom.llm.common import shipped, stored, table
+from trafficloom.llm.common import WORD, shipped, stored, table, word_count
 
 
 #: Names and weights of the shards of the sharding query; one is twice as large.
@@ -33,8 +33,34 @@ def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def as_mails(messages: DataFrame) -> DataFrame:
+    """The messages as mails: each quotes the message of the turn before, and in it the one
+    before that, as it is, wrapped anew, or without its first and last two words."""
+    spoken = messages.groupBy("conv_id", "turn").agg(F.min(F.struct("text", "role")).alias("said"))
+    for back in (1, 2):
+        before = spoken.select(
+            F.col("conv_id").alias("c"), (F.col("turn") + back).alias("t"), F.col("said.text").alias(f"text_{back}"), F.col("said.role").alias(f"role_{back}")
+        )
+        messages = messages.join(before, (F.col("conv_id") == F.col("c")) & (F.col("turn") == F.col("t")), "left").drop("c", "t")
+    long = word_count(F.col("text_1")) >= 12
+    wrapped = F.regexp_replace(F.regexp_replace("text_1", r"\s+", " "), r"((?:[^ ]+ ){4}[^ ]+) ", "$1\n")
+    inner = F.regexp_replace(F.regexp_replace("text_1", r"^\s*\S+\s+\S+\s+", ""), r"\s+\S+\s+\S+\s*$", "")
+    shown = F.when((F.col("turn") % 3 == 0) & long, inner).when(F.col("turn") % 3 == 2, wrapped).otherwise(F.col("text_1"))
+
+    def quoted(back: int, text, marker: str):
+        head = F.concat(F.lit("On turn "), (F.col("turn") - back).cast("string"), F.lit(", "), F.coalesce(f"role_{back}", F.lit("nobody")), F.lit(" wrote:"))
+        lines = F.concat(F.lit(marker), F.regexp_replace(text, "\n", f"\n{marker}"))
+        return F.when(F.col(f"text_{back}").rlike(WORD), F.concat(F.lit("\n" + marker[:-2]), head, F.lit("\n"), lines))
+
+    text = F.coalesce("text", F.lit(""))
+    mail = F.concat(text, F.lit("\n"), F.coalesce(quoted(1, shown, "> "), F.lit("")), F.coalesce(quoted(2, F.col("text_2"), "> > "), F.lit("")))
+    return messages.select("conv_id", "turn", "role", mail.alias("text"))
+
+
 def quotation_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.reply_ordered(table(spark, sf_dir, "conversations"))
+    """The conversations come back from mails that quote each other: texts without quotations,
+    which message each replies to, and their order."""
+    return chat.reply_ordered(stored(as_mails(table(spark, sf_dir, "conversations")), "chat-mails"))
 
 
 def language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,6 +257,19 @@ SELECT page_id, bytes::BIGINT AS payload_bytes, base32 AS payload_digest,
 FROM coded
 """
 
+#: What the mails were made of: turns of a conversation follow each other without a gap.
+QUOTATION_THREADS_SQL = """
+WITH chained AS (
+    SELECT *, turn - row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS run FROM conversations
+), placed AS (
+    SELECT *, min(turn) OVER thread AS first, row_number() OVER (thread ORDER BY turn) - 1 AS nth
+    FROM chained WINDOW thread AS (PARTITION BY conv_id, run)
+)
+SELECT conv_id, turn, role, text, least(nth, 2)::INT AS n_quotes, least(nth, 2)::BIGINT AS n_linked,
+       CASE WHEN nth > 0 THEN turn - 1 END AS parent_turn, first AS thread_root, nth::INT AS depth
+FROM placed
+"""
+
 PIVOT_TOP_K_SQL = """
 WITH vectors AS (
     SELECT row_number() OVER () AS r, vec_id,
@@ -327,6 +366,7 @@ QUALIFY part = 'pair' OR row_number() OVER best <= 200
 
 ORACLES: dict[str, str] = {
     "op2_warc_round_trip": WARC_SQL,
+    "op3_quotation_threads": QUOTATION_THREADS_SQL,
     "op7_pivot_top_k": PIVOT_TOP_K_SQL,
     "op8_rule_ledger": RULE_LEDGER_SQL,
     "op9_target_mix": TARGET_MIX_SQL,
