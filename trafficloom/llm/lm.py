@@ -339,12 +339,15 @@ def class_path(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     return path
 
 
+_COMPRESSOR, _DECOMPRESSOR = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def squeezed(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data)
+    return _COMPRESSOR.compress(data)
 
 
 def opened(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
+    return _DECOMPRESSOR.decompress(data)
 
 
 def packed(values: np.ndarray) -> bytes:
