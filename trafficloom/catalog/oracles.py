@@ -266,6 +266,7 @@ FROM export WHERE event_date BETWEEN DATE '2024-01-30' - 6 AND DATE '2024-01-30'
 ORACLES: dict[str, str] = {
     "scan_window": SCANNED,
     "scan_shards": SCANNED,
+    "scan_table_window": SCANNED,
     "param_explode": f"""WITH {EXPORT}
 SELECT strftime(event_date, '%Y%m%d') AS event_date, event_timestamp, event_name, user_pseudo_id,
   key AS param_key, string_value, int_value

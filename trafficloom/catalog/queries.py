@@ -30,6 +30,7 @@ from trafficloom.plans.jobs import backfill, daily_pull, initial_pull
 from trafficloom.plans.sql_reports import LANDING_SQL, SOURCE_MEDIUM_SQL, report_by_sql
 from trafficloom.schemas import (
     DEFAULT_GOAL_METRIC,
+    EXPORT,
     LANDING_DIMENSIONS,
     LEGACY_METRICS,
     RATIO_METRIC,
@@ -37,7 +38,7 @@ from trafficloom.schemas import (
 )
 from trafficloom.session import shared_folder
 from trafficloom.sinks.target import append_days, create_target, read_target, review_months, review_sources, stored_days
-from trafficloom.sources.export import PARTITION_PREFIX, scan_export, shard_days
+from trafficloom.sources.export import PARTITION_PREFIX, scan_export, scan_table, shard_days
 from trafficloom.sources.report_pages import last_pages, read_report_pages, stage_report_pages
 from trafficloom.sources.sample_tables import (
     SAMPLE_START,
@@ -93,6 +94,13 @@ def scan_shards(spark, sf_dir):
     return scanned(shards)
 
 
+def scan_table_window(spark, sf_dir):
+    """The same window by name, from a view partitioned by its day."""
+    root, view = landed_export(spark, sf_dir), f"export_{uuid.uuid4().hex}"
+    spark.read.schema(EXPORT).parquet(root).createOrReplaceTempView(view)
+    return scanned(scan_table(spark, view, dt.date(2024, 1, 30), 6))
+
+
 def scanned(days: DataFrame) -> DataFrame:
     return days.select(
         "event_date",
@@ -480,6 +488,7 @@ def iso_date_check(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "scan_window": scan_window,
     "scan_shards": scan_shards,
+    "scan_table_window": scan_table_window,
     "param_explode": param_explode,
     "param_pivot": flat_columns(
         "ga_session_id", "ga_session_number", "page_title", "pageview_location", "landing_page",
