@@ -119,6 +119,14 @@ def test_damage_is_an_error(tmp_path):
     assert zlib.decompress(part, 31).startswith(b"WARC/1.1")
 
 
+def test_headers_of_any_length_come_back(spark):
+    rows = [(1, "http://a.example/" + "x" * 70_000, "<p>a</p>"), (2, "http://b.example/?" + "y" * 3_000_000, "<p>b</p>"), (3, "http://c/", "")]
+    found = {r["record_id"]: r for r in warc.archived(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for page, url, html in rows:
+        record = found[warc.record_name(page)]
+        assert record["target_uri"] == url and bytes(record["payload"]).decode() == html
+
+
 MESSAGES = "conv_id long, turn long, role string, text string, own string"
 
 THREAD = [

@@ -39,9 +39,8 @@ MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a file after which the next one is begun, and of a range to be read.
 FILE_BYTES = 1 << 30
 RANGE_BYTES = 16 << 20
-#: Bytes fetched at once, and the longest header.
+#: Bytes fetched at once.
 FETCH = 1 << 20
-HEADER_BYTES = 1 << 16
 DATE = "1970-01-01T00:00:00Z"
 #: What ends a header, and the two line ends after a record's block.
 HEADER_END = b"\r\n\r\n"
@@ -174,7 +173,7 @@ class Source:
 def decoded(source: Source, offset: int) -> tuple[dict[str, str], bytes, int] | None:
     """The header, the block and the next member's offset, or None if no record starts here."""
     unpack = zlib.decompressobj(31)
-    data, place, head = bytearray(), offset, -1
+    data, place, head, searched = bytearray(), offset, -1, 0
     try:
         while not unpack.eof:
             piece = source.at(place)
@@ -185,9 +184,9 @@ def decoded(source: Source, offset: int) -> tuple[dict[str, str], bytes, int] |
             if head < 0:
                 if not data.startswith(b"WARC/1."[: len(data)]):
                     return None
-                head = data.find(HEADER_END, 0, HEADER_BYTES)
-                if head < 0 and len(data) > HEADER_BYTES:
-                    return None
+                # a header may have any length; what was searched before is not searched again
+                head = data.find(HEADER_END, searched)
+                searched = max(0, len(data) - len(HEADER_END) + 1)
     except zlib.error:
         return None
     if head < 0:
