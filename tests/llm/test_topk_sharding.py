@@ -40,7 +40,7 @@ def test_top_k_equals_brute_force(spark, monkeypatch, seed, count, groups):
 def test_odd_vectors_take_no_part(spark):
     good = [(k, [float(k % 7), 1.0 - k % 5, 0.25 * (k % 3)]) for k in range(0, 120)] + [(50, [1.0, 2.0, 3.0]), (50, [1.0, 2.0, 3.0])]
     nan, inf = float("nan"), float("inf")
-    odd = [(200, None), (250, [nan, 0.0, 0.0]), (300, [1.0, None, 0.0]), (350, [inf, 0.0, 0.0]), (400, []), (450, [1.0]), (None, [1.0, 1.0, 1.0])]
+    odd = [(200, None), (250, [nan, 0.0, 0.0]), (300, [1.0, None, 0.0]), (350, [inf, 0.0, 0.0]), (None, [1.0, 1.0, 1.0])]
     frame = frame_of(spark, good + odd).selectExpr("*", "1 AS row", "2 AS id", "3 AS score", "'x' AS pivot")
     found = topk.top_k(frame, "vec_id", "embedding", every=50, k=5)
     assert rows(found) == plain_top(good, 50, 5)
@@ -48,6 +48,25 @@ def test_odd_vectors_take_no_part(spark):
     assert nothing.columns == found.columns and nothing.count() == 0
 
 
+def test_vectors_of_other_lengths_go_on_with_zeros(spark):
+    vectors = [(k, [float(k % 7), 1.0 - k % 5, 0.25 * (k % 3)]) for k in range(120)]
+    odd = [(400, []), (450, [1.0]), (500, [3.0, 1.0]), (550, [0.5, 0.5, 0.5, 9.0]), (551, [0.0, 0.0, 0.0, -2.0, 4.0])]
+    found = topk.top_k(frame_of(spark, vectors + odd), "vec_id", "embedding", every=50, k=5)
+    assert rows(found) == plain_top([(i, v + [0.0] * (5 - len(v))) for i, v in vectors + odd], 50, 5)
+    only = topk.top_k(frame_of(spark, [(0, []), (1, [])]), "vec_id", "embedding", every=50, k=5)
+    assert rows(only) == [(0, 1, 1, 0)]
+
+
+def test_large_components(spark):
+    """Up to the bound all scores are exact; beyond it the vector is named."""
+    large = [(k, [1e6 * (k % 5 + 1), -3e5 * (k % 3)]) for k in range(60)]
+    found = topk.top_k(frame_of(spark, large), "vec_id", "embedding", every=50, k=5)
+    assert rows(found) == plain_top([(i, np.float32(v).tolist()) for i, v in large], 50, 5)
+    for beyond in (1e10, 3e38):
+        with pytest.raises(Exception, match="may not fit 64 bits: id 77"):
+            topk.top_k(frame_of(spark, [*large, (77, [beyond, 0.0])]), "vec_id", "embedding", every=50, k=5).collect()
+
+
 def plain_table(weights, slots):
     """Turn by turn, with a plain search for the next free slot."""
     table, nth = [None] * slots, dict.fromkeys(weights, 0)
@@ -120,3 +139,17 @@ def test_a_hot_shard_is_spread_over_files(spark, tmp_path):
     assert rows(back.groupBy("shard").count()) == rows(expected)
     hot = sharding.placed(rows_.filter("key = 'hot'"), "key", names).first()["shard"]
     assert len(list((tmp_path / "shards" / f"shard={hot}").glob("*.parquet"))) > 1
+
+
+def test_query_writes_whole_documents_to_their_shards(spark):
+    from tests.conftest import SF_SMALL
+    from trafficloom.llm.common import table
+    from trafficloom.llm.queries import QUERIES, SHARDS
+
+    docs = table(spark, SF_SMALL, "documents")
+    found = QUERIES["op1_table_sharding"](spark, SF_SMALL).collect()
+    expected = sharding.placed(docs.selectExpr("doc_id", "source", "octet_length(text) AS n"), "doc_id", SHARDS).collect()
+    key = lambda r: tuple(-1 if x is None else x for x in r)
+    assert sorted(((r["doc_id"], r["slot"], r["shard"], r["source"], r["text_bytes"]) for r in found), key=key) == sorted(
+        ((r["doc_id"], r["slot"], r["shard"], r["source"], r["n"]) for r in expected), key=key
+    )

@@ -19,8 +19,10 @@ squared distance is then |q|^2 + M - 2 q.x.
 Components are integers, floor(scale * x), and scores are summed in integers, so results
 are exact: distances only decide what need not be looked at, with a slack for rounding.
 
-Defined cases: vectors that are null, empty, of another length than most, or hold a null or
-non-finite component take no part. Ties go to the smaller id. Rows that repeat an id are
+Defined cases: vectors that are null or hold a null or non-finite component take no part.
+Vectors of different lengths are scored over the components that both have, as if the
+shorter one went on with zeros; an empty one scores 0. A vector whose squared length reaches
+2^62 is an error that names it: below that, no score or sum on the way leaves 64 bits. Ties go to the smaller id. Rows that repeat an id are
 rows of their own, as queries and as candidates; a query leaves out only its own row. Rows
 without an id are not taken as queries or candidates.
 """
@@ -45,22 +47,28 @@ SAMPLE = 4096
 RING = 256
 RINGS = 64
 QUERIES = 1024
-#: Distances are taken as equal within this share.
-SLACK = 1e-9
+#: Distances are taken as equal within this share, and within this share of the longest vector:
+#: they are roots of differences, which lose half of a double's digits.
+SLACK, LOST = 1e-9, 1e-7
+#: Squared lengths, and so all scores, stay below.
+MOST = 1 << 62
 
 
 def quantised(rows: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
     """Stored rows (row, id, vector, length) of the vectors that take part."""
-    values = F.transform(F.col(vector_col), lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("long"))
+    scaled = F.transform(F.col(vector_col), lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("double"))
     fine = F.forall(F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    valid = rows.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(vector_col) > 0) & fine)
-    kept = valid.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), values.alias("vector"))
-    kept = stored(kept, "topk-vectors")
-    widths = kept.groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), "width").first()
-    if widths is None:
-        return kept.withColumn("length", F.lit(0).cast("long"))
+    valid = rows.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & fine)
+    about = F.aggregate("scaled", F.lit(0.0), lambda total, x: total + x * x)
+    too_long = F.raise_error(F.concat(F.lit("scores of this vector may not fit 64 bits: id "), F.col("id").cast("string")))
+    kept = valid.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), scaled.alias("scaled"))
+    whole = F.transform("scaled", lambda x: x.cast("long"))
+    checked = F.when(about >= F.lit(float(MOST)), too_long.cast("array<bigint>")).otherwise(whole)
+    kept = stored(kept.select("row", "id", checked.alias("vector")), "topk-vectors")
+    width = max(1, kept.agg(F.max(F.size("vector"))).first()[0] or 0)
+    zeros = F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("vector"))
     squared = F.aggregate("vector", F.lit(0).cast("long"), lambda total, x: total + x * x)
-    return kept.filter(F.size("vector") == widths["width"]).withColumn("length", squared)
+    return kept.select("row", "id", F.concat("vector", zeros).alias("vector"), squared.alias("length"))
 
 
 def extended(vectors: np.ndarray, lengths: np.ndarray, most: float) -> np.ndarray:
@@ -203,7 +211,7 @@ def top_k(rows: DataFrame, id_col: str, vector_col: str, every: int, k: int, sca
     queries = stored(queries.withColumn("radius", _radius(F.col("vector"), F.col("bound"), most)), "topk-queries")
     blocks = max(1, -(-queries.count() // QUERIES))
     queries = queries.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)))
-    visits = stored(_visits(queries, spans), "topk-visits")
+    visits = stored(_visits(queries, spans, most), "topk-visits")
     asked = queries.select("query", "query_id", "vector", "radius").join(visits, "query")
     # Every run of rings once for each block of queries that has visitors among them.
     pairs = visits.select(F.col("run").alias("of_run"), F.col("block").alias("of_block")).distinct()
@@ -231,14 +239,14 @@ def _radius(vector: Column, bound: Column, most: float) -> Column:
     return radius(vector, bound)
 
 
-def _visits(queries: DataFrame, spans: DataFrame) -> DataFrame:
+def _visits(queries: DataFrame, spans: DataFrame, most: float) -> DataFrame:
     """One row (run, query, block) for each run of rings that a query's radius reaches.
 
     The spans list the distances of each run's vectors to their pivot. A query meets the
     spans of a pivot with its own distance to it, and the triangle inequality filters them.
     """
     asked = queries.select("query", "radius", "block", F.posexplode("to_pivots").alias("at", "away"))
-    reach = F.col("radius") * (1 + SLACK) + SLACK
+    reach = F.col("radius") * (1 + SLACK) + LOST * most**0.5
     gap = F.greatest(F.col("away") - F.col("far"), F.col("near") - F.col("away"))
     near = asked.join(spans, F.col("at") == F.col("pivot")).filter(gap <= reach)
     return near.select("run", "query", "block").distinct()
@@ -260,7 +268,7 @@ def _visit(centres: np.ndarray, most: float, k: int):
             square, radius = float((vector**2).sum()), q.radius
             ids, rows, scores = (np.zeros(0, np.int64) for _ in range(3))
             for at in np.argsort(gaps, kind="stable"):
-                if gaps[at] > radius * (1 + SLACK) + SLACK:
+                if gaps[at] > radius * (1 + SLACK) + LOST * most**0.5:
                     break
                 _, _, _, ring_ids, ring_rows, matrix = parts[at]
                 others = ring_rows != q.query
