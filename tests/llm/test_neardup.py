@@ -89,6 +89,20 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert components(path.limit(0)).count() == 0
 
 
+def test_hubs_and_chains_of_hubs(spark, monkeypatch):
+    from trafficloom.llm import graph
+
+    monkeypatch.setattr(graph, "HUB_EDGES", 20)
+    edges = [(1000 * h, 1000 * h + k) for h in range(1, 6) for k in range(1, 90)] + [(1000 * h, 1000 * h + 1000) for h in range(1, 5)]
+    edges += [(9000 + k, 9100) for k in range(60)] + [(7, 7), (8, 9), (9, 8)]
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    found = {r["node"]: r["root"] for r in components(frame).collect()}
+    first = {n for e in edges[: 5 * 89 + 4] for n in e}
+    assert {n: r for n, r in found.items() if n in first} == dict.fromkeys(first, 1000)
+    assert {r for n, r in found.items() if n >= 9000} == {9000} and (found[8], found[9]) == (8, 8)
+    assert components(frame.limit(0)).count() == 0
+
+
 def test_posterior_bound_matches_its_definition():
     """P(similarity >= t | m of n) below the miss probability just under the bound, by integration."""
     grid = np.linspace(0, 1, 200_001)

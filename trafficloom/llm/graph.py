@@ -7,8 +7,24 @@ from pyspark.sql import functions as F
 
 from trafficloom.llm.common import stored
 
-#: Edges a task takes at least; rounds over few edges need few tasks.
-TASK_EDGES = 200_000
+#: A node with so many edges is a hub, and at most so many hubs are sent to all tasks.
+HUB_EDGES, HUBS = 1000, 10_000
+
+
+def _with_lowest(edges: DataFrame, count: int) -> DataFrame:
+    """The edges (u, v) with ``m``, the smallest v of their u.
+
+    The minima are grouped, combined within each task. They come back by a join on u, but
+    for hubs, whose edges would all go to one task: those are few, since they share the
+    edges between them, and their minima are broadcast.
+    """
+    least = max(HUB_EDGES, count // HUBS)  # at most HUBS nodes have as many edges
+    lowest = stored(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("edges")), "component-lowest")
+    hubs = lowest.filter(F.col("edges") >= least).select(F.col("u").alias("hub"), F.col("m").alias("hub_m"))
+    known = edges.join(F.broadcast(hubs), F.col("u") == F.col("hub"), "left").drop("hub")
+    at_hubs = known.filter("hub_m IS NOT NULL").select("u", "v", F.col("hub_m").alias("m"))
+    others = lowest.filter(F.col("edges") < least).select("u", "m")
+    return known.filter("hub_m IS NULL").drop("hub_m").join(others, "u").select("u", "v", "m").union(at_hubs)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,16 +40,13 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     current = stored(pairs.distinct(), "component-edges")
     while _unsettled(current):
-        tasks = max(1, current.count() // TASK_EDGES)
+        count = 2 * current.count()
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = both.join(lowest, "u").filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        large = large.distinct().coalesce(tasks)
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u")
+        large = _with_lowest(both, count).filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+        small = _with_lowest(stored(large.distinct(), "component-edges"), count)
         moved = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        joined = moved.union(small.select("u", F.col("m").alias("v"))).coalesce(tasks)
-        current = stored(joined.distinct().coalesce(tasks), "component-edges")
+        joined = moved.union(small.select("u", F.col("m").alias("v")))
+        current = stored(joined.distinct(), "component-edges")
     leaves = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return leaves.union(current.select("v", "v").distinct())
 

@@ -266,7 +266,11 @@ def near_duplicates(
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
         .withColumn("kept", F.col("doc_id") == F.col("component_id"))
     )
-    count = F.udf(lambda text: len(shingle_set(text, shingle)), "long")
+
+    @F.pandas_udf("long")
+    def count(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(shingle_set(text, shingle)) for text in texts], dtype="int64")
+
     nameless = docs.filter(F.col(id_col).isNull()).select(
         F.lit(None).cast("long").alias("doc_id"),
         count(F.col(text_col)).alias("n_shingles"),
@@ -320,7 +324,8 @@ def deduplicated(
 ) -> DataFrame:
     """One document of each component, columns as given.
 
-    Where the kept id has several rows, one of them stays; documents without id all do.
+    Where the kept id has several rows, that of the smallest text stays, nulls first; documents
+    without id all do.
     """
     kept = near_duplicates(docs, id_col, text_col, shingle, percent).filter("kept AND doc_id IS NOT NULL")
     ids = stored(kept.groupBy("doc_id").agg(F.count("*").alias("n")), "neardup-kept")
@@ -328,5 +333,7 @@ def deduplicated(
     once, often = ids.filter("n = 1"), ids.filter("n > 1")
     found = docs.join(once.hint("merge"), same(once), "left_semi")
     if not often.isEmpty():
-        found = found.union(docs.join(often, same(often), "left_semi").dropDuplicates([id_col]))
+        rest = [F.col(c) for c in docs.columns if c != text_col]
+        rows = docs.join(often, same(often), "left_semi").groupBy(id_col).agg(F.min(F.struct(text_col, *rest)).alias("row"))
+        found = found.union(rows.select("row.*").select(*docs.columns))
     return found.union(docs.filter(F.col(id_col).isNull()))
