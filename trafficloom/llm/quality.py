@@ -130,6 +130,12 @@ def passes(policy: Policy = CURRENT, failures: str = "failures") -> Column:
     return F.col(failures).bitwiseAND(F.lit(policy.mask).cast("long")) == 0
 
 
+def sole_failure(policy: Policy = CURRENT, failures: str = "failures") -> Column:
+    """The rule without which the policy would keep the document, if there is one such rule."""
+    failing = F.col(failures).bitwiseAND(F.lit(policy.mask).cast("long"))
+    return F.coalesce(*(F.when(failing == BIT[rule], F.lit(rule)) for rule in policy.rules))
+
+
 def kept(docs: DataFrame, policy: Policy = CURRENT, text_col: str = "text") -> DataFrame:
     """The documents the policy lets through, columns as given."""
     return docs.filter(judged(F.col(text_col))["failures"].bitwiseAND(F.lit(policy.mask).cast("long")) == 0)

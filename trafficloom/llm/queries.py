@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trafficloom.llm import chat, divergence, language, lm, mixing, neardup, packing, phrases, quality, sharding, topk, toxicity, warc
-from trafficloom.llm.common import WORD, shipped, stored, table, word_count
+from trafficloom.llm.common import WORD, new_folder, shipped, stored, table, word_count
 
 
 #: Names and weights of the shards of the sharding query; one is twice as large.
@@ -16,7 +17,12 @@ SHARDS = {f"shard-{k:02d}": 2 if k == 0 else 1 for k in range(48)}
 
 
 def table_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.placed(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
+    """The documents, whole, written in a folder per shard and read back from there."""
+    path = f"{new_folder(spark, 'shards')}/rows"
+    docs = table(spark, sf_dir, "documents")
+    sharding.write_shards(docs, "doc_id", SHARDS, path, files=4)
+    shards = spark.read.schema(T.StructType([*docs.schema]).add("slot", "long").add("shard", "string")).parquet(path)
+    return shards.select("doc_id", "slot", "shard", "source", F.octet_length("text").cast("long").alias("text_bytes"))
 
 
 def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +117,8 @@ def rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_lines",
         "failures",
         F.lit(quality.CURRENT.version).alias("policy"),
+        *(quality.passes(p).alias(f"kept_by_{p.version.replace('-', '_')}") for p in quality.POLICIES),
+        quality.sole_failure().alias("sole_rule"),
     )
 
 
@@ -193,7 +201,10 @@ WITH texts AS (
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
        (failures & 3) <> 0 AS base_failed, failures = 0 AS kept, n_lines::BIGINT AS n_lines,
-       failures::BIGINT AS failures, '2025-full' AS policy
+       failures::BIGINT AS failures, '2025-full' AS policy,
+       failures & 3 = 0 AS kept_by_2024_base, failures & 7 = 0 AS kept_by_2024_symbols, failures = 0 AS kept_by_2025_full,
+       CASE failures WHEN 1 THEN 'too_few_words' WHEN 2 THEN 'repeated_windows' WHEN 4 THEN 'symbol_heavy'
+            WHEN 8 THEN 'short_words' WHEN 16 THEN 'long_words' WHEN 32 THEN 'repeated_lines' END AS sole_rule
 FROM judged
 """
 
@@ -275,11 +286,11 @@ WITH vectors AS (
     SELECT row_number() OVER () AS r, vec_id,
            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
     FROM embeddings
-    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
     SELECT q.vec_id AS query_id, q.r AS query, c.vec_id, c.r,
-           list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+           coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
     FROM vectors AS q JOIN vectors AS c ON q.vec_id % 50 = 0 AND q.r <> c.r
 )
 SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score FROM scored
