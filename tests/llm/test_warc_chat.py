@@ -244,7 +244,7 @@ def plain_links(messages):
             of = {first(lambda x: line in units(x))}
             if not any(map(known, of)):
                 size = min(chat.ANCHOR, len(line))
-                parts = {line[i : i + size] for i in range(len(line) - size + 1)}
+                parts = {line[i : i + size] for i in ((len(line) - size) * k // 3 for k in range(4))}
                 of = {first(lambda x: has(words(x), p)) for p in parts}
                 of = {t for t in of if known(t) and has(words(dict(earlier)[t]), line)}
             if not any(map(known, of)):

@@ -5,9 +5,9 @@
    wrapping, blanks and markers make no difference. A text's units are itself, its
    paragraphs, lines and sentences; sentences run across lines.
 2. A passage is linked to the earliest message of which it is a unit. A passage that is none
-   is a part of a message if its words stand there in a row: its windows of ``ANCHOR`` words
-   are joined with those of the conversation's messages, each of which stands for the
-   earliest message that has it, and what meets is compared word by word. A passage that is
+   is a part of a message if its words stand there in a row: ``ANCHORS`` of its windows of
+   ``ANCHOR`` words are joined with those of the conversation's messages, each of which stands
+   for the earliest message that has it, and what meets is compared word by word. A passage that is
    no part of these either, since it was changed or runs over several messages, is linked by
    the largest kind of its own units that finds a message, to the latest it finds; units of
    less than ``MIN_WORDS`` words are the last resort.
@@ -18,7 +18,8 @@
 
 Keys are pairs of conversation and unit, window or turn, so a conversation of any size is
 spread; a unit or window that many messages share is reduced to its earliest message in every
-task before. Windows are made only of conversations that need them. With ``scope="corpus"``
+task before. Windows are made only of conversations that need them, and only those leave a task
+that a bit field of all anchors, of bounded size, does not rule out. With ``scope="corpus"``
 originals are sought in all conversations.
 
 Defined cases: a null or empty text has no units. Messages without a conversation or turn are
@@ -26,23 +27,25 @@ not linked and keep their place. Rows that repeat a turn are one place: they sha
 thread, and each keeps its own text. A message is only linked to earlier turns; within the
 corpus, to other conversations' messages or earlier turns. Units of any length are linked
 within a conversation; across the corpus, where short ones are everywhere, units and parts
-of less than ``MIN_WORDS`` words are not. A part all of whose windows stand in still earlier messages is
+of less than ``MIN_WORDS`` words are not. A part whose anchors all stand in still earlier messages is
 linked by its units alone.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trafficloom.llm.common import stored
+from trafficloom.llm.phrases import BitField
 
 MIN_WORDS = 4
-ANCHOR = 5
+#: Words of a window, and windows of a passage that look for the message it is a part of.
+ANCHOR, ANCHORS = 5, 4
 WHOLE, PARAGRAPH, LINE, SENTENCE = 4, 3, 2, 1
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
 #: Markers at the start of a line, with at most three blanks before.
@@ -107,7 +110,15 @@ def units(text: str) -> list[tuple[int, int, int]]:
     return [(unit, value, words) for value, (unit, words) in found.items()]
 
 
-def windows(words: list[bytes], *sizes: int) -> list[int]:
+def anchors(words: list[bytes]) -> list[int]:
+    """Distinct digests of some windows, evenly spread from the first to the last; a text
+    shorter than a window is one by itself."""
+    size = min(ANCHOR, len(words))
+    last = len(words) - size
+    return list({digest(words[k : k + size]) for k in {last * i // (ANCHORS - 1) for i in range(ANCHORS)}})
+
+
+def windows(words: list[bytes], sizes: Iterable[int]) -> list[int]:
     """Distinct digests of all windows of so many words."""
     return list({digest(words[k : k + n]) for n in sizes for k in range(len(words) - n + 1)})
 
@@ -132,8 +143,7 @@ def parsed(messages: DataFrame, conv_col: str, turn_col: str, text_col: str) ->
             for k, (level, passage) in enumerate(found):
                 words = words_of(passage)
                 line = b" ".join(words).decode("utf-8", "surrogatepass")
-                anchors = windows(words, min(ANCHOR, len(words)))
-                passages.append({"passage": k, "level": level, "anchors": anchors, "words": len(words), "line": line})
+                passages.append({"passage": k, "level": level, "anchors": anchors(words), "words": len(words), "line": line})
                 quoted += [
                     {"passage": k, "level": level, "unit": unit, "digest": value, "words": n} for unit, value, n in units(passage)
                 ]
@@ -143,17 +153,20 @@ def parsed(messages: DataFrame, conv_col: str, turn_col: str, text_col: str) ->
     return messages.withColumn("parsed_message", parse(F.col(text_col)))
 
 
-def _searched(places: DataFrame) -> DataFrame:
-    """Messages (conv, turn) with the ``windows`` of their own text and its words in a ``line``."""
+def _searched(places: DataFrame, bits: bytes) -> DataFrame:
+    """Messages (conv, turn) with those ``windows`` of their own text, of the ``sizes`` asked
+    for, that the field has, and the text's words in a ``line``, from rows with ``own``."""
+    shared = places.sparkSession.sparkContext.broadcast(bits)
 
     @F.pandas_udf("windows array<bigint>, line string")
-    def measure(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for words in (words_of(text or "") for text in texts):
-            rows.append((windows(words, *range(1, ANCHOR + 1)), b" ".join(words).decode("utf-8", "surrogatepass")))
+    def measure(texts: pd.Series, sizes: pd.Series) -> pd.DataFrame:
+        field, rows = BitField(shared.value), []
+        for words, wanted in zip((words_of(text or "") for text in texts), sizes):
+            found = [w for w in windows(words, wanted) if field.has_one(w & 0xFFFFFFFF)]
+            rows.append((found, b" ".join(words).decode("utf-8", "surrogatepass")))
         return pd.DataFrame(rows, columns=["windows", "line"])
 
-    return places.select("conv", "turn", measure("own").alias("m")).select("conv", "turn", "m.*")
+    return places.select("conv", "turn", measure("own", "sizes").alias("m")).select("conv", "turn", "m.*").filter(F.size("windows") > 0)
 
 
 KEYS = ["conv", "turn", "passage", "level"]
@@ -192,10 +205,16 @@ def links(places: DataFrame, scope: str = "conversation") -> DataFrame:
     passages = places.select("conv", "turn", F.explode("passages").alias("p")).select("conv", "turn", "p.*")
     open_ = passages.filter(F.col("words") >= least).join(whole, KEYS, "left_anti")
     open_ = stored(open_, "chat-open")
-    wanted = places if scope == "corpus" else places.join(open_.select("conv").distinct(), "conv", "left_semi")
-    searched = stored(_searched(wanted.limit(0) if open_.isEmpty() else wanted), "chat-searched")
-    anchors = open_.select(*KEYS, F.explode("anchors").alias("digest"))
-    near = matched(anchors, earliest(searched.select("conv", "turn", F.explode("windows").alias("digest")))).distinct()
+    sought = stored(open_.select(*KEYS, "words", F.explode("anchors").alias("digest")), "chat-anchors")
+    bits = BitField.of(sought.select(F.col("digest").bitwiseAND(0xFFFFFFFF).alias("slot")))
+    size = F.least("words", F.lit(ANCHOR))
+    if scope == "corpus":
+        wanted = places.withColumn("sizes", F.array(*(F.lit(n) for n in range(least, ANCHOR + 1))))
+    else:  # at most as many sizes as an anchor has words
+        wanted = places.join(sought.groupBy("conv").agg(F.collect_set(size).alias("sizes")), "conv")
+    searched = stored(_searched(wanted, bits), "chat-searched")
+    own_windows = searched.select("conv", "turn", F.explode("windows").alias("digest"))
+    near = matched(sought.drop("words"), earliest(own_windows)).distinct()
     texts = searched.select(F.col("conv").alias("of_conv"), F.col("turn").alias("of_turn"), F.col("line").alias("own_line"))
     blank = F.lit(" ")
     holds = F.contains(F.concat(blank, "own_line", blank), F.concat(blank, "line", blank))
