@@ -235,8 +235,13 @@ def learning_inputs(counts: np.ndarray, where: list[np.ndarray], own: np.ndarray
 
 def known_odds(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each slot's log odds and the whole logarithm of its count, for scoring."""
-    odds = np.log((counts[:, 1] + np.float32(PRIOR)) / (counts[:, 0] + np.float32(PRIOR)))
-    return odds, whole_log2(counts.sum(1) + np.float32(1)).astype(np.uint8)
+    odds, sizes = np.empty(len(counts), np.float32), np.empty(len(counts), np.uint8)
+    for start in range(0, len(counts), 1 << 18):  # a piece at a time, as the table is large
+        some = slice(start, start + (1 << 18))
+        zeros, ones = counts[some, 0], counts[some, 1]
+        odds[some] = np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
+        sizes[some] = whole_log2(counts[some].sum(1) + np.float32(1))
+    return odds, sizes
 
 
 def scoring_inputs(known: tuple[np.ndarray, np.ndarray], where: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
