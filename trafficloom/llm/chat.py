@@ -230,11 +230,18 @@ def links(places: DataFrame, scope: str = "conversation") -> DataFrame:
 
 
 def threads(parents: DataFrame) -> DataFrame:
-    """For rows (conv, turn, parent), parents being earlier turns: (conv, turn, parent, root, depth)."""
-    state = stored(parents.select("conv", "turn", "parent", F.col("parent").alias("up"), F.lit(1).alias("depth")), "chat-threads")
-    while True:
-        above = state.select(F.col("conv").alias("c"), F.col("turn").alias("t"), F.col("up").alias("u"), F.col("depth").alias("d"))
-        found = state.join(above, (F.col("conv") == F.col("c")) & (F.col("up") == F.col("t")), "left")
+    """For rows (conv, turn, parent), parents being earlier turns: (conv, turn, parent, root, depth).
+
+    In each round, messages that have not reached a root take over their ancestor's ancestor;
+    those that have reached one are set aside, so that a few long threads do not keep all
+    others busy.
+    """
+    active = stored(parents.select("conv", "turn", "parent", F.col("parent").alias("up"), F.lit(1).alias("depth")), "chat-threads")
+    settled = active.limit(0)
+    while not active.isEmpty():
+        above = active.union(settled)
+        above = above.select(F.col("conv").alias("c"), F.col("turn").alias("t"), F.col("up").alias("u"), F.col("depth").alias("d"))
+        found = active.join(above, (F.col("conv") == F.col("c")) & (F.col("up") == F.col("t")), "left")
         step = found.select(
             "conv",
             "turn",
@@ -243,10 +250,10 @@ def threads(parents: DataFrame) -> DataFrame:
             (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth"),
             F.col("u").isNotNull().alias("moved"),
         )
-        state = stored(step, "chat-threads")
-        if state.filter("moved").isEmpty():
-            return state.select("conv", "turn", "parent", F.col("up").alias("root"), "depth")
-        state = state.drop("moved")
+        step = stored(step, "chat-threads")
+        settled = settled.union(step.filter("NOT moved").drop("moved"))
+        active = step.filter("moved").drop("moved")
+    return settled.select("conv", "turn", "parent", F.col("up").alias("root"), "depth")
 
 
 def reply_ordered(
