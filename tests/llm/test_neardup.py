@@ -89,10 +89,7 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert components(path.limit(0)).count() == 0
 
 
-def test_hubs_and_chains_of_hubs(spark, monkeypatch):
-    from trafficloom.llm import graph
-
-    monkeypatch.setattr(graph, "HUB_EDGES", 20)
+def test_hubs_and_chains_of_hubs(spark):
     edges = [(1000 * h, 1000 * h + k) for h in range(1, 6) for k in range(1, 90)] + [(1000 * h, 1000 * h + 1000) for h in range(1, 5)]
     edges += [(9000 + k, 9100) for k in range(60)] + [(7, 7), (8, 9), (9, 8)]
     frame = spark.createDataFrame(edges, "a long, b long").repartition(3)
