@@ -1,10 +1,12 @@
 """Language identification and language-model scores."""
 
 import math
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -281,3 +283,107 @@ def test_rare_languages_stay_in_the_model(spark):
     assert model.languages == ("aa", "bb", "cc")
     for text, k in (("lomina", 0), ("kurzet", 1), ("wyp", 2)):
         assert model.table[:, language.triples(text)].sum(1).argmax() == k
+
+
+def test_adding_up_followers_costs_little_more_than_sorting_them():
+    draw = np.random.default_rng(11)
+    met = np.unique(draw.integers(0, 1 << 42, 400_000)).astype(np.uint64)
+    shares = [np.sort(draw.choice(met, 12_000, replace=False)) for _ in range(40)]
+    times = [draw.integers(0, 9, len(s)).astype(np.uint32) for s in shares]
+    group = pd.DataFrame(
+        {
+            "block": range(40),
+            "bucket": 3,
+            "times": [lm.packed_planes(t) for t in times],
+            "digests": [lm.packed_planes(np.diff(s, prepend=np.uint64(0))) for s in shares],
+        }
+    )
+
+    def seconds(work):
+        taken = []
+        for _ in range(5):
+            start = time.process_time()
+            work()
+            taken.append(time.process_time() - start)
+        return min(taken)
+
+    class Given:  # calls the function of a group instead of shipping it
+        def groupBy(self, key):
+            return self
+
+        def applyInPandas(self, function, schema):
+            self.function = function
+            return self
+
+    given = Given()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(lm, "stored", lambda frame, purpose: frame)
+        lm.followers_of(given)
+    sums = Counter()
+    for s, t in zip(shares, times):
+        sums.update(dict(zip(s.tolist(), t.tolist())))
+    found = given.function(group)
+    for s, packed in zip(shares, found["times"]):
+        assert lm.unpacked_planes(packed, np.int64).tolist() == [sums[d] for d in s.tolist()]
+    joined = np.concatenate(shares)
+    assert seconds(lambda: given.function(group)) < 6 * seconds(lambda: np.argsort(joined))
+
+
+def share_of(pairs, times):
+    classes, tokens = zip(*pairs)
+    return {
+        "tokens": lm.packed_tokens(tokens),
+        "classes": lm.packed(np.array(classes, np.uint16)),
+        "times": lm.packed(np.array(times, np.int64)),
+    }
+
+
+@pytest.mark.parametrize("most", [1, 200, 1 << 22])
+def test_vocabulary_of_a_bucket(monkeypatch, most):
+    monkeypatch.setattr(lm, "MERGE_BYTES", most)
+    draw = np.random.default_rng(most % 7)
+    tokens = [b"\n", b"a", b"a\x00", b"ab", "größe".encode(), b"\xed\xa0\x80", *(f"t{k}".encode() for k in range(60))]
+    everything = [(k, t) for k in (0, 1, 300) for t in tokens]
+    sums, shares = Counter(), []
+    for _ in range(20):
+        some = [everything[k] for k in draw.permutation(len(everything))[:40]]
+        times = draw.integers(0, 3, len(some)).tolist()
+        for pair, n in zip(some, times):
+            sums[pair] += n
+        shares.append(share_of(some, times))
+    row = lm.vocabulary_row(pd.DataFrame(shares).assign(bucket=4)).iloc[0]
+    pairs = list(zip(lm.unpacked(row["classes"], np.uint16).tolist(), lm.unpacked_tokens(row["tokens"])))
+    total = Counter()
+    for (_, token), n in sums.items():
+        total[token] += n
+    assert pairs == sorted(sums)
+    assert lm.unpacked(row["times"], np.int64).tolist() == [sums[p] for p in pairs]
+    assert lm.unpacked(row["totals"], np.int64).tolist() == [total[t] for _, t in pairs]
+    assert (row["known"], row["trained"]) == (sum(n > 0 for n in total.values()), sum(sums.values()))
+
+    met = lm.shares_tokens([row["tokens"]]).dictionary_encode()
+    places = lm.Pairs(met.dictionary, lm.unpacked(row["classes"], np.uint16), met.indices.to_numpy())
+    asked = pd.DataFrame(shares)
+    for run in lm.runs_of_shares(asked):
+        for share, at in zip(run, places.places(run), strict=True):
+            own = zip(lm.unpacked(share.classes, np.uint16).tolist(), lm.unpacked_tokens(share.tokens))
+            assert [pairs[k] for k in at] == list(own)
+
+
+def test_words_of_a_block_are_those_of_split():
+    texts = ["", None, " \t\n", "One oNE one", "a\x0bb\x0cc\rd\x1ce\x85f\u00a0g\u3000h", "\x00 \x00\x00", "É é", "\ud800 x", " end\n", None]
+    block = lm.Block()
+    for text in texts:
+        block.add("1", text)
+    words, places = block.words()
+    assert words[0] == lm.END.encode() and len(set(words)) == len(words)
+    expected = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    assert [[words[k] for k in at] for at in places] == expected
+
+
+def test_looked_up_gains_are_those_of_the_shares():
+    draw = np.random.default_rng(2)
+    shares = draw.random(lm.FOLLOW_GATES) * (np.arange(lm.FOLLOW_GATES) > 0)
+    gate, cell = draw.integers(0, lm.FOLLOW_GATES, 5000), draw.integers(0, lm.ODDS_CELLS, 5000).astype(np.uint16)
+    cell[::3] = 0
+    assert (lm.gain_table(shares)[gate, cell] == lm.log2_gain(shares, gate, cell)).all()

@@ -49,12 +49,14 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -85,6 +87,8 @@ SCORE_BYTES = 1 << 16
 RATE = 0.03
 #: Text bytes in a block.
 BLOCK_BYTES = 1 << 23
+#: Packed bytes of tokens that are merged into a vocabulary, or looked up in it, at once.
+MERGE_BYTES = 1 << 22
 SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.maxConcurrentOutputFileWriters": "3"}
 
 #: Gates of the shares, by the whole logarithm of how often the token before was seen.
@@ -372,6 +376,30 @@ def unpacked_tokens(data: bytes) -> list[bytes]:
     return opened(data).split(b" ")
 
 
+#: What separates words, as in ``bytes.split``, and what separates packed tokens.
+SPACES, BLANKS = (np.isin(np.arange(256), list(some)) for some in (b" \t\n\r\x0b\x0c", b" "))
+
+
+def cut(data: bytes, between: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The pieces between separating bytes, and where each begins."""
+    inside = np.zeros(len(data) + 2, bool)
+    values = np.frombuffer(data, np.uint8)
+    np.logical_not(between[values], out=inside[1:-1])
+    starts, ends = np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2).T
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(values[inside[1:-1]])]
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), buffers), starts
+
+
+def byte_list(tokens: pa.Array) -> list[bytes]:
+    return tokens.to_numpy(zero_copy_only=False).tolist()
+
+
+def shares_tokens(packs: Iterable[bytes]) -> pa.Array:
+    """The tokens of several packs, one after the other."""
+    return cut(b" ".join(map(opened, packs)), BLANKS)[0]
+
+
 def packed_planes(values: np.ndarray) -> bytes:
     """Numbers with their first bytes together, then their second, and so on."""
     return squeezed(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes())
@@ -403,35 +431,33 @@ def bucket_of_digest(digests: np.ndarray, buckets: int) -> np.ndarray:
     return ((digests >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-class Places(dict):
-    """Words in the order in which they were first met."""
-
-    def __missing__(self, word: bytes) -> int:
-        place = self[word] = len(self)
-        return place
-
-
 class Block:
     """Documents of about ``BLOCK_BYTES`` and the distinct (class, token) pairs in them."""
 
     def __init__(self) -> None:
-        self.place = Places({END.encode(): 0})
-        self.docs: list[tuple[str | None, bool, np.ndarray]] = []
+        self.docs: list[tuple[str | None, bool, bytes]] = []
         self.size = 0
 
     def add(self, doc_id: str | None, text: str | None) -> None:
-        words = text.encode("utf-8", "surrogatepass").lower().split() if isinstance(text, str) else []
-        at = np.fromiter(map(self.place.__getitem__, words), np.uint32, len(words))
-        self.docs.append((doc_id, zlib.crc32((doc_id or "").encode()) % 5 == 1, at))
-        self.size += len(text) if words else 0
+        data = text.encode("utf-8", "surrogatepass").lower() if isinstance(text, str) else b""
+        self.docs.append((doc_id, zlib.crc32((doc_id or "").encode()) % 5 == 1, data))
+        self.size += len(text) if data and not data.isspace() else 0
+
+    def words(self) -> tuple[list[bytes], list[np.ndarray]]:
+        """The distinct tokens, the end first, and each document's words as places among them."""
+        sizes = np.array([len(data) + 1 for _, _, data in self.docs])
+        met, starts = cut(b" ".join(data for _, _, data in self.docs), SPACES)
+        met = met.dictionary_encode()
+        at = met.indices.to_numpy().astype(np.int64) + 1
+        return [END.encode(), *byte_list(met.dictionary)], np.split(at, np.searchsorted(starts, np.cumsum(sizes)[:-1]))
 
     def rows(self, block: int, model: TextModel, buckets: int) -> pd.DataFrame:
-        words = list(self.place)
+        words, places_of = self.words()
         scores = class_scores(model, words)
         width = len(words)
-        lengths = np.array([len(at) + 1 for _, _, at in self.docs])
+        lengths = np.array([len(at) + 1 for at in places_of])
         first = np.cumsum(lengths) - lengths
-        codes = np.concatenate([class_path(scores, at) * width + np.append(at, 0) for _, _, at in self.docs])
+        codes = np.concatenate([class_path(scores, at) * width + np.append(at, 0) for at in places_of])
         there = np.zeros((len(model.classes) + 1) * width, bool)
         there[codes] = True
         pairs = np.flatnonzero(there)
@@ -522,37 +548,84 @@ def frugal(spark: SparkSession):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def merged_pairs(merged: tuple | None, shares: list) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct tokens in order, and the distinct pairs in order: their classes, tokens (as
+    places) and the sums of their counts, from those merged before and more shares."""
+    tokens = shares_tokens(s.tokens for s in shares)
+    classes = np.concatenate([unpacked(s.classes, np.uint16) for s in shares]).astype(np.int64)
+    times = np.concatenate([unpacked(s.times, np.int64) for s in shares])
+    if merged:
+        tokens = pa.concat_arrays([merged[0].take(pa.array(merged[2])), tokens])
+        classes, times = np.concatenate([merged[1], classes]), np.concatenate([merged[3], times])
+    tokens = tokens.dictionary_encode()
+    order = pc.array_sort_indices(tokens.dictionary)
+    rank = np.empty(len(order), np.int64)
+    rank[order.to_numpy()] = np.arange(len(order))
+    pairs, at = np.unique(classes * len(order) + rank[tokens.indices.to_numpy()], return_inverse=True)
+    sums = np.bincount(at, times, len(pairs)).astype(np.int64)  # exact below 2 ** 53
+    return tokens.dictionary.take(order), pairs // len(order), pairs % len(order), sums
+
+
+def runs_of_shares(shares: pd.DataFrame) -> Iterator[list]:
+    """Runs of rows whose ``tokens`` have about ``MERGE_BYTES``."""
+    run, size = [], 0
+    for share in shares.itertuples(index=False):
+        run.append(share)
+        size += len(share.tokens)
+        if size >= MERGE_BYTES:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
+class Pairs:
+    """Places of pairs in a vocabulary, given as classes and places among distinct tokens."""
+
+    def __init__(self, tokens: pa.Array, classes: np.ndarray, which: np.ndarray) -> None:
+        self.tokens = tokens
+        keys = classes.astype(np.int64) * len(tokens) + which
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+
+    def places(self, shares: list) -> list[np.ndarray]:
+        """Those of each share's pairs, which are all in the vocabulary."""
+        which = pc.index_in(shares_tokens(s.tokens for s in shares), value_set=self.tokens).to_numpy()
+        classes = [unpacked(s.classes, np.uint16) for s in shares]
+        keys = np.concatenate(classes).astype(np.int64) * len(self.tokens) + which
+        return np.split(self.order[np.searchsorted(self.keys, keys)], np.cumsum([len(c) for c in classes])[:-1])
+
+
+def vocabulary_row(group: pd.DataFrame) -> pd.DataFrame:
+    """The row of one bucket, from all shares that it gets."""
+    merged, waiting, size = None, [], 0
+    for shares in runs_of_shares(group):
+        waiting += shares
+        size += sum(len(s.tokens) for s in shares)
+        if merged is None or size >= merged[0].nbytes:  # else what is merged would be gone through too often
+            merged, waiting, size = merged_pairs(merged, waiting), [], 0
+    tokens, classes, which, times = merged_pairs(merged, waiting) if waiting else merged
+    totals = np.bincount(which, times, len(tokens)).astype(np.int64)
+    return pd.DataFrame(
+        {
+            "bucket": [group["bucket"].iloc[0]],
+            "tokens": [packed_tokens(byte_list(tokens.take(pa.array(which))))],
+            "classes": [packed(classes.astype(np.uint16))],
+            "times": [packed(times)],
+            "totals": [packed(totals[which])],
+            "known": [int((totals > 0).sum())],
+            "trained": [int(times.sum())],
+        }
+    )
+
+
 def vocabulary_of(shares: DataFrame) -> DataFrame:
     """Stored rows, one per bucket: its distinct pairs in an order that lets neighbours share
     their beginnings, as packed ``tokens``, ``classes``, ``times`` (training count of the pair)
     and ``totals`` (of the token in all classes); ``known`` and ``trained`` count the distinct
     training tokens and their occurrences."""
-
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        sums: dict[tuple[int, bytes], int] = {}
-        for tokens, classes, times in group[["tokens", "classes", "times"]].itertuples(index=False):
-            pairs = zip(unpacked(classes, np.uint16).tolist(), unpacked_tokens(tokens))
-            for pair, n in zip(pairs, unpacked(times, np.int64).tolist()):
-                sums[pair] = sums.get(pair, 0) + n
-        pairs = sorted(sums)
-        total: dict[bytes, int] = {}
-        for pair in pairs:
-            total[pair[1]] = total.get(pair[1], 0) + sums[pair]
-        times = np.array([sums[p] for p in pairs], np.int64)
-        return pd.DataFrame(
-            {
-                "bucket": [group["bucket"].iloc[0]],
-                "tokens": [packed_tokens([t for _, t in pairs])],
-                "classes": [packed(np.array([c for c, _ in pairs], np.uint16))],
-                "times": [packed(times)],
-                "totals": [packed(np.array([total[t] for _, t in pairs], np.int64))],
-                "known": [sum(n > 0 for n in total.values())],
-                "trained": [int(times.sum())],
-            }
-        )
-
     schema = "bucket int, tokens binary, classes binary, times binary, totals binary, known long, trained long"
-    return stored(shares.groupBy("bucket").applyInPandas(merge, schema), "lm-vocabulary")
+    return stored(shares.groupBy("bucket").applyInPandas(vocabulary_row, schema), "lm-vocabulary")
 
 
 class SlotTable:
@@ -648,20 +721,27 @@ def fit_mixer(vocabulary: DataFrame, counts: SlotTable) -> Mixer:
     return mixer
 
 
+def follower_totals(group: pd.DataFrame) -> pd.DataFrame:
+    """A bucket's shares with the sums over all of them in place of their own counts."""
+    digests = [np.cumsum(unpacked_planes(d, np.uint64), dtype=np.uint64) for d in group["digests"]]
+    ends = np.cumsum([len(d) for d in digests])
+    joined = np.concatenate(digests)
+    del digests
+    order = np.argsort(joined, kind="stable")  # those of a share are in order already
+    joined = joined[order]
+    starts = np.flatnonzero(np.append(True, joined[1:] != joined[:-1]))
+    times = np.concatenate([unpacked_planes(t, np.uint32) for t in group["times"]])
+    totals = np.add.reduceat(times[order], starts, dtype=np.int64)
+    times = np.empty(len(joined), np.int64)
+    times[order] = np.repeat(totals, np.diff(np.append(starts, len(joined))))
+    packs = [packed_planes(some) for some in np.split(times, ends[:-1])]
+    return pd.DataFrame({"block": group["block"], "bucket": group["bucket"], "times": packs})
+
+
 def followers_of(shares: DataFrame) -> DataFrame:
     """Stored rows (block, bucket, times): the training counts, over all blocks, of the block's
     distinct two tokens in a row, in the order of their digests."""
-
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        digests = [np.cumsum(unpacked_planes(d, np.uint64), dtype=np.uint64) for d in group["digests"]]
-        values = np.unique(np.concatenate(digests))
-        places = [np.searchsorted(values, d) for d in digests]  # those of a share are distinct and in order
-        totals = np.zeros(len(values), np.int64)
-        for at, times in zip(places, group["times"]):
-            totals[at] += unpacked_planes(times, np.uint32)
-        return pd.DataFrame({"block": group["block"], "bucket": group["bucket"], "times": [packed_planes(totals[at]) for at in places]})
-
-    return stored(shares.groupBy("bucket").applyInPandas(add, "block long, bucket int, times binary"), "lm-followers")
+    return stored(shares.groupBy("bucket").applyInPandas(follower_totals, "block long, bucket int, times binary"), "lm-followers")
 
 
 def follow_odds(both: np.ndarray, before: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -682,6 +762,12 @@ def log2_gain(shares: np.ndarray, gate: np.ndarray, cell: np.ndarray) -> np.ndar
         return np.logaddexp2(np.log2(1 - shares)[gate], np.log2(shares)[gate] + odds)
 
 
+def gain_table(shares: np.ndarray) -> np.ndarray:
+    """``log2_gain`` of every gate and cell, to be looked up for each token."""
+    cells = np.arange(ODDS_CELLS)
+    return np.stack([log2_gain(shares, np.full(ODDS_CELLS, gate), cells) for gate in range(FOLLOW_GATES)])
+
+
 def fit_shares(shown: pd.DataFrame) -> np.ndarray:
     """The likeliest share per gate, from rows (code, n) of gate and cell; one more occurrence
     without odds keeps each share below one. Expectation and maximisation in turns."""
@@ -742,16 +828,18 @@ def _scored(docs: DataFrame, id_col: str, text_col: str, label_col: str | None,
     def answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         SlotTable.kept = (None, None)
         (row,) = known.itertuples(index=False)
-        place = {pair: k for k, pair in enumerate(zip(unpacked(row.classes, np.uint16).tolist(), unpacked_tokens(row.tokens)))}
+        tokens = shares_tokens([row.tokens]).dictionary_encode()
+        which, tokens = tokens.indices.to_numpy(), tokens.dictionary
+        pairs = Pairs(tokens, unpacked(row.classes, np.uint16), which)
+        closed = pc.not_equal(tokens, pa.scalar(END.encode(), tokens.type)).to_numpy(zero_copy_only=False)
+        sizes = (pc.binary_length(tokens).to_numpy() + closed).astype(np.uint32)[which]
+        digests = token_digests(byte_list(tokens))[which]
         totals, logs = unpacked(row.totals, np.int64), np.frombuffer(row.logs, np.float64)
         out = []
-        for share in asked.itertuples(index=False):
-            tokens = unpacked_tokens(share.tokens)
-            pairs = zip(unpacked(share.classes, np.uint16).tolist(), tokens)
-            at = np.fromiter((place[p] for p in pairs), np.int64, len(tokens))
-            sizes = np.fromiter((len(t) + (t != END.encode()) for t in tokens), np.uint32, len(tokens))
-            digests = packed(token_digests(tokens))
-            out.append((share.block, None, share.places, packed(totals[at]), logs[at].tobytes(), packed(sizes), digests, None))
+        for shares in runs_of_shares(asked):
+            for share, at in zip(shares, pairs.places(shares)):
+                values = packed(totals[at]), logs[at].tobytes(), packed(sizes[at]), packed(digests[at])
+                out.append((share.block, None, share.places, *values, None))
         return pd.DataFrame(out, columns=["block", "bucket", "places", "totals", "logs", "sizes", "digests", "times"])
 
     answers = "block long, bucket int, places binary, totals binary, logs binary, sizes binary, digests binary, times binary"
@@ -819,10 +907,11 @@ def _scored(docs: DataFrame, id_col: str, text_col: str, label_col: str | None,
     follow = fit_shares(shown.groupBy("code").agg(F.sum("n").alias("n")).toPandas())  # gates times cells at most
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gains = gain_table(follow)
         for batch in batches:
             rows = []
             for row in batch.itertuples(index=False):
-                gain = log2_gain(follow, unpacked(row.gates, np.uint8), unpacked_planes(row.cells, np.uint16))
+                gain = gains[unpacked(row.gates, np.uint8), unpacked_planes(row.cells, np.uint16)]
                 score = row.logs + float(gain.sum()) / math.log2(10)
                 bits = -score * math.log2(10) / row.bytes
                 rows.append((row.doc_id, row.held_out, row.n_tokens, row.n_known, trained, row.base, score, bits))
