@@ -27,3 +27,14 @@ def test_entry_imports_without(tmp_path, missing):
     assert "pipeline" not in queries
     if "llm" in missing:
         assert queries == set(QUERIES)
+
+
+def test_entry_leaves_the_pipeline_of_another_tree(tmp_path, monkeypatch):
+    shutil.copytree(ROOT / "trafficloom", tmp_path / "own" / "trafficloom", ignore=shutil.ignore_patterns("__pycache__"))
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path / "own")
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "corpus_pipeline.py").write_text("run = ORACLE_SQL = None\n")
+    monkeypatch.setenv("PYTHONPATH", str(tmp_path / "other"))
+    done = subprocess.run([sys.executable, "-c", ASK], cwd=tmp_path / "own", capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert "pipeline" not in done.stdout.split()
