@@ -448,7 +448,7 @@ class Block:
         sizes = np.array([len(data) + 1 for _, _, data in self.docs])
         met, starts = cut(b" ".join(data for _, _, data in self.docs), SPACES)
         met = met.dictionary_encode()
-        at = met.indices.to_numpy().astype(np.int64) + 1
+        at = met.indices.to_numpy() + np.int32(1)
         return [END.encode(), *byte_list(met.dictionary)], np.split(at, np.searchsorted(starts, np.cumsum(sizes)[:-1]))
 
     def rows(self, block: int, model: TextModel, buckets: int) -> pd.DataFrame:
@@ -724,18 +724,14 @@ def fit_mixer(vocabulary: DataFrame, counts: SlotTable) -> Mixer:
 def follower_totals(group: pd.DataFrame) -> pd.DataFrame:
     """A bucket's shares with the sums over all of them in place of their own counts."""
     digests = [np.cumsum(unpacked_planes(d, np.uint64), dtype=np.uint64) for d in group["digests"]]
-    ends = np.cumsum([len(d) for d in digests])
-    joined = np.concatenate(digests)
-    del digests
-    order = np.argsort(joined, kind="stable")  # those of a share are in order already
-    joined = joined[order]
-    starts = np.flatnonzero(np.append(True, joined[1:] != joined[:-1]))
-    times = np.concatenate([unpacked_planes(t, np.uint32) for t in group["times"]])
-    totals = np.add.reduceat(times[order], starts, dtype=np.int64)
-    times = np.empty(len(joined), np.int64)
-    times[order] = np.repeat(totals, np.diff(np.append(starts, len(joined))))
-    packs = [packed_planes(some) for some in np.split(times, ends[:-1])]
-    return pd.DataFrame({"block": group["block"], "bucket": group["bucket"], "times": packs})
+    values = np.concatenate(digests)
+    values.sort()
+    values = values[np.append(True, values[1:] != values[:-1])]  # np.unique would go through a hash table
+    places = [np.searchsorted(values, d) for d in digests]  # those of a share are distinct and in order
+    totals = np.zeros(len(values), np.int64)
+    for at, times in zip(places, group["times"]):
+        totals[at] += unpacked_planes(times, np.uint32)
+    return pd.DataFrame({"block": group["block"], "bucket": group["bucket"], "times": [packed_planes(totals[at]) for at in places]})
 
 
 def followers_of(shares: DataFrame) -> DataFrame:
